@@ -35,7 +35,7 @@ BRAND_CLOSES = """closes AS (
 BIG_TICKS = """ticks AS (
   SELECT l_orderkey AS Seq, l_shipdate AS Date_Time, p_brand AS RIC,
          l_extendedprice / l_quantity AS Price, CAST(l_quantity AS BIGINT) AS Volume,
-         'Trade' AS Type, 'U[ACT];12PPPPPPPPPPPP' AS Qualifiers,
+         'Trade' AS Type, 'A[X];B[Y];12-------P----[MMT_CLASS];Z[W]' AS Qualifiers,
          l_linenumber, l_partkey, l_suppkey
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 

@@ -85,7 +85,7 @@ def ticks_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("Price"),
         F.col("l_quantity").cast("long").alias("Volume"),
         F.lit("Trade").alias("Type"),
-        F.lit(QUALIFIER_SHAPES[1]).alias("Qualifiers"),
+        F.lit(QUALIFIER_SHAPES[3]).alias("Qualifiers"),
         F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
     )
 
