@@ -252,9 +252,9 @@ SELECT * FROM last_trade""",
 {_last_trade(order="Date_Time DESC, Seq DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC")}
 SELECT * FROM last_trade""",
     "vwap_yearly": f"""WITH {BIG_TICKS}
-SELECT RIC, year(Date_Time) AS year, round(sum(Volume * Price) / nullif(sum(Volume), 0), 3) AS VWAP,
+SELECT RIC, CAST(year(Date_Time) AS INTEGER) AS year, round(sum(Volume * Price) / nullif(sum(Volume), 0), 3) AS VWAP,
        round(avg(Price), 3) AS TWAP, CAST(sum(Volume) AS BIGINT) AS TotalVolume, count(RIC) AS NumTrades
-FROM ticks WHERE {REGULAR} GROUP BY RIC, year(Date_Time) ORDER BY RIC, year""",
+FROM ticks WHERE {REGULAR} GROUP BY RIC, CAST(year(Date_Time) AS INTEGER) ORDER BY RIC, year""",
     "aligned_closes": f"WITH {_BRAND_CHAIN} SELECT RIC, \"Date\", Price FROM aligned",
     "log_returns": f"WITH {_BRAND_CHAIN} SELECT RIC, \"Date\", round(log_return, 12) AS log_return FROM returns",
     "expected_return": f"""WITH {_BRAND_CHAIN},
