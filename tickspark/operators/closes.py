@@ -31,22 +31,41 @@ def daily_close(ticks: DataFrame, start=None, end=None, rics=None,
                   .agg(F.max_by("Price", key).cast("double").alias("Price")))
 
 
+# Above this many tickers the per-day row is built from a map instead of
+# one conditional aggregate per ticker.
+WIDE_ALIGN_MAX_TICKERS = 64
+
+
 def align_closes(closes: DataFrame, tickers: Sequence[str]) -> DataFrame:
     """Align every ticker to the first ticker's trading days.
 
     Result: one row per (listed ticker, day on which ``tickers[0]`` has a
     close); a missing close is null, and days the first ticker lacks are
-    dropped.  The grid is generated by exploding the (driver-side, bounded)
-    ticker list on each calendar row - no cross join - and the closes are
-    left-joined on ``(RIC, Date)``.
+    dropped.  One aggregate by day gathers the listed tickers' closes into
+    a single row (k values, k = portfolio size), days without the first
+    ticker are dropped, and the row is unpivoted back to long form - no
+    join, no cross join, and the closes are computed once.
     """
     tickers = list(tickers)
     if not tickers:
         raise ValueError("at least one ticker is required")
-    calendar = closes.where(F.col("RIC") == F.lit(tickers[0])).select("Date")
-    grid = calendar.select("Date", F.explode(F.array(*[F.lit(t) for t in tickers])).alias("RIC"))
-    listed = closes.where(F.col("RIC").isin(tickers)).select("RIC", "Date", "Price")
-    return grid.join(listed, ["RIC", "Date"], "left").select("RIC", "Date", "Price")
+    listed = closes.where(F.col("RIC").isin(tickers))
+    if len(tickers) <= WIDE_ALIGN_MAX_TICKERS:
+        day = listed.groupBy("Date").agg(*[
+            F.max(F.when(F.col("RIC") == F.lit(t), F.col("Price"))).alias(f"p{i}")
+            for i, t in enumerate(tickers)])
+        cells = F.array(*[F.struct(F.lit(t).alias("RIC"), F.col(f"p{i}").alias("Price"))
+                          for i, t in enumerate(tickers)])
+        first = F.col("p0")
+    else:
+        day = listed.groupBy("Date").agg(
+            F.map_from_entries(F.collect_list(F.struct("RIC", "Price"))).alias("m"))
+        cells = F.transform(F.array(*[F.lit(t) for t in tickers]),
+                            lambda t: F.struct(t.alias("RIC"), F.try_element_at("m", t).alias("Price")))
+        first = F.try_element_at("m", F.lit(tickers[0]))
+    return (day.where(first.isNotNull())
+               .select("Date", F.inline(cells))
+               .select("RIC", "Date", F.col("Price").cast("double").alias("Price")))
 
 
 def log_returns(aligned: DataFrame, tickers: Sequence[str]) -> DataFrame:
@@ -55,14 +74,14 @@ def log_returns(aligned: DataFrame, tickers: Sequence[str]) -> DataFrame:
 
     The previous close is taken on the aligned rows *before* dropping gaps,
     so a gap kills two days: its own and the next.  ``lag`` runs in a
-    per-instrument window (one partition per ticker holds one row per day).
+    per-instrument window (one row per calendar day per ticker); the
+    completeness count runs in a per-day window (k rows per day).
     """
     k = len(set(tickers))
-    w = Window.partitionBy("RIC").orderBy("Date")
+    by_ric = Window.partitionBy("RIC").orderBy("Date")
+    by_day = Window.partitionBy("Date")
     r = aligned.withColumn("log_return",
-                           F.ln(F.try_divide(F.col("Price"), F.lag("Price").over(w))))
-    complete = (r.groupBy("Date").agg(F.count("log_return").alias("n"))
-                 .where(F.col("n") == k).select("Date"))
-    return (r.where(F.col("log_return").isNotNull())
-             .join(complete, "Date", "left_semi")
+                           F.ln(F.try_divide(F.col("Price"), F.lag("Price").over(by_ric))))
+    return (r.withColumn("_n", F.count("log_return").over(by_day))
+             .where(F.col("log_return").isNotNull() & (F.col("_n") == k))
              .select("RIC", "Date", "log_return"))
