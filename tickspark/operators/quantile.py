@@ -2,11 +2,14 @@
 
 ``percentile`` is exact but keeps every value of a group in one task, so it
 is used only when the largest group is small.  Beyond that the rank is
-bracketed with ``percentile_approx`` (whose rank error is at most
-``n / accuracy``), rows below the bracket are counted, and only the rows
-inside the bracket are ranked - a bounded number per group.  Groups whose
-bracket misses the rank (not expected) are re-ranked over a full-range
-bracket, so the answer is always exact.
+found by distributed selection: each pass counts the rows of every group
+in equal-width value buckets (a hash aggregate of ``groups x buckets``
+rows), keeps the buckets that hold the wanted ranks, and counts the rows
+below them.  A pass divides the candidate range by about ``BUCKETS``, so
+two or three passes leave a small bracket whose rows are ranked exactly
+with a per-group window.  Membership is decided by the recorded bucket
+numbers of every pass (not by re-derived float edges), so counts stay
+consistent and the result is exact.
 """
 
 from __future__ import annotations
@@ -38,66 +41,167 @@ def exact_quantile(df: DataFrame, col: str, q: float, by: Sequence[str] = (),
         raise ValueError("q must be in [0, 1]")
     by = list(by)
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    shape = sizes.agg(F.max("n").alias("max_n"), F.count(F.lit(1)).alias("groups")).first()
-    max_n, groups = shape["max_n"] or 0, shape["groups"] or 0
+    keys = by or ["_g"]
+    xg = x if by else x.withColumn("_g", F.lit(0))
+    stats = _materialize(xg.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo0"),
+                                               F.max("_x").alias("hi0")))
+    local = getattr(stats, "_local_rows", None)
+    if local is not None:
+        max_n, groups = max((r["n"] for r in local), default=0), len(local)
+    else:
+        shape = stats.agg(F.max("n").alias("max_n"), F.count(F.lit(1)).alias("groups")).first()
+        max_n, groups = shape["max_n"] or 0, shape["groups"] or 0
 
     if max_n <= small_group_rows:
         return x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
                                   F.percentile("_x", F.lit(q)).alias("quantile"))
-    return _bracketed_quantile(x, q, by, max_n, groups, bracket_rows)
-
-
-def _bracketed_quantile(x: DataFrame, q: float, by: list[str], max_n: int, groups: int,
-                        bracket_rows: int) -> DataFrame:
+    result = _bracketed_quantile(xg, q, keys, stats, groups, bracket_rows)
+    return result if by else result.drop("_g")
+
+
+# Per-group tables up to this many rows are brought to the driver and
+# re-created locally (cuts lineage without a file round trip); larger
+# ones are checkpointed to the shared checkpoint folder.
+DRIVER_TABLE_ROWS = 10_000
+
+
+def _materialize(df: DataFrame, rows_bound: int | None = None) -> DataFrame:
+    """Compute a small per-group table once and cut its lineage."""
+    spark = df.sparkSession
+    rows = None
+    if rows_bound is not None and rows_bound <= DRIVER_TABLE_ROWS:
+        rows = df.collect()
+    elif rows_bound is None:
+        rows = df.limit(DRIVER_TABLE_ROWS + 1).collect()
+        rows = rows if len(rows) <= DRIVER_TABLE_ROWS else None
+    if rows is not None:
+        out = spark.createDataFrame(rows, df.schema)
+        out._local_rows = rows
+        return out
     from tickspark.session import checkpoint_root
-
-    checkpoint_root(x.sparkSession)  # small per-group tables are checkpointed to shared storage
-    accuracy = int(min(max(10_000, 4 * max_n // bracket_rows), 50_000_000))
-    eps = 2.0 / accuracy
-    keys = by or ["_g"]
-    if not by:
-        x = x.withColumn("_g", F.lit(0))
+    checkpoint_root(spark)
+    return df.checkpoint()
+
+
+BUCKETS = 2048
+MAX_PASSES = 8
+
+
+def _bucket(x, lo, hi, nb=BUCKETS):
+    """Bucket number of ``x`` in ``[lo, hi]`` split into ``nb`` equal parts."""
+    raw = F.floor((x - lo) / (hi - lo) * F.lit(nb)).cast("int")
+    return F.when(hi <= lo, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(nb - 1)))
+
+
+def _select_buckets(state: DataFrame, counts: DataFrame, keys: list[str], level: int) -> DataFrame:
+    """Next bracket per group from its bucket counts (Spark path, many groups)."""
+    w = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    cum = counts.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
+    cum = cum.join(state.select(*keys, "r", "r2", "below"), keys) \
+             .withColumn("start", F.col("below") + F.col("before"))
+    hit = lambda rk: (F.col(rk) >= F.col("start")) & (F.col(rk) < F.col("start") + F.col("c"))
+    # Buckets from the one holding r to the one holding r2 (adjacent ranks).
+    a = cum.where(hit("r")).select(*keys, F.col("k").alias("a"), F.col("start").alias("new_below"))
+    b = cum.where(hit("r2")).select(*keys, F.col("k").alias("b"))
+    span = (cum.join(a, keys).join(b, keys).where(F.col("k").between(F.col("a"), F.col("b")))
+               .groupBy(*keys, "a", "b", "new_below")
+               .agg(F.sum("c").alias("new_inside"), F.min("mn").alias("nlo"), F.max("mx").alias("nhi")))
+    nxt = level + 1
+    return (state.join(span, keys)
+                 .select(*[c for c in state.columns if c not in ("below", "inside")],
+                         F.col("a").alias(f"a{level}"), F.col("b").alias(f"b{level}"),
+                         F.col("new_below").alias("below"), F.col("new_inside").alias("inside"),
+                         F.col("nlo").alias(f"lo{nxt}"), F.col("nhi").alias(f"hi{nxt}")))
+
+
+def _select_buckets_local(state: DataFrame, counts: DataFrame, keys: list[str], level: int) -> DataFrame:
+    """Same selection with pandas, for a bounded (groups x buckets) count table."""
+    spark = state.sparkSession
+    st, ct = state.toPandas(), counts.toPandas()
+    ct = ct.sort_values(keys + ["k"])
+    ct["before"] = ct.groupby(keys)["c"].cumsum() - ct["c"]
+    m = ct.merge(st[keys + ["r", "r2", "below"]], on=keys)
+    m["start"] = m["below"] + m["before"]
+    hit = lambda rk: (m[rk] >= m["start"]) & (m[rk] < m["start"] + m["c"])
+    a = m.loc[hit("r"), keys + ["k", "start"]].rename(columns={"k": "a", "start": "new_below"})
+    b = m.loc[hit("r2"), keys + ["k"]].rename(columns={"k": "b"})
+    sp = m.merge(a, on=keys).merge(b, on=keys)
+    sp = sp[(sp["k"] >= sp["a"]) & (sp["k"] <= sp["b"])]
+    span = sp.groupby(keys + ["a", "b", "new_below"], as_index=False).agg(
+        new_inside=("c", "sum"), nlo=("mn", "min"), nhi=("mx", "max"))
+    nxt = level + 1
+    out = st.drop(columns=["below", "inside"]).merge(span, on=keys)
+    out = out.rename(columns={"a": f"a{level}", "b": f"b{level}", "new_below": "below",
+                              "new_inside": "inside", "nlo": f"lo{nxt}", "nhi": f"hi{nxt}"})
+    base = [c for c in state.columns if c not in ("below", "inside")]
+    cols = base + [f"a{level}", f"b{level}", "below", "inside", f"lo{nxt}", f"hi{nxt}"]
+    from pyspark.sql import types as T
+    fields = [state.schema[c] for c in base] + [
+        T.StructField(f"a{level}", T.IntegerType()), T.StructField(f"b{level}", T.IntegerType()),
+        T.StructField("below", T.LongType()), T.StructField("inside", T.LongType()),
+        T.StructField(f"lo{nxt}", T.DoubleType()), T.StructField(f"hi{nxt}", T.DoubleType())]
+    out = out[cols].astype({f"a{level}": "int32", f"b{level}": "int32", "below": "int64", "inside": "int64"})
+    res = spark.createDataFrame(out, T.StructType(fields))
+    res._local_rows = out.to_dict("records")
+    return res
+
+
+def _bracketed_quantile(x: DataFrame, q: float, keys: list[str], stats: DataFrame, groups: int,
+                        bracket_rows: int) -> DataFrame:
     pos = F.lit(q) * (F.col("n") - 1)
-    bracket = (x.groupBy(*keys)
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx("_x", F.array(F.lit(max(q - eps, 0.0)), F.lit(min(q + eps, 1.0))),
-                                         accuracy).alias("b"))
-                .select(*keys, "n", F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi"),
-                        F.floor(pos).cast("long").alias("r"),
-                        (pos - F.floor(pos)).alias("frac"))
-                .checkpoint())
+    # Per-group state: wanted ranks r and r2, rows below the bracket, rows
+    # inside it, and the bracket's value range (actual min / max inside).
+    state = _materialize(stats.select(
+        *keys, "n", F.floor(pos).cast("long").alias("r"),
+        F.least(F.floor(pos).cast("long") + 1, F.col("n") - 1).alias("r2"),
+        (pos - F.floor(pos)).alias("frac"),
+        F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), "lo0", "hi0"), groups)
 
     def side(b: DataFrame) -> DataFrame:
         # One row per group: broadcast only while the group count is bounded.
         return F.broadcast(b) if groups <= BROADCAST_GROUPS else b
 
-    def counts_of(b: DataFrame) -> DataFrame:
-        j = x.join(side(b), keys)
-        c = j.groupBy(*keys).agg(
-            F.sum(F.when(F.col("_x") < F.col("lo"), 1).otherwise(0)).alias("below"),
-            F.sum(F.when(F.col("_x").between(F.col("lo"), F.col("hi")), 1).otherwise(0)).alias("inside"))
-        return b.join(c, keys).checkpoint()
-
-    def finish(chk: DataFrame) -> DataFrame:
-        inside = x.join(side(chk), keys).where(F.col("_x").between(F.col("lo"), F.col("hi")))
-        w = Window.partitionBy(*keys).orderBy("_x")
-        rank = F.row_number().over(w) - 1 + F.col("below")
-        picked = (inside.select(*keys, "n", "r", "frac", "_x", rank.alias("rank"))
-                        .where((F.col("rank") == F.col("r")) | (F.col("rank") == F.col("r") + 1)))
-        return (picked.groupBy(*keys, "n", "frac")
-                      .agg(F.min("_x").alias("x_lo"), F.max("_x").alias("x_hi"))
-                      .select(*keys, "n", _interpolate(F.col("x_lo"), F.col("x_hi"),
-                                                       F.col("frac")).alias("quantile")))
-
-    chk = counts_of(bracket)
-    # Ranks r and r+1 (or r alone when it is the last) must lie inside the bracket.
-    last = F.least(F.col("r") + 1, F.col("n") - 1)
-    ok = (F.col("below") <= F.col("r")) & (last < F.col("below") + F.col("inside"))
-    result = finish(chk.where(ok))
-    missed = chk.where(~ok)
-    if not missed.isEmpty():
-        wide = missed.select(*keys, "n", "r", "frac",
-                             F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
-        result = result.unionByName(finish(counts_of(wide)))
-    return result.drop("_g") if not by else result
+    def member(level: int):
+        cond = F.lit(True)
+        for i in range(level):
+            b = _bucket(F.col("_x"), F.col(f"lo{i}"), F.col(f"hi{i}"))
+            cond = cond & b.between(F.col(f"a{i}"), F.col(f"b{i}"))
+        return cond
+
+    level = 0
+    while level < MAX_PASSES:
+        local = getattr(state, "_local_rows", None)
+        if local is not None:
+            m = max((r["inside"] for r in local), default=0)
+            w = max((r[f"hi{level}"] - r[f"lo{level}"] for r in local), default=0)
+        else:
+            shape = state.agg(F.max("inside").alias("m"),
+                              F.max(F.col(f"hi{level}") - F.col(f"lo{level}")).alias("w")).first()
+            m, w = shape["m"], shape["w"]
+        if m <= bracket_rows or not w:
+            break
+        j = x.join(side(state), keys).where(member(level))
+        counts = _materialize(
+            j.groupBy(*keys, _bucket(F.col("_x"), F.col(f"lo{level}"), F.col(f"hi{level}")).alias("k"))
+             .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")),
+            groups * BUCKETS)
+        nxt = level + 1
+        if groups * BUCKETS <= DRIVER_TABLE_ROWS * 100:
+            state = _select_buckets_local(state, counts, keys, level)
+        else:
+            state = _materialize(_select_buckets(state, counts, keys, level), groups)
+        level = nxt
+
+    # Groups whose bracket holds a single value need no ranking.
+    flat = state.where(F.col(f"lo{level}") == F.col(f"hi{level}")) \
+                .select(*keys, "n", F.col(f"lo{level}").alias("quantile"))
+    rest = state.where(F.col(f"lo{level}") < F.col(f"hi{level}"))
+    inside = x.join(side(rest), keys).where(member(level))
+    wr = Window.partitionBy(*keys).orderBy("_x")
+    rank = F.row_number().over(wr) - 1 + F.col("below")
+    picked = (inside.select(*keys, "n", "r", "r2", "frac", "_x", rank.alias("rank"))
+                    .where((F.col("rank") == F.col("r")) | (F.col("rank") == F.col("r2"))))
+    ranked = (picked.groupBy(*keys, "n", "frac")
+                    .agg(F.min("_x").alias("x_lo"), F.max("_x").alias("x_hi"))
+                    .select(*keys, "n", _interpolate(F.col("x_lo"), F.col("x_hi"), F.col("frac")).alias("quantile")))
+    return ranked.unionByName(flat)
