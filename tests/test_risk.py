@@ -178,3 +178,17 @@ def test_histogram_constant_values(spark):
     h = R.histogram(scen, 10).orderBy("bin").collect()
     assert len(h) == 10 and sum(r["count"] for r in h) == 100
     assert h[0].bin_start == pytest.approx(-0.5) and h[-1].bin_end == pytest.approx(0.5)
+
+
+def test_packed_order_key_negative_seq_and_hash_plan(spark):
+    t = dt.datetime(2024, 1, 2, 16, 30)
+    q = "a;12------------[MMT_CLASS]"
+    rows = [(-5, t, "A", 10.0, 1, "Trade", q), (-7, t, "A", 11.0, 1, "Trade", q),
+            (3, t - dt.timedelta(microseconds=1), "A", 12.0, 1, "Trade", q)]
+    df = daily_close(spark.createDataFrame(rows, TICKS))
+    assert [r.Price for r in df.collect()] == [10.0]          # seq -5 beats -7 at the same instant
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    # a struct tie-break (more than one extra column) gives the same answer
+    df2 = daily_close(spark.createDataFrame(rows, TICKS), order_cols=("Date_Time", "Seq", "Volume"))
+    assert [r.Price for r in df2.collect()] == [10.0]

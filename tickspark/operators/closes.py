@@ -11,10 +11,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickspark.functions.filters import regular_trades
 
 
+_DEC = "decimal(38,0)"
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _order_key(df: DataFrame, order_cols: Sequence[str]):
+    """Ordering key for the last trade.
+
+    ``(timestamp, integral)`` - the usual ``(Date_Time, Seq)`` - is packed
+    into one ``decimal(38,0)``: microseconds * 10^20 + (seq + 2^63).  Both
+    parts fit (16 + 20 digits), the order is the same as the pair's, and a
+    decimal buffer keeps ``max_by`` in a hash aggregate.  Other shapes use a
+    struct (sort-based aggregate, same result).
+    """
+    if len(order_cols) == 2:
+        ts_t, seq_t = (df.schema[c].dataType for c in order_cols)
+        if isinstance(ts_t, (T.TimestampType, T.TimestampNTZType)) and isinstance(seq_t, _INTEGRAL):
+            micros = F.unix_micros(F.col(order_cols[0]).cast("timestamp")).cast(_DEC)
+            seq = F.col(order_cols[1]).cast(_DEC) + F.lit("9223372036854775808").cast(_DEC)
+            return (micros * F.lit("100000000000000000000").cast(_DEC) + seq).cast(_DEC)
+    return F.struct(*[F.col(c) for c in order_cols])
+
+
 def daily_close(ticks: DataFrame, start=None, end=None, rics=None,
                 order_cols: Sequence[str] = ("Date_Time", "Seq"),
                 trade_date_col: str | None = None) -> DataFrame:
@@ -26,7 +49,7 @@ def daily_close(ticks: DataFrame, start=None, end=None, rics=None,
     per-day sort, safe for a hot instrument, and legal in streaming).
     """
     trades = regular_trades(ticks, start, end, rics, trade_date_col=trade_date_col)
-    key = F.struct(*[F.col(c) for c in order_cols])
+    key = _order_key(trades, order_cols)
     return (trades.groupBy("RIC", F.to_date("Date_Time").alias("Date"))
                   .agg(F.max_by("Price", key).cast("double").alias("Price")))
 
