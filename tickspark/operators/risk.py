@@ -27,9 +27,12 @@ WIDE_COVARIANCE_MAX_TICKERS = 64
 
 
 def equal_weights(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
-    """``(RIC, weight)`` with weight ``1/k``; k is the (driver-side) list length."""
+    """``(RIC, weight)`` with weight ``1/k``; k is the (driver-side) list length.
+
+    Built from the ticker list, so its size is known (k rows): it carries a
+    broadcast hint and joins without shuffling the returns."""
     k = len(tickers)
-    return spark.createDataFrame([(t, 1.0 / k) for t in tickers], "RIC string, weight double")
+    return F.broadcast(spark.createDataFrame([(t, 1.0 / k) for t in tickers], "RIC string, weight double"))
 
 
 def weights_frame(spark: SparkSession, tickers: Sequence[str], weights=None) -> DataFrame:
@@ -37,8 +40,8 @@ def weights_frame(spark: SparkSession, tickers: Sequence[str], weights=None) ->
         return equal_weights(spark, tickers)
     if isinstance(weights, DataFrame):
         return weights
-    return spark.createDataFrame([(t, float(w)) for t, w in zip(tickers, weights)],
-                                 "RIC string, weight double")
+    return F.broadcast(spark.createDataFrame([(t, float(w)) for t, w in zip(tickers, weights)],
+                                             "RIC string, weight double"))
 
 
 def mean_returns(returns: DataFrame) -> DataFrame:
@@ -89,7 +92,7 @@ def covariance(returns: DataFrame, tickers: Sequence[str]) -> DataFrame:
 def _covariance_gram(returns: DataFrame, tickers: list[str]) -> DataFrame:
     spark = returns.sparkSession
     k = len(tickers)
-    index = spark.createDataFrame(list(enumerate(tickers)), "i int, RIC string")
+    index = F.broadcast(spark.createDataFrame(list(enumerate(tickers)), "i int, RIC string"))
     # Day vectors ordered by ticker index (every kept day has all k returns).
     days = (returns.join(index, "RIC").groupBy("Date")
                    .agg(F.sort_array(F.collect_list(F.struct("i", "log_return"))).alias("v"))
