@@ -63,3 +63,20 @@ def test_scan_by_table_names(spark):
     l2 = ticks.select(F.col("Date_Time").alias("date_time"), "RIC", F.col("Price").alias("L2_BidPrice"))
     assert read_l2(spark, l2, "2024-01-05 00:00:00", "2024-01-05 23:59:59").count() == \
         ticks.where(F.col("Date_Time").between("2024-01-05 00:00:00", "2024-01-05 23:59:59")).count()
+
+
+def test_partitioned_ticks_prune_days(spark, tmp_shared):
+    from tickspark.operators.summary import trade_summary
+    from tickspark.sources.tables import write_ticks
+    path = f"{tmp_shared}/ticks"
+    ticks = ticks_from_events(spark, SF01)
+    write_ticks(ticks, path)
+    stored = spark.read.parquet(path)
+    rng = ("2024-01-10 00:00:00", "2024-01-11 23:59:59.999999")
+    pruned = read_ticks(spark, stored, *rng, rics=["AAA.L", "BBB.L"], trade_date_col="trade_date")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan or "PartitionFilters: [" in plan
+    assert "trade_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+    a = sorted(trade_summary(pruned).collect())
+    b = sorted(trade_summary(read_ticks(spark, ticks, *rng, rics=["AAA.L", "BBB.L"])).collect())
+    assert a == b and len(a) == 2

@@ -192,3 +192,62 @@ def test_packed_order_key_negative_seq_and_hash_plan(spark):
     # a struct tie-break (more than one extra column) gives the same answer
     df2 = daily_close(spark.createDataFrame(rows, TICKS), order_cols=("Date_Time", "Seq", "Volume"))
     assert [r.Price for r in df2.collect()] == [10.0]
+
+
+def test_constant_prices_give_zero_sigma(spark):
+    rows = [(t, D[i], p) for t, p in (("A", 5.0), ("B", 7.0)) for i in range(5)]
+    rets = log_returns(align_closes(_closes(spark, rows), ["A", "B"]), ["A", "B"])
+    m = R.portfolio_moments(rets, R.equal_weights(spark, ["A", "B"])).first()
+    assert m.n_days == 4 and m.expected_return == 0.0 and m.portfolio_std == 0.0
+    scen = R.scenarios(spark, m.expected_return, m.portfolio_std, 100, mode="lcg")
+    assert R.value_at_risk(scen, q=0.01).first().VaR == 0.0
+
+
+def test_single_return_row_gives_null_covariance(spark):
+    rows = [("A", D[0], 1.0), ("A", D[1], 2.0), ("B", D[0], 3.0), ("B", D[1], 4.0)]
+    rets = log_returns(align_closes(_closes(spark, rows), ["A", "B"]), ["A", "B"])
+    assert rets.count() == 2
+    cov = R.covariance(rets, ["A", "B"]).collect()
+    assert len(cov) == 4 and all(r.covariance is None for r in cov)
+    m = R.portfolio_moments(rets, R.equal_weights(spark, ["A", "B"])).first()
+    assert m.portfolio_std is None
+    scen = R.scenarios(spark, m.expected_return, m.portfolio_std, 100, mode="lcg")
+    assert R.value_at_risk(scen, q=0.01).first().VaR is None
+
+
+def test_order_of_other_tickers_does_not_matter(spark):
+    closes = daily_close_from_lineitem(spark, SF01)
+    m1 = R.portfolio_moments(log_returns(align_closes(closes, ["Brand#1", "Brand#2", "Brand#3"]),
+                                         ["Brand#1", "Brand#2", "Brand#3"]),
+                             R.equal_weights(spark, ["Brand#1", "Brand#2", "Brand#3"])).first()
+    m2 = R.portfolio_moments(log_returns(align_closes(closes, ["Brand#1", "Brand#3", "Brand#2"]),
+                                         ["Brand#1", "Brand#3", "Brand#2"]),
+                             R.equal_weights(spark, ["Brand#1", "Brand#3", "Brand#2"])).first()
+    m3 = R.portfolio_moments(log_returns(align_closes(closes, ["Brand#2", "Brand#1", "Brand#3"]),
+                                         ["Brand#2", "Brand#1", "Brand#3"]),
+                             R.equal_weights(spark, ["Brand#2", "Brand#1", "Brand#3"])).first()
+    assert m1.n_days == m2.n_days and m1.portfolio_std == pytest.approx(m2.portfolio_std, rel=1e-12)
+    assert m3.n_days != m1.n_days  # the first ticker fixes the calendar
+
+
+def test_large_portfolio_paths_agree(spark):
+    """Above the wide thresholds: map-based alignment and Gram covariance."""
+    from tickspark.operators import closes as C
+    tickers = [f"Brand#{i}" for i in range(1, 26)]
+    closes = daily_close_from_lineitem(spark, SF01)
+    wide_aligned = align_closes(closes, tickers)
+    wide = log_returns(wide_aligned, tickers)
+    old = C.WIDE_ALIGN_MAX_TICKERS, R.WIDE_COVARIANCE_MAX_TICKERS
+    try:
+        C.WIDE_ALIGN_MAX_TICKERS, R.WIDE_COVARIANCE_MAX_TICKERS = 0, 0
+        mapped_aligned = align_closes(closes, tickers)
+        assert sorted(mapped_aligned.collect()) == sorted(wide_aligned.collect())
+        assert mapped_aligned.count() > 1000
+        mapped = log_returns(mapped_aligned, tickers)
+        assert sorted(mapped.collect()) == sorted(wide.collect())
+        cov_g = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(mapped, tickers[:5]).collect()}
+    finally:
+        C.WIDE_ALIGN_MAX_TICKERS, R.WIDE_COVARIANCE_MAX_TICKERS = old
+    cov_w = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(wide, tickers[:5]).collect()}
+    for k, v in cov_w.items():
+        assert (v is None and cov_g[k] is None) or cov_g[k] == pytest.approx(v, rel=1e-9, abs=1e-15)

@@ -116,14 +116,15 @@ def _covariance_gram(returns: DataFrame, tickers: list[str]) -> DataFrame:
     parts = days.mapInPandas(gram, "i int, j int, n long, sx double, sy double, sxy double")
     tot = parts.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"),
                                       F.sum("sy").alias("sy"), F.sum("sxy").alias("sxy"))
-    cov = tot.select("i", "j", F.when(F.col("n") > 1,
-                                      (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n"))
-                                      / (F.col("n") - 1)).alias("covariance"))
-    mirrored = cov.unionByName(cov.where(F.col("i") != F.col("j"))
-                               .select(F.col("j").alias("i"), F.col("i").alias("j"), "covariance"))
-    ri = index.select(F.col("i"), F.col("RIC").alias("RIC_i"))
+    cov = tot.select(F.col("i").alias("ci"), F.col("j").alias("cj"),
+                     F.when(F.col("n") > 1, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n"))
+                            / (F.col("n") - 1)).alias("covariance"))
+    # Full k x k grid (generated from the index, not joined), upper triangle mirrored.
+    grid = index.select(F.col("i"), F.col("RIC").alias("RIC_i"),
+                        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"))
     rj = index.select(F.col("i").alias("j"), F.col("RIC").alias("RIC_j"))
-    return mirrored.join(ri, "i").join(rj, "j").select("RIC_i", "RIC_j", "covariance")
+    cells = grid.join(rj, "j").withColumn("ci", F.least("i", "j")).withColumn("cj", F.greatest("i", "j"))
+    return cells.join(cov, ["ci", "cj"], "left").select("RIC_i", "RIC_j", "covariance")
 
 
 def portfolio_std(cov: DataFrame, weights: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from tickspark.sources.tables import (
     read_daily_close,
     read_job_history,
     register_view,
+    write_ticks,
 )
 
 __all__ = ["read_table", "read_ticks", "read_l2", "read_daily_close",
-           "read_job_history", "register_view"]
+           "read_job_history", "register_view", "write_ticks"]

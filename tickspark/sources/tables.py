@@ -55,6 +55,23 @@ def read_job_history(spark: SparkSession, source, fmt: str = "parquet") -> DataF
     return source if isinstance(source, DataFrame) else read_table(spark, source, fmt)
 
 
+def write_ticks(ticks: DataFrame, path: str, ts: str = "Date_Time", ric: str = "RIC",
+                date_col: str = "trade_date", mode: str = "append") -> None:
+    """Store ticks for pruned scans: one folder per UTC trade day, rows
+    sorted by instrument and time inside each file.
+
+    Day folders let ``read_ticks(..., trade_date_col='trade_date')`` skip
+    whole days (partition pruning); sorting by ``RIC`` keeps each file's
+    Parquet row-group statistics narrow, so ``RIC IN (...)`` skips row
+    groups.  The shuffle is by day and instrument, so a hot instrument is
+    spread over its days rather than landing in one task.
+    """
+    out = ticks.withColumn(date_col, F.to_date(F.col(ts)))
+    (out.repartition(date_col, ric)
+        .sortWithinPartitions(ric, ts)
+        .write.mode(mode).partitionBy(date_col).parquet(path))
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW``: a lazy, named plan; returns ``df``."""
     df.createOrReplaceTempView(name)
