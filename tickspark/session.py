@@ -34,6 +34,24 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Conf for a cluster run sized from the bytes a job reads.
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input
+    (at least two per core); AQE then coalesces small ones and splits
+    skewed ones at run time.  File splits use the same target size.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
