@@ -28,7 +28,8 @@ from tickspark.sources.files import load_scenarios, write_scenarios_csv
 from tickspark.sources.messages import read_messages, write_scenario_messages
 from tickspark.sources.tables import read_daily_close, register_view
 from tickspark.streaming.ingest import ingest_messages
-from tickspark.streaming.running_var import running_var
+from tickspark.streaming.ingest import deduplicated, message_stream
+from tickspark.streaming.running_var import running_var, stream_var_exact
 
 # ---- fixed parameters of the registered queries ----------------------------
 RICS = ["AAA.L", "BBB.L", "CCC.L", "DDD.L"]          # instrument list (DDD.L has no rows)
@@ -266,6 +267,15 @@ def q_stream_var(spark, d):
     return _show_var(running_var(spark, _ingested(spark, d), q=VAR_Q), by=["BATCH"])
 
 
+def q_stream_var_incremental(spark, d):
+    src, store, var, ckpt = (shared_path(spark, n) for n in ("messages", "var-store", "var-table", "var-ckpt"))
+    st = _store(spark, d)
+    write_scenario_messages(st, src)
+    write_scenario_messages(st.where(F.col("SCENARIO_ID") % 3 == 0), src)       # redelivered copies
+    stream_var_exact(spark, deduplicated(message_stream(spark, src)), store, var, ckpt, q=VAR_Q)
+    return _show_var(spark.read.parquet(var), by=["BATCH"])
+
+
 def _history(spark, d):
     return X.job_history_from_orders(spark, d)
 
@@ -326,6 +336,7 @@ QUERIES = {
     "scenario_messages": q_scenario_messages,
     "message_ingest": q_message_ingest,
     "stream_var": q_stream_var,
+    "stream_var_incremental": q_stream_var_incremental,
     "job_stage_inputs": q_job_stage_inputs,
     "job_stats": q_job_stats,
     "job_stats_latest": q_job_stats_latest,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickspark.schemas import SCENARIO_COLUMNS, SCENARIO_RESULT, TIMESTAMP_TEXT_FORMAT
 
@@ -26,12 +27,40 @@ def read_scenarios_csv(spark: SparkSession, path: str) -> DataFrame:
             .select(*SCENARIO_COLUMNS))
 
 
+def read_scenarios_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(good_rows, bad_lines)``: rows that parse under the schema, and the
+    raw text of the lines that do not (the load job's error list) with
+    whatever fields did parse."""
+    schema = SCENARIO_RESULT.add("_corrupt_record", "string")
+    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record")
+           .option("timestampFormat", TIMESTAMP_TEXT_FORMAT).csv(path))
+    # the parsed columns ride along (Spark refuses a scan of only the
+    # corrupt-record column)
+    bad = raw.where(F.col("_corrupt_record").isNotNull()).select(
+        F.col("_corrupt_record").alias("line"), F.input_file_name().alias("file"), *SCENARIO_COLUMNS)
+    good = raw.where(F.col("_corrupt_record").isNull()).select(*SCENARIO_COLUMNS)
+    return good, bad
+
+
 def load_scenarios(spark: SparkSession, csv_path: str, table: str, mode: str = "append",
-                   as_path: bool = True) -> DataFrame:
+                   as_path: bool = True, errors: str = "fail") -> DataFrame:
     """Load CSV into the cumulative result table (append by default) and
     return the table.  ``table`` is a storage path, or a catalog table name
-    when ``as_path`` is false."""
-    df = read_scenarios_csv(spark, csv_path)
+    when ``as_path`` is false.  ``errors='fail'`` aborts on a malformed
+    row; ``errors='report'`` loads the good rows and returns the table
+    with the bad lines attached as ``.load_errors`` (a DataFrame)."""
+    bad = None
+    if errors == "report":
+        df, bad = read_scenarios_csv_checked(spark, csv_path)
+    else:
+        df = read_scenarios_csv(spark, csv_path)
+    out = _append(spark, df, table, mode, as_path)
+    out.load_errors = bad
+    return out
+
+
+def _append(spark: SparkSession, df: DataFrame, table: str, mode: str, as_path: bool) -> DataFrame:
     if as_path:
         df.write.mode(mode).parquet(table)
         return spark.read.parquet(table)

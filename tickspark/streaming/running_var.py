@@ -27,3 +27,31 @@ def stream_var_approx(results: DataFrame, confidence: float = 0.99, accuracy: in
     return results.groupBy("BATCH").agg(
         F.count("RETURN").alias("n"),
         (-F.percentile_approx("RETURN", F.lit(qq), accuracy)).alias("VaR"))
+
+
+def stream_var_exact(spark: SparkSession, results: DataFrame, store_path: str, var_path: str,
+                     checkpoint: str, confidence: float = 0.99, q: float | None = None,
+                     available_now: bool = True, processing_time: str | None = None):
+    """Exact VaR per batch, kept current as scenario results stream in.
+
+    Each micro-batch is written to its own folder (``epoch=<id>``; a replay
+    after a failure overwrites the same folder, so the store never holds a
+    micro-batch twice), then VaR is recomputed from the store for the
+    batches that micro-batch touched and written with dynamic partition
+    overwrite (one folder per ``BATCH``).  No percentile state is held by
+    the stream; the quantile is the distributed exact one.
+    """
+    def per_batch(bdf: DataFrame, epoch_id: int) -> None:
+        bdf.write.mode("overwrite").parquet(f"{store_path}/epoch={epoch_id}")
+        touched = spark.read.parquet(f"{store_path}/epoch={epoch_id}").select("BATCH").distinct()
+        store = spark.read.parquet(store_path).join(touched, "BATCH", "left_semi")
+        var = value_at_risk(store, confidence, by=["BATCH"], q=q)
+        (var.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("BATCH").parquet(var_path))
+
+    writer = results.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+    return writer.trigger(processingTime=processing_time or "10 seconds").start()
