@@ -80,3 +80,15 @@ def test_partitioned_ticks_prune_days(spark, tmp_shared):
     a = sorted(trade_summary(pruned).collect())
     b = sorted(trade_summary(read_ticks(spark, ticks, *rng, rics=["AAA.L", "BBB.L"])).collect())
     assert a == b and len(a) == 2
+
+
+def test_submit_entry_runs_job(spark, tmp_shared):
+    from tickspark.plans.submit import main
+    ticks_path = f"{tmp_shared}/ticks_src"
+    ticks_from_events(spark, SF01).write.parquet(ticks_path)
+    out = main(["--ticks", ticks_path, "--tickers", "AAA.L,BBB.L,CCC.L", "--as-of", "2024-01-31T00:00:00",
+                "--simulations-per-task", "1000", "--tasks", "2", "--mode", "lcg", "--batch", "b7",
+                "--sink", "table", "--out", f"{tmp_shared}/returns"], spark=spark)
+    assert round(out["sigma"], 10) == 1.0889761367 and out["scenarios"] == 2000
+    stored = spark.read.parquet(f"{tmp_shared}/returns")
+    assert stored.count() == 2000 and {r.BATCH for r in stored.select("BATCH").distinct().collect()} == {"b7"}
