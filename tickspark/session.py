@@ -56,12 +56,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     On a cluster this setting names shared storage and is always read from
-    the session.  Only when it is unset (local tests) do we create one.
+    the session (and missing it is an error).  Only in local mode, when it
+    is unset (tests), do we create one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store); "
+                               "a machine-local folder does not survive executor loss")
         root = tempfile.mkdtemp(prefix="tickspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
