@@ -60,3 +60,35 @@ def test_generate_text_with_stub(spark):
     assert out[None].ml_generate_text_llm_result is None
     raw = generate_text(df, EchoClient, flatten_json_output=False).where("prompt = 'a'").first()
     assert '"content": "Summary: a"' in raw.ml_generate_text_result
+
+
+def test_job_stats_from_spark_event_log(spark, tmp_path):
+    """Run a bars query in a separate Spark app with event logging, then
+    compute its run statistics from the log."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    from tickspark.sources.event_log import read_event_log_jobs
+    log_dir = tmp_path / "eventlog"
+    log_dir.mkdir()
+    repo = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys
+sys.path.insert(0, {str(repo)!r})
+from tickspark.session import get_spark
+s = get_spark("local[2]", 2, extra={{"spark.eventLog.enabled": "true", "spark.eventLog.dir": {str(log_dir)!r}}})
+import __spark_entry__ as E
+s.sparkContext.setJobDescription("bid bars hour")
+E.queries()["bid_bars_hour"](s, "/root/testdata/sf0.01").collect()
+s.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300, capture_output=True)
+    history = read_event_log_jobs(spark, str(log_dir))
+    stats = job_stats(history, None, k=None).where("query = 'bid bars hour'").collect()
+    assert len(stats) == 1
+    s = stats[0]
+    assert s.rows_read == 10_000                  # every quote row was read by the input stage
+    assert s.execution_time_ms > 0 and s.total_slot_ms > 0
+    assert s.speedup == s.total_slot_ms / s.execution_time_ms
+    assert job_scale_summary(job_stats(history, None, k=4)).count() >= 1
