@@ -18,3 +18,19 @@ def test_all_queries_run_at_smallest_scale(spark):
     for name, q in E.queries().items():
         df = q(spark, "/root/testdata/sf0.001")
         df.collect()
+
+
+def test_queries_independent_of_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = E.queries()["scenarios"](spark, "/root/testdata/sf0.001").where("SCENARIO_ID = 1").collect()
+        assert str(rows[0].END_DATE) == "2024-01-31 00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_scale_conf_sizes_partitions():
+    from tickspark.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(1024, total_cores=16)["spark.sql.shuffle.partitions"]) == 32
