@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 SMALL_GROUP_ROWS = 1_000_000
 # Rows per group we are willing to rank inside one bracket.
 BRACKET_ROWS = 200_000
-# Broadcast the per-group bracket table only below this many groups.
-BROADCAST_GROUPS = 1_000_000
+# Broadcast the per-group state table (about 100 bytes a row) only below
+# this many groups; above it the join shuffles (AQE splits skewed keys).
+BROADCAST_GROUPS = 200_000
 
 
 def _interpolate(lo_col, hi_col, frac_col):

@@ -63,12 +63,13 @@ def write_ticks(ticks: DataFrame, path: str, ts: str = "Date_Time", ric: str = "
     Day folders let ``read_ticks(..., trade_date_col='trade_date')`` skip
     whole days (partition pruning); sorting by ``RIC`` keeps each file's
     Parquet row-group statistics narrow, so ``RIC IN (...)`` skips row
-    groups.  The shuffle is by day and instrument, so a hot instrument is
-    spread over its days rather than landing in one task.
+    groups.  The shuffle is a range partitioning on (day, instrument,
+    time): a hot instrument-day is cut by time into several tasks instead
+    of landing in one.
     """
     out = ticks.withColumn(date_col, F.to_date(F.col(ts)))
-    (out.repartition(date_col, ric)
-        .sortWithinPartitions(ric, ts)
+    (out.repartitionByRange(date_col, ric, ts)
+        .sortWithinPartitions(date_col, ric, ts)
         .write.mode(mode).partitionBy(date_col).parquet(path))
 
 
