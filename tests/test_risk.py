@@ -251,3 +251,19 @@ def test_large_portfolio_paths_agree(spark):
     cov_w = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(wide, tickers[:5]).collect()}
     for k, v in cov_w.items():
         assert (v is None and cov_g[k] is None) or cov_g[k] == pytest.approx(v, rel=1e-9, abs=1e-15)
+
+
+def test_quantile_many_groups_spark_path(spark, monkeypatch):
+    """Force the paths used with very many groups: checkpointed state,
+    Spark-side bucket selection and shuffle (not broadcast) joins."""
+    import tickspark.operators.quantile as Q
+    monkeypatch.setattr(Q, "DRIVER_TABLE_ROWS", 0)
+    monkeypatch.setattr(Q, "BROADCAST_GROUPS", 0)
+    df = spark.range(3000).select((F.randn(11) * 50).alias("x"), (F.col("id") % 3).alias("g"))
+    df = df.unionByName(spark.range(300).select(F.lit(3.0).alias("x"), F.lit(99).cast("long").alias("g")))
+    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("x", F.lit(0.01)).alias("q")).collect()}
+    got = {r.g: r.quantile for r in Q.exact_quantile(df, "x", 0.01, ["g"], small_group_rows=0,
+                                                     bracket_rows=100).collect()}
+    assert set(got) == set(want)
+    for g in want:
+        assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)

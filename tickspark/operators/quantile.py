@@ -171,15 +171,14 @@ def _bracketed_quantile(x: DataFrame, q: float, keys: list[str], stats: DataFram
 
     level = 0
     while level < MAX_PASSES:
+        # Only groups whose bracket still spans more than one value can narrow.
         local = getattr(state, "_local_rows", None)
         if local is not None:
-            m = max((r["inside"] for r in local), default=0)
-            w = max((r[f"hi{level}"] - r[f"lo{level}"] for r in local), default=0)
+            m = max((r["inside"] for r in local if r[f"hi{level}"] > r[f"lo{level}"]), default=0)
         else:
-            shape = state.agg(F.max("inside").alias("m"),
-                              F.max(F.col(f"hi{level}") - F.col(f"lo{level}")).alias("w")).first()
-            m, w = shape["m"], shape["w"]
-        if m <= bracket_rows or not w:
+            m = state.agg(F.max(F.when(F.col(f"hi{level}") > F.col(f"lo{level}"), F.col("inside")))
+                          .alias("m")).first()["m"] or 0
+        if m <= bracket_rows:
             break
         j = x.join(side(state), keys).where(member(level))
         counts = _materialize(
