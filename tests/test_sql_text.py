@@ -1,0 +1,31 @@
+"""The SQL text forms equal the DataFrame operators."""
+
+from tickspark.operators.bars import bid_bars
+from tickspark.operators.closes import daily_close
+from tickspark.operators.jobstats import job_stats
+from tickspark.operators.summary import daily_trade_summary, pivot_by_date, trade_summary
+from tickspark.plans import sql_text as Q
+from tickspark.sources.fixtures import job_history_from_orders, l2_from_events, ticks_from_events
+
+SF01 = "/root/testdata/sf0.01"
+RICS = ["AAA.L", "BBB.L", "CCC.L"]
+FULL = ("2000-05-17 12:00:00", "2024-11-17 12:59:59.999999")
+
+
+def _same(a, b):
+    assert a.columns == b.columns
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_sql_forms(spark):
+    ticks, l2, hist = (ticks_from_events(spark, SF01), l2_from_events(spark, SF01),
+                       job_history_from_orders(spark, SF01))
+    Q.register_market_views(ticks, l2, hist)
+    _same(spark.sql(Q.trade_summary_sql(*FULL, RICS)), trade_summary(ticks, *FULL, rics=RICS))
+    daily = daily_trade_summary(ticks, *FULL, rics=RICS)
+    _same(spark.sql(Q.pivot_report_sql(*FULL, RICS, ["2024-01-17", "2024-01-16"])),
+          pivot_by_date(daily, ["2024-01-17", "2024-01-16"]))
+    _same(spark.sql(Q.bid_bars_sql("HOUR", "2024-01-01 00:00:00", "2024-01-31 23:59:59")),
+          bid_bars(l2, "HOUR", "2024-01-01 00:00:00", "2024-01-31 23:59:59"))
+    _same(spark.sql(Q.daily_close_sql(*FULL, RICS)), daily_close(ticks, *FULL, rics=RICS))
+    _same(spark.sql(Q.job_stats_sql("1996-01-01", 4)), job_stats(hist, "1996-01-01", k=4))
