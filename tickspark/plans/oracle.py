@@ -283,8 +283,8 @@ SELECT RIC, first_date, last_date,
 FROM g""",
     "normalized_return": f"""WITH {BRAND_CLOSES}
 SELECT RIC, "Date", Price,
-       round(Price / first_value(Price) OVER (PARTITION BY RIC ORDER BY "Date"
-                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 12) AS normalized
+       Price / first_value(Price) OVER (PARTITION BY RIC ORDER BY "Date"
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS normalized
 FROM closes""",
     "scenarios": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte([('B20', K.DAYS)])} SELECT {SCEN_COLS} FROM scen",
     "value_at_risk": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte([('B20', K.DAYS)])} {_var('scen')}",
