@@ -67,21 +67,34 @@ DRIVER_TABLE_ROWS = 10_000
 
 
 def _materialize(df: DataFrame, rows_bound: int | None = None) -> DataFrame:
-    """Compute a small per-group table once and cut its lineage."""
+    """Compute a small per-group table once and cut its lineage.
+
+    With a known bound at most ``DRIVER_TABLE_ROWS`` the rows go to the
+    driver and come back as a local table.  With an unknown size the table
+    is persisted, probed, and then either brought to the driver or
+    checkpointed from the persisted copy (the aggregation runs once).
+    """
     spark = df.sparkSession
-    rows = None
     if rows_bound is not None and rows_bound <= DRIVER_TABLE_ROWS:
-        rows = df.collect()
-    elif rows_bound is None:
-        rows = df.limit(DRIVER_TABLE_ROWS + 1).collect()
-        rows = rows if len(rows) <= DRIVER_TABLE_ROWS else None
-    if rows is not None:
-        out = spark.createDataFrame(rows, df.schema)
-        out._local_rows = rows
-        return out
+        return _local(spark, df.collect(), df)
     from tickspark.session import checkpoint_root
     checkpoint_root(spark)
-    return df.checkpoint()
+    if rows_bound is not None:
+        return df.checkpoint()
+    kept = df.persist()
+    try:
+        rows = kept.limit(DRIVER_TABLE_ROWS + 1).collect()
+        if len(rows) <= DRIVER_TABLE_ROWS:
+            return _local(spark, rows, df)
+        return kept.checkpoint()
+    finally:
+        kept.unpersist()
+
+
+def _local(spark, rows, like: DataFrame) -> DataFrame:
+    out = spark.createDataFrame(rows, like.schema)
+    out._local_rows = rows
+    return out
 
 
 BUCKETS = 2048
