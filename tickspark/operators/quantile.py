@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest group handed to the exact ``percentile`` aggregate.
-SMALL_GROUP_ROWS = 1_000_000
+SMALL_GROUP_ROWS = 500_000
 # Rows per group we are willing to rank inside one bracket.
 BRACKET_ROWS = 200_000
 # Broadcast the per-group state table (about 100 bytes a row) only below
