@@ -29,9 +29,12 @@ def bid_bars(l2: DataFrame, unit: str, start=None, end=None, rics=None,
     if unit not in BAR_UNITS:
         raise ValueError(f"unit must be one of {BAR_UNITS}, got {unit!r}")
     ts_type = l2.schema[ts].dataType
+    # Group on the truncated value and restore the input's timestamp type
+    # afterwards: one conversion per bar instead of one per quote.
     bars = (l2.where(in_time_range(ts, start, end) & in_instruments(rics))
-              .groupBy("RIC", truncate_time(unit, ts, ts_type).alias("time_group"))
-              .agg(F.max(price).alias("max_bid"), F.min(price).alias("min_bid")))
+              .groupBy("RIC", truncate_time(unit, ts).alias("_bar"))
+              .agg(F.max(price).alias("max_bid"), F.min(price).alias("min_bid"))
+              .select("RIC", F.col("_bar").cast(ts_type).alias("time_group"), "max_bid", "min_bid"))
     if preview is not None:
         return bars.orderBy("RIC", "time_group").limit(preview)
     return bars
