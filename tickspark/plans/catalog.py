@@ -85,17 +85,18 @@ def _moments(spark, d):
     return R.portfolio_moments(_portfolio_returns(spark, d), R.equal_weights(spark, PORTFOLIO))
 
 
-def _scenarios(spark, d, batch="B20", days=DAYS):
-    mu, sigma = R.moments_scalars(_moments(spark, d))
+def _scenarios(spark, d, batch="B20", days=DAYS, moments=None):
+    mu, sigma = moments or R.moments_scalars(_moments(spark, d))
     return R.scenarios(spark, mu, sigma, N_SCENARIOS, 1, days, PORTFOLIO_VALUE, mode="lcg",
                        batch=batch, venue="LSE", portfolio=",".join(PORTFOLIO),
                        start_date=START_DATE, end_date=END_DATE)
 
 
 def _store(spark, d):
+    moments = R.moments_scalars(_moments(spark, d))       # one history pass for all batches
     out = None
     for batch, days in STORE_BATCHES:
-        s = _scenarios(spark, d, batch, days)
+        s = _scenarios(spark, d, batch, days, moments)
         out = s if out is None else out.unionByName(s)
     return out
 
