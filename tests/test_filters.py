@@ -61,3 +61,15 @@ def test_time_filter_pushed_to_scan(spark):
                         "2024-01-05 00:00:00", "2024-01-06 00:00:00")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(ts" in plan
+
+
+def test_instrument_universe_as_dataframe(spark):
+    from tickspark.operators.summary import trade_summary
+    from tickspark.sources.fixtures import ticks_from_events
+    t = ticks_from_events(spark, "/root/testdata/sf0.01")
+    universe = spark.createDataFrame([("AAA.L",), ("CCC.L",), ("ZZZ.L",)], "RIC string")
+    a = sorted(trade_summary(t, rics=universe).collect())
+    b = sorted(trade_summary(t, rics=["AAA.L", "CCC.L", "ZZZ.L"]).collect())
+    assert a == b and [r.RIC for r in a] == ["AAA.L", "CCC.L"]
+    plan = trade_summary(t, rics=universe, order=False)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan

@@ -3,6 +3,7 @@
 from tickspark.functions.filters import (
     in_time_range,
     in_instruments,
+    restrict_instruments,
     market_model_flags,
     regular_trade,
     regular_trades,
@@ -11,6 +12,6 @@ from tickspark.functions.filters import (
 from tickspark.functions.scalars import safe_divide, lcg_normal, truncate_time
 
 __all__ = [
-    "in_time_range", "in_instruments", "market_model_flags", "regular_trade",
+    "in_time_range", "in_instruments", "restrict_instruments", "market_model_flags", "regular_trade",
     "regular_trades", "for_symbol", "safe_divide", "lcg_normal", "truncate_time",
 ]

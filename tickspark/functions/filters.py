@@ -49,14 +49,25 @@ def in_time_range(ts="Date_Time", start=None, end=None) -> Column:
 
 
 def in_instruments(rics: Iterable[str] | str | None, ric="RIC") -> Column:
-    """``RIC IN (...)``; a single string is a one-element list."""
-    if rics is None:
+    """``RIC IN (...)``; a single string is a one-element list.  (A
+    DataFrame universe is handled by ``restrict_instruments``.)"""
+    if rics is None or isinstance(rics, DataFrame):
         return F.lit(True)
     if isinstance(rics, str):
         rics = [rics]
     return _c(ric).isin(list(rics))
 
 
+def restrict_instruments(df: DataFrame, rics, ric: str = "RIC") -> DataFrame:
+    """Keep rows of listed instruments.  A Python list becomes ``IN``; a
+    DataFrame universe (one ``RIC`` column, any size) becomes a left-semi
+    join, broadcast by the planner when its measured size allows."""
+    if isinstance(rics, DataFrame):
+        universe = rics.select(F.col(rics.columns[0]).alias(ric)).distinct()
+        return df.join(universe, ric, "left_semi")
+    return df.where(in_instruments(rics, ric))
+
+
 def regular_trade(price="Price", volume="Volume", type_="Type",
                   qualifiers="Qualifiers", require_price=True) -> Column:
     """Regular on-book trade: non-null positive price, positive volume,
@@ -74,13 +85,16 @@ def regular_trades(ticks: DataFrame, start=None, end=None, rics=None,
     When the table is partitioned by a date column, pass ``trade_date_col``:
     an extra predicate on it lets Spark prune whole partitions.
     """
-    cond = in_time_range(ts, start, end) & in_instruments(rics)
+    cond = in_time_range(ts, start, end)
     if trade_date_col is not None:
         cond = cond & in_time_range(
             trade_date_col,
             None if start is None else F.to_date(F.lit(start)),
             None if end is None else F.to_date(F.lit(end)))
-    return ticks.where(cond & regular_trade())
+    if rics is not None and not isinstance(rics, DataFrame):
+        cond = cond & in_instruments(rics)          # cheap, pushable: before the regex
+    out = ticks.where(cond & regular_trade())
+    return restrict_instruments(out, rics) if isinstance(rics, DataFrame) else out
 
 
 def for_symbol(df: DataFrame, symbol: str, ric="RIC") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.functions.filters import in_instruments, in_time_range
+from tickspark.functions.filters import in_time_range, restrict_instruments
 from tickspark.functions.scalars import truncate_time
 
 BAR_UNITS = ("MINUTE", "HOUR", "DAY")
@@ -31,7 +31,7 @@ def bid_bars(l2: DataFrame, unit: str, start=None, end=None, rics=None,
     ts_type = l2.schema[ts].dataType
     # Group on the truncated value and restore the input's timestamp type
     # afterwards: one conversion per bar instead of one per quote.
-    bars = (l2.where(in_time_range(ts, start, end) & in_instruments(rics))
+    bars = (restrict_instruments(l2.where(in_time_range(ts, start, end)), rics)
               .groupBy("RIC", truncate_time(unit, ts).alias("_bar"))
               .agg(F.max(price).alias("max_bid"), F.min(price).alias("min_bid"))
               .select("RIC", F.col("_bar").cast(ts_type).alias("time_group"), "max_bid", "min_bid"))

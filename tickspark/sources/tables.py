@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.functions.filters import in_instruments, in_time_range
+from tickspark.functions.filters import in_time_range, restrict_instruments
 
 
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
@@ -25,10 +25,10 @@ def read_ticks(spark: SparkSession, source, start=None, end=None, rics=None,
                ts: str = "Date_Time", trade_date_col: str | None = None) -> DataFrame:
     """Trade / quote ticks restricted to a time range and instrument list."""
     df = source if isinstance(source, DataFrame) else read_table(spark, source)
-    cond = in_time_range(ts, start, end) & in_instruments(rics)
+    cond = in_time_range(ts, start, end)
     if trade_date_col is not None and start is not None and end is not None:
         cond = cond & F.col(trade_date_col).between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
-    return df.where(cond)
+    return restrict_instruments(df.where(cond), rics)
 
 
 def read_l2(spark: SparkSession, source, start=None, end=None, rics=None,
