@@ -146,7 +146,7 @@ def q_symbol_series(spark, d):
 
 def _pivot(spark, d):
     daily = S.daily_trade_summary(_ticks(spark, d), *RANGE_FULL, rics=RICS)
-    return register_view(S.pivot_by_date(daily, PIVOT_DATES), "LSE_PIVOTED_BY_RIC")
+    return register_view(S.pivot_by_date(daily, PIVOT_DATES), "pivoted_by_ric")
 
 
 def q_vwap_pivot(spark, d):
