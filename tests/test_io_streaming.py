@@ -140,3 +140,17 @@ def test_csv_load_reports_bad_rows(spark, tmp_shared):
     assert [r.SCENARIO_ID for r in out.collect()] == [1]
     bad = out.load_errors.collect()
     assert len(bad) == 1 and "not-a-number" in bad[0].line
+
+
+def test_load_by_batch_is_idempotent(spark, tmp_shared):
+    csv1, csv2, table = f"{tmp_shared}/c1", f"{tmp_shared}/c2", f"{tmp_shared}/tb"
+    write_scenarios_csv(_scen(spark, "B1", n=200), csv1)
+    write_scenarios_csv(_scen(spark, "B2", n=100), csv2)
+    load_scenarios(spark, csv1, table, by_batch=True)
+    load_scenarios(spark, csv2, table, by_batch=True)
+    out = load_scenarios(spark, csv1, table, by_batch=True)             # re-run of batch B1
+    counts = {r.BATCH: r["count"] for r in out.groupBy("BATCH").count().collect()}
+    assert counts == {"B1": 200, "B2": 100}
+    assert out.columns == SCENARIO_COLUMNS
+    plan = spark.read.parquet(table).where("BATCH = 'B2'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(BATCH" in plan

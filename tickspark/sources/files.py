@@ -44,18 +44,29 @@ def read_scenarios_csv_checked(spark: SparkSession, path: str) -> tuple[DataFram
 
 
 def load_scenarios(spark: SparkSession, csv_path: str, table: str, mode: str = "append",
-                   as_path: bool = True, errors: str = "fail") -> DataFrame:
+                   as_path: bool = True, errors: str = "fail", by_batch: bool = False) -> DataFrame:
     """Load CSV into the cumulative result table (append by default) and
     return the table.  ``table`` is a storage path, or a catalog table name
     when ``as_path`` is false.  ``errors='fail'`` aborts on a malformed
     row; ``errors='report'`` loads the good rows and returns the table
-    with the bad lines attached as ``.load_errors`` (a DataFrame)."""
+    with the bad lines attached as ``.load_errors`` (a DataFrame).
+
+    ``by_batch=True`` stores the table partitioned by ``BATCH`` and
+    replaces only the batches being loaded (dynamic partition overwrite):
+    re-running a load after a failure leaves each batch exactly once, and
+    per-batch VaR reads only its own folder.
+    """
     bad = None
     if errors == "report":
         df, bad = read_scenarios_csv_checked(spark, csv_path)
     else:
         df = read_scenarios_csv(spark, csv_path)
-    out = _append(spark, df, table, mode, as_path)
+    if by_batch and as_path:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("BATCH").parquet(table))
+        out = spark.read.parquet(table).select(*SCENARIO_COLUMNS)
+    else:
+        out = _append(spark, df, table, mode, as_path)
     out.load_errors = bad
     return out
 
