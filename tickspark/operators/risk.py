@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tickspark.functions.scalars import lcg_normal
 from tickspark.operators.quantile import exact_quantile
 from tickspark.schemas import SCENARIO_COLUMNS
+from tickspark.session import default_parallelism
 
 # Above this many tickers the covariance switches from one aggregate with
 # k(k+1)/2 ``covar_samp`` columns to per-partition Gram matrices.
@@ -176,7 +177,7 @@ def scenarios(spark: SparkSession, mu, sigma, n: int, tasks: int = 1, days: int
     # Enough partitions to use every core, few enough that a task draws at
     # least ~50k scenarios; about 5M scenarios per partition at the top end.
     parts = num_partitions or max(1, min(total // 50_000 + 1,
-                                         max(spark.sparkContext.defaultParallelism,
+                                         max(default_parallelism(spark),
                                              -(-total // 5_000_000))))
     ids = spark.range(1, total + 1, 1, parts)
     if mode == "randn":

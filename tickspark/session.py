@@ -29,7 +29,9 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = spark_context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
@@ -56,6 +58,22 @@ def scale_conf(input_bytes: int, total_cores: int,
     }
 
 
+def spark_context(spark: SparkSession):
+    """The SparkContext, or None on sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = spark_context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", None) or
+               spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -63,17 +81,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     the session (and missing it is an error).  Only in local mode, when it
     is unset (tests), do we create one.
     """
+    sc = spark_context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store); "
                                "a machine-local folder does not survive executor loss")
         root = tempfile.mkdtemp(prefix="tickspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
