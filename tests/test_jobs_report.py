@@ -92,3 +92,17 @@ s.stop()
     assert s.execution_time_ms > 0 and s.total_slot_ms > 0
     assert s.speedup == s.total_slot_ms / s.execution_time_ms
     assert job_scale_summary(job_stats(history, None, k=4)).count() >= 1
+
+
+def test_generate_text_reports_client_errors(spark):
+    class Failing:
+        def __init__(self, **kw):
+            pass
+
+        def generate(self, prompts):
+            raise RuntimeError("quota exceeded")
+
+    df = spark.createDataFrame([("a",), ("b",)], "prompt string")
+    rows = generate_text(df, Failing).collect()
+    assert all(r.ml_generate_text_llm_result is None for r in rows)
+    assert all(r.ml_generate_text_status == "error: quota exceeded" for r in rows)

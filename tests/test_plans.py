@@ -37,9 +37,11 @@ def test_run_var_end_to_end_with_csv_sink(spark, tmp_shared):
     # the stored table gives the same VaR per batch
     stored_var = R.value_at_risk(stored, by=["BATCH"], q=0.01).first()
     assert stored_var.BATCH == "job-1" and stored_var.VaR == pytest.approx(var.VaR, rel=1e-9)
-    charts = chart_series(run, bins=50)
+    charts = chart_series(run, bins=50, ticks=ticks_from_events(spark, SF01), symbol="BBB.L")
     h = charts["histogram"].collect()
     assert len(h) == 50 and sum(r["count"] for r in h) == 6_000
+    series = charts["series"].collect()
+    assert len(series) == 30 and [r.Date for r in series] == sorted(r.Date for r in series)
 
 
 def test_run_var_from_close_table(spark, tmp_shared):

@@ -67,7 +67,9 @@ def generate_text(df: DataFrame, client_factory: Callable[..., object], prompt_c
     object with ``generate(list[str | None]) -> list[dict(text, safety, status)]``.
     Flattened output adds ``ml_generate_text_llm_result``,
     ``ml_generate_text_rai_result`` and ``ml_generate_text_status``; otherwise
-    one JSON column ``ml_generate_text_result`` plus the status.
+    one JSON column ``ml_generate_text_result`` plus the status.  A failed
+    client call does not fail the task: its rows get null results and the
+    error text in the status column.
     """
     if flatten_json_output:
         added = [T.StructField(LLM_RESULT, T.StringType()), T.StructField(RAI_RESULT, T.StringType()),
@@ -80,7 +82,10 @@ def generate_text(df: DataFrame, client_factory: Callable[..., object], prompt_c
         client = client_factory(temperature=temperature, max_output_tokens=max_output_tokens)
         for pdf in batches:
             prompts = [None if pd.isna(p) else p for p in pdf[prompt_col].tolist()]
-            res = client.generate(prompts)
+            try:
+                res = client.generate(prompts)
+            except Exception as exc:  # noqa: BLE001 - reported per row, like a status column
+                res = [{"text": None, "safety": None, "status": f"error: {exc}"} for _ in prompts]
             out = pdf.copy()
             if flatten_json_output:
                 out[LLM_RESULT] = [r.get("text") for r in res]

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tickspark.operators.closes import align_closes, daily_close, log_returns
+from tickspark.operators.summary import daily_trade_summary, symbol_series
 from tickspark.operators.risk import (
     histogram,
     moments_scalars,
@@ -76,6 +77,12 @@ def run_var(spark: SparkSession, ticks: DataFrame, tickers: Sequence[str], as_of
     return VarRun(closes, rets, moments, mu, sigma, scen, var, start, end, batch)
 
 
-def chart_series(run: VarRun, bins: int = 50) -> dict[str, DataFrame]:
-    """Data behind the reference's charts: VaR marker and gain histogram."""
-    return {"var": run.var, "histogram": histogram(run.scenarios, bins)}
+def chart_series(run: VarRun, bins: int = 50, ticks: DataFrame | None = None,
+                 symbol: str | None = None) -> dict[str, DataFrame]:
+    """Data behind the reference's charts: VaR marker and gain histogram,
+    and (given ticks and a symbol) the daily VWAP / volume series."""
+    out = {"var": run.var, "histogram": histogram(run.scenarios, bins)}
+    if ticks is not None and symbol is not None:
+        daily = daily_trade_summary(ticks, run.start_date, run.end_date, rics=[symbol], date_name="Date")
+        out["series"] = symbol_series(daily, symbol, date_name="Date")
+    return out
