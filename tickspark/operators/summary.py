@@ -105,7 +105,7 @@ def cagr(closes: DataFrame, price: str = "Price", date: str = "Date") -> DataFra
         F.min(date).alias("first_date"), F.max(date).alias("last_date"))
     days = F.datediff("last_date", "first_date")
     return g.select("RIC", "first_date", "last_date",
-                    F.when(days > 0, F.pow(F.col("last_price") / F.col("first_price"),
+                    F.when(days > 0, F.pow(F.try_divide(F.col("last_price"), F.col("first_price")),
                                            F.lit(365.0) / days) - 1).alias("cagr"))
 
 
@@ -113,4 +113,4 @@ def normalized_return(closes: DataFrame, price: str = "Price", date: str = "Date
     """Price divided by the instrument's first price (window per instrument)."""
     w = Window.partitionBy("RIC").orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
     return closes.select("RIC", date, price,
-                         (F.col(price) / F.first(price).over(w)).alias("normalized"))
+                         F.try_divide(F.col(price), F.first(price).over(w)).alias("normalized"))
