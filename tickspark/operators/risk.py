@@ -24,6 +24,9 @@ from tickspark.session import default_parallelism
 # Above this many tickers the covariance switches from one aggregate with
 # k(k+1)/2 ``covar_samp`` columns to per-partition Gram matrices.
 WIDE_COVARIANCE_MAX_TICKERS = 64
+# Upper bound on partial Gram cells (partitions x k^2 / 2) sent to the
+# final shuffle; the day vectors are coalesced to stay under it.
+GRAM_CELLS_BUDGET = 50_000_000
 
 
 def equal_weights(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
@@ -113,6 +116,9 @@ def _covariance_gram(returns: DataFrame, tickers: list[str]) -> DataFrame:
         yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": n,
                             "sx": s[ii], "sy": s[jj], "sxy": g[ii, jj]})
 
+    # Days are few (one row per calendar day) but each partition emits a
+    # k x k triangle: fold them into few enough partitions to bound that.
+    days = days.coalesce(max(1, GRAM_CELLS_BUDGET // (k * k)))
     parts = days.mapInPandas(gram, "i int, j int, n long, sx double, sy double, sxy double")
     tot = parts.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"),
                                       F.sum("sy").alias("sy"), F.sum("sxy").alias("sxy"))
