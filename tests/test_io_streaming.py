@@ -154,3 +154,13 @@ def test_load_by_batch_is_idempotent(spark, tmp_shared):
     assert out.columns == SCENARIO_COLUMNS
     plan = spark.read.parquet(table).where("BATCH = 'B2'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(BATCH" in plan
+
+
+def test_csv_replace_batches(spark, tmp_shared):
+    from tickspark.sources.files import read_scenarios_csv
+    path = f"{tmp_shared}/rb"
+    write_scenarios_csv(_scen(spark, "B1", n=50), path, replace_batches=True)
+    write_scenarios_csv(_scen(spark, "B2", n=30), path, replace_batches=True)
+    write_scenarios_csv(_scen(spark, "B1", n=50), path, replace_batches=True)   # re-run
+    counts = {r.BATCH: r["count"] for r in read_scenarios_csv(spark, path).groupBy("BATCH").count().collect()}
+    assert counts == {"B1": 50, "B2": 30}

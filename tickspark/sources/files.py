@@ -8,15 +8,22 @@ from pyspark.sql import functions as F
 from tickspark.schemas import SCENARIO_COLUMNS, SCENARIO_RESULT, TIMESTAMP_TEXT_FORMAT
 
 
-def write_scenarios_csv(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_scenarios_csv(df: DataFrame, path: str, mode: str = "append",
+                        replace_batches: bool = False) -> None:
     """Header + columns, one folder per batch (``BATCH=<id>/``).
 
     Timestamps are written with microseconds and a ``UTC`` suffix (the
     default writer would truncate to milliseconds); text with commas
-    (the portfolio list) is quoted by the writer.
+    (the portfolio list) is quoted by the writer.  ``replace_batches``
+    overwrites only the folders of the batches being written, so a re-run
+    of a batch replaces it instead of adding a second copy.
     """
-    (df.select(*SCENARIO_COLUMNS).write.mode(mode).partitionBy("BATCH")
-       .option("header", True).option("timestampFormat", TIMESTAMP_TEXT_FORMAT).csv(path))
+    w = df.select(*SCENARIO_COLUMNS).write.partitionBy("BATCH")
+    if replace_batches:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        w = w.mode(mode)
+    w.option("header", True).option("timestampFormat", TIMESTAMP_TEXT_FORMAT).csv(path)
 
 
 def read_scenarios_csv(spark: SparkSession, path: str) -> DataFrame:
