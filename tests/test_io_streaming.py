@@ -164,3 +164,15 @@ def test_csv_replace_batches(spark, tmp_shared):
     write_scenarios_csv(_scen(spark, "B1", n=50), path, replace_batches=True)   # re-run
     counts = {r.BATCH: r["count"] for r in read_scenarios_csv(spark, path).groupBy("BATCH").count().collect()}
     assert counts == {"B1": 50, "B2": 30}
+
+
+def test_compact_store_removes_late_duplicates(spark, tmp_shared):
+    from tickspark.sources.files import append_scenarios
+    from tickspark.streaming.ingest import compact_store
+    table, out = f"{tmp_shared}/store5", f"{tmp_shared}/compact5"
+    scen = _scen(spark, n=300)
+    append_scenarios(scen, table)
+    append_scenarios(scen.where("SCENARIO_ID > 250"), table)     # redelivered long after the watermark
+    assert spark.read.parquet(table).count() == 350
+    compacted = compact_store(spark, table, out)
+    assert _rows(compacted) == _rows(scen)

@@ -56,3 +56,23 @@ def ingest_messages(spark: SparkSession, table_path: str, checkpoint: str, path:
         q.awaitTermination()
         return q
     return writer.trigger(processingTime=processing_time or "10 seconds").start()
+
+
+def compact_store(spark: SparkSession, table_path: str, out_path: str,
+                  partition_by_batch: bool = True) -> DataFrame:
+    """Rewrite the cumulative table with every scenario exactly once.
+
+    Streaming de-duplication only covers redeliveries inside the
+    watermark; this batch job removes later ones too.  The key is
+    ``(BATCH, SCENARIO_ID)`` (rows without an id are compared whole), so
+    even a batch holding most of the rows spreads over many tasks.
+    """
+    store = spark.read.parquet(table_path).select(*SCENARIO_COLUMNS)
+    key = F.coalesce(F.col("SCENARIO_ID").cast("string"),
+                     F.sha2(F.to_json(F.struct(*[F.col(c) for c in SCENARIO_COLUMNS])), 256))
+    unique = store.withColumn("_key", key).dropDuplicates(["BATCH", "_key"]).drop("_key")
+    writer = unique.write.mode("overwrite")
+    if partition_by_batch:
+        writer = writer.partitionBy("BATCH")
+    writer.parquet(out_path)
+    return spark.read.parquet(out_path).select(*SCENARIO_COLUMNS)
