@@ -43,6 +43,9 @@ def weights_frame(spark: SparkSession, tickers: Sequence[str], weights=None) ->
         return equal_weights(spark, tickers)
     if isinstance(weights, DataFrame):
         return weights
+    weights = list(weights)
+    if len(weights) != len(tickers):
+        raise ValueError(f"{len(tickers)} tickers but {len(weights)} weights")
     return F.broadcast(spark.createDataFrame([(t, float(w)) for t, w in zip(tickers, weights)],
                                              "RIC string, weight double"))
 
@@ -54,8 +57,9 @@ def mean_returns(returns: DataFrame) -> DataFrame:
 def expected_return(returns: DataFrame, weights: DataFrame) -> DataFrame:
     """``sum_i w_i * mean_i`` as a one-row frame ``(expected_return)``.
 
-    The weights frame has one row per ticker; the planner broadcasts it
-    from its measured size."""
+    The weights frame has one row per ticker (``equal_weights`` /
+    ``weights_frame`` mark it for broadcast), so the join does not shuffle
+    the returns."""
     return (mean_returns(returns).join(weights, "RIC")
             .agg(F.sum(F.col("mean_return") * F.col("weight")).alias("expected_return")))
 
