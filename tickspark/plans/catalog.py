@@ -57,6 +57,7 @@ VAR_Q = 0.01                                          # 1 - confidence, given ex
 HIST_BINS = 80
 STORE_BATCHES = [("B20", 20), ("B9", 9)]              # (batch, horizon days) in the store
 
+STATE_PARTITIONS = 8                                  # streaming state partitions for the test sizes
 MONEY_DIGITS = 4
 MOMENT_DIGITS = 10
 
@@ -256,8 +257,8 @@ def _ingested(spark, d):
     store = _store(spark, d)
     write_scenario_messages(store, src)
     write_scenario_messages(store.where(F.col("SCENARIO_ID") % 2 == 0), src)   # redelivered copies
-    ingest_messages(spark, table, ckpt, path=src)
-    ingest_messages(spark, table, ckpt, path=src)                               # re-run: adds nothing
+    ingest_messages(spark, table, ckpt, path=src, state_partitions=STATE_PARTITIONS)
+    ingest_messages(spark, table, ckpt, path=src, state_partitions=STATE_PARTITIONS)   # re-run: adds nothing
     return table
 
 
@@ -274,7 +275,8 @@ def q_stream_var_incremental(spark, d):
     st = _store(spark, d)
     write_scenario_messages(st, src)
     write_scenario_messages(st.where(F.col("SCENARIO_ID") % 3 == 0), src)       # redelivered copies
-    stream_var_exact(spark, deduplicated(message_stream(spark, src)), store, var, ckpt, q=VAR_Q)
+    stream_var_exact(spark, deduplicated(message_stream(spark, src)), store, var, ckpt, q=VAR_Q,
+                     state_partitions=STATE_PARTITIONS)
     return _show_var(spark.read.parquet(var), by=["BATCH"])
 
 

@@ -43,19 +43,37 @@ def deduplicated(raw: DataFrame, watermark: str = "1 hour") -> DataFrame:
                   .select(*SCENARIO_COLUMNS))
 
 
+def start_stream(spark: SparkSession, writer, available_now: bool = True,
+                 processing_time: str | None = None, state_partitions: int | None = None):
+    """Start a streaming write.  ``state_partitions`` sets the number of
+    state-store partitions; Spark records it in the checkpoint on the first
+    run, so it is applied only while the query starts.  With
+    ``available_now`` the call returns after everything available is done."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        if available_now:
+            q = writer.trigger(availableNow=True).start()
+        else:
+            q = writer.trigger(processingTime=processing_time or "10 seconds").start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def ingest_messages(spark: SparkSession, table_path: str, checkpoint: str, path: str | None = None,
                     kafka_options: dict | None = None, watermark: str = "1 hour",
-                    available_now: bool = True, processing_time: str | None = None):
+                    available_now: bool = True, processing_time: str | None = None,
+                    state_partitions: int | None = None):
     """Start the ingest query; with ``available_now`` it processes what is
     there and returns after the query stops.  Returns the query handle."""
     stream = deduplicated(message_stream(spark, path, kafka_options), watermark)
     writer = (stream.writeStream.format("parquet").outputMode("append")
                     .option("path", table_path).option("checkpointLocation", checkpoint))
-    if available_now:
-        q = writer.trigger(availableNow=True).start()
-        q.awaitTermination()
-        return q
-    return writer.trigger(processingTime=processing_time or "10 seconds").start()
+    return start_stream(spark, writer, available_now, processing_time, state_partitions)
 
 
 def compact_store(spark: SparkSession, table_path: str, out_path: str,

@@ -31,7 +31,8 @@ def stream_var_approx(results: DataFrame, confidence: float = 0.99, accuracy: in
 
 def stream_var_exact(spark: SparkSession, results: DataFrame, store_path: str, var_path: str,
                      checkpoint: str, confidence: float = 0.99, q: float | None = None,
-                     available_now: bool = True, processing_time: str | None = None):
+                     available_now: bool = True, processing_time: str | None = None,
+                     state_partitions: int | None = None):
     """Exact VaR per batch, kept current as scenario results stream in.
 
     Each micro-batch is written to its own folder (``epoch=<id>``; a replay
@@ -49,9 +50,6 @@ def stream_var_exact(spark: SparkSession, results: DataFrame, store_path: str, v
         (var.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("BATCH").parquet(var_path))
 
+    from tickspark.streaming.ingest import start_stream
     writer = results.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    if available_now:
-        query = writer.trigger(availableNow=True).start()
-        query.awaitTermination()
-        return query
-    return writer.trigger(processingTime=processing_time or "10 seconds").start()
+    return start_stream(spark, writer, available_now, processing_time, state_partitions)
