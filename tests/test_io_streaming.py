@@ -176,3 +176,14 @@ def test_compact_store_removes_late_duplicates(spark, tmp_shared):
     assert spark.read.parquet(table).count() == 350
     compacted = compact_store(spark, table, out)
     assert _rows(compacted) == _rows(scen)
+
+
+def test_numeric_batch_and_integer_return_parse(spark):
+    from tickspark.sources.messages import parse_messages
+    raw = spark.createDataFrame(
+        [('{"batch": 1234, "venue": "LSE", "portfolio": "A,B", "portfolio_value": 1000000, '
+          '"start_date": "2004-02-05 00:00:00.000000 UTC", "end_date": "2024-01-31 00:00:00.000000 UTC", '
+          '"days": 9, "return": 3}',)], "value string")
+    r = parse_messages(raw).first()
+    assert r.BATCH == "1234" and r.RETURN == 3.0 and r.PORTFOLIO_VALUE == 1_000_000.0
+    assert r.DAYS == 9 and r.START_DATE.year == 2004 and r.SCENARIO_ID is None
