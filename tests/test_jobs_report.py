@@ -106,3 +106,11 @@ def test_generate_text_reports_client_errors(spark):
     rows = generate_text(df, Failing).collect()
     assert all(r.ml_generate_text_llm_result is None for r in rows)
     assert all(r.ml_generate_text_status == "error: quota exceeded" for r in rows)
+
+
+def test_since_today(spark):
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [_job(1, [("S00: Input", 5)]), (2, "DONE", "select 2", now, now,
+                                           now + dt.timedelta(milliseconds=10), 50, 1, [("S00: Input", 7)])]
+    h = spark.createDataFrame(rows, JOB_HISTORY)
+    assert [r.job_id for r in stage_inputs(h, since="today").collect()] == [2]

@@ -19,10 +19,13 @@ def explode_stages(jobs: DataFrame, stages: str = "job_stages") -> DataFrame:
 
 def stage_inputs(history: DataFrame, since=None) -> DataFrame:
     """Finished jobs (not the statistics queries themselves) created at or
-    after ``since``, one row per job with its input stage's row count."""
+    after ``since``, one row per job with its input stage's row count.
+    ``since='today'`` means the start of the current (session-zone) day."""
     cond = (F.col("state") == F.lit(DONE_STATE)) & ~F.col("query").like(SELF_QUERY_PATTERN)
     if since is not None:
-        cond = cond & (F.col("creation_time") >= F.lit(since).cast(history.schema["creation_time"].dataType))
+        ts_type = history.schema["creation_time"].dataType
+        start = F.current_date() if since == "today" else F.lit(since)
+        cond = cond & (F.col("creation_time") >= start.cast(ts_type))
     rows = explode_stages(history.where(cond)).where(F.col("name") == F.lit(INPUT_STAGE))
     exec_ms = F.timestamp_diff("MILLISECOND", F.col("start_time"), F.col("end_time"))
     return rows.select(
