@@ -82,3 +82,29 @@ def test_trade_scan_is_pruned(spark):
     cols = {c.split(":")[0] for c in schema.group(1).split(",")}
     assert "props" not in cols  # unused columns are not read
     assert "partial_sum" in plan
+
+
+def test_weights_join_is_broadcast(spark):
+    from tickspark.operators import risk as R
+    from tickspark.operators.closes import align_closes, log_returns
+    from tickspark.sources.fixtures import daily_close_from_lineitem
+    tickers = ["Brand#1", "Brand#2", "Brand#3"]
+    rets = log_returns(align_closes(daily_close_from_lineitem(spark, SF001), tickers), tickers)
+    plan = _plan(R.portfolio_moments(rets, R.equal_weights(spark, tickers)))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_large_var_avoids_whole_group_percentile(spark, monkeypatch):
+    import tickspark.operators.quantile as Q
+    from tickspark.operators import risk as R
+    seen = []
+    orig = Q._bracketed_quantile
+
+    def spy(*a, **k):
+        out = orig(*a, **k)
+        seen.append(_plan(out))
+        return out
+    monkeypatch.setattr(Q, "_bracketed_quantile", spy)
+    scen = R.scenarios(spark, 0.0, 0.01, 1000, tasks=600, mode="lcg")      # 600 k > cutover
+    R.value_at_risk(scen, q=0.01).collect()
+    assert seen and "percentile(" not in seen[0].lower().replace("percentile_approx", "")
