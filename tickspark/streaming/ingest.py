@@ -67,10 +67,10 @@ def start_stream(spark: SparkSession, writer, available_now: bool = True,
 def ingest_messages(spark: SparkSession, table_path: str, checkpoint: str, path: str | None = None,
                     kafka_options: dict | None = None, watermark: str = "1 hour",
                     available_now: bool = True, processing_time: str | None = None,
-                    state_partitions: int | None = None):
+                    state_partitions: int | None = None, max_files_per_trigger: int | None = None):
     """Start the ingest query; with ``available_now`` it processes what is
     there and returns after the query stops.  Returns the query handle."""
-    stream = deduplicated(message_stream(spark, path, kafka_options), watermark)
+    stream = deduplicated(message_stream(spark, path, kafka_options, max_files_per_trigger), watermark)
     writer = (stream.writeStream.format("parquet").outputMode("append")
                     .option("path", table_path).option("checkpointLocation", checkpoint))
     return start_stream(spark, writer, available_now, processing_time, state_partitions)
