@@ -278,3 +278,17 @@ def test_unseeded_randn_is_stable_across_passes(spark):
     assert a == b
     v = R.value_at_risk(scen, q=0.01).first().VaR
     assert v == pytest.approx(-np.percentile(scen.toPandas().RETURN.to_numpy(), 1.0), rel=1e-12)
+
+
+def test_daily_close_on_a_stream(spark, tmp_path):
+    ticks = ticks_from_events(spark, SF001)
+    src = str(tmp_path / "ticks")
+    ticks.write.parquet(src)
+    stream = spark.readStream.schema(ticks.schema).parquet(src)
+    for cols, name in ((("Date_Time", "Seq", "Volume"), "close_struct"), (("Date_Time", "Seq"), "close_packed")):
+        q = (daily_close(stream, order_cols=cols).writeStream.outputMode("complete").format("memory")
+             .queryName(name).trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = sorted(tuple(r) for r in spark.sql(f"select RIC, Date, Price from {name}").collect())
+        want = sorted(tuple(r) for r in daily_close(ticks, order_cols=cols).collect())
+        assert got == want and len(got) > 0

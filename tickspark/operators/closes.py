@@ -20,22 +20,18 @@ _DEC = "decimal(38,0)"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _order_key(df: DataFrame, order_cols: Sequence[str]):
-    """Ordering key for the last trade.
-
-    ``(timestamp, integral)`` - the usual ``(Date_Time, Seq)`` - is packed
-    into one ``decimal(38,0)``: microseconds * 10^20 + (seq + 2^63).  Both
-    parts fit (16 + 20 digits), the order is the same as the pair's, and a
-    decimal buffer keeps ``max_by`` in a hash aggregate.  Other shapes use a
-    struct (sort-based aggregate, same result).
-    """
+def _packed_key(df: DataFrame, order_cols: Sequence[str]):
+    """``(timestamp, integral)`` - the usual ``(Date_Time, Seq)`` - packed into
+    one ``decimal(38,0)``: microseconds * 10^20 + (seq + 2^63).  Both parts
+    fit (16 + 20 digits) and the order is the pair's; a decimal buffer keeps
+    ``max_by`` in a hash aggregate.  None for other key shapes."""
     if len(order_cols) == 2:
         ts_t, seq_t = (df.schema[c].dataType for c in order_cols)
         if isinstance(ts_t, (T.TimestampType, T.TimestampNTZType)) and isinstance(seq_t, _INTEGRAL):
             micros = F.unix_micros(F.col(order_cols[0]).cast("timestamp")).cast(_DEC)
             seq = F.col(order_cols[1]).cast(_DEC) + F.lit("9223372036854775808").cast(_DEC)
             return (micros * F.lit("100000000000000000000").cast(_DEC) + seq).cast(_DEC)
-    return F.struct(*[F.col(c) for c in order_cols])
+    return None
 
 
 def daily_close(ticks: DataFrame, start=None, end=None, rics=None,
@@ -44,14 +40,28 @@ def daily_close(ticks: DataFrame, start=None, end=None, rics=None,
     """Last regular trade of each instrument and UTC day: ``(RIC, Date, Price)``.
 
     Same result as ``ROW_NUMBER() OVER (PARTITION BY RIC, DATE(Date_Time)
-    ORDER BY Date_Time DESC) = 1`` with ``order_cols`` as the tie-break, but
-    written as ``max_by`` so it aggregates partially before the shuffle (no
-    per-day sort, safe for a hot instrument, and legal in streaming).
+    ORDER BY Date_Time DESC) = 1`` with ``order_cols`` as the tie-break.
+    Every path reduces each map task to one row per (instrument, day)
+    before the shuffle, so a hot instrument is safe:
+
+    * ``(timestamp, integral)`` key: ``max_by`` on a packed decimal key - a
+      hash aggregate, no sort;
+    * longer keys: ``row_number() = 1``, which Spark runs as a partial
+      ``WindowGroupLimit`` (top-1 per group on the map side), a shuffle, and
+      a final limit (measured faster than ``max_by`` on a struct key);
+    * streaming input with a longer key: ``max_by`` on a struct key
+      (windows are not allowed on streams).
     """
     trades = regular_trades(ticks, start, end, rics, trade_date_col=trade_date_col)
-    key = _order_key(trades, order_cols)
-    return (trades.groupBy("RIC", F.to_date("Date_Time").alias("Date"))
-                  .agg(F.max_by("Price", key).cast("double").alias("Price")))
+    day = F.to_date("Date_Time")
+    packed = _packed_key(trades, order_cols)
+    if packed is not None or trades.isStreaming:
+        key = packed if packed is not None else F.struct(*[F.col(c) for c in order_cols])
+        return (trades.groupBy("RIC", day.alias("Date"))
+                      .agg(F.max_by("Price", key).cast("double").alias("Price")))
+    w = Window.partitionBy("RIC", day).orderBy(*[F.col(c).desc() for c in order_cols])
+    return (trades.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+                  .select("RIC", day.alias("Date"), F.col("Price").cast("double").alias("Price")))
 
 
 # Above this many tickers the per-day row is built from a map instead of
