@@ -36,3 +36,38 @@ def test_histogram_matches_numpy(spark, xs, bins):
     counts, edges = np.histogram(np.array(xs), bins=bins)
     assert h["count"].tolist() == counts.tolist()
     assert np.allclose(h.bin_start.to_numpy(), edges[:-1], rtol=1e-12, atol=1e-9)
+
+
+tick_rows = st.lists(
+    st.tuples(st.integers(-5, 5),                      # Seq (ties and negatives)
+              st.integers(0, 3),                       # day offset
+              st.integers(0, 2),                       # second within the day (heavy ties)
+              st.sampled_from(["A", "B"]),
+              st.integers(1, 100).map(float),          # price
+              st.integers(0, 3)),                      # volume (0 is filtered out)
+    min_size=1, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=tick_rows)
+def test_daily_close_paths_match_brute_force(spark, rows):
+    import datetime as dt
+    from tickspark.operators.closes import daily_close
+    from tickspark.schemas import TICKS
+    q = "a;12------------[MMT_CLASS]"
+    base = dt.datetime(2024, 1, 1)
+    data = [(s, base + dt.timedelta(days=d, seconds=sec), r, p, v, "Trade", q) for s, d, sec, r, p, v in rows]
+    df = spark.createDataFrame(data, TICKS)
+    pdf = pd.DataFrame(data, columns=[f.name for f in TICKS.fields])
+    pdf = pdf[pdf.Volume > 0]
+    want = {}
+    for (ric, day), g in pdf.groupby([pdf.RIC, pdf.Date_Time.dt.date]):
+        for cols in (("Date_Time", "Seq"), ("Date_Time", "Seq", "Volume")):
+            top = g.sort_values(list(cols), ascending=False).iloc[0]
+            if len(g[(g[list(cols)] == top[list(cols)]).all(axis=1)]) == 1:   # unique winner
+                want[(cols, ric, day)] = top.Price
+    for cols in (("Date_Time", "Seq"), ("Date_Time", "Seq", "Volume")):
+        got = {(r.RIC, r.Date): r.Price for r in daily_close(df, order_cols=cols).collect()}
+        for (c, ric, day), price in want.items():
+            if c == cols:
+                assert got[(ric, day)] == price
