@@ -37,6 +37,7 @@ PORTFOLIO = ["AAA.L", "BBB.L", "CCC.L"]               # VaR portfolio on the eve
 BRANDS = ["Brand#1", "Brand#2", "Brand#3"]            # gappy portfolio on lineitem closes
 RANGE_HOUR = ("2024-01-15 12:00:00.000000", "2024-01-15 12:59:59.999999")
 RANGE_DAYS = ("2024-1-10 12:00:00.000000", "2024-01-20 12:59:59.999999")
+RANGE_6M = ("2023-7-31 12:00:00.000000", "2024-01-31 12:59:59.999999")
 RANGE_FULL = ("2000-5-17 12:00:00.000000", "2024-11-17 12:59:59.999999")
 PIVOT_DATES = ("2024-01-17", "2024-01-16")            # pivot order; day one = the second
 BARS = {
@@ -132,6 +133,10 @@ def q_vwap_summary_days(spark, d):
     return S.trade_summary(_ticks(spark, d), *RANGE_DAYS, rics=RICS)
 
 
+def q_vwap_summary_6m(spark, d):
+    return S.trade_summary(_ticks(spark, d), *RANGE_6M, rics=RICS)
+
+
 def q_vwap_summary_full(spark, d):
     return S.trade_summary(_ticks(spark, d), *RANGE_FULL, rics=RICS)
 
@@ -314,6 +319,7 @@ QUERIES = {
     "regular_trades": q_regular_trades,
     "vwap_summary_hour": q_vwap_summary_hour,
     "vwap_summary_days": q_vwap_summary_days,
+    "vwap_summary_6m": q_vwap_summary_6m,
     "vwap_summary_full": q_vwap_summary_full,
     "daily_trade_summary": q_daily_trade_summary,
     "symbol_series": q_symbol_series,

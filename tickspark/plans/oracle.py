@@ -237,6 +237,7 @@ ORACLE = {
     "regular_trades": f"WITH {TICKS} SELECT * FROM ticks WHERE {REGULAR}",
     "vwap_summary_hour": _summary(K.RANGE_HOUR),
     "vwap_summary_days": _summary(K.RANGE_DAYS),
+    "vwap_summary_6m": _summary(K.RANGE_6M),
     "vwap_summary_full": _summary(K.RANGE_FULL),
     "daily_trade_summary": f"WITH {TICKS}, {_daily()} SELECT * FROM daily",
     "symbol_series": f"""WITH {TICKS}, {_daily('"Date"')}
