@@ -19,5 +19,5 @@ def spark():
 
 @pytest.fixture
 def tmp_shared(spark, tmp_path):
-    """A fresh folder for sinks in tests (the session's shared dir is unset here)."""
+    """A fresh per-test folder for sinks and checkpoints (pytest's own temporary tree)."""
     return str(tmp_path)
