@@ -94,3 +94,22 @@ def test_submit_entry_runs_job(spark, tmp_shared):
     assert round(out["sigma"], 10) == 1.0889761367 and out["scenarios"] == 2000
     stored = spark.read.parquet(f"{tmp_shared}/returns")
     assert stored.count() == 2000 and {r.BATCH for r in stored.select("BATCH").distinct().collect()} == {"b7"}
+
+
+def test_adjusted_close_files_per_ticker(spark, tmp_shared):
+    """One CSV file per ticker (ticker = file name), as a downloaded close series."""
+    import os
+    from tickspark.sources.tables import read_adjusted_close_csv
+    closes = daily_close_from_lineitem(spark, SF01).where(F.col("RIC").isin("Brand#1", "Brand#2", "Brand#3"))
+    folder = f"{tmp_shared}/prices"
+    os.makedirs(folder)
+    pdf = closes.toPandas()
+    for ric, g in pdf.groupby("RIC"):
+        out = g.sort_values("Date").rename(columns={"Price": "Adj Close"})
+        out["Open"] = out["Adj Close"]
+        out[["Date", "Open", "Adj Close"]].to_csv(f"{folder}/{ric}.csv", index=False)
+    back = read_adjusted_close_csv(spark, folder)
+    assert sorted(back.collect()) == sorted(closes.select("RIC", "Date", "Price").collect())
+    run = run_var(spark, None, ["Brand#1", "Brand#2", "Brand#3"], dt.datetime(2001, 1, 1), years=10,
+                  n=1_000, mode="lcg", closes=back)
+    assert round(run.mu, 10) == -0.0056316446 and round(run.sigma, 10) == 0.5598135090

@@ -50,6 +50,23 @@ def read_daily_close(spark: SparkSession, source, fmt: str = "parquet",
                      F.col(price).cast("double").alias("Price"))
 
 
+def read_adjusted_close_csv(spark: SparkSession, path: str, price: str = "Adj Close",
+                            date: str = "Date", date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Daily closes from downloaded price files, one CSV file per ticker
+    (``Date, ..., <price>, ...``; the ticker is the file name without its
+    extension).  Returns ``(RIC, Date, Price)``.  All files are read as one
+    distributed scan; the ticker comes from each row's file metadata.
+    """
+    raw = (spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+                .select(F.col(f"`{date}`").alias("_d"), F.col(f"`{price}`").alias("_p"),
+                        F.col("_metadata.file_name").alias("_f")))
+    # file names come URL-encoded ('#' as %23); keep a literal '+' as '+'
+    name = F.url_decode(F.regexp_replace("_f", r"\+", "%2B"))
+    return raw.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("RIC"),
+                      F.to_date("_d", date_format).alias("Date"),
+                      F.col("_p").cast("double").alias("Price"))
+
+
 def read_job_history(spark: SparkSession, source, fmt: str = "parquet") -> DataFrame:
     """Run-history rows with a nested ``job_stages array<struct<name, records_read>>``."""
     return source if isinstance(source, DataFrame) else read_table(spark, source, fmt)
