@@ -114,3 +114,15 @@ def test_since_today(spark):
                                            now + dt.timedelta(milliseconds=10), 50, 1, [("S00: Input", 7)])]
     h = spark.createDataFrame(rows, JOB_HISTORY)
     assert [r.job_id for r in stage_inputs(h, since="today").collect()] == [2]
+
+
+def test_report_job_end_to_end(spark, tmp_path):
+    from tickspark.plans.report_job import run_report
+    ticks = ticks_from_events(spark, SF01)
+    out = str(tmp_path / "report")
+    run = run_report(ticks, ["AAA.L", "BBB.L", "ZZZ.L"], "2024-01-16 12:00:00", "2024-01-17 12:59:59.999999",
+                     "2024-01-16", "2024-01-17", EchoClient, out=out)
+    stored = spark.read.parquet(out).collect()
+    assert sorted(r.RIC for r in stored) == ["AAA.L", "BBB.L"]
+    assert all(r.ml_generate_text_llm_result == "Summary: " + r.prompt for r in stored)
+    assert spark.sql("select count(*) from pivoted_by_ric").first()[0] == 2
