@@ -34,3 +34,25 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024 ** 4, total_cores=8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(1024, total_cores=16)["spark.sql.shuffle.partitions"]) == 32
+
+
+def test_worker_code_runs_without_the_package_on_workers(tmp_path):
+    """Import the entry file by path from another directory (workers cannot
+    import tickspark there) and run the queries whose code executes in
+    Python workers."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    repo = Path(__file__).resolve().parents[1]
+    code = f"""
+import importlib.util, sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+sys.path.insert(0, {str(repo)!r})
+spec = importlib.util.spec_from_file_location("spark_entry", {str(repo / "__spark_entry__.py")!r})
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+assert m.queries()["report_text"](spark, "/root/testdata/sf0.001").count() == 3
+print("ok")
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0 and "ok" in out.stdout, out.stderr[-2000:]

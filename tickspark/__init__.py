@@ -11,6 +11,19 @@ aggregation) and Spark schedules the work.  Sub-packages:
 * ``streaming`` - message ingest and running VaR with Structured Streaming
 """
 
+import sys as _sys
+
 from tickspark.session import get_spark, shared_path
 
 __all__ = ["get_spark", "shared_path"]
+
+# The few functions that run in Python workers (batch generation, Gram
+# partials) are closures over this package.  Pickling the package's objects
+# by value lets those tasks run on executors where the package is not
+# installed (no ``--py-files`` needed); everything else is JVM-side.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older pickler: ship the package with --py-files
+    pass
