@@ -292,3 +292,15 @@ def test_daily_close_on_a_stream(spark, tmp_path):
         got = sorted(tuple(r) for r in spark.sql(f"select RIC, Date, Price from {name}").collect())
         want = sorted(tuple(r) for r in daily_close(ticks, order_cols=cols).collect())
         assert got == want and len(got) > 0
+
+
+@pytest.mark.parametrize("hint", [(-60.0, 60.0), (1000.0, 2000.0), (-1e-9, 1e-9), (-1e6, 1e6)])
+def test_value_range_hint_keeps_exactness(spark, hint):
+    """Any range guess gives the exact answer (edge buckets keep the order)."""
+    df = spark.range(5000).select((F.randn(5) * 20).alias("x"), (F.col("id") % 2).alias("g"))
+    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("x", F.lit(0.01)).alias("q")).collect()}
+    got = {r.g: r.quantile for r in exact_quantile(df, "x", 0.01, ["g"], bracket_rows=50,
+                                                   value_range=hint).collect()}
+    assert set(got) == set(want)
+    for g in want:
+        assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)

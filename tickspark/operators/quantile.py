@@ -34,16 +34,35 @@ def _interpolate(lo_col, hi_col, frac_col):
 
 def exact_quantile(df: DataFrame, col: str, q: float, by: Sequence[str] = (),
                    small_group_rows: int = SMALL_GROUP_ROWS,
-                   bracket_rows: int = BRACKET_ROWS) -> DataFrame:
+                   bracket_rows: int = BRACKET_ROWS,
+                   value_range: tuple[float, float] | None = None) -> DataFrame:
     """``(by..., n, quantile)``: the ``q`` quantile of ``col`` per group, linear
     interpolation between ranks ``floor(q(n-1))`` and the next (as numpy's
-    default and SQL ``quantile_cont``).  Nulls are ignored."""
+    default and SQL ``quantile_cont``).  Nulls are ignored.
+
+    ``value_range`` is an optional guess of where most values lie.  With it
+    the first pass counts buckets over that range directly (values outside
+    fall into the edge buckets, which keeps the order) and the separate
+    min / max / count pass is skipped.  The answer stays exact for any
+    guess; a poor one only costs an extra narrowing pass.
+    """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     by = list(by)
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     keys = by or ["_g"]
     xg = x if by else x.withColumn("_g", F.lit(0))
+    if value_range is not None and float(value_range[1]) > float(value_range[0]):
+        lo_h, hi_h = float(value_range[0]), float(value_range[1])
+        first = _materialize(
+            xg.groupBy(*keys, _bucket(F.col("_x"), F.lit(lo_h), F.lit(hi_h)).alias("k"))
+              .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
+        stats = _materialize(first.groupBy(*keys).agg(F.sum("c").alias("n"))
+                                  .select(*keys, "n", F.lit(lo_h).alias("lo0"), F.lit(hi_h).alias("hi0")))
+        local = getattr(stats, "_local_rows", None)
+        groups = len(local) if local is not None else stats.count()
+        result = _bracketed_quantile(xg, q, keys, stats, groups, bracket_rows, first_counts=first)
+        return result if by else result.drop("_g")
     stats = _materialize(xg.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo0"),
                                                F.max("_x").alias("hi0")))
     local = getattr(stats, "_local_rows", None)
@@ -102,9 +121,12 @@ MAX_PASSES = 8
 
 
 def _bucket(x, lo, hi, nb=BUCKETS):
-    """Bucket number of ``x`` in ``[lo, hi]`` split into ``nb`` equal parts."""
-    raw = F.floor((x - lo) / (hi - lo) * F.lit(nb)).cast("int")
-    return F.when(hi <= lo, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(nb - 1)))
+    """Bucket number of ``x`` in ``[lo, hi]`` split into ``nb`` equal parts;
+    values outside go to the edge buckets (clamped as longs, then narrowed
+    to int, so far-out values cannot overflow)."""
+    raw = F.floor((x - lo) / (hi - lo) * F.lit(nb))
+    clamped = F.least(F.greatest(raw, F.lit(0).cast("long")), F.lit(nb - 1).cast("long")).cast("int")
+    return F.when(hi <= lo, F.lit(0)).otherwise(clamped)
 
 
 def _select_buckets(state: DataFrame, counts: DataFrame, keys: list[str], level: int) -> DataFrame:
@@ -161,7 +183,7 @@ def _select_buckets_local(state: DataFrame, counts: DataFrame, keys: list[str],
 
 
 def _bracketed_quantile(x: DataFrame, q: float, keys: list[str], stats: DataFrame, groups: int,
-                        bracket_rows: int) -> DataFrame:
+                        bracket_rows: int, first_counts: DataFrame | None = None) -> DataFrame:
     pos = F.lit(q) * (F.col("n") - 1)
     # Per-group state: wanted ranks r and r2, rows below the bracket, rows
     # inside it, and the bracket's value range (actual min / max inside).
@@ -193,11 +215,14 @@ def _bracketed_quantile(x: DataFrame, q: float, keys: list[str], stats: DataFram
                           .alias("m")).first()["m"] or 0
         if m <= bracket_rows:
             break
-        j = x.join(side(state), keys).where(member(level))
-        counts = _materialize(
-            j.groupBy(*keys, _bucket(F.col("_x"), F.col(f"lo{level}"), F.col(f"hi{level}")).alias("k"))
-             .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")),
-            groups * BUCKETS)
+        if level == 0 and first_counts is not None:
+            counts = first_counts                       # counted with the caller's range guess
+        else:
+            j = x.join(side(state), keys).where(member(level))
+            counts = _materialize(
+                j.groupBy(*keys, _bucket(F.col("_x"), F.col(f"lo{level}"), F.col(f"hi{level}")).alias("k"))
+                 .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")),
+                groups * BUCKETS)
         nxt = level + 1
         if groups * BUCKETS <= DRIVER_TABLE_ROWS * 100:
             state = _select_buckets_local(state, counts, keys, level)

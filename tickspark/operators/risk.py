@@ -218,13 +218,26 @@ def moments_scalars(moments: DataFrame) -> tuple[float | None, float | None]:
     return row["expected_return"], row["portfolio_std"]
 
 
+def scenario_value_range(mu, sigma, portfolio_value: float, days: int, width: float = 10.0):
+    """Where scenario gains lie: mean +/- ``width`` standard deviations of
+    ``PV*mu*days + PV*sigma*z*sqrt(days)``; None without moments."""
+    if mu is None or sigma is None or not sigma > 0:
+        return None
+    center = portfolio_value * mu * days
+    spread = width * portfolio_value * sigma * math.sqrt(days)
+    return center - spread, center + spread
+
+
 def value_at_risk(scen: DataFrame, confidence: float = 0.99, by: Sequence[str] = (),
-                  col: str = "RETURN", q: float | None = None) -> DataFrame:
+                  col: str = "RETURN", q: float | None = None,
+                  value_range: tuple[float, float] | None = None) -> DataFrame:
     """``-percentile(gains, 1 - confidence)`` with linear interpolation, per
     group: ``(by..., n, VaR)``.  Pass ``q`` to give the lower-tail fraction
-    exactly (``1 - 0.99`` is not 0.01 in floating point)."""
+    exactly (``1 - 0.99`` is not 0.01 in floating point).  ``value_range``
+    (for example ``scenario_value_range(...)``) saves one pass over the
+    scenarios; the result is exact with or without it."""
     qq = q if q is not None else round(1.0 - confidence, 12)
-    out = exact_quantile(scen, col, qq, by)
+    out = exact_quantile(scen, col, qq, by, value_range=value_range)
     return out.select(*by, "n", (-F.col("quantile")).alias("VaR"))
 
 

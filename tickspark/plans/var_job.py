@@ -22,6 +22,7 @@ from tickspark.operators.risk import (
     histogram,
     moments_scalars,
     portfolio_moments,
+    scenario_value_range,
     scenarios,
     value_at_risk,
     weights_frame,
@@ -73,7 +74,8 @@ def run_var(spark: SparkSession, ticks: DataFrame, tickers: Sequence[str], as_of
                      start_date=start, end_date=end)
     if sink is not None:
         sink(scen)
-    var = value_at_risk(scen, confidence)
+    var = value_at_risk(scen, confidence,
+                        value_range=scenario_value_range(mu, sigma, portfolio_value, days))
     return VarRun(closes, rets, moments, mu, sigma, scen, var, start, end, batch)
 
 
