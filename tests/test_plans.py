@@ -113,3 +113,17 @@ def test_adjusted_close_files_per_ticker(spark, tmp_shared):
     run = run_var(spark, None, ["Brand#1", "Brand#2", "Brand#3"], dt.datetime(2001, 1, 1), years=10,
                   n=1_000, mode="lcg", closes=back)
     assert round(run.mu, 10) == -0.0056316446 and round(run.sigma, 10) == 0.5598135090
+
+
+def test_bucketed_ticks_need_no_shuffle(spark):
+    from tickspark.operators.closes import daily_close
+    from tickspark.operators.summary import daily_trade_summary
+    from tickspark.sources.tables import write_bucketed_ticks
+    ticks = ticks_from_events(spark, SF01)
+    write_bucketed_ticks(ticks, "tickspark_test_bucketed", 8)
+    t = spark.table("tickspark_test_bucketed")
+    for a, b in ((daily_close(t, trade_date_col="trade_date"), daily_close(ticks)),
+                 (daily_trade_summary(t, trade_date_col="trade_date"), daily_trade_summary(ticks))):
+        assert "Exchange" not in a._jdf.queryExecution().executedPlan().toString()
+        assert sorted(a.collect()) == sorted(b.collect())
+    spark.sql("DROP TABLE tickspark_test_bucketed")

@@ -51,9 +51,13 @@ def daily_close(ticks: DataFrame, start=None, end=None, rics=None,
       a final limit (measured faster than ``max_by`` on a struct key);
     * streaming input with a longer key: ``max_by`` on a struct key
       (windows are not allowed on streams).
+
+    ``trade_date_col`` names a stored trade-date column (``to_date`` of
+    the timestamp); it prunes day partitions and is used as the day key,
+    so a table bucketed by ``(RIC, trade_date)`` needs no shuffle here.
     """
     trades = regular_trades(ticks, start, end, rics, trade_date_col=trade_date_col)
-    day = F.to_date("Date_Time")
+    day = F.col(trade_date_col) if trade_date_col else F.to_date("Date_Time")
     packed = _packed_key(trades, order_cols)
     if packed is not None or trades.isStreaming:
         key = packed if packed is not None else F.struct(*[F.col(c) for c in order_cols])

@@ -46,9 +46,11 @@ def trade_summary(ticks: DataFrame, start=None, end=None, rics=None,
 def daily_trade_summary(ticks: DataFrame, start=None, end=None, rics=None,
                         date_name: str = "vwap_date",
                         trade_date_col: str | None = None) -> DataFrame:
-    """VWAP, TotalVolume, NumTrades per instrument and UTC calendar day."""
+    """VWAP, TotalVolume, NumTrades per instrument and UTC calendar day
+    (a stored ``trade_date_col`` is used as the day key when given)."""
     trades = regular_trades(ticks, start, end, rics, trade_date_col=trade_date_col)
-    return trades.groupBy("RIC", F.to_date("Date_Time").alias(date_name)).agg(
+    day = F.col(trade_date_col) if trade_date_col else F.to_date("Date_Time")
+    return trades.groupBy("RIC", day.alias(date_name)).agg(
         vwap().alias("VWAP"),
         F.sum("Volume").alias("TotalVolume"),
         F.count("RIC").alias("NumTrades"),

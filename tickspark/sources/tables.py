@@ -90,6 +90,21 @@ def write_ticks(ticks: DataFrame, path: str, ts: str = "Date_Time", ric: str = "
         .write.mode(mode).partitionBy(date_col).parquet(path))
 
 
+def write_bucketed_ticks(ticks: DataFrame, table: str, buckets: int, ts: str = "Date_Time",
+                         ric: str = "RIC", date_col: str = "trade_date", mode: str = "overwrite") -> None:
+    """Store ticks as a catalog table bucketed by ``(RIC, trade_date)`` and
+    sorted by time inside each bucket.
+
+    Aggregations keyed by instrument and day (daily close, daily summary)
+    then read data already distributed by their keys, so Spark plans them
+    without a shuffle.  The day is part of the bucket key, so a hot
+    instrument is spread over many buckets.
+    """
+    (ticks.withColumn(date_col, F.to_date(F.col(ts)))
+          .write.mode(mode).bucketBy(buckets, ric, date_col).sortBy(ric, date_col, ts)
+          .saveAsTable(table))
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW``: a lazy, named plan; returns ``df``."""
     df.createOrReplaceTempView(name)
