@@ -304,3 +304,12 @@ def test_value_range_hint_keeps_exactness(spark, hint):
     assert set(got) == set(want)
     for g in want:
         assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)
+
+
+def test_repeated_ticker_counts_once(spark):
+    closes = daily_close_from_lineitem(spark, SF01)
+    once = ["Brand#1", "Brand#2", "Brand#3"]
+    twice = ["Brand#1", "Brand#2", "Brand#1", "Brand#3", "Brand#2"]
+    a = R.portfolio_moments(log_returns(align_closes(closes, once), once), R.equal_weights(spark, once)).first()
+    b = R.portfolio_moments(log_returns(align_closes(closes, twice), twice), R.equal_weights(spark, twice)).first()
+    assert a.n_days == b.n_days == 282 and a.portfolio_std == pytest.approx(b.portfolio_std, rel=1e-12)

@@ -83,7 +83,7 @@ def align_closes(closes: DataFrame, tickers: Sequence[str]) -> DataFrame:
     ticker are dropped, and the row is unpivoted back to long form - no
     join, no cross join, and the closes are computed once.
     """
-    tickers = list(tickers)
+    tickers = list(dict.fromkeys(tickers))          # a repeated ticker is one column, order kept
     if not tickers:
         raise ValueError("at least one ticker is required")
     listed = closes.where(F.col("RIC").isin(tickers))

@@ -34,6 +34,7 @@ def equal_weights(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
 
     Built from the ticker list, so its size is known (k rows): it carries a
     broadcast hint and joins without shuffling the returns."""
+    tickers = list(dict.fromkeys(tickers))
     k = len(tickers)
     return F.broadcast(spark.createDataFrame([(t, 1.0 / k) for t in tickers], "RIC string, weight double"))
 
@@ -80,7 +81,7 @@ def covariance(returns: DataFrame, tickers: Sequence[str]) -> DataFrame:
     partition folds its days into a Gram matrix with numpy and the k x k
     partial sums are added up by key.
     """
-    tickers = list(tickers)
+    tickers = list(dict.fromkeys(tickers))
     if len(tickers) > WIDE_COVARIANCE_MAX_TICKERS:
         return _covariance_gram(returns, tickers)
     wide = _wide_returns(returns, tickers)
