@@ -126,3 +126,14 @@ def test_report_job_end_to_end(spark, tmp_path):
     assert sorted(r.RIC for r in stored) == ["AAA.L", "BBB.L"]
     assert all(r.ml_generate_text_llm_result == "Summary: " + r.prompt for r in stored)
     assert spark.sql("select count(*) from pivoted_by_ric").first()[0] == 2
+
+
+def test_generate_text_calls_client_in_chunks(spark):
+    class Sized(EchoClient):
+        def generate(self, prompts):
+            assert len(prompts) <= 3
+            return [{"text": f"{len(prompts)}", "safety": "", "status": ""} for _ in prompts]
+
+    df = spark.range(10).selectExpr("cast(id as string) as prompt").coalesce(1)
+    out = generate_text(df, Sized, batch_size=3).collect()
+    assert sorted(int(r.ml_generate_text_llm_result) for r in out) == [1] + [3] * 9

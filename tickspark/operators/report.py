@@ -60,15 +60,16 @@ class EchoClient:
 
 def generate_text(df: DataFrame, client_factory: Callable[..., object], prompt_col: str = "prompt",
                   temperature: float = 0.2, max_output_tokens: int = 800,
-                  flatten_json_output: bool = True) -> DataFrame:
+                  flatten_json_output: bool = True, batch_size: int = 64) -> DataFrame:
     """Append model output to every row.
 
     ``client_factory(temperature=..., max_output_tokens=...)`` must return an
     object with ``generate(list[str | None]) -> list[dict(text, safety, status)]``.
     Flattened output adds ``ml_generate_text_llm_result``,
     ``ml_generate_text_rai_result`` and ``ml_generate_text_status``; otherwise
-    one JSON column ``ml_generate_text_result`` plus the status.  A failed
-    client call does not fail the task: its rows get null results and the
+    one JSON column ``ml_generate_text_result`` plus the status.  The
+    client is called with at most ``batch_size`` prompts at a time.  A
+    failed call does not fail the task: its rows get null results and the
     error text in the status column.
     """
     if flatten_json_output:
@@ -82,10 +83,13 @@ def generate_text(df: DataFrame, client_factory: Callable[..., object], prompt_c
         client = client_factory(temperature=temperature, max_output_tokens=max_output_tokens)
         for pdf in batches:
             prompts = [None if pd.isna(p) else p for p in pdf[prompt_col].tolist()]
-            try:
-                res = client.generate(prompts)
-            except Exception as exc:  # noqa: BLE001 - reported per row, like a status column
-                res = [{"text": None, "safety": None, "status": f"error: {exc}"} for _ in prompts]
+            res = []
+            for i in range(0, len(prompts), batch_size):
+                chunk = prompts[i:i + batch_size]
+                try:
+                    res.extend(client.generate(chunk))
+                except Exception as exc:  # noqa: BLE001 - reported per row, like a status column
+                    res.extend({"text": None, "safety": None, "status": f"error: {exc}"} for _ in chunk)
             out = pdf.copy()
             if flatten_json_output:
                 out[LLM_RESULT] = [r.get("text") for r in res]
