@@ -227,3 +227,16 @@ def test_stream_var_replay_is_idempotent(spark, tmp_shared):
     run()                                                # the last epoch runs again
     after = sorted((r.BATCH, r.n, r.VaR) for r in spark.read.parquet(var).collect())
     assert after == before and spark.read.parquet(store).count() == 300
+
+
+def test_var_from_store_by_path_and_name(spark, tmp_shared):
+    from tickspark.operators.risk import var_from_store
+    from tickspark.sources.files import append_scenarios
+    table = f"{tmp_shared}/store8"
+    a, b = _scen(spark, "B1", n=300), _scen(spark, "B2", n=200)
+    append_scenarios(a.unionByName(b), table)
+    got = {r.BATCH: r for r in var_from_store(spark, table, q=0.01).collect()}
+    assert got["B1"].n == 300 and got["B1"].VaR == pytest.approx(R.value_at_risk(a, q=0.01).first().VaR)
+    spark.read.parquet(table).createOrReplaceTempView("var_store_view")
+    by_name = {r.BATCH: r.VaR for r in var_from_store(spark, "var_store_view", q=0.01).collect()}
+    assert by_name == {k: v.VaR for k, v in got.items()}

@@ -276,3 +276,13 @@ def histogram(scen: DataFrame, bins: int = 50, col: str = "RETURN") -> DataFrame
             .select("bin", edge(b).alias("bin_start"), edge(b + 1).alias("bin_end"),
                     F.coalesce("count", F.lit(0)).cast("long").alias("count"))
             .withColumn("density", F.col("count") / (F.col("bin_end") - F.col("bin_start")) / F.lit(float(n))))
+
+
+def var_from_store(spark: SparkSession, table: str, confidence: float = 0.99, by: Sequence[str] = ("BATCH",),
+                   q: float | None = None, value_range: tuple[float, float] | None = None) -> DataFrame:
+    """VaR per batch over a stored result table (catalog name or path):
+    ``(BATCH, n, VaR)``.  Only ``BATCH`` and ``RETURN`` are read; a table
+    partitioned by ``BATCH`` prunes to the batches a filter selects."""
+    from tickspark.sources.tables import read_table
+    store = read_table(spark, table).select(*by, "RETURN")
+    return value_at_risk(store, confidence, by=list(by), q=q, value_range=value_range)
