@@ -71,3 +71,37 @@ def test_daily_close_paths_match_brute_force(spark, rows):
         for (c, ric, day), price in want.items():
             if c == cols:
                 assert got[(ric, day)] == price
+
+
+closes_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 14),
+                                 st.integers(1, 50).map(float)),
+                       min_size=2, max_size=40, unique_by=lambda t: (t[0], t[1]))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=closes_rows, order=st.permutations(["A", "B", "C"]))
+def test_alignment_and_returns_match_pandas_recipe(spark, rows, order):
+    """First ticker fixes the calendar; shift is positional before dropna."""
+    import datetime as dt
+    from tickspark.operators import risk as R
+    from tickspark.operators.closes import align_closes, log_returns
+    d0 = dt.date(2024, 1, 1)
+    data = [(r, d0 + dt.timedelta(days=d), p) for r, d, p in rows]
+    closes = spark.createDataFrame(data, "RIC string, Date date, Price double")
+    tickers = list(order)
+    # the pandas recipe: assign series one by one to an empty frame, log, shift, dropna
+    pdf = pd.DataFrame(data, columns=["RIC", "Date", "Price"])
+    wide = pd.DataFrame()
+    for t in tickers:
+        wide[t] = pdf[pdf.RIC == t].sort_values("Date").set_index("Date")["Price"].astype(float)
+    lr = np.log(wide / wide.shift(1)).dropna()
+    got = log_returns(align_closes(closes, tickers), tickers).collect()
+    assert len(got) == lr.size
+    for r in got:
+        assert r.log_return == pytest.approx(lr.loc[r.Date, r.RIC], rel=1e-12, abs=1e-15)
+    m = R.portfolio_moments(log_returns(align_closes(closes, tickers), tickers),
+                            R.equal_weights(spark, tickers)).first()
+    assert m.n_days == len(lr)
+    if len(lr) >= 2:
+        w = np.array([1 / 3] * 3)
+        assert m.portfolio_std == pytest.approx(float(np.sqrt(w @ lr.cov().to_numpy() @ w)), rel=1e-9, abs=1e-12)
