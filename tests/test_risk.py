@@ -313,3 +313,12 @@ def test_repeated_ticker_counts_once(spark):
     a = R.portfolio_moments(log_returns(align_closes(closes, once), once), R.equal_weights(spark, once)).first()
     b = R.portfolio_moments(log_returns(align_closes(closes, twice), twice), R.equal_weights(spark, twice)).first()
     assert a.n_days == b.n_days == 282 and a.portfolio_std == pytest.approx(b.portfolio_std, rel=1e-12)
+
+
+def test_randn_reproducible_for_seed_and_partitions(spark):
+    a = R.scenarios(spark, 0.0, 0.01, 5000, mode="randn", seed=11, num_partitions=4)
+    b = R.scenarios(spark, 0.0, 0.01, 5000, mode="randn", seed=11, num_partitions=4)
+    c = R.scenarios(spark, 0.0, 0.01, 5000, mode="randn", seed=11, num_partitions=3)
+    ra = sorted((r.SCENARIO_ID, r.RETURN) for r in a.collect())
+    assert ra == sorted((r.SCENARIO_ID, r.RETURN) for r in b.collect())
+    assert ra != sorted((r.SCENARIO_ID, r.RETURN) for r in c.collect())
