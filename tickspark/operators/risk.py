@@ -235,8 +235,9 @@ def value_at_risk(scen: DataFrame, confidence: float = 0.99, by: Sequence[str] =
     """``-percentile(gains, 1 - confidence)`` with linear interpolation, per
     group: ``(by..., n, VaR)``.  Pass ``q`` to give the lower-tail fraction
     exactly (``1 - 0.99`` is not 0.01 in floating point).  ``value_range``
-    (for example ``scenario_value_range(...)``) saves one pass over the
-    scenarios; the result is exact with or without it."""
+    (for example ``scenario_value_range(...)``) saves one pass over large
+    scenario sets (it skips the small-set ``percentile`` path, so leave it
+    out below ``SMALL_GROUP_ROWS``); the result is exact with or without it."""
     qq = q if q is not None else round(1.0 - confidence, 12)
     out = exact_quantile(scen, col, qq, by, value_range=value_range)
     return out.select(*by, "n", (-F.col("quantile")).alias("VaR"))

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tickspark.operators.closes import align_closes, daily_close, log_returns
+from tickspark.operators.quantile import SMALL_GROUP_ROWS
 from tickspark.operators.summary import daily_trade_summary, symbol_series
 from tickspark.operators.risk import (
     histogram,
@@ -74,8 +75,10 @@ def run_var(spark: SparkSession, ticks: DataFrame, tickers: Sequence[str], as_of
                      start_date=start, end_date=end)
     if sink is not None:
         sink(scen)
+    # Above the exact-percentile cutover, a range from the moments saves a pass.
+    large = n * tasks > SMALL_GROUP_ROWS
     var = value_at_risk(scen, confidence,
-                        value_range=scenario_value_range(mu, sigma, portfolio_value, days))
+                        value_range=scenario_value_range(mu, sigma, portfolio_value, days) if large else None)
     return VarRun(closes, rets, moments, mu, sigma, scen, var, start, end, batch)
 
 
