@@ -24,11 +24,11 @@ from tickspark.plans.var_job import history_range
 from tickspark.schemas import SCENARIO_COLUMNS
 from tickspark.session import shared_path
 from tickspark.sources import fixtures as X
-from tickspark.sources.files import load_scenarios, write_scenarios_csv
+from tickspark.sources.files import append_scenarios, load_scenarios, write_scenarios_csv
 from tickspark.sources.messages import read_messages, write_scenario_messages
 from tickspark.sources.tables import read_daily_close, register_view
 from tickspark.streaming.ingest import ingest_messages
-from tickspark.streaming.ingest import deduplicated, message_stream
+from tickspark.streaming.ingest import compact_store, deduplicated, message_stream
 from tickspark.streaming.running_var import running_var, stream_var_exact
 
 # ---- fixed parameters of the registered queries ----------------------------
@@ -285,6 +285,14 @@ def q_stream_var_incremental(spark, d):
     return _show_var(spark.read.parquet(var), by=["BATCH"])
 
 
+def q_store_compaction(spark, d):
+    table, out = shared_path(spark, "dup-store"), shared_path(spark, "compact-store")
+    st = _store(spark, d)
+    append_scenarios(st, table)
+    append_scenarios(st.where(F.col("SCENARIO_ID") % 3 == 1), table)     # late redeliveries
+    return _show_scenarios(compact_store(spark, table, out))
+
+
 def _history(spark, d):
     return X.job_history_from_orders(spark, d)
 
@@ -347,6 +355,7 @@ QUERIES = {
     "message_ingest": q_message_ingest,
     "stream_var": q_stream_var,
     "stream_var_incremental": q_stream_var_incremental,
+    "store_compaction": q_store_compaction,
     "job_stage_inputs": q_job_stage_inputs,
     "job_stats": q_job_stats,
     "job_stats_latest": q_job_stats_latest,

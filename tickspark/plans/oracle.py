@@ -296,6 +296,7 @@ FROM closes""",
     "message_ingest": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte(K.STORE_BATCHES)} SELECT {SCEN_COLS} FROM scen",
     "stream_var": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte(K.STORE_BATCHES)} {_var('scen', 'BATCH')}",
     "stream_var_incremental": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte(K.STORE_BATCHES)} {_var('scen', 'BATCH')}",
+    "store_compaction": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte(K.STORE_BATCHES)} SELECT {SCEN_COLS} FROM scen",
     "job_stage_inputs": f"{_stage_inputs()} SELECT {_STATS_COLS} FROM inputs",
     "job_stats": f"{_stage_inputs()} SELECT {_STATS_COLS} FROM inputs ORDER BY creation_time DESC, job_id DESC LIMIT 4",
     "job_stats_latest": f"{_stage_inputs()} SELECT {_STATS_COLS} FROM inputs ORDER BY creation_time DESC, job_id DESC LIMIT 1",
