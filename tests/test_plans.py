@@ -127,3 +127,24 @@ def test_bucketed_ticks_need_no_shuffle(spark):
         assert "Exchange" not in a._jdf.queryExecution().executedPlan().toString()
         assert sorted(a.collect()) == sorted(b.collect())
     spark.sql("DROP TABLE tickspark_test_bucketed")
+
+
+def test_write_ticks_splits_a_hot_instrument_day(spark, tmp_shared):
+    import os
+    from tickspark.sources.tables import write_ticks
+    ticks = ticks_from_events(spark, SF01).where("Date_Time < '2024-01-02'")       # one day
+    hot = ticks.withColumn("RIC", F.when(F.col("Seq") % 10 < 8, F.lit("HOT.L")).otherwise(F.col("RIC")))
+    path = f"{tmp_shared}/hot"
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_ticks(hot, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    day = [d for d in os.listdir(path) if d.startswith("trade_date=")]
+    files = [f for f in os.listdir(f"{path}/{day[0]}") if f.endswith(".parquet")]
+    assert len(day) == 1 and len(files) > 1
+    stored = spark.read.parquet(path)
+    hot_files = stored.where("RIC = 'HOT.L'").select(F.input_file_name()).distinct().count()
+    assert hot_files > 1                                    # the hot instrument-day is split by time
+    assert stored.count() == hot.count()
