@@ -20,12 +20,16 @@ from tickspark.sources.messages import parse_messages
 
 
 def message_stream(spark: SparkSession, path: str | None = None, kafka_options: dict | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of raw messages: ``value`` (text) and ``arrival`` (timestamp)."""
+                   max_files_per_trigger: int | None = None, file_options: dict | None = None) -> DataFrame:
+    """Streaming frame of raw messages: ``value`` (text) and ``arrival`` (timestamp).
+
+    For a long-running file source, pass ``file_options={"cleanSource": "archive",
+    "sourceArchiveDir": ...}`` so processed files leave the input folder and
+    the per-trigger listing stays small."""
     if kafka_options:
         raw = spark.readStream.format("kafka").options(**kafka_options).load()
         return raw.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrival"))
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").options(**(file_options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(path)
