@@ -11,68 +11,18 @@ rows pack each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickspark.llm.common import column_texts, read_table, slices, written
+from tickspark.llm.wordbpe import WordBpe
 
 MAX_LENGTH = 4096
 END_ID = 2
-#: Words whose ids a task remembers (two generations of this many).
-REMEMBERED = 300_000
-#: Control characters that Python's split() takes for white space and the tokenizer does not.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
-
-
-class WordTokens:
-    """Token ids of whole texts, from the ids of their white-space separated words.
-
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are its words' ids in order; each distinct word is encoded once.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.new: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
-
-    def learn(self, words: set) -> None:
-        missing = []
-        for w in words:
-            if w not in self.new:
-                known = self.old.get(w)
-                if known is None:
-                    missing.append(w)
-                else:
-                    self.new[w] = known
-        if missing:
-            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            self.new.update(zip(missing, (tuple(e.ids) for e in found)))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        plain = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
-        self.learn(set(itertools.chain.from_iterable(w for w in plain if w)))
-        out = []
-        for t, words in zip(texts, plain):
-            if words is None:
-                ids = self.tokenizer.encode(t, add_special_tokens=False).ids
-            else:
-                ids = list(itertools.chain.from_iterable(map(self.new.__getitem__, words)))
-            out.append(np.array(ids, "<u4"))
-        return out
-
-
 def binary_lengths(total: int, longest: int = MAX_LENGTH) -> list[int]:
     """Power-of-two lengths, longest first, that add up to ``total``."""
     rest = total % longest
@@ -96,7 +46,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, seen = WordTokens(tokenizer_path), {}
+        tokens, seen = WordBpe(tokenizer_path), {}
         for batch in batches:
             texts, ids = column_texts(batch), batch.column(0).to_pylist()
             for lo, hi in slices(texts):
