@@ -10,11 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickspark.llm.common import read_table, written
+from tickspark.llm.decontam import decontamination_stage
 from tickspark.llm.langid import language_stage
+from tickspark.llm.minhash import near_duplicate_stage
 from tickspark.llm.packing import packing_stage
+from tickspark.llm.substring import substring_stage
 
 STAGES = [
     ("language_id", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("repeated_passages", substring_stage),
+    ("benchmark_leaks", decontamination_stage),
     ("packing", packing_stage),
 ]
 
