@@ -23,6 +23,8 @@ from tickspark.llm.wordbpe import WordBpe
 
 MAX_LENGTH = 4096
 END_ID = 2
+
+
 def binary_lengths(total: int, longest: int = MAX_LENGTH) -> list[int]:
     """Power-of-two lengths, longest first, that add up to ``total``."""
     rest = total % longest

@@ -248,9 +248,9 @@ def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = changed.select("doc_id", F.col("h1").alias("__h"), F.col("kept").cast("string").alias("__kept"))
     gone = rows.where("whole").select("doc_id", F.col("h1").alias("__h"), F.lit("").alias("__kept"))
     edits = written(cut.unionByName(gone).dropDuplicates(["doc_id", "__h"]), "rlz-edits")
-    joined = docs.withColumn("__h", F.xxhash64(text_or_empty())).join(
-        edits.withColumnRenamed("doc_id", "__id"), (F.col("doc_id") == F.col("__id"))
-        & (F.col("__h") == edits["__h"]), "left").where(F.coalesce(F.col("__kept") != "", F.lit(True)))
+    edits = edits.select(F.col("doc_id").alias("__id"), F.col("__h").alias("__hash"), "__kept")
+    joined = docs.join(edits, (F.col("doc_id") == F.col("__id")) & (F.xxhash64(text_or_empty()) == F.col("__hash")),
+                       "left").where(F.coalesce(F.col("__kept") != "", F.lit(True)))
     text = F.coalesce("__kept", "text").alias("text")
     size = F.when(F.col("__kept").isNotNull(), F.length("__kept").cast("bigint")).otherwise(F.col("n_chars"))
     return joined.select(*[text if c == "text" else size.alias(c) if c == "n_chars" else F.col(c)
