@@ -7,11 +7,10 @@ from tickspark.functions.filters import (
     market_model_flags,
     regular_trade,
     regular_trades,
-    for_symbol,
 )
-from tickspark.functions.scalars import safe_divide, lcg_normal, truncate_time
+from tickspark.functions.scalars import hashed_normal, lcg_normal, truncate_time
 
 __all__ = [
     "in_time_range", "in_instruments", "restrict_instruments", "market_model_flags", "regular_trade",
-    "regular_trades", "for_symbol", "safe_divide", "lcg_normal", "truncate_time",
+    "regular_trades", "hashed_normal", "lcg_normal", "truncate_time",
 ]

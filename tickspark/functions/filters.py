@@ -35,17 +35,17 @@ def market_model_flags(qualifiers="Qualifiers") -> Column:
     return F.right(F.regexp_extract(_c(qualifiers), QUALIFIER_PATTERN, 1), F.lit(FLAG_WIDTH))
 
 
-def in_time_range(ts="Date_Time", start=None, end=None) -> Column:
-    """Inclusive ``BETWEEN`` on a timestamp; string bounds are coerced to the
-    column's own timestamp type (so the predicate pushes into the scan)."""
-    col = _c(ts)
-    if start is not None and end is not None:
-        return col.between(F.lit(start), F.lit(end))
+def in_time_range(ts="Date_Time", start=None, end=None, end_open: bool = False) -> Column:
+    """``BETWEEN`` on a timestamp, inclusive (``end_open`` leaves the end out);
+    string bounds are coerced to the column's own timestamp type (so the
+    predicate pushes into the scan)."""
+    col, cond = _c(ts), F.lit(True)
     if start is not None:
-        return col >= F.lit(start)
+        cond = col >= F.lit(start)
     if end is not None:
-        return col <= F.lit(end)
-    return F.lit(True)
+        upto = col < F.lit(end) if end_open else col <= F.lit(end)
+        cond = upto if start is None else cond & upto
+    return cond
 
 
 def in_instruments(rics: Iterable[str] | str | None, ric="RIC") -> Column:
@@ -95,8 +95,3 @@ def regular_trades(ticks: DataFrame, start=None, end=None, rics=None,
         cond = cond & in_instruments(rics)          # cheap, pushable: before the regex
     out = ticks.where(cond & regular_trade())
     return restrict_instruments(out, rics) if isinstance(rics, DataFrame) else out
-
-
-def for_symbol(df: DataFrame, symbol: str, ric="RIC") -> DataFrame:
-    """Filter a result to one instrument."""
-    return df.where(_c(ric) == F.lit(symbol))

@@ -29,7 +29,9 @@ def _packed_key(df: DataFrame, order_cols: Sequence[str]):
         ts_t, seq_t = (df.schema[c].dataType for c in order_cols)
         if isinstance(ts_t, (T.TimestampType, T.TimestampNTZType)) and isinstance(seq_t, _INTEGRAL):
             micros = F.unix_micros(F.col(order_cols[0]).cast("timestamp")).cast(_DEC)
-            seq = F.col(order_cols[1]).cast(_DEC) + F.lit("9223372036854775808").cast(_DEC)
+            # a null sequence counts as the smallest, as it does under "ORDER BY ... DESC"
+            seq = (F.coalesce(F.col(order_cols[1]).cast(_DEC), F.lit("-9223372036854775808").cast(_DEC))
+                   + F.lit("9223372036854775808").cast(_DEC))
             return (micros * F.lit("100000000000000000000").cast(_DEC) + seq).cast(_DEC)
     return None
 
@@ -68,41 +70,40 @@ def daily_close(ticks: DataFrame, start=None, end=None, rics=None,
                   .select("RIC", day.alias("Date"), F.col("Price").cast("double").alias("Price")))
 
 
-# Above this many tickers the per-day row is built from a map instead of
-# one conditional aggregate per ticker.
-WIDE_ALIGN_MAX_TICKERS = 64
-
-
 def align_closes(closes: DataFrame, tickers: Sequence[str]) -> DataFrame:
-    """Align every ticker to the first ticker's trading days.
+    """Align every ticker to the first ticker's calendar.
 
     Result: one row per (listed ticker, day on which ``tickers[0]`` has a
-    close); a missing close is null, and days the first ticker lacks are
-    dropped.  One aggregate by day gathers the listed tickers' closes into
-    a single row (k values, k = portfolio size), days without the first
-    ticker are dropped, and the row is unpivoted back to long form - no
+    row); a missing or null close is null, and days the first ticker lacks
+    are dropped.  A day of the first ticker whose price is null stays in the
+    calendar, so the returns of that day and the next are both undefined.
+    Two closes of one ticker and day are an error.
+
+    One aggregate by day gathers the listed tickers' closes into a map (k
+    entries, k = portfolio size) that is unpivoted back to long form - no
     join, no cross join, and the closes are computed once.
     """
     tickers = list(dict.fromkeys(tickers))          # a repeated ticker is one column, order kept
     if not tickers:
         raise ValueError("at least one ticker is required")
-    listed = closes.where(F.col("RIC").isin(tickers))
-    if len(tickers) <= WIDE_ALIGN_MAX_TICKERS:
-        day = listed.groupBy("Date").agg(*[
-            F.max(F.when(F.col("RIC") == F.lit(t), F.col("Price"))).alias(f"p{i}")
-            for i, t in enumerate(tickers)])
-        cells = F.array(*[F.struct(F.lit(t).alias("RIC"), F.col(f"p{i}").alias("Price"))
-                          for i, t in enumerate(tickers)])
-        first = F.col("p0")
-    else:
-        day = listed.groupBy("Date").agg(
-            F.map_from_entries(F.collect_list(F.struct("RIC", "Price"))).alias("m"))
-        cells = F.transform(F.array(*[F.lit(t) for t in tickers]),
-                            lambda t: F.struct(t.alias("RIC"), F.try_element_at("m", t).alias("Price")))
-        first = F.try_element_at("m", F.lit(tickers[0]))
-    return (day.where(first.isNotNull())
-               .select("Date", F.inline(cells))
-               .select("RIC", "Date", F.col("Price").cast("double").alias("Price")))
+    rics = F.transform("entries", lambda e: e["RIC"])
+    twice = F.size("entries") > F.size(F.array_distinct(rics))
+    day = (closes.where(F.col("RIC").isin(tickers)).groupBy("Date")
+           .agg(F.collect_list(F.struct("RIC", F.col("Price").cast("double").alias("Price"))).alias("entries"))
+           .withColumn("m", F.when(twice, F.raise_error(F.concat(
+               F.lit("two closes of one instrument on "), F.col("Date").cast("string"))).cast("map<string,double>"))
+               .otherwise(F.map_from_entries("entries"))))
+    cells = F.transform(F.array(*[F.lit(t) for t in tickers]),
+                        lambda t: F.struct(t.alias("RIC"), F.try_element_at("m", t).alias("Price")))
+    return (day.where(F.map_contains_key("m", F.lit(tickers[0])))
+               .select("Date", F.inline(cells)).select("RIC", "Date", "Price"))
+
+
+def gappy_log_returns(aligned: DataFrame) -> DataFrame:
+    """``ln(p / previous p)`` on the aligned calendar; null where either close is missing."""
+    by_ric = Window.partitionBy("RIC").orderBy("Date")
+    return aligned.select("RIC", "Date", F.ln(F.try_divide(F.col("Price"), F.lag("Price").over(by_ric)))
+                          .alias("log_return"))
 
 
 def log_returns(aligned: DataFrame, tickers: Sequence[str]) -> DataFrame:
@@ -115,10 +116,7 @@ def log_returns(aligned: DataFrame, tickers: Sequence[str]) -> DataFrame:
     completeness count runs in a per-day window (k rows per day).
     """
     k = len(set(tickers))
-    by_ric = Window.partitionBy("RIC").orderBy("Date")
     by_day = Window.partitionBy("Date")
-    r = aligned.withColumn("log_return",
-                           F.ln(F.try_divide(F.col("Price"), F.lag("Price").over(by_ric))))
-    return (r.withColumn("_n", F.count("log_return").over(by_day))
-             .where(F.col("log_return").isNotNull() & (F.col("_n") == k))
-             .select("RIC", "Date", "log_return"))
+    return (gappy_log_returns(aligned).withColumn("_n", F.count("log_return").over(by_day))
+            .where(F.col("log_return").isNotNull() & (F.col("_n") == k))
+            .select("RIC", "Date", "log_return"))

@@ -1,245 +1,118 @@
 """Exact quantiles with linear interpolation, per group, at any size.
 
-``percentile`` is exact but keeps every value of a group in one task, so it
-is used only when the largest group is small.  Beyond that the rank is
-found by distributed selection: each pass counts the rows of every group
-in equal-width value buckets (a hash aggregate of ``groups x buckets``
-rows), keeps the buckets that hold the wanted ranks, and counts the rows
-below them.  A pass divides the candidate range by about ``BUCKETS``, so
-two or three passes leave a small bracket whose rows are ranked exactly
-with a per-group window.  Membership is decided by the recorded bucket
-numbers of every pass (not by re-derived float edges), so counts stay
-consistent and the result is exact.
+The wanted rank is found by narrowing an open interval of values per group.
+A round sketches the values inside each group's interval (``percentile_approx``
+at a fixed grid, a mergeable summary), takes the two split points around the
+wanted rank, counts exactly how many values lie below, on, between and above
+them, and keeps the part that holds the rank.  A part that is a single value
+settles its group; otherwise the part has fewer distinct values and, but for
+heavy ties, a few hundredths of the rows.  Once every interval holds at most
+``RANKED_ROWS`` values those are sorted and picked from.  The next higher value,
+needed to interpolate, comes from one more aggregate.
+
+Nothing but per-group rows is ever gathered, ties and infinities need no
+special case, and NaN counts as the largest value (as in Spark's ordering).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest group handed to the exact ``percentile`` aggregate.
-SMALL_GROUP_ROWS = 500_000
-# Rows per group we are willing to rank inside one bracket.
-BRACKET_ROWS = 200_000
-# Broadcast the per-group state table (about 100 bytes a row) only below
-# this many groups; above it the join shuffles (AQE splits skewed keys).
-BROADCAST_GROUPS = 200_000
-
-
-def _interpolate(lo_col, hi_col, frac_col):
-    return lo_col + (hi_col - lo_col) * frac_col
-
-
-def exact_quantile(df: DataFrame, col: str, q: float, by: Sequence[str] = (),
-                   small_group_rows: int = SMALL_GROUP_ROWS,
-                   bracket_rows: int = BRACKET_ROWS,
-                   value_range: tuple[float, float] | None = None) -> DataFrame:
+from tickspark.session import shared_path
+
+#: Values of a group's interval that one task may sort.
+RANKED_ROWS = 10_000
+#: Parts a round cuts an interval into, and the sketch's accuracy (rank error 1 / accuracy).
+GRID = 256
+ACCURACY = 10_000
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: computed once, lineage cut."""
+    path = shared_path(df.sparkSession, f"quantile-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _inside() -> Column:
+    x, lo, hi = F.col("_x"), F.col("lo"), F.col("hi")
+    return (lo.isNull() | (x > lo)) & (hi.isNull() | (x < hi))
+
+
+def _narrowed(values: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """One round for the groups of ``state`` that are neither settled nor small enough."""
+    wide = state.where(F.col("value").isNull() & (F.col("size") > RANKED_ROWS))
+    rest = state.where(F.col("value").isNotNull() | (F.col("size") <= RANKED_ROWS))
+    held = values.join(wide, keys).where(_inside())
+    grid = F.array(*[F.lit(i / GRID) for i in range(1, GRID)])
+    sketch = held.groupBy(*keys).agg(F.percentile_approx("_x", grid, ACCURACY).alias("s"))
+    cell = F.floor(F.col("rank") / F.col("size") * GRID).cast("int")
+    # the splits one grid step outside the wanted rank's cell
+    split = wide.join(sketch, keys).withColumn(
+        "s1", F.get("s", F.greatest(cell - 2, F.lit(0)))).withColumn(
+        "s2", F.get("s", F.least(cell + 1, F.lit(GRID - 2)))).drop("s")
+    split = _kept(split, "splits")
+    x, s1, s2 = F.col("_x"), F.col("s1"), F.col("s2")
+    count = lambda c: F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0))).cast("long")
+    parts = values.join(split, keys).where(_inside()).groupBy(*keys).agg(
+        count(x < s1).alias("c0"), count(x == s1).alias("c1"), count((x > s1) & (x < s2)).alias("c2"),
+        count((x == s2) & (s2 > s1)).alias("c3"), count(x > s2).alias("c4"))
+    r = F.col("rank")
+    ends = [F.lit(0).cast("long")]
+    for i in range(5):
+        ends.append(ends[-1] + F.col(f"c{i}"))
+
+    def by_part(*choices) -> Column:
+        out = F.when(r < ends[1], choices[0])
+        for i in range(1, 5):
+            out = out.when(r < ends[i + 1], choices[i])
+        return out
+
+    none = F.lit(None).cast("double")
+    lo, hi = F.col("lo"), F.col("hi")
+    moved = split.join(parts, keys).select(
+        *keys, "n", "r", "frac", by_part(*[r - e for e in ends[:5]]).alias("rank"),
+        by_part(*[F.col(f"c{i}") for i in range(5)]).alias("size"),
+        by_part(lo, lo, s1, lo, s2).alias("lo"), by_part(s1, hi, s2, hi, hi).alias("hi"),
+        by_part(none, s1, none, s2, none).alias("value"))
+    return rest.unionByName(moved)
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, by: Sequence[str] = ()) -> DataFrame:
     """``(by..., n, quantile)``: the ``q`` quantile of ``col`` per group, linear
     interpolation between ranks ``floor(q(n-1))`` and the next (as numpy's
-    default and SQL ``quantile_cont``).  Nulls are ignored.
-
-    ``value_range`` is an optional guess of where most values lie.  With it
-    the first pass counts buckets over that range directly (values outside
-    fall into the edge buckets, which keeps the order) and the separate
-    min / max / count pass is skipped.  The answer stays exact for any
-    guess; a poor one only costs an extra narrowing pass.
+    default and SQL ``quantile_cont``).  Nulls are ignored; a group without
+    values has no row.  The values are written once to the shared folder, and
+    a few aggregates run over them before this returns.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
-    by = list(by)
-    x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    keys = by or ["_g"]
-    xg = x if by else x.withColumn("_g", F.lit(0))
-    if value_range is not None and float(value_range[1]) > float(value_range[0]):
-        lo_h, hi_h = float(value_range[0]), float(value_range[1])
-        first = _materialize(
-            xg.groupBy(*keys, _bucket(F.col("_x"), F.lit(lo_h), F.lit(hi_h)).alias("k"))
-              .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
-        stats = _materialize(first.groupBy(*keys).agg(F.sum("c").alias("n"))
-                                  .select(*keys, "n", F.lit(lo_h).alias("lo0"), F.lit(hi_h).alias("hi0")))
-        local = getattr(stats, "_local_rows", None)
-        groups = len(local) if local is not None else stats.count()
-        result = _bracketed_quantile(xg, q, keys, stats, groups, bracket_rows, first_counts=first)
-        return result if by else result.drop("_g")
-    stats = _materialize(xg.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo0"),
-                                               F.max("_x").alias("hi0")))
-    local = getattr(stats, "_local_rows", None)
-    if local is not None:
-        max_n, groups = max((r["n"] for r in local), default=0), len(local)
-    else:
-        shape = stats.agg(F.max("n").alias("max_n"), F.count(F.lit(1)).alias("groups")).first()
-        max_n, groups = shape["max_n"] or 0, shape["groups"] or 0
-
-    if max_n <= small_group_rows:
-        return x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
-                                  F.percentile("_x", F.lit(q)).alias("quantile"))
-    result = _bracketed_quantile(xg, q, keys, stats, groups, bracket_rows)
-    return result if by else result.drop("_g")
-
-
-# Per-group tables up to this many rows are brought to the driver and
-# re-created locally (cuts lineage without a file round trip); larger
-# ones are checkpointed to the shared checkpoint folder.
-DRIVER_TABLE_ROWS = 10_000
-
-
-def _materialize(df: DataFrame, rows_bound: int | None = None) -> DataFrame:
-    """Compute a small per-group table once and cut its lineage.
-
-    With a known bound at most ``DRIVER_TABLE_ROWS`` the rows go to the
-    driver and come back as a local table.  With an unknown size the table
-    is persisted, probed, and then either brought to the driver or
-    checkpointed from the persisted copy (the aggregation runs once).
-    """
-    spark = df.sparkSession
-    if rows_bound is not None and rows_bound <= DRIVER_TABLE_ROWS:
-        return _local(spark, df.collect(), df)
-    from tickspark.session import checkpoint_root
-    checkpoint_root(spark)
-    if rows_bound is not None:
-        return df.checkpoint()
-    kept = df.persist()
-    try:
-        rows = kept.limit(DRIVER_TABLE_ROWS + 1).collect()
-        if len(rows) <= DRIVER_TABLE_ROWS:
-            return _local(spark, rows, df)
-        return kept.checkpoint()
-    finally:
-        kept.unpersist()
-
-
-def _local(spark, rows, like: DataFrame) -> DataFrame:
-    out = spark.createDataFrame(rows, like.schema)
-    out._local_rows = rows
-    return out
-
-
-BUCKETS = 2048
-MAX_PASSES = 8
-
-
-def _bucket(x, lo, hi, nb=BUCKETS):
-    """Bucket number of ``x`` in ``[lo, hi]`` split into ``nb`` equal parts;
-    values outside go to the edge buckets (clamped as longs, then narrowed
-    to int, so far-out values cannot overflow)."""
-    raw = F.floor((x - lo) / (hi - lo) * F.lit(nb))
-    clamped = F.least(F.greatest(raw, F.lit(0).cast("long")), F.lit(nb - 1).cast("long")).cast("int")
-    return F.when(hi <= lo, F.lit(0)).otherwise(clamped)
-
-
-def _select_buckets(state: DataFrame, counts: DataFrame, keys: list[str], level: int) -> DataFrame:
-    """Next bracket per group from its bucket counts (Spark path, many groups)."""
-    w = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    cum = counts.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
-    cum = cum.join(state.select(*keys, "r", "r2", "below"), keys) \
-             .withColumn("start", F.col("below") + F.col("before"))
-    hit = lambda rk: (F.col(rk) >= F.col("start")) & (F.col(rk) < F.col("start") + F.col("c"))
-    # Buckets from the one holding r to the one holding r2 (adjacent ranks).
-    a = cum.where(hit("r")).select(*keys, F.col("k").alias("a"), F.col("start").alias("new_below"))
-    b = cum.where(hit("r2")).select(*keys, F.col("k").alias("b"))
-    span = (cum.join(a, keys).join(b, keys).where(F.col("k").between(F.col("a"), F.col("b")))
-               .groupBy(*keys, "a", "b", "new_below")
-               .agg(F.sum("c").alias("new_inside"), F.min("mn").alias("nlo"), F.max("mx").alias("nhi")))
-    nxt = level + 1
-    return (state.join(span, keys)
-                 .select(*[c for c in state.columns if c not in ("below", "inside")],
-                         F.col("a").alias(f"a{level}"), F.col("b").alias(f"b{level}"),
-                         F.col("new_below").alias("below"), F.col("new_inside").alias("inside"),
-                         F.col("nlo").alias(f"lo{nxt}"), F.col("nhi").alias(f"hi{nxt}")))
-
-
-def _select_buckets_local(state: DataFrame, counts: DataFrame, keys: list[str], level: int) -> DataFrame:
-    """Same selection with pandas, for a bounded (groups x buckets) count table."""
-    spark = state.sparkSession
-    st, ct = state.toPandas(), counts.toPandas()
-    ct = ct.sort_values(keys + ["k"])
-    ct["before"] = ct.groupby(keys)["c"].cumsum() - ct["c"]
-    m = ct.merge(st[keys + ["r", "r2", "below"]], on=keys)
-    m["start"] = m["below"] + m["before"]
-    hit = lambda rk: (m[rk] >= m["start"]) & (m[rk] < m["start"] + m["c"])
-    a = m.loc[hit("r"), keys + ["k", "start"]].rename(columns={"k": "a", "start": "new_below"})
-    b = m.loc[hit("r2"), keys + ["k"]].rename(columns={"k": "b"})
-    sp = m.merge(a, on=keys).merge(b, on=keys)
-    sp = sp[(sp["k"] >= sp["a"]) & (sp["k"] <= sp["b"])]
-    span = sp.groupby(keys + ["a", "b", "new_below"], as_index=False).agg(
-        new_inside=("c", "sum"), nlo=("mn", "min"), nhi=("mx", "max"))
-    nxt = level + 1
-    out = st.drop(columns=["below", "inside"]).merge(span, on=keys)
-    out = out.rename(columns={"a": f"a{level}", "b": f"b{level}", "new_below": "below",
-                              "new_inside": "inside", "nlo": f"lo{nxt}", "nhi": f"hi{nxt}"})
-    base = [c for c in state.columns if c not in ("below", "inside")]
-    cols = base + [f"a{level}", f"b{level}", "below", "inside", f"lo{nxt}", f"hi{nxt}"]
-    from pyspark.sql import types as T
-    fields = [state.schema[c] for c in base] + [
-        T.StructField(f"a{level}", T.IntegerType()), T.StructField(f"b{level}", T.IntegerType()),
-        T.StructField("below", T.LongType()), T.StructField("inside", T.LongType()),
-        T.StructField(f"lo{nxt}", T.DoubleType()), T.StructField(f"hi{nxt}", T.DoubleType())]
-    out = out[cols].astype({f"a{level}": "int32", f"b{level}": "int32", "below": "int64", "inside": "int64"})
-    res = spark.createDataFrame(out, T.StructType(fields))
-    res._local_rows = out.to_dict("records")
-    return res
-
-
-def _bracketed_quantile(x: DataFrame, q: float, keys: list[str], stats: DataFrame, groups: int,
-                        bracket_rows: int, first_counts: DataFrame | None = None) -> DataFrame:
-    pos = F.lit(q) * (F.col("n") - 1)
-    # Per-group state: wanted ranks r and r2, rows below the bracket, rows
-    # inside it, and the bracket's value range (actual min / max inside).
-    state = _materialize(stats.select(
-        *keys, "n", F.floor(pos).cast("long").alias("r"),
-        F.least(F.floor(pos).cast("long") + 1, F.col("n") - 1).alias("r2"),
-        (pos - F.floor(pos)).alias("frac"),
-        F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), "lo0", "hi0"), groups)
-
-    def side(b: DataFrame) -> DataFrame:
-        # One row per group: broadcast only while the group count is bounded.
-        return F.broadcast(b) if groups <= BROADCAST_GROUPS else b
-
-    def member(level: int):
-        cond = F.lit(True)
-        for i in range(level):
-            b = _bucket(F.col("_x"), F.col(f"lo{i}"), F.col(f"hi{i}"))
-            cond = cond & b.between(F.col(f"a{i}"), F.col(f"b{i}"))
-        return cond
-
-    level = 0
-    while level < MAX_PASSES:
-        # Only groups whose bracket still spans more than one value can narrow.
-        local = getattr(state, "_local_rows", None)
-        if local is not None:
-            m = max((r["inside"] for r in local if r[f"hi{level}"] > r[f"lo{level}"]), default=0)
-        else:
-            m = state.agg(F.max(F.when(F.col(f"hi{level}") > F.col(f"lo{level}"), F.col("inside")))
-                          .alias("m")).first()["m"] or 0
-        if m <= bracket_rows:
-            break
-        if level == 0 and first_counts is not None:
-            counts = first_counts                       # counted with the caller's range guess
-        else:
-            j = x.join(side(state), keys).where(member(level))
-            counts = _materialize(
-                j.groupBy(*keys, _bucket(F.col("_x"), F.col(f"lo{level}"), F.col(f"hi{level}")).alias("k"))
-                 .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")),
-                groups * BUCKETS)
-        nxt = level + 1
-        if groups * BUCKETS <= DRIVER_TABLE_ROWS * 100:
-            state = _select_buckets_local(state, counts, keys, level)
-        else:
-            state = _materialize(_select_buckets(state, counts, keys, level), groups)
-        level = nxt
-
-    # Groups whose bracket holds a single value need no ranking.
-    flat = state.where(F.col(f"lo{level}") == F.col(f"hi{level}")) \
-                .select(*keys, "n", F.col(f"lo{level}").alias("quantile"))
-    rest = state.where(F.col(f"lo{level}") < F.col(f"hi{level}"))
-    inside = x.join(side(rest), keys).where(member(level))
-    wr = Window.partitionBy(*keys).orderBy("_x")
-    rank = F.row_number().over(wr) - 1 + F.col("below")
-    picked = (inside.select(*keys, "n", "r", "r2", "frac", "_x", rank.alias("rank"))
-                    .where((F.col("rank") == F.col("r")) | (F.col("rank") == F.col("r2"))))
-    ranked = (picked.groupBy(*keys, "n", "frac")
-                    .agg(F.min("_x").alias("x_lo"), F.max("_x").alias("x_hi"))
-                    .select(*keys, "n", _interpolate(F.col("x_lo"), F.col("x_hi"), F.col("frac")).alias("quantile")))
-    return ranked.unionByName(flat)
+    names = list(by)
+    keys = [f"_k{i}" for i in range(len(names))] or ["_k"]
+    # null keys are groups of their own: they are matched as a flag and a value
+    packed = [F.struct(F.col(c)).alias(k) for c, k in zip(names, keys)] or [F.lit(0).alias("_k")]
+    values = _kept(df.select(*packed, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull()), "values")
+    none = F.lit(None).cast("double")
+    at = F.lit(q) * (F.col("n") - 1)
+    state = _kept(values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
+        *keys, "n", F.floor(at).cast("long").alias("r"), (at - F.floor(at)).alias("frac"),
+        F.floor(at).cast("long").alias("rank"), F.col("n").alias("size"), none.alias("lo"), none.alias("hi"),
+        none.alias("value")), "state")
+    while state.where(F.col("value").isNull() & (F.col("size") > RANKED_ROWS)).limit(1).count():
+        state = _kept(_narrowed(values, state, keys), "state")
+    # at most RANKED_ROWS values of a group are gathered here
+    ranked = (values.join(state.where("value is null"), keys).where(_inside()).groupBy(*keys, "rank")
+              .agg(F.sort_array(F.collect_list("_x")).alias("v"))
+              .select(*keys, F.get("v", F.col("rank").cast("int")).alias("picked")))
+    found = state.join(ranked, keys, "left").select(
+        *keys, "n", "r", "frac", F.coalesce("value", "picked").alias("x1"))
+    after = values.join(found, keys).groupBy(*keys, "n", "r", "frac", "x1").agg(
+        F.sum(F.when(F.col("_x") <= F.col("x1"), 1).otherwise(0)).alias("upto"),
+        F.min(F.when(F.col("_x") > F.col("x1"), F.col("_x"))).alias("above"))
+    second = F.when(F.col("upto") > F.col("r") + 1, F.col("x1")).otherwise(F.coalesce("above", "x1"))
+    quantile = F.when((F.col("frac") == 0) | (second == F.col("x1")), F.col("x1")).otherwise(
+        F.col("x1") + (second - F.col("x1")) * F.col("frac"))
+    return after.select(*[F.col(f"{k}.{c}").alias(c) for c, k in zip(names, keys)], "n", quantile.alias("quantile"))

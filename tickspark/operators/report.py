@@ -18,6 +18,14 @@ from pyspark.sql import types as T
 # The prompt's wording and the generation result columns.
 PROMPT_HEAD = ("From the following trading information, make an executive summary comparing vwap, "
                "volume and number of trades over 2 days. Always mention the company legal name based on the RIC:")
+PROMPT_PARTS = [
+    (" vwap day one:", "VWAP", 1),
+    (" vwap day 2", "VWAP", 2),
+    (" total trades day one", "NumTrades", 1),
+    (" trades day 2:", "NumTrades", 2),
+    ("total volume day one: ", "TotalVolume", 1),
+    (" total volume day 2:", "TotalVolume", 2),
+]
 LLM_RESULT = "ml_generate_text_llm_result"
 RAI_RESULT = "ml_generate_text_rai_result"
 STATUS = "ml_generate_text_status"
@@ -29,16 +37,15 @@ def _sfx(d) -> str:
 
 
 def report_prompt(pivoted: DataFrame, day_one, day_two) -> DataFrame:
-    """``prompt`` column built from a pivot row; null when any part is null."""
+    """``prompt`` column built from a pivot row; null when any part is null.
+
+    Prices print as decimals with three digits, never in exponent form."""
     d1, d2 = _sfx(day_one), _sfx(day_two)
-    s = lambda c: F.col(c).cast("string")
-    prompt = F.concat(
-        F.lit(PROMPT_HEAD), F.col("RIC"),
-        F.lit(" vwap day one:"), s(f"VWAP_{d1}"), F.lit(" vwap day 2"), s(f"VWAP_{d2}"),
-        F.lit(" total trades day one"), s(f"NumTrades_{d1}"), F.lit(" trades day 2:"), s(f"NumTrades_{d2}"),
-        F.lit("total volume day one: "), s(f"TotalVolume_{d1}"), F.lit(" total volume day 2:"),
-        s(f"TotalVolume_{d2}"))
-    return pivoted.select(prompt.alias("prompt"), *[F.col(c) for c in pivoted.columns])
+    number = {"VWAP": "decimal(38,3)", "NumTrades": "decimal(38,0)", "TotalVolume": "decimal(38,0)"}
+    parts = [F.lit(PROMPT_HEAD), F.col("RIC")]
+    for words, measure, day in PROMPT_PARTS:
+        parts += [F.lit(words), F.col(f"{measure}_{d1 if day == 1 else d2}").cast(number[measure]).cast("string")]
+    return pivoted.select(F.concat(*parts).alias("prompt"), *[F.col(c) for c in pivoted.columns])
 
 
 class EchoClient:

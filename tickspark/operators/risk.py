@@ -9,6 +9,7 @@ exact, distributed quantile (``tickspark.operators.quantile``).
 from __future__ import annotations
 
 import math
+import secrets
 from collections.abc import Sequence
 
 import numpy as np
@@ -16,17 +17,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.functions.scalars import lcg_normal
+from tickspark.functions.scalars import hashed_normal, lcg_normal
 from tickspark.operators.quantile import exact_quantile
 from tickspark.schemas import SCENARIO_COLUMNS
-from tickspark.session import default_parallelism
 
-# Above this many tickers the covariance switches from one aggregate with
-# k(k+1)/2 ``covar_samp`` columns to per-partition Gram matrices.
-WIDE_COVARIANCE_MAX_TICKERS = 64
-# Upper bound on partial Gram cells (partitions x k^2 / 2) sent to the
-# final shuffle; the day vectors are coalesced to stay under it.
-GRAM_CELLS_BUDGET = 50_000_000
+# Tickers of a covariance block, and calendar days of a block's rows: one task holds at most
+# two blocks' columns of one chunk (2 x 512 x 4096 doubles).
+BLOCK_TICKERS = 512
+BLOCK_DAYS = 4096
 
 
 def equal_weights(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
@@ -65,77 +63,69 @@ def expected_return(returns: DataFrame, weights: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("mean_return") * F.col("weight")).alias("expected_return")))
 
 
-def _wide_returns(returns: DataFrame, tickers: Sequence[str]) -> DataFrame:
-    """One row per day, one column ``r<i>`` per ticker (conditional aggregates)."""
-    return returns.groupBy("Date").agg(*[
-        F.max(F.when(F.col("RIC") == F.lit(t), F.col("log_return"))).alias(f"r{i}")
-        for i, t in enumerate(tickers)])
-
-
 def covariance(returns: DataFrame, tickers: Sequence[str]) -> DataFrame:
     """Sample covariance of every ticker pair: ``(RIC_i, RIC_j, covariance)``.
 
-    Up to ``WIDE_COVARIANCE_MAX_TICKERS`` tickers: each day becomes one wide
-    row and a single global aggregate evaluates ``covar_samp`` for i <= j
-    (partial aggregation per partition, no pair rows).  Beyond that, each
-    partition folds its days into a Gram matrix with numpy and the k x k
-    partial sums are added up by key.
+    A pair's covariance is taken over the days on which both have a return
+    (all days, after ``log_returns``); with fewer than two it is null.
+
+    Returns are centred on each ticker's mean, tickers are cut into blocks,
+    and every pair of blocks and chunk of days is one task's matrix product
+    (sums, counts and cross products per pair).  The chunks are then added
+    per block pair, so no task holds more than two blocks, whatever k is.
     """
     tickers = list(dict.fromkeys(tickers))
-    if len(tickers) > WIDE_COVARIANCE_MAX_TICKERS:
-        return _covariance_gram(returns, tickers)
-    wide = _wide_returns(returns, tickers)
-    k = len(tickers)
-    aggs = [F.covar_samp(f"r{i}", f"r{j}").alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
-    cov = wide.agg(*aggs)
-    cells = []
-    for i in range(k):
-        for j in range(k):
-            a, b = min(i, j), max(i, j)
-            cells.append(F.struct(F.lit(tickers[i]).alias("RIC_i"), F.lit(tickers[j]).alias("RIC_j"),
-                                  F.col(f"c{a}_{b}").alias("covariance")))
-    return cov.select(F.inline(F.array(*cells)))
-
-
-def _covariance_gram(returns: DataFrame, tickers: list[str]) -> DataFrame:
-    spark = returns.sparkSession
-    k = len(tickers)
+    spark, k = returns.sparkSession, len(tickers)
+    # k rows, k = the length of the given list
     index = F.broadcast(spark.createDataFrame(list(enumerate(tickers)), "i int, RIC string"))
-    # Day vectors ordered by ticker index (every kept day has all k returns).
-    days = (returns.join(index, "RIC").groupBy("Date")
-                   .agg(F.sort_array(F.collect_list(F.struct("i", "log_return"))).alias("v"))
-                   .select(F.transform("v", lambda e: e["log_return"]).alias("x")))
-
-    def gram(batches):
-        n, s, g = 0, np.zeros(k), np.zeros((k, k))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            xm = np.vstack(pdf["x"].to_numpy())
-            n += xm.shape[0]
-            s += xm.sum(axis=0)
-            g += xm.T @ xm
-        if n == 0:
-            return
-        ii, jj = np.triu_indices(k)
-        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": n,
-                            "sx": s[ii], "sy": s[jj], "sxy": g[ii, jj]})
-
-    # Days are few (one row per calendar day) but each partition emits a
-    # k x k triangle: fold them into few enough partitions to bound that.
-    days = days.coalesce(max(1, GRAM_CELLS_BUDGET // (k * k)))
-    parts = days.mapInPandas(gram, "i int, j int, n long, sx double, sy double, sxy double")
-    tot = parts.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"),
-                                      F.sum("sy").alias("sy"), F.sum("sxy").alias("sxy"))
-    cov = tot.select(F.col("i").alias("ci"), F.col("j").alias("cj"),
-                     F.when(F.col("n") > 1, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n"))
-                            / (F.col("n") - 1)).alias("covariance"))
-    # Full k x k grid (generated from the index, not joined), upper triangle mirrored.
-    grid = index.select(F.col("i"), F.col("RIC").alias("RIC_i"),
-                        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"))
-    rj = index.select(F.col("i").alias("j"), F.col("RIC").alias("RIC_j"))
-    cells = grid.join(rj, "j").withColumn("ci", F.least("i", "j")).withColumn("cj", F.greatest("i", "j"))
-    return cells.join(cov, ["ci", "cj"], "left").select("RIC_i", "RIC_j", "covariance")
+    blocks = -(-k // BLOCK_TICKERS)
+    rows = returns.select("RIC", "Date", F.col("log_return").cast("double").alias("x")).where("x is not null")
+    means = rows.groupBy("RIC").agg(F.avg("x").alias("mean")).join(index, "RIC")
+    own = F.floor(F.col("i") / BLOCK_TICKERS).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)),
+                        lambda o: F.struct(F.least(own, o).alias("a"), F.greatest(own, o).alias("b")))
+    placed = (rows.join(F.broadcast(means), "RIC")
+              .select("i", "Date", (F.col("x") - F.col("mean")).alias("x"),
+                      F.floor(F.datediff("Date", F.lit("1970-01-01").cast("date")) / BLOCK_DAYS).alias("chunk"),
+                      F.explode(pairs).alias("pair"))
+              .select("i", "Date", "x", "chunk", "pair.a", "pair.b"))
+
+    def products(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(key[0]), int(key[1])
+        day = np.unique(pdf["Date"].astype("datetime64[ns]").to_numpy(), return_inverse=True)[1]
+
+        def side(block: int) -> np.ndarray:
+            m = np.full((day.max() + 1, min(BLOCK_TICKERS, k - block * BLOCK_TICKERS)), np.nan)
+            local = pdf["i"].to_numpy() - block * BLOCK_TICKERS
+            inside = (local >= 0) & (local < m.shape[1])
+            m[day[inside], local[inside]] = pdf["x"].to_numpy()[inside]
+            return m
+
+        x, y = side(a), side(b)
+        there_x, there_y = ~np.isnan(x), ~np.isnan(y)
+        x, y = np.where(there_x, x, 0.0), np.where(there_y, y, 0.0)
+        tx, ty = there_x.astype(float), there_y.astype(float)
+        sums = np.stack([tx.T @ ty, x.T @ ty, tx.T @ y, x.T @ y])
+        return pd.DataFrame({"a": [a], "b": [b], "sums": [sums.tobytes()]})
+
+    def cells(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(key[0]), int(key[1])
+        shape = [min(BLOCK_TICKERS, k - q * BLOCK_TICKERS) for q in (a, b)]
+        n, sx, sy, sxy = np.sum([np.frombuffer(s).reshape(4, *shape) for s in sorted(pdf["sums"])], axis=0)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            cov = np.where(n > 1, (sxy - sx * sy / n) / (n - 1), np.nan)
+        i, j = np.meshgrid(*[np.arange(w) + q * BLOCK_TICKERS for w, q in zip(shape, (a, b))], indexing="ij")
+        out = pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "covariance": cov.ravel()})
+        if a != b:
+            out = pd.concat([out, out.rename(columns={"i": "j", "j": "i"})])
+        return out
+
+    sums = placed.groupBy("a", "b", "chunk").applyInPandas(products, "a int, b int, sums binary")
+    found = sums.groupBy("a", "b").applyInPandas(cells, "i int, j int, covariance double")
+    grid = index.select("i", F.col("RIC").alias("RIC_i"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"))
+    named = grid.join(F.broadcast(index.select(F.col("i").alias("j"), F.col("RIC").alias("RIC_j"))), "j")
+    return (named.join(found, ["i", "j"], "left")
+            .select("RIC_i", "RIC_j", F.nanvl("covariance", F.lit(None).cast("double")).alias("covariance")))
 
 
 def portfolio_std(cov: DataFrame, weights: DataFrame) -> DataFrame:
@@ -152,14 +142,20 @@ def portfolio_returns(returns: DataFrame, weights: DataFrame) -> DataFrame:
                    .agg(F.sum(F.col("weight") * F.col("log_return")).alias("portfolio_return")))
 
 
-def portfolio_moments(returns: DataFrame, weights: DataFrame) -> DataFrame:
+def portfolio_moments(returns: DataFrame, weights: DataFrame, tickers: int | None = None) -> DataFrame:
     """One pass, no k x k matrix: ``(n_days, expected_return, portfolio_std)``.
 
-    Every kept day has all k returns, so the mean of the daily portfolio
+    Only days with all k returns count, so the mean of the daily portfolio
     return equals ``sum_i w_i mean_i`` and its sample standard deviation
-    equals ``sqrt(w' S w)``.  With fewer than two days the deviation is null.
+    equals ``sqrt(w' S w)``.  ``returns`` holds such days only
+    (``log_returns``), or, with the number of ``tickers``, may have gaps
+    (``gappy_log_returns``): one aggregate by day then does both, without
+    sorting.  With fewer than two days the deviation is null.
     """
-    pr = portfolio_returns(returns, weights)
+    pr = portfolio_returns(returns, weights) if tickers is None else (
+        returns.join(weights, "RIC").groupBy("Date")
+        .agg(F.sum(F.col("weight") * F.col("log_return")).alias("portfolio_return"),
+             F.count("log_return").alias("n")).where(F.col("n") == tickers))
     return pr.agg(F.count("portfolio_return").alias("n_days"),
                   F.avg("portfolio_return").alias("expected_return"),
                   F.stddev_samp("portfolio_return").alias("portfolio_std"))
@@ -179,20 +175,18 @@ def scenarios(spark: SparkSession, mu, sigma, n: int, tasks: int = 1, days: int
     """``n * tasks`` scenario rows in the result-table schema.
 
     Scenario ids ``1..n*tasks`` are split over partitions by ``spark.range``;
-    task ``t`` owns ids ``t*n+1..(t+1)*n``.  ``mode='randn'`` draws
-    ``randn(seed)`` (reproducible for a fixed partition count);
-    ``mode='lcg'`` draws a pure function of the id (engine independent).
+    task ``t`` owns ids ``t*n+1..(t+1)*n``.  Draws are functions of the id
+    (and seed) alone, so neither the number of cores nor of partitions
+    changes a row: ``mode='randn'`` hashes (seed, id) into a normal draw (a
+    fresh seed if none is given), ``mode='lcg'`` is engine independent.
     ``mu`` and ``sigma`` are scalars (see ``moments_scalars``).
     """
     total = int(n) * int(tasks)
-    # Enough partitions to use every core, few enough that a task draws at
-    # least ~50k scenarios; about 5M scenarios per partition at the top end.
-    parts = num_partitions or max(1, min(total // 50_000 + 1,
-                                         max(default_parallelism(spark),
-                                             -(-total // 5_000_000))))
+    # about 5M scenarios per partition at the top end, 50k at least
+    parts = num_partitions or max(1, min(total // 50_000 + 1, max(64, -(-total // 5_000_000))))
     ids = spark.range(1, total + 1, 1, parts)
     if mode == "randn":
-        z = F.randn(seed) if seed is not None else F.randn()
+        z = hashed_normal("id", seed if seed is not None else secrets.randbits(62))
     elif mode == "lcg":
         z = lcg_normal("id")
     else:
@@ -219,27 +213,13 @@ def moments_scalars(moments: DataFrame) -> tuple[float | None, float | None]:
     return row["expected_return"], row["portfolio_std"]
 
 
-def scenario_value_range(mu, sigma, portfolio_value: float, days: int, width: float = 10.0):
-    """Where scenario gains lie: mean +/- ``width`` standard deviations of
-    ``PV*mu*days + PV*sigma*z*sqrt(days)``; None without moments."""
-    if mu is None or sigma is None or not sigma > 0:
-        return None
-    center = portfolio_value * mu * days
-    spread = width * portfolio_value * sigma * math.sqrt(days)
-    return center - spread, center + spread
-
-
 def value_at_risk(scen: DataFrame, confidence: float = 0.99, by: Sequence[str] = (),
-                  col: str = "RETURN", q: float | None = None,
-                  value_range: tuple[float, float] | None = None) -> DataFrame:
+                  col: str = "RETURN", q: float | None = None) -> DataFrame:
     """``-percentile(gains, 1 - confidence)`` with linear interpolation, per
     group: ``(by..., n, VaR)``.  Pass ``q`` to give the lower-tail fraction
-    exactly (``1 - 0.99`` is not 0.01 in floating point).  ``value_range``
-    (for example ``scenario_value_range(...)``) saves one pass over large
-    scenario sets (it skips the small-set ``percentile`` path, so leave it
-    out below ``SMALL_GROUP_ROWS``); the result is exact with or without it."""
+    exactly (``1 - 0.99`` is not 0.01 in floating point)."""
     qq = q if q is not None else round(1.0 - confidence, 12)
-    out = exact_quantile(scen, col, qq, by, value_range=value_range)
+    out = exact_quantile(scen, col, qq, by)
     return out.select(*by, "n", (-F.col("quantile")).alias("VaR"))
 
 
@@ -280,10 +260,10 @@ def histogram(scen: DataFrame, bins: int = 50, col: str = "RETURN") -> DataFrame
 
 
 def var_from_store(spark: SparkSession, table: str, confidence: float = 0.99, by: Sequence[str] = ("BATCH",),
-                   q: float | None = None, value_range: tuple[float, float] | None = None) -> DataFrame:
+                   q: float | None = None) -> DataFrame:
     """VaR per batch over a stored result table (catalog name or path):
     ``(BATCH, n, VaR)``.  Only ``BATCH`` and ``RETURN`` are read; a table
     partitioned by ``BATCH`` prunes to the batches a filter selects."""
-    from tickspark.sources.tables import read_table
-    store = read_table(spark, table).select(*by, "RETURN")
-    return value_at_risk(store, confidence, by=list(by), q=q, value_range=value_range)
+    from tickspark.sources.files import read_store
+    store = read_store(spark, table).select(*by, "RETURN")
+    return value_at_risk(store, confidence, by=list(by), q=q)

@@ -20,16 +20,17 @@ from tickspark.operators import jobstats as J
 from tickspark.operators import report as G
 from tickspark.operators import risk as R
 from tickspark.operators import summary as S
-from tickspark.plans.var_job import history_range
+from tickspark.plans.report_job import run_report
+from tickspark.plans.var_job import history_range, run_var
 from tickspark.schemas import SCENARIO_COLUMNS
 from tickspark.session import shared_path
 from tickspark.sources import fixtures as X
-from tickspark.sources.files import append_scenarios, load_scenarios, write_scenarios_csv
-from tickspark.sources.messages import read_messages, write_scenario_messages
-from tickspark.sources.tables import read_daily_close, register_view
-from tickspark.streaming.ingest import ingest_messages
-from tickspark.streaming.ingest import compact_store, deduplicated, message_stream
-from tickspark.streaming.running_var import running_var, stream_var_exact
+from tickspark.sources.files import append_scenarios, load_scenarios, read_store, write_scenarios_csv
+from tickspark.sources.messages import parse_messages, read_messages, write_scenario_messages
+from tickspark.sources.tables import (read_daily_close, read_job_history, read_l2, read_ticks, register_view,
+                                      write_ticks)
+from tickspark.streaming.ingest import compact_store, ingest_messages, ingested, message_stream
+from tickspark.streaming.running_var import read_var, running_var, stream_var_exact
 
 # ---- fixed parameters of the registered queries ----------------------------
 RICS = ["AAA.L", "BBB.L", "CCC.L", "DDD.L"]          # instrument list (DDD.L has no rows)
@@ -51,20 +52,25 @@ JOBS_SINCE = "1996-01-01"
 AS_OF = dt.datetime(2024, 1, 31)
 YEARS = 20
 START_DATE, END_DATE = history_range(AS_OF, YEARS)
-N_SCENARIOS = 10_000
+SUPPLIERS = [f"S{i}" for i in range(1, 121)]          # wide portfolio (some may have no rows)
 DAYS = 20
 PORTFOLIO_VALUE = 1_000_000.0
 VAR_Q = 0.01                                          # 1 - confidence, given exactly
 HIST_BINS = 80
 STORE_BATCHES = [("B20", 20), ("B9", 9)]              # (batch, horizon days) in the store
 
-STATE_PARTITIONS = 8                                  # streaming state partitions for the test sizes
+LATE_BATCH = "007"                                    # a batch id that is not a number
 MONEY_DIGITS = 4
 MOMENT_DIGITS = 10
 
 
 def _ticks(spark, d):
-    return X.ticks_from_events(spark, d)
+    return read_ticks(spark, X.ticks_from_events(spark, d))
+
+
+def _scenario_count(spark, d):
+    """As many scenarios as the tick table has rows: the work grows with the table."""
+    return _ticks(spark, d).count()
 
 
 def _portfolio_closes(spark, d):
@@ -89,7 +95,7 @@ def _moments(spark, d):
 
 def _scenarios(spark, d, batch="B20", days=DAYS, moments=None):
     mu, sigma = moments or R.moments_scalars(_moments(spark, d))
-    return R.scenarios(spark, mu, sigma, N_SCENARIOS, 1, days, PORTFOLIO_VALUE, mode="lcg",
+    return R.scenarios(spark, mu, sigma, _scenario_count(spark, d), 1, days, PORTFOLIO_VALUE, mode="lcg",
                        batch=batch, venue="LSE", portfolio=",".join(PORTFOLIO),
                        start_date=START_DATE, end_date=END_DATE)
 
@@ -125,6 +131,11 @@ def q_regular_trades(spark, d):
     return regular_trades(_ticks(spark, d))
 
 
+def q_trades_half_open(spark, d):
+    return read_ticks(spark, X.ticks_from_events(spark, d), "2024-01-15 12:00:00", "2024-01-16 00:00:00", RICS,
+                      end_open=True)
+
+
 def q_vwap_summary_hour(spark, d):
     return S.trade_summary(_ticks(spark, d), *RANGE_HOUR, rics=RICS)
 
@@ -168,14 +179,14 @@ def _bars(name):
     unit, start, end = BARS[name]
 
     def q(spark, d):
-        return B.bid_bars(X.l2_from_events(spark, d), unit, start, end)
+        return B.bid_bars(read_l2(spark, X.l2_from_events(spark, d)), unit, start, end)
     q.__name__ = f"q_{name}"
     return q
 
 
 def q_bid_bars_preview(spark, d):
     unit, start, end = BARS["bid_bars_minute"]
-    return B.bid_bars(X.l2_from_events(spark, d), unit, start, end, preview=BAR_PREVIEW)
+    return B.bid_bars(read_l2(spark, X.l2_from_events(spark, d)), unit, start, end, preview=BAR_PREVIEW)
 
 
 def q_daily_close(spark, d):
@@ -199,6 +210,14 @@ def q_log_returns(spark, d):
     return _round_cols(_brand_returns(spark, d), {"log_return"}, 12)
 
 
+def q_aligned_closes_nulls(spark, d):
+    return C.align_closes(X.gappy_close_from_lineitem(spark, d, BRANDS[0]), BRANDS)
+
+
+def q_log_returns_nulls(spark, d):
+    return _round_cols(C.log_returns(q_aligned_closes_nulls(spark, d), BRANDS), {"log_return"}, 12)
+
+
 def q_expected_return(spark, d):
     out = R.expected_return(_brand_returns(spark, d), R.equal_weights(spark, BRANDS))
     return _round_cols(out, {"expected_return"})
@@ -208,6 +227,12 @@ def q_covariance(spark, d):
     return _round_cols(R.covariance(_brand_returns(spark, d), BRANDS), {"covariance"}, 12)
 
 
+def q_covariance_wide(spark, d):
+    closes = X.monthly_close_from_suppliers(spark, d)
+    rets = C.gappy_log_returns(C.align_closes(closes, SUPPLIERS))
+    return _round_cols(R.covariance(rets, SUPPLIERS), {"covariance"}, 9)
+
+
 def q_portfolio_std(spark, d):
     cov = R.covariance(_brand_returns(spark, d), BRANDS)
     return _round_cols(R.portfolio_std(cov, R.equal_weights(spark, BRANDS)), {"portfolio_std"})
@@ -234,6 +259,49 @@ def q_value_at_risk(spark, d):
     return _show_var(R.value_at_risk(_scenarios(spark, d), q=VAR_Q))
 
 
+def q_brand_var(spark, d):
+    """Historical one-day VaR of every brand over all its closes."""
+    rets = C.gappy_log_returns(_brand_closes(spark, d))
+    return _round_cols(R.value_at_risk(rets, by=["RIC"], col="log_return", q=VAR_Q), {"VaR"})
+
+
+def q_price_quantile(spark, d):
+    """The exact lower 1 % price over every line item (one group of the whole table)."""
+    ticks = X.ticks_from_lineitem(spark, d)
+    return _round_cols(R.value_at_risk(ticks, col="Price", q=VAR_Q), {"VaR"})
+
+
+def q_var_job(spark, d):
+    """The whole job through ``run_var``: closes, moments, scenarios into a store, VaR."""
+    table = shared_path(spark, "var-job")
+    run = run_var(spark, _ticks(spark, d), PORTFOLIO, AS_OF, years=YEARS, days=DAYS, n=_scenario_count(spark, d),
+                  portfolio_value=PORTFOLIO_VALUE, mode="lcg", batch="B20", q=VAR_Q,
+                  sink=lambda df: append_scenarios(df, table))
+    stored = read_store(spark, table).groupBy("BATCH").agg(F.count(F.lit(1)).alias("stored"),
+                                                            F.countDistinct("SCENARIO_ID").alias("ids"))
+    return _round_cols(stored.join(F.broadcast(_show_var(run.var))).withColumn("mu", F.lit(run.mu))
+                       .withColumn("sigma", F.lit(run.sigma)), {"mu", "sigma"})
+
+
+def _day_store(spark, d):
+    path = shared_path(spark, "tick-days")
+    write_ticks(_ticks(spark, d), path)
+    return read_ticks(spark, path)
+
+
+def q_daily_summary_by_folder(spark, d):
+    """The daily summary over day folders, of which only the range's are read."""
+    return S.daily_trade_summary(_day_store(spark, d), *RANGE_DAYS, rics=RICS, trade_date_col="trade_date")
+
+
+def q_report_job(spark, d):
+    """The report job over day folders, generated rows stored and read back."""
+    out = shared_path(spark, "report")
+    run_report(_day_store(spark, d), RICS, *RANGE_DAYS, PIVOT_DATES[1], PIVOT_DATES[0], G.EchoClient, out=out,
+               trade_date_col="trade_date")
+    return spark.read.parquet(out)
+
+
 def q_var_histogram(spark, d):
     h = R.histogram(_scenarios(spark, d), HIST_BINS)
     return h.select("bin", F.round("bin_start", MONEY_DIGITS).alias("bin_start"),
@@ -262,13 +330,37 @@ def _ingested(spark, d):
     store = _store(spark, d)
     write_scenario_messages(store, src)
     write_scenario_messages(store.where(F.col("SCENARIO_ID") % 2 == 0), src)   # redelivered copies
-    ingest_messages(spark, table, ckpt, path=src, state_partitions=STATE_PARTITIONS)
-    ingest_messages(spark, table, ckpt, path=src, state_partitions=STATE_PARTITIONS)   # re-run: adds nothing
+    ingest_messages(spark, table, ckpt, path=src)
+    ingest_messages(spark, table, ckpt, path=src)   # re-run: adds nothing
     return table
 
 
 def q_message_ingest(spark, d):
-    return _show_scenarios(spark.read.parquet(_ingested(spark, d)))
+    return _show_scenarios(ingested(spark, _ingested(spark, d)))
+
+
+def _age_files(spark, path, hours):
+    """Set the modification time of a folder's files back."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(folder):
+        fs.setTimes(f.getPath(), f.getModificationTime() - hours * 3_600_000, -1)
+
+
+def q_message_ingest_late(spark, d):
+    """Two deliveries on one checkpoint: the second, of batch ``007``, in files five hours older; some text is broken."""
+    src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
+    moments = R.moments_scalars(_moments(spark, d))
+    write_scenario_messages(_scenarios(spark, d, "B20", DAYS, moments), src)
+    ingest_messages(spark, table, ckpt, path=f"{src}*")
+    late = f"{src}-late"
+    write_scenario_messages(_scenarios(spark, d, LATE_BATCH, DAYS, moments), late)
+    spark.createDataFrame([("not json",), ('{"batch": "007", "return": 1.5, "start_date": "soon"}',)],
+                          "value string").write.mode("append").text(late)
+    _age_files(spark, late, 5)
+    ingest_messages(spark, table, ckpt, path=f"{src}*")
+    return _show_scenarios(ingested(spark, table))
 
 
 def q_stream_var(spark, d):
@@ -280,9 +372,8 @@ def q_stream_var_incremental(spark, d):
     st = _store(spark, d)
     write_scenario_messages(st, src)
     write_scenario_messages(st.where(F.col("SCENARIO_ID") % 3 == 0), src)       # redelivered copies
-    stream_var_exact(spark, deduplicated(message_stream(spark, src)), store, var, ckpt, q=VAR_Q,
-                     state_partitions=STATE_PARTITIONS)
-    return _show_var(spark.read.parquet(var), by=["BATCH"])
+    stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=VAR_Q)
+    return _show_var(read_var(spark, var), by=["BATCH"])
 
 
 def q_store_compaction(spark, d):
@@ -294,7 +385,7 @@ def q_store_compaction(spark, d):
 
 
 def _history(spark, d):
-    return X.job_history_from_orders(spark, d)
+    return read_job_history(spark, X.job_history_from_orders(spark, d))
 
 
 def q_job_stage_inputs(spark, d):
@@ -325,6 +416,7 @@ def q_report_text(spark, d):
 
 QUERIES = {
     "regular_trades": q_regular_trades,
+    "trades_half_open": q_trades_half_open,
     "vwap_summary_hour": q_vwap_summary_hour,
     "vwap_summary_days": q_vwap_summary_days,
     "vwap_summary_6m": q_vwap_summary_6m,
@@ -339,20 +431,29 @@ QUERIES = {
     "daily_close_ties": q_daily_close_ties,
     "vwap_yearly": q_vwap_yearly,
     "aligned_closes": q_aligned_closes,
+    "aligned_closes_nulls": q_aligned_closes_nulls,
     "log_returns": q_log_returns,
+    "log_returns_nulls": q_log_returns_nulls,
     "expected_return": q_expected_return,
     "covariance": q_covariance,
+    "covariance_wide": q_covariance_wide,
     "portfolio_std": q_portfolio_std,
     "portfolio_moments": q_portfolio_moments,
     "cagr": q_cagr,
     "normalized_return": q_normalized_return,
     "scenarios": q_scenarios,
     "value_at_risk": q_value_at_risk,
+    "brand_var": q_brand_var,
+    "price_quantile": q_price_quantile,
+    "var_job": q_var_job,
+    "daily_summary_by_folder": q_daily_summary_by_folder,
+    "report_job": q_report_job,
     "var_histogram": q_var_histogram,
     "var_by_batch": q_var_by_batch,
     "scenario_csv_roundtrip": q_scenario_csv_roundtrip,
     "scenario_messages": q_scenario_messages,
     "message_ingest": q_message_ingest,
+    "message_ingest_late": q_message_ingest_late,
     "stream_var": q_stream_var,
     "stream_var_incremental": q_stream_var_incremental,
     "store_compaction": q_store_compaction,

@@ -79,13 +79,13 @@ FROM all_trades WHERE RIC IN ({_list(K.RICS)})
 GROUP BY RIC ORDER BY RIC"""
 
 
-def _daily(date_name="vwap_date"):
+def _daily(date_name="vwap_date", rng=K.RANGE_FULL):
     return f"""daily AS (
   SELECT RIC, round(sum(Volume * Price) / nullif(sum(Volume), 0), 3) AS VWAP,
          CAST(sum(Volume) AS BIGINT) AS TotalVolume, count(RIC) AS NumTrades,
          CAST(Date_Time AS DATE) AS {date_name}
   FROM ticks
-  WHERE {REGULAR} AND Date_Time BETWEEN '{K.RANGE_FULL[0]}' AND '{K.RANGE_FULL[1]}'
+  WHERE {REGULAR} AND Date_Time BETWEEN '{rng[0]}' AND '{rng[1]}'
     AND RIC IN ({_list(K.RICS)})
   GROUP BY RIC, CAST(Date_Time AS DATE))"""
 
@@ -109,22 +109,22 @@ FROM l2 WHERE date_time BETWEEN '{start}' AND '{end}'
 GROUP BY RIC, date_trunc('{unit.lower()}', date_time){tail}"""
 
 
-def _last_trade(order="Date_Time DESC, Seq DESC", where="", rics=None):
+def _last_trade(order="Date_Time, Seq", where="", rics=None):
     ric_cond = f" AND RIC IN ({_list(rics)})" if rics else ""
     return f"""last_trade AS (
-  SELECT RIC, CAST(Date_Time AS DATE) AS "Date", CAST(Price AS DOUBLE) AS Price FROM (
-    SELECT *, row_number() OVER (PARTITION BY RIC, CAST(Date_Time AS DATE) ORDER BY {order}) AS row_num
-    FROM ticks WHERE {REGULAR}{where}{ric_cond})
-  WHERE row_num = 1)"""
+  SELECT RIC, CAST(Date_Time AS DATE) AS "Date", arg_max(CAST(Price AS DOUBLE), row({order})) AS Price
+  FROM ticks WHERE {REGULAR}{where}{ric_cond} GROUP BY RIC, CAST(Date_Time AS DATE))"""
+
+
+def _aligned(closes_cte, tickers):
+    return f"""cal AS (SELECT DISTINCT "Date" FROM {closes_cte} WHERE RIC = '{tickers[0]}'),
+grid AS (SELECT "Date", unnest([{_list(tickers)}]) AS RIC FROM cal),
+aligned AS (SELECT grid.RIC, grid."Date", c.Price FROM grid LEFT JOIN {closes_cte} c USING (RIC, "Date"))"""
 
 
 def _returns(closes_cte, tickers):
     k = len(tickers)
-    return f"""cal AS (SELECT "Date" FROM {closes_cte} WHERE RIC = '{tickers[0]}'),
-grid AS (SELECT c."Date", t.RIC FROM cal c CROSS JOIN (VALUES {_values(tickers)}) t(RIC)),
-aligned AS (
-  SELECT g.RIC, g."Date", c.Price FROM grid g
-  LEFT JOIN {closes_cte} c ON c.RIC = g.RIC AND c."Date" = g."Date"),
+    return f"""{_aligned(closes_cte, tickers)},
 lr AS (SELECT RIC, "Date", ln(Price / lag(Price) OVER (PARTITION BY RIC ORDER BY "Date")) AS log_return
        FROM aligned),
 full_days AS (SELECT "Date" FROM lr GROUP BY "Date" HAVING count(log_return) = {k}),
@@ -162,7 +162,7 @@ def _scenario_cte(batches, name="scen"):
          CAST({K.PORTFOLIO_VALUE} AS DOUBLE) * m.expected_return * {days}
            + CAST({K.PORTFOLIO_VALUE} AS DOUBLE) * m.portfolio_std * {_lcg_z('r.id')} * sqrt(CAST({days} AS DOUBLE)) AS RETURN,
          r.id AS SCENARIO_ID
-  FROM range(1, {K.N_SCENARIOS + 1}) r(id) CROSS JOIN moments m""")
+  FROM (SELECT unnest(range(1, count(*) + 1)) AS id FROM events) r CROSS JOIN moments m""")
     return f"{name} AS (\n  " + "\n  UNION ALL\n  ".join(parts) + ")"
 
 
@@ -203,38 +203,49 @@ FROM h"""
 
 def _stage_inputs():
     return f"""WITH {HISTORY},
+done AS (
+  SELECT *, date_diff('millisecond', start_time, end_time) AS execution_time_ms,
+         list_filter(job_stages, lambda s: s.name = 'S00: Input') AS first_stages
+  FROM history WHERE state = 'DONE' AND creation_time >= TIMESTAMP '{K.JOBS_SINCE}'
+                 AND NOT contains(query, 'INFORMATION_SCHEMA')),
 inputs AS (
-  SELECT job_id, creation_time, total_slot_ms, total_bytes_processed,
-         date_diff('millisecond', start_time, end_time) AS execution_time_ms,
-         total_slot_ms / nullif(date_diff('millisecond', start_time, end_time), 0) AS speedup,
-         rowz.records_read AS rows_read
-  FROM (SELECT *, unnest(job_stages) AS rowz FROM history
-        WHERE creation_time >= TIMESTAMP '{K.JOBS_SINCE}' AND state = 'DONE'
-          AND query NOT LIKE '%INFORMATION_SCHEMA%')
-  WHERE rowz.name = 'S00: Input')"""
+  SELECT job_id, creation_time, total_slot_ms, total_bytes_processed, execution_time_ms,
+         total_slot_ms / nullif(execution_time_ms, 0) AS speedup,
+         unnest(list_transform(first_stages, lambda s: s.records_read)) AS rows_read FROM done)"""
 
 
 _STATS_COLS = ("job_id, creation_time, total_slot_ms, total_bytes_processed, execution_time_ms, "
                "round(speedup, 10) AS speedup, rows_read")
 
 
-def _prompt_sql(extra=""):
+def _prompt_sql(extra="", rng=K.RANGE_FULL):
     d1, d2 = K.PIVOT_DATES[1].replace("-", "_"), K.PIVOT_DATES[0].replace("-", "_")
     head = ("From the following trading information, make an executive summary comparing vwap, "
             "volume and number of trades over 2 days. Always mention the company legal name based on the RIC:")
-    s = lambda c: f"CAST({c} AS VARCHAR)"
+    s = lambda c: f"CAST(CAST({c} AS DECIMAL(38,{3 if c.startswith('VWAP') else 0})) AS VARCHAR)"
     prompt = (f"'{head}' || RIC || ' vwap day one:' || {s('VWAP_' + d1)} || ' vwap day 2' || {s('VWAP_' + d2)}"
               f" || ' total trades day one' || {s('NumTrades_' + d1)} || ' trades day 2:' || {s('NumTrades_' + d2)}"
               f" || 'total volume day one: ' || {s('TotalVolume_' + d1)} || ' total volume day 2:' || {s('TotalVolume_' + d2)}")
     return f"""WITH {TICKS},
-{_daily()},
+{_daily(rng=rng)},
 {_pivot()},
 prompts AS (SELECT {prompt} AS prompt, * FROM pivoted)
 SELECT *{extra} FROM prompts"""
 
 
+_GENERATED = (", 'Summary: ' || prompt AS ml_generate_text_llm_result, "
+              "CASE WHEN prompt IS NULL THEN NULL ELSE '{\"blocked\":false}' END AS ml_generate_text_rai_result, "
+              "CASE WHEN prompt IS NULL THEN 'empty prompt' ELSE '' END AS ml_generate_text_status")
+
+_GAPPY_CHAIN = f"""{BRAND_CLOSES.replace("closes AS", "all_closes AS", 1)},
+closes AS (SELECT RIC, "Date", CASE WHEN NOT (RIC = '{K.BRANDS[0]}' AND day("Date") % 7 = 0) THEN Price END AS Price
+           FROM all_closes),
+{_returns("closes", K.BRANDS)}"""
+
 ORACLE = {
     "regular_trades": f"WITH {TICKS} SELECT * FROM ticks WHERE {REGULAR}",
+    "trades_half_open": f"""WITH {TICKS} SELECT * FROM ticks WHERE RIC IN ({_list(K.RICS)})
+  AND Date_Time >= '2024-01-15 12:00:00' AND Date_Time < '2024-01-16 00:00:00'""",
     "vwap_summary_hour": _summary(K.RANGE_HOUR),
     "vwap_summary_days": _summary(K.RANGE_DAYS),
     "vwap_summary_6m": _summary(K.RANGE_6M),
@@ -250,13 +261,38 @@ SELECT * FROM daily WHERE RIC = 'BBB.L' ORDER BY "Date" """,
 {_last_trade(where=f" AND Date_Time BETWEEN '{K.RANGE_FULL[0]}' AND '{K.RANGE_FULL[1]}'", rics=K.PORTFOLIO)}
 SELECT * FROM last_trade""",
     "daily_close_ties": f"""WITH {BIG_TICKS},
-{_last_trade(order="Date_Time DESC, Seq DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC")}
+{_last_trade(order="Date_Time, Seq, l_linenumber, l_partkey, l_suppkey")}
 SELECT * FROM last_trade""",
     "vwap_yearly": f"""WITH {BIG_TICKS}
 SELECT RIC, CAST(year(Date_Time) AS INTEGER) AS year, round(sum(Volume * Price) / nullif(sum(Volume), 0), 3) AS VWAP,
        round(avg(Price), 3) AS TWAP, CAST(sum(Volume) AS BIGINT) AS TotalVolume, count(RIC) AS NumTrades
 FROM ticks WHERE {REGULAR} GROUP BY RIC, CAST(year(Date_Time) AS INTEGER) ORDER BY RIC, year""",
-    "aligned_closes": f"WITH {_BRAND_CHAIN} SELECT RIC, \"Date\", Price FROM aligned",
+    "aligned_closes": f"WITH {BRAND_CLOSES}, {_aligned('closes', K.BRANDS)} SELECT RIC, \"Date\", Price FROM aligned",
+    "aligned_closes_nulls": f"WITH {_GAPPY_CHAIN} SELECT RIC, \"Date\", Price FROM aligned",
+    "log_returns_nulls": f"WITH {_GAPPY_CHAIN} SELECT RIC, \"Date\", round(log_return, 12) AS log_return FROM returns",
+    "covariance_wide": f"""WITH closes AS (
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS RIC, CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date",
+         max(l_extendedprice) AS Price FROM lineitem GROUP BY ALL),
+{_aligned("closes", K.SUPPLIERS)},
+lr AS (SELECT RIC, "Date", ln(Price / lag(Price) OVER (PARTITION BY RIC ORDER BY "Date")) AS x FROM aligned),
+p AS (SELECT a.RIC AS RIC_i, b.RIC AS RIC_j, covar_samp(a.x, b.x) AS c
+      FROM lr a JOIN lr b USING ("Date") GROUP BY a.RIC, b.RIC),
+k AS (SELECT unnest([{_list(K.SUPPLIERS)}]) AS RIC)
+SELECT a.RIC AS RIC_i, b.RIC AS RIC_j, round(p.c, 9) AS covariance
+FROM k a CROSS JOIN k b LEFT JOIN p ON p.RIC_i = a.RIC AND p.RIC_j = b.RIC""",
+    "brand_var": f"""WITH {BRAND_CLOSES},
+lr AS (SELECT RIC, ln(Price / lag(Price) OVER (PARTITION BY RIC ORDER BY "Date")) AS x FROM closes)
+SELECT RIC, count(x) AS n, round(-quantile_cont(x, {K.VAR_Q}), 10) AS VaR FROM lr GROUP BY RIC HAVING count(x) > 0""",
+    "price_quantile": f"""WITH {BIG_TICKS}
+SELECT count(Price) AS n, round(-quantile_cont(Price, {K.VAR_Q}), 10) AS VaR FROM ticks""",
+    "var_job": f"""WITH {_PORTFOLIO_CHAIN}, {_scenario_cte([('B20', K.DAYS)])},
+v AS ({_var('scen')}),
+s AS (SELECT BATCH, count(*) AS stored, count(DISTINCT SCENARIO_ID) AS ids FROM scen GROUP BY BATCH)
+SELECT s.*, v.*, round(m.expected_return, 10) AS mu, round(m.portfolio_std, 10) AS sigma FROM s, v, moments m""",
+    "daily_summary_by_folder": f"WITH {TICKS}, {_daily(rng=K.RANGE_DAYS)} SELECT * FROM daily",
+    "report_job": _prompt_sql(_GENERATED, K.RANGE_DAYS),
+    "message_ingest_late": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte([('B20', K.DAYS), (K.LATE_BATCH, K.DAYS)])} "
+                           f"SELECT {SCEN_COLS} FROM scen",
     "log_returns": f"WITH {_BRAND_CHAIN} SELECT RIC, \"Date\", round(log_return, 12) AS log_return FROM returns",
     "expected_return": f"""WITH {_BRAND_CHAIN},
 means AS (SELECT RIC, avg(log_return) AS mean_return FROM returns GROUP BY RIC)
@@ -306,7 +342,5 @@ SELECT job_id, round(rows_read / 1e9, 12) AS rows_billions,
        round(total_slot_ms / 1000.0 / 3600.0, 12) AS slot_hours,
        round(execution_time_ms / 1000.0, 12) AS wall_seconds FROM top""",
     "report_prompt": _prompt_sql(),
-    "report_text": _prompt_sql(", 'Summary: ' || prompt AS ml_generate_text_llm_result, "
-                               "CASE WHEN prompt IS NULL THEN NULL ELSE '{\"blocked\":false}' END AS ml_generate_text_rai_result, "
-                               "CASE WHEN prompt IS NULL THEN 'empty prompt' ELSE '' END AS ml_generate_text_status"),
+    "report_text": _prompt_sql(_GENERATED),
 }

@@ -29,11 +29,12 @@ class ReportRun:
 def run_report(ticks: DataFrame, rics: Sequence[str], start: str, end: str, day_one: str, day_two: str,
                client_factory: Callable[..., object], view_name: str = "pivoted_by_ric",
                temperature: float = 0.2, max_output_tokens: int = 800, out: str | None = None,
-               mode: str = "append") -> ReportRun:
+               mode: str = "append", trade_date_col: str | None = None) -> ReportRun:
     """Build the report for ``rics`` over ``[start, end]`` comparing
     ``day_one`` with ``day_two``; write the generated rows to ``out``
-    (Parquet) when given."""
-    daily = daily_trade_summary(ticks, start, end, rics=rics)
+    (Parquet) when given.  ``trade_date_col`` names the ticks' day column,
+    so only the range's day partitions are read."""
+    daily = daily_trade_summary(ticks, start, end, rics=rics, trade_date_col=trade_date_col)
     pivoted = register_view(pivot_by_date(daily, [day_two, day_one]), view_name)
     prompts = report_prompt(pivoted, day_one, day_two)
     generated = generate_text(prompts, client_factory, temperature=temperature,

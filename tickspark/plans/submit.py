@@ -28,6 +28,7 @@ from tickspark.sources.tables import read_daily_close, read_table
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Monte Carlo Value at Risk on Spark")
     p.add_argument("--ticks", help="tick table name or path")
+    p.add_argument("--trade-date-col", help="the ticks' day column, if they are partitioned by day")
     p.add_argument("--closes", help="daily close table name or path (instead of --ticks)")
     p.add_argument("--tickers", required=True, help="comma-separated instruments; the first fixes the calendar")
     p.add_argument("--days", type=int, default=20)
@@ -64,7 +65,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     run = run_var(spark, ticks, a.tickers.split(","), as_of, years=a.years, days=a.days,
                   n=a.simulations_per_task, tasks=a.tasks, portfolio_value=a.portfolio_value,
                   confidence=a.confidence, mode=a.mode, seed=a.seed, batch=a.batch, venue=a.venue,
-                  closes=closes, sink=sinks[a.sink])
+                  closes=closes, trade_date_col=a.trade_date_col, sink=sinks[a.sink])
     var = run.var.first()
     result = {"batch": run.batch, "mu": run.mu, "sigma": run.sigma, "scenarios": var["n"] if var else 0,
               "VaR": var["VaR"] if var else None, "start_date": run.start_date, "end_date": run.end_date}

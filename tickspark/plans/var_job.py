@@ -16,14 +16,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickspark.operators.closes import align_closes, daily_close, log_returns
-from tickspark.operators.quantile import SMALL_GROUP_ROWS
+from tickspark.operators.closes import align_closes, daily_close, gappy_log_returns, log_returns
 from tickspark.operators.summary import daily_trade_summary, symbol_series
 from tickspark.operators.risk import (
     histogram,
     moments_scalars,
     portfolio_moments,
-    scenario_value_range,
     scenarios,
     value_at_risk,
     weights_frame,
@@ -57,17 +55,21 @@ def run_var(spark: SparkSession, ticks: DataFrame, tickers: Sequence[str], as_of
             portfolio_value: float = 1_000_000.0, confidence: float = 0.99, mode: str = "randn",
             seed: int | None = None, batch: str | None = None, venue: str = "LSE", weights=None,
             order_cols: Sequence[str] = ("Date_Time", "Seq"),
-            closes: DataFrame | None = None,
+            closes: DataFrame | None = None, trade_date_col: str | None = None, q: float | None = None,
             sink: Callable[[DataFrame], None] | None = None) -> VarRun:
     """Run the whole job; ``closes`` replaces the tick-derived closes when
-    given (a daily adjusted-close table); ``sink`` receives the scenarios
-    (CSV folder, table append, or message topic)."""
+    given (a daily adjusted-close table); ``trade_date_col`` names the ticks'
+    day column, so only the history's day partitions are read; ``sink``
+    receives the scenarios (CSV folder, table append, or message topic)."""
     tickers = list(tickers)
     start, end = history_range(as_of, years)
     if closes is None:
-        closes = daily_close(ticks, start, end, tickers, order_cols=order_cols)
-    rets = log_returns(align_closes(closes, tickers), tickers)
-    moments = portfolio_moments(rets, weights_frame(spark, tickers, weights))
+        closes = daily_close(ticks, start, end, tickers, order_cols=order_cols,
+                             trade_date_col=trade_date_col)
+    aligned = align_closes(closes, tickers)
+    rets = log_returns(aligned, tickers)
+    moments = portfolio_moments(gappy_log_returns(aligned), weights_frame(spark, tickers, weights),
+                                len(set(tickers)))
     mu, sigma = moments_scalars(moments)
     batch = str(batch) if batch is not None else uuid.uuid4().hex
     scen = scenarios(spark, mu, sigma, n, tasks, days, portfolio_value, mode=mode, seed=seed,
@@ -75,10 +77,7 @@ def run_var(spark: SparkSession, ticks: DataFrame, tickers: Sequence[str], as_of
                      start_date=start, end_date=end)
     if sink is not None:
         sink(scen)
-    # Above the exact-percentile cutover, a range from the moments saves a pass.
-    large = n * tasks > SMALL_GROUP_ROWS
-    var = value_at_risk(scen, confidence,
-                        value_range=scenario_value_range(mu, sigma, portfolio_value, days) if large else None)
+    var = value_at_risk(scen, confidence, q=q)
     return VarRun(closes, rets, moments, mu, sigma, scen, var, start, end, batch)
 
 

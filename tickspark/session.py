@@ -51,7 +51,7 @@ def scale_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # streaming de-duplication state lives off-heap and checkpoints incrementally
+        # streaming state lives off-heap and checkpoints incrementally
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -66,14 +66,6 @@ def spark_context(spark: SparkSession):
         return None
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    sc = spark_context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", None) or
-               spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 

@@ -16,8 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickspark.session import shared_path
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("Event", T.StringType()),
+    T.StructField("App ID", T.StringType()),
     T.StructField("Job ID", T.LongType()),
     T.StructField("Submission Time", T.LongType()),
     T.StructField("Completion Time", T.LongType()),
@@ -34,6 +37,7 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 # The event and metric names of Spark's event log.
+APP_START = "SparkListenerApplicationStart"
 JOB_START, JOB_END, STAGE_DONE = "SparkListenerJobStart", "SparkListenerJobEnd", "SparkListenerStageCompleted"
 RUN_TIME = "internal.metrics.executorRunTime"
 INPUT_ROWS = "internal.metrics.input.recordsRead"
@@ -41,12 +45,28 @@ INPUT_BYTES = "internal.metrics.input.bytesRead"
 SHUFFLE_ROWS = "internal.metrics.shuffle.read.recordsRead"
 
 
+def _log_key():
+    """What one application's log files share: the folder of a rolling log, else the file's own name."""
+    name = F.input_file_name()
+    rolling = F.regexp_extract(name, r"^(.*/eventlog_v2_[^/]*)/[^/]*$", 1)
+    return F.when(rolling != "", rolling).otherwise(name)
+
+
 def read_event_log_jobs(spark: SparkSession, path: str) -> DataFrame:
     """``job_history`` rows (``job_id, state, query, creation_time, start_time,
     end_time, total_slot_ms, total_bytes_processed, job_stages``) from event
-    logs under ``path`` (a file, a folder, or a glob)."""
-    ev = (spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(path)
-               .withColumn("app", F.regexp_extract(F.input_file_name(), r"^(.*)/[^/]*$", 1)))
+    logs under ``path`` (a file, a folder, or a glob).
+
+    The logs are read once: the few events that matter go to a table in the
+    shared folder.  Runs are told apart by application id (by log, for a log
+    without one); of a stage's attempts the last counts."""
+    events = shared_path(spark, "event-log")
+    (spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(path)
+          .where(F.col("Event").isin(APP_START, JOB_START, JOB_END, STAGE_DONE))
+          .withColumn("log", _log_key()).write.parquet(events))
+    ev = spark.read.parquet(events)
+    ids = ev.where(F.col("Event") == APP_START).groupBy("log").agg(F.max("App ID").alias("id"))
+    ev = ev.join(ids, "log", "left").withColumn("app", F.coalesce("id", "log")).drop("id")
     props = F.col("Properties")
     starts = ev.where(F.col("Event") == JOB_START).select(
         "app", F.col("Job ID").alias("job"), F.col("Submission Time").alias("submitted"),
@@ -66,6 +86,8 @@ def read_event_log_jobs(spark: SparkSession, path: str) -> DataFrame:
 
     info = ev.where(F.col("Event") == STAGE_DONE).select("app", "Stage Info.*")
     metric = lambda name: F.sum(F.when(F.col("acc.Name") == name, F.col("acc.Value").cast("long")))
+    last = info.groupBy("app", "Stage ID").agg(F.max("Stage Attempt ID").alias("Stage Attempt ID"))
+    info = info.join(last, ["app", "Stage ID", "Stage Attempt ID"])
     stages = (info.select("app", F.col("Stage ID").alias("stage"), F.col("Stage Name").alias("stage_name"),
                           F.explode_outer("Accumulables").alias("acc"))
                   .groupBy("app", "stage", "stage_name")

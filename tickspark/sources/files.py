@@ -71,7 +71,7 @@ def load_scenarios(spark: SparkSession, csv_path: str, table: str, mode: str = "
     if by_batch and as_path:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("BATCH").parquet(table))
-        out = spark.read.parquet(table).select(*SCENARIO_COLUMNS)
+        out = read_store(spark, table)
     else:
         out = _append(spark, df, table, mode, as_path)
     out.load_errors = bad
@@ -86,6 +86,16 @@ def _append(spark: SparkSession, df: DataFrame, table: str, mode: str, as_path:
     return spark.table(table)
 
 
+def read_store(spark: SparkSession, table: str) -> DataFrame:
+    """The result table under a path or catalog name, by its declared schema.
+
+    The schema also types a ``BATCH`` partition folder, so batch ``007`` stays
+    text (partition type inference would make it the number 7)."""
+    if "/" in table or table.endswith(".parquet"):
+        return spark.read.schema(SCENARIO_RESULT).parquet(table).select(*SCENARIO_COLUMNS)
+    return spark.table(table)
+
+
 def append_scenarios(df: DataFrame, table: str) -> None:
     """Append scenario rows to a Parquet table path."""
     df.select(*SCENARIO_COLUMNS).write.mode("append").parquet(table)

@@ -71,6 +71,21 @@ def daily_close_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.max("l_extendedprice").alias("Price")))
 
 
+def gappy_close_from_lineitem(spark: SparkSession, sf_dir: str, ric: str) -> DataFrame:
+    """``daily_close_from_lineitem`` with null prices of ``ric`` on every seventh day of a month."""
+    missing = (F.col("RIC") == ric) & (F.dayofmonth("Date") % 7 == 0)
+    return daily_close_from_lineitem(spark, sf_dir).withColumn(
+        "Price", F.when(~missing, F.col("Price")))
+
+
+def monthly_close_from_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many instruments: one close per supplier (``S<key>``) and ship month."""
+    li = _read(spark, sf_dir, "lineitem")
+    return (li.groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("RIC"),
+                       F.trunc("l_shipdate", "month").alias("Date"))
+              .agg(F.max("l_extendedprice").alias("Price")))
+
+
 def ticks_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Larger tick table (one trade per line item, brand = instrument).
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickspark.schemas import SCENARIO_COLUMNS, SCENARIO_MESSAGE, TIMESTAMP_TEXT_FORMAT
 
@@ -40,19 +41,35 @@ def write_scenario_messages(df: DataFrame, path: str | None = None,
         raise ValueError("give a path or kafka_options")
 
 
-def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text -> result-table columns.  ``batch`` may be a number or a
-    string and ``return`` an integer; both parse."""
-    m = F.from_json(F.col(value).cast("string"), SCENARIO_MESSAGE)
-    parsed = raw.select(m.alias("m"), *[c for c in raw.columns if c != value])
-    to_ts = lambda c: F.to_timestamp(F.col(f"m.{c}"), TIMESTAMP_TEXT_FORMAT)
+def checked_messages(raw: DataFrame, value: str = "value") -> DataFrame:
+    """JSON text -> result-table columns, ``PAYLOAD`` (the text), ``ERROR`` and
+    the other columns of ``raw``.
+
+    ``batch`` may be a number or a string and ``return`` an integer; both
+    parse.  ``ERROR`` is null for a good message, else says what is wrong: text
+    that is not such a JSON object, or a date that is none.
+    """
+    text = F.col(value).cast("string")
+    schema = T.StructType([*SCENARIO_MESSAGE.fields, T.StructField("_bad", T.StringType())])
+    m = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    others = [c for c in raw.columns if c != value]
+    parsed = raw.select(text.alias("PAYLOAD"), m.alias("m"), *others)
+    to_ts = lambda c: F.try_to_timestamp(F.col(f"m.{c}"), F.lit(TIMESTAMP_TEXT_FORMAT))
+    no_date = lambda c: F.col(f"m.{c}").isNotNull() & to_ts(c).isNull()
+    error = (F.when(F.col("m").isNull() | F.col("m._bad").isNotNull(), F.lit("not a scenario message"))
+             .when(F.col("m.batch").isNull() & F.col("m.return").isNull(), F.lit("not a scenario message"))
+             .when(no_date("start_date") | no_date("end_date"), F.lit("bad date")))
     return parsed.select(
         F.col("m.batch").alias("BATCH"), F.col("m.venue").alias("VENUE"),
         F.col("m.portfolio").alias("PORTFOLIO"), F.col("m.portfolio_value").alias("PORTFOLIO_VALUE"),
         to_ts("start_date").alias("START_DATE"), to_ts("end_date").alias("END_DATE"),
         F.col("m.days").alias("DAYS"), F.col("m.return").alias("RETURN"),
-        F.col("m.scenario_id").alias("SCENARIO_ID"),
-        *[c for c in raw.columns if c != value])
+        F.col("m.scenario_id").alias("SCENARIO_ID"), "PAYLOAD", error.alias("ERROR"), *others)
+
+
+def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
+    """The good messages as result-table columns (with the other columns of ``raw``)."""
+    return checked_messages(raw, value).where("ERROR is null").drop("PAYLOAD", "ERROR")
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:

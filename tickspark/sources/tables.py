@@ -22,20 +22,22 @@ def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFr
 
 
 def read_ticks(spark: SparkSession, source, start=None, end=None, rics=None,
-               ts: str = "Date_Time", trade_date_col: str | None = None) -> DataFrame:
-    """Trade / quote ticks restricted to a time range and instrument list."""
+               ts: str = "Date_Time", trade_date_col: str | None = None, end_open: bool = False) -> DataFrame:
+    """Trade / quote ticks restricted to a time range (inclusive; ``end_open``
+    leaves its end out) and instrument list."""
     df = source if isinstance(source, DataFrame) else read_table(spark, source)
-    cond = in_time_range(ts, start, end)
-    if trade_date_col is not None and start is not None and end is not None:
-        cond = cond & F.col(trade_date_col).between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+    cond = in_time_range(ts, start, end, end_open)
+    if trade_date_col is not None:
+        cond = cond & in_time_range(trade_date_col, None if start is None else F.to_date(F.lit(start)),
+                                    None if end is None else F.to_date(F.lit(end)))
     return restrict_instruments(df.where(cond), rics)
 
 
 def read_l2(spark: SparkSession, source, start=None, end=None, rics=None,
-            trade_date_col: str | None = None) -> DataFrame:
+            trade_date_col: str | None = None, end_open: bool = False) -> DataFrame:
     """Level-2 quotes (``RIC, date_time, L2_BidPrice``) over a time range."""
     return read_ticks(spark, source, start, end, rics, ts="date_time",
-                      trade_date_col=trade_date_col)
+                      trade_date_col=trade_date_col, end_open=end_open)
 
 
 def read_daily_close(spark: SparkSession, source, fmt: str = "parquet",

@@ -1,100 +1,116 @@
-"""Ingest scenario messages into the cumulative result table, exactly once.
-
-Source: Kafka (``kafka_options``) or a folder of message text files.  The
-file sink with a checkpoint commits each micro-batch once; re-running on
-the same checkpoint adds nothing.  Messages carry no event time (their
-dates describe the price history), so the watermark is on arrival time:
-the file's modification time, or the Kafka record timestamp.  Redelivered
-copies of a message within the watermark are dropped, keyed by
-``(BATCH, SCENARIO_ID)``, or by a hash of the payload when a message has
-no id.  State is bounded by the watermark.
+"""Ingest scenario messages into the cumulative result table; nothing is lost.
+
+Source: Kafka (``kafka_options``) or a folder of message text files.  Every
+message is stored, whenever it arrives: a backfill whose files are hours old or
+a lagging partition is admitted like any other.  A micro-batch writes its own
+folder (named by checkpoint and epoch, overwritten on replay), so a failure or
+a re-run on the same checkpoint adds nothing twice.  Text that is not a
+scenario message goes to a quarantine table with its source and reason.
+
+Redelivered copies are removed when the store is read (``ingested``), by
+``(BATCH, SCENARIO_ID)`` or, without an id, by the payload.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickspark.schemas import SCENARIO_COLUMNS, SCENARIO_RESULT
+from tickspark.sources.files import read_store
+from tickspark.sources.messages import checked_messages
 
-from tickspark.schemas import SCENARIO_COLUMNS
-from tickspark.sources.messages import parse_messages
+STORED = T.StructType([*SCENARIO_RESULT.fields, T.StructField("PAYLOAD_KEY", T.StringType())])
+QUARANTINE = T.StructType([T.StructField("PAYLOAD", T.StringType()), T.StructField("ERROR", T.StringType()),
+                           T.StructField("SOURCE", T.StringType()), T.StructField("ARRIVAL", T.TimestampType())])
 
 
 def message_stream(spark: SparkSession, path: str | None = None, kafka_options: dict | None = None,
                    max_files_per_trigger: int | None = None, file_options: dict | None = None) -> DataFrame:
-    """Streaming frame of raw messages: ``value`` (text) and ``arrival`` (timestamp).
+    """Streaming frame of raw messages: ``value`` (text), ``SOURCE`` (file, or
+    topic, partition and offset) and ``ARRIVAL`` (timestamp).
 
     For a long-running file source, pass ``file_options={"cleanSource": "archive",
     "sourceArchiveDir": ...}`` so processed files leave the input folder and
     the per-trigger listing stays small."""
     if kafka_options:
         raw = spark.readStream.format("kafka").options(**kafka_options).load()
-        return raw.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrival"))
+        return raw.select(F.col("value").cast("string").alias("value"),
+                          F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+                          .alias("SOURCE"), F.col("timestamp").alias("ARRIVAL"))
     reader = spark.readStream.format("text").options(**(file_options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(path)
-    return raw.select("value", F.col("_metadata.file_modification_time").alias("arrival"))
-
-
-def deduplicated(raw: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Parsed messages with redelivered copies removed within the watermark."""
-    keyed = raw.withColumn("_payload_key", F.sha2(F.col("value"), 256))
-    parsed = parse_messages(keyed)
-    key = F.coalesce(F.col("SCENARIO_ID").cast("string"), F.col("_payload_key"))
-    return (parsed.withColumn("_key", key)
-                  .withWatermark("arrival", watermark)
-                  .dropDuplicatesWithinWatermark(["BATCH", "_key"])
-                  .select(*SCENARIO_COLUMNS))
-
-
-def start_stream(spark: SparkSession, writer, available_now: bool = True,
-                 processing_time: str | None = None, state_partitions: int | None = None):
-    """Start a streaming write.  ``state_partitions`` sets the number of
-    state-store partitions; Spark records it in the checkpoint on the first
-    run, so it is applied only while the query starts.  With
-    ``available_now`` the call returns after everything available is done."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        if available_now:
-            q = writer.trigger(availableNow=True).start()
-        else:
-            q = writer.trigger(processingTime=processing_time or "10 seconds").start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    return raw.select("value", F.col("_metadata.file_path").alias("SOURCE"),
+                      F.col("_metadata.file_modification_time").alias("ARRIVAL"))
+
+
+def distinct_scenarios(rows: DataFrame) -> DataFrame:
+    """Every scenario once: by ``(BATCH, SCENARIO_ID)``, rows without an id by
+    ``PAYLOAD_KEY`` if there is one, else by their values.  The id is part of
+    the key, so a batch holding most of the rows spreads over many tasks."""
+    whole = F.sha2(F.to_json(F.struct(*[F.col(c) for c in SCENARIO_COLUMNS])), 256)
+    payload = F.coalesce(F.col("PAYLOAD_KEY"), whole) if "PAYLOAD_KEY" in rows.columns else whole
+    key = F.coalesce(F.col("SCENARIO_ID").cast("string"), payload)
+    return rows.withColumn("_key", key).dropDuplicates(["BATCH", "_key"]).select(*SCENARIO_COLUMNS)
+
+
+def ingested(spark: SparkSession, table_path: str) -> DataFrame:
+    """The cumulative table, every scenario once."""
+    return distinct_scenarios(spark.read.schema(STORED).option("recursiveFileLookup", "true").parquet(table_path))
+
+
+def quarantined(spark: SparkSession, table_path: str) -> DataFrame:
+    """Messages that could not be read: ``PAYLOAD, ERROR, SOURCE, ARRIVAL``."""
+    return spark.read.schema(QUARANTINE).option("recursiveFileLookup", "true").parquet(f"{table_path}_quarantine")
+
+
+def start_stream(writer, available_now: bool = True, processing_time: str | None = None):
+    """Start a streaming write; with ``available_now`` the call returns after
+    everything available is done."""
     if available_now:
+        q = writer.trigger(availableNow=True).start()
         q.awaitTermination()
-    return q
+        return q
+    return writer.trigger(processingTime=processing_time or "10 seconds").start()
+
+
+def epoch_name(checkpoint: str, epoch_id: int) -> str:
+    """A folder name per checkpoint and epoch: replays meet their own folder, other runs never do."""
+    return f"epoch-{zlib.crc32(checkpoint.encode()):08x}-{epoch_id}"
 
 
 def ingest_messages(spark: SparkSession, table_path: str, checkpoint: str, path: str | None = None,
-                    kafka_options: dict | None = None, watermark: str = "1 hour",
-                    available_now: bool = True, processing_time: str | None = None,
-                    state_partitions: int | None = None, max_files_per_trigger: int | None = None):
+                    kafka_options: dict | None = None, available_now: bool = True,
+                    processing_time: str | None = None, max_files_per_trigger: int | None = None):
     """Start the ingest query; with ``available_now`` it processes what is
     there and returns after the query stops.  Returns the query handle."""
-    stream = deduplicated(message_stream(spark, path, kafka_options, max_files_per_trigger), watermark)
-    writer = (stream.writeStream.format("parquet").outputMode("append")
-                    .option("path", table_path).option("checkpointLocation", checkpoint))
-    return start_stream(spark, writer, available_now, processing_time, state_partitions)
+    def store(batch: DataFrame, epoch_id: int) -> None:
+        folder = epoch_name(checkpoint, epoch_id)
+        checked = checked_messages(batch).persist()
+        try:
+            (checked.where("ERROR is null").withColumn("PAYLOAD_KEY", F.sha2("PAYLOAD", 256))
+                    .select(*STORED.fieldNames()).write.mode("overwrite").parquet(f"{table_path}/{folder}"))
+            (checked.where("ERROR is not null").select(*QUARANTINE.fieldNames())
+                    .write.mode("overwrite").parquet(f"{table_path}_quarantine/{folder}"))
+        finally:
+            checked.unpersist()
+
+    stream = message_stream(spark, path, kafka_options, max_files_per_trigger)
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return start_stream(writer, available_now, processing_time)
 
 
 def compact_store(spark: SparkSession, table_path: str, out_path: str,
                   partition_by_batch: bool = True) -> DataFrame:
-    """Rewrite the cumulative table with every scenario exactly once.
-
-    Streaming de-duplication only covers redeliveries inside the
-    watermark; this batch job removes later ones too.  The key is
-    ``(BATCH, SCENARIO_ID)`` (rows without an id are compared whole), so
-    even a batch holding most of the rows spreads over many tasks.
-    """
-    store = spark.read.parquet(table_path).select(*SCENARIO_COLUMNS)
-    key = F.coalesce(F.col("SCENARIO_ID").cast("string"),
-                     F.sha2(F.to_json(F.struct(*[F.col(c) for c in SCENARIO_COLUMNS])), 256))
-    unique = store.withColumn("_key", key).dropDuplicates(["BATCH", "_key"]).drop("_key")
-    writer = unique.write.mode("overwrite")
+    """Rewrite a result table (or an ingest's many small folders) with every scenario exactly once."""
+    rows = spark.read.schema(STORED).option("recursiveFileLookup", "true").parquet(table_path)
+    writer = distinct_scenarios(rows).write.mode("overwrite")
     if partition_by_batch:
         writer = writer.partitionBy("BATCH")
     writer.parquet(out_path)
-    return spark.read.parquet(out_path).select(*SCENARIO_COLUMNS)
+    return read_store(spark, out_path)

@@ -8,16 +8,26 @@ streaming aggregate per batch with ``percentile_approx`` in complete mode.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickspark.operators.risk import value_at_risk
+from tickspark.schemas import SCENARIO_COLUMNS, SCENARIO_RESULT
+from tickspark.streaming.ingest import distinct_scenarios, epoch_name, ingested, start_stream
+
+VAR_RESULT = T.StructType([T.StructField("BATCH", T.StringType()), T.StructField("n", T.LongType()),
+                           T.StructField("VaR", T.DoubleType())])
+#: Batches named in one partition filter.
+BATCHES_AT_ONCE = 500
 
 
 def running_var(spark: SparkSession, table_path: str, confidence: float = 0.99,
                 by=("BATCH",), q: float | None = None) -> DataFrame:
     """Exact VaR per batch over everything ingested so far."""
-    return value_at_risk(spark.read.parquet(table_path), confidence, by=list(by), q=q)
+    return value_at_risk(ingested(spark, table_path), confidence, by=list(by), q=q)
 
 
 def stream_var_approx(results: DataFrame, confidence: float = 0.99, accuracy: int = 100_000,
@@ -29,27 +39,54 @@ def stream_var_approx(results: DataFrame, confidence: float = 0.99, accuracy: in
         (-F.percentile_approx("RETURN", F.lit(qq), accuracy)).alias("VaR"))
 
 
+def batch_store(spark: SparkSession, store_path: str, batches: list | None = None) -> DataFrame:
+    """The store of ``stream_var_exact``, every scenario once; ``batches`` prunes to their folders."""
+    schema = T.StructType([*SCENARIO_RESULT.fields, T.StructField("EPOCH", T.StringType())])
+    rows = spark.read.schema(schema).parquet(store_path)
+    if batches is not None:
+        named = F.col("BATCH").isin([b for b in batches if b is not None])
+        rows = rows.where(named | F.col("BATCH").isNull() if None in batches else named)
+    return distinct_scenarios(rows)
+
+
+def _several(rows: DataFrame) -> Iterator[list]:
+    some: list = []
+    for r in rows.toLocalIterator():
+        some.append(r[0])
+        if len(some) == BATCHES_AT_ONCE:
+            yield some
+            some = []
+    if some:
+        yield some
+
+
 def stream_var_exact(spark: SparkSession, results: DataFrame, store_path: str, var_path: str,
                      checkpoint: str, confidence: float = 0.99, q: float | None = None,
-                     available_now: bool = True, processing_time: str | None = None,
-                     state_partitions: int | None = None):
+                     available_now: bool = True, processing_time: str | None = None):
     """Exact VaR per batch, kept current as scenario results stream in.
 
-    Each micro-batch is written to its own folder (``epoch=<id>``; a replay
-    after a failure overwrites the same folder, so the store never holds a
-    micro-batch twice), then VaR is recomputed from the store for the
-    batches that micro-batch touched and written with dynamic partition
-    overwrite (one folder per ``BATCH``).  No percentile state is held by
-    the stream; the quantile is the distributed exact one.
+    The store has one folder per batch and micro-batch (a replay overwrites
+    its own folders).  After a micro-batch, VaR is computed again for the
+    batches it touched, reading their folders only, and written with dynamic
+    partition overwrite (one folder per ``BATCH``, read with ``read_var``).
+    ``compact_store`` turns a batch's many folders into one.
     """
     def per_batch(bdf: DataFrame, epoch_id: int) -> None:
-        bdf.write.mode("overwrite").parquet(f"{store_path}/epoch={epoch_id}")
-        touched = spark.read.parquet(f"{store_path}/epoch={epoch_id}").select("BATCH").distinct()
-        store = spark.read.parquet(store_path).join(touched, "BATCH", "left_semi")
-        var = value_at_risk(store, confidence, by=["BATCH"], q=q)
-        (var.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("BATCH").parquet(var_path))
-
-    from tickspark.streaming.ingest import start_stream
+        epoch = epoch_name(checkpoint, epoch_id)
+        (bdf.select(*SCENARIO_COLUMNS).withColumn("EPOCH", F.lit(epoch)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("BATCH", "EPOCH").parquet(store_path))
+        schema = T.StructType([*SCENARIO_RESULT.fields, T.StructField("EPOCH", T.StringType())])
+        touched = (spark.read.schema(schema).parquet(store_path).where(F.col("EPOCH") == epoch)
+                   .select("BATCH").distinct())
+        for batches in _several(touched):
+            var = value_at_risk(batch_store(spark, store_path, batches), confidence, by=["BATCH"], q=q)
+            (var.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("BATCH").parquet(var_path))
+
     writer = results.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    return start_stream(spark, writer, available_now, processing_time, state_partitions)
+    return start_stream(writer, available_now, processing_time)
+
+
+def read_var(spark: SparkSession, var_path: str) -> DataFrame:
+    """What ``stream_var_exact`` has written: ``(BATCH, n, VaR)``, batch ids as text."""
+    return spark.read.schema(VAR_RESULT).parquet(var_path)
