@@ -1,6 +1,8 @@
 """The driver contract: entry runs, every query has an oracle, smoke at sf0.001."""
 
 import __spark_entry__ as E
+from tickspark.plans.catalog import QUERIES
+from tickspark.plans.oracle import ORACLE
 
 
 def test_entry_runs(spark):
@@ -11,15 +13,31 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_all_queries_run_at_smallest_scale(spark):
-    for name, q in E.queries().items():
-        df = q(spark, "/root/testdata/sf0.001")
+    for name in QUERIES:
+        df = E.queries()[name](spark, "/root/testdata/sf0.001")
         df.collect()
 
 
+def test_entry_without_the_corpus_subpackage(tmp_path):
+    """The driver deletes corpus_pipeline.py and the llm folder: the rest still imports."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+    repo = Path(__file__).resolve().parents[1]
+    shutil.copytree(repo / "tickspark", tmp_path / "tickspark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(repo / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as E; assert 'vwap_pivot' in E.queries() and set(E.oracle_sql()) == set(E.queries())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+
+
 def test_queries_independent_of_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:

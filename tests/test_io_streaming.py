@@ -10,7 +10,7 @@ from tickspark.schemas import SCENARIO_COLUMNS
 from tickspark.sources.files import load_scenarios, write_scenarios_csv
 from tickspark.sources.messages import (read_messages, sample_messages, scenario_messages,
                                         write_scenario_messages)
-from tickspark.streaming.ingest import ingest_messages
+from tickspark.streaming.ingest import ingest_messages, ingested
 from tickspark.streaming.running_var import running_var, stream_var_approx
 
 START = "2004-02-05 00:00:00.123456"
@@ -75,12 +75,12 @@ def test_ingest_exactly_once_and_dedup(spark, tmp_shared):
     write_scenario_messages(scen, src)
     write_scenario_messages(scen.where("SCENARIO_ID <= 50"), src)      # redelivered copies
     ingest_messages(spark, table, ckpt, path=src)
-    assert _rows(spark.read.parquet(table)) == _rows(scen)
+    assert _rows(ingested(spark, table)) == _rows(scen)
     ingest_messages(spark, table, ckpt, path=src)                      # re-run: nothing new
-    assert spark.read.parquet(table).count() == 300
+    assert ingested(spark, table).count() == 300
     write_scenario_messages(_scen(spark, "B2", n=100), src)           # new batch arrives
     ingest_messages(spark, table, ckpt, path=src)
-    assert spark.read.parquet(table).count() == 400
+    assert ingested(spark, table).count() == 400
     v = {r.BATCH: r for r in running_var(spark, table, q=0.01).collect()}
     assert v["B1"].n == 300 and v["B2"].n == 100
 
@@ -91,14 +91,15 @@ def test_ingest_without_ids_dedups_by_payload(spark, tmp_shared):
     msgs.write.text(src)
     msgs.write.mode("append").text(src)
     ingest_messages(spark, table, ckpt, path=src)
-    assert spark.read.parquet(table).count() == 10
+    assert ingested(spark, table).count() == 10
 
 
 def test_stream_var_approx_runs(spark, tmp_shared):
     src = f"{tmp_shared}/src3"
     write_scenario_messages(_scen(spark, n=2000), src)
-    from tickspark.streaming.ingest import deduplicated, message_stream
-    stream = deduplicated(message_stream(spark, src))
+    from tickspark.sources.messages import parse_messages
+    from tickspark.streaming.ingest import message_stream
+    stream = parse_messages(message_stream(spark, src))
     q = (stream_var_approx(stream, 0.99).writeStream.outputMode("complete").format("memory")
          .queryName("var_live").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -110,22 +111,23 @@ def test_stream_var_approx_runs(spark, tmp_shared):
 
 
 def test_stream_var_exact_incremental_and_idempotent(spark, tmp_shared):
-    from tickspark.streaming.ingest import deduplicated, message_stream
-    from tickspark.streaming.running_var import stream_var_exact
+    from tickspark.sources.messages import parse_messages
+    from tickspark.streaming.ingest import message_stream
+    from tickspark.streaming.running_var import batch_store, read_var, stream_var_exact
     src, store, var, ckpt = (f"{tmp_shared}/{n}" for n in ("src4", "store4", "var4", "ckpt4"))
     a, b = _scen(spark, "B1", n=400), _scen(spark, "B2", n=300)
     write_scenario_messages(a, src)
     write_scenario_messages(a.where("SCENARIO_ID <= 20"), src)        # redelivered copies
-    stream_var_exact(spark, deduplicated(message_stream(spark, src)), store, var, ckpt, q=0.01)
-    got = {r.BATCH: r for r in spark.read.parquet(var).collect()}
+    stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=0.01)
+    got = {r.BATCH: r for r in read_var(spark, var).collect()}
     assert set(got) == {"B1"} and got["B1"].n == 400
     assert got["B1"].VaR == pytest.approx(R.value_at_risk(a, q=0.01).first().VaR, rel=1e-12)
     write_scenario_messages(b, src)                                    # a new batch arrives
-    stream_var_exact(spark, deduplicated(message_stream(spark, src)), store, var, ckpt, q=0.01)
-    got = {r.BATCH: r for r in spark.read.parquet(var).collect()}
+    stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=0.01)
+    got = {r.BATCH: r for r in read_var(spark, var).collect()}
     assert got["B1"].n == 400 and got["B2"].n == 300
-    stream_var_exact(spark, deduplicated(message_stream(spark, src)), store, var, ckpt, q=0.01)
-    assert spark.read.parquet(store).count() == 700                   # re-run adds nothing
+    stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=0.01)
+    assert batch_store(spark, store).count() == 700                   # re-run adds nothing
 
 
 def test_csv_load_reports_bad_rows(spark, tmp_shared):
@@ -206,27 +208,28 @@ def test_ingest_recovers_without_duplicates(spark, tmp_shared):
     for b in ("B1", "B2", "B3"):
         write_scenario_messages(_scen(spark, b, n=100), src)
     ingest_messages(spark, table, ckpt, path=src, max_files_per_trigger=1)
-    assert spark.read.parquet(table).count() == 300
+    assert ingested(spark, table).count() == 300
     last = _drop_last_commit(ckpt)
     assert last >= 1                                     # several micro-batches ran
     ingest_messages(spark, table, ckpt, path=src, max_files_per_trigger=1)   # replays the last batch
-    assert spark.read.parquet(table).count() == 300      # the file sink log keeps it exactly once
+    assert ingested(spark, table).count() == 300      # its folder is overwritten
 
 
 def test_stream_var_replay_is_idempotent(spark, tmp_shared):
-    from tickspark.streaming.ingest import deduplicated, message_stream
-    from tickspark.streaming.running_var import stream_var_exact
+    from tickspark.sources.messages import parse_messages
+    from tickspark.streaming.ingest import message_stream
+    from tickspark.streaming.running_var import batch_store, read_var, stream_var_exact
     src, store, var, ckpt = (f"{tmp_shared}/{n}" for n in ("src7", "store7", "var7", "ckpt7"))
     write_scenario_messages(_scen(spark, "B1", n=200), src)
     write_scenario_messages(_scen(spark, "B2", n=100), src)
-    run = lambda: stream_var_exact(spark, deduplicated(message_stream(spark, src, max_files_per_trigger=1)),
+    run = lambda: stream_var_exact(spark, parse_messages(message_stream(spark, src, max_files_per_trigger=1)),
                                    store, var, ckpt, q=0.01)
     run()
-    before = sorted((r.BATCH, r.n, r.VaR) for r in spark.read.parquet(var).collect())
+    before = sorted((r.BATCH, r.n, r.VaR) for r in read_var(spark, var).collect())
     _drop_last_commit(ckpt)
     run()                                                # the last epoch runs again
-    after = sorted((r.BATCH, r.n, r.VaR) for r in spark.read.parquet(var).collect())
-    assert after == before and spark.read.parquet(store).count() == 300
+    after = sorted((r.BATCH, r.n, r.VaR) for r in read_var(spark, var).collect())
+    assert after == before and batch_store(spark, store).count() == 300
 
 
 def test_var_from_store_by_path_and_name(spark, tmp_shared):
@@ -240,3 +243,61 @@ def test_var_from_store_by_path_and_name(spark, tmp_shared):
     spark.read.parquet(table).createOrReplaceTempView("var_store_view")
     by_name = {r.BATCH: r.VaR for r in var_from_store(spark, "var_store_view", q=0.01).collect()}
     assert by_name == {k: v.VaR for k, v in got.items()}
+
+
+def test_late_first_deliveries_are_kept(spark, tmp_shared):
+    """A backfill whose files are older than anything seen is stored like any other."""
+    import os
+    import time
+    src, table, ckpt = f"{tmp_shared}/src9", f"{tmp_shared}/tbl9", f"{tmp_shared}/ckpt9"
+    write_scenario_messages(_scen(spark, "X", n=100), src)
+    ingest_messages(spark, table, ckpt, path=src)
+    seen = set(os.listdir(src))
+    write_scenario_messages(_scen(spark, "007", n=100), src)
+    old = time.time() - 3 * 3600
+    for f in set(os.listdir(src)) - seen:
+        os.utime(f"{src}/{f}", (old, old))
+    ingest_messages(spark, table, ckpt, path=src)
+    counts = {r.BATCH: r["count"] for r in ingested(spark, table).groupBy("BATCH").count().collect()}
+    assert counts == {"X": 100, "007": 100}
+
+
+def test_malformed_messages_go_to_quarantine(spark, tmp_shared):
+    from tickspark.streaming.ingest import quarantined
+    src, table, ckpt = f"{tmp_shared}/src10", f"{tmp_shared}/tbl10", f"{tmp_shared}/ckpt10"
+    write_scenario_messages(_scen(spark, "B1", n=20), src)
+    bad = ["not json", '{"batch": 7, "return": 1.0, "start_date": "yesterday"}', "[1, 2]", "{}"]
+    spark.createDataFrame([(b,) for b in bad], "value string").coalesce(1).write.mode("append").text(src)
+    ingest_messages(spark, table, ckpt, path=src)
+    assert ingested(spark, table).count() == 20
+    q = quarantined(spark, table).collect()
+    assert sorted(r.PAYLOAD for r in q) == sorted(bad)
+    assert {r.PAYLOAD: r.ERROR for r in q}[bad[1]] == "bad date"
+    assert all(r.SOURCE and r.ARRIVAL for r in q)
+
+
+def test_batch_ids_stay_text(spark, tmp_shared):
+    from tickspark.streaming.ingest import compact_store
+    from tickspark.operators.risk import var_from_store
+    from tickspark.sources.files import append_scenarios
+    csv, table, out = f"{tmp_shared}/c7", f"{tmp_shared}/t7", f"{tmp_shared}/o7"
+    write_scenarios_csv(_scen(spark, "007", n=30), csv)
+    loaded = load_scenarios(spark, csv, table, by_batch=True)
+    assert {r.BATCH for r in loaded.select("BATCH").distinct().collect()} == {"007"}
+    append_scenarios(_scen(spark, "007", n=30), f"{tmp_shared}/plain7")
+    assert compact_store(spark, f"{tmp_shared}/plain7", out).first().BATCH == "007"
+    assert [r.BATCH for r in var_from_store(spark, out, q=0.01).collect()] == ["007"]
+
+
+def test_incremental_var_reads_only_touched_batches(spark, tmp_shared):
+    from tickspark.sources.messages import parse_messages
+    from tickspark.streaming.ingest import message_stream
+    from tickspark.streaming.running_var import batch_store, stream_var_exact
+    src, store, var, ckpt = (f"{tmp_shared}/{n}" for n in ("src11", "store11", "var11", "ckpt11"))
+    for b in ("B1", "007"):
+        write_scenario_messages(_scen(spark, b, n=50), src)
+    stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=0.01)
+    one = batch_store(spark, store, ["007"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "BATCH" in plan.split("PartitionFilters: [")[1][:80]
+    assert one.count() == 50 and {r.BATCH for r in one.collect()} == {"007"}

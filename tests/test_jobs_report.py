@@ -137,3 +137,39 @@ def test_generate_text_calls_client_in_chunks(spark):
     df = spark.range(10).selectExpr("cast(id as string) as prompt").coalesce(1)
     out = generate_text(df, Sized, batch_size=3).collect()
     assert sorted(int(r.ml_generate_text_llm_result) for r in out) == [1] + [3] * 9
+
+
+def test_event_logs_of_two_applications_in_one_folder(spark, tmp_path):
+    """Runs are told apart by application; of a stage's attempts the last counts."""
+    import json
+    from tickspark.sources.event_log import read_event_log_jobs
+
+    def log(app, start, attempts):
+        acc = lambda ms, rows: [{"Name": "internal.metrics.executorRunTime", "Value": str(ms)},
+                                {"Name": "internal.metrics.input.recordsRead", "Value": str(rows)}]
+        events = [{"Event": "SparkListenerApplicationStart", "App ID": app},
+                  {"Event": "SparkListenerJobStart", "Job ID": 0, "Submission Time": start, "Stage IDs": [0],
+                   "Properties": {"spark.sql.execution.id": "1", "spark.job.description": app}}]
+        events += [{"Event": "SparkListenerStageCompleted", "Stage Info": {
+            "Stage ID": 0, "Stage Attempt ID": i, "Stage Name": "scan", "Accumulables": acc(ms, rows)}}
+            for i, (ms, rows) in enumerate(attempts)]
+        events.append({"Event": "SparkListenerJobEnd", "Job ID": 0, "Completion Time": start + 1000,
+                       "Job Result": {"Result": "JobSucceeded"}})
+        (tmp_path / app).write_text("\n".join(map(json.dumps, events)))
+
+    log("app-1", 0, [(500, 10)])
+    log("app-2", 900_000, [(100, 4), (700, 20)])
+    rows = {r.query: r for r in read_event_log_jobs(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"app-1", "app-2"}
+    assert (rows["app-1"].total_slot_ms, rows["app-2"].total_slot_ms) == (500, 700)
+    assert rows["app-2"].job_stages[0].records_read == 20
+    assert (rows["app-1"].end_time - rows["app-1"].start_time).total_seconds() == 1
+
+
+def test_prompt_prints_large_prices_in_full(spark):
+    from tickspark.operators.report import report_prompt
+    row = ("A", 12345678.9, 5, 7, 1.5, 6, 20_000_000)
+    df = spark.createDataFrame([row], "RIC string, VWAP_d1 double, NumTrades_d1 long, TotalVolume_d1 long, "
+                                      "VWAP_d2 double, NumTrades_d2 long, TotalVolume_d2 long")
+    text = report_prompt(df, "d1", "d2").first().prompt
+    assert "vwap day one:12345678.900 vwap" in text and text.endswith("day 2:20000000")

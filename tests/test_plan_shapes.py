@@ -5,11 +5,14 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from tickspark.plans.catalog import QUERIES
 
 SF001 = "/root/testdata/sf0.001"
 # Queries whose library path runs eager jobs or streams first; their final
 # plans are still checked.
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
+# Queries with code in Python workers: text generation, and matrix products of the covariance.
+PYTHON = {"report_text", "covariance", "covariance_wide", "portfolio_std"}
 
 
 def _groups(text: str) -> list[str]:
@@ -66,11 +69,37 @@ def test_window_check_detects_unpartitioned(spark):
     assert _windows_partitioned(_plan(good))
 
 
-def test_only_generation_uses_python(spark):
+def test_python_only_where_expected(spark):
     for name in NAMES:
         plan = _plan(E.queries()[name](spark, SF001))
-        uses_python = "MapInPandas" in plan or "PythonMapInArrow" in plan or "ArrowEvalPython" in plan
-        assert uses_python == (name == "report_text"), name
+        uses_python = any(x in plan for x in ("MapInPandas", "MapInArrow", "ArrowEvalPython", "GroupsInPandas"))
+        assert uses_python == (name in PYTHON), name
+
+
+def test_jobs_read_only_the_days_of_their_range(spark, tmp_path):
+    """Day folders are pruned through run_var, run_report and the readers."""
+    import datetime as dt
+
+    from tickspark.operators.report import EchoClient
+    from tickspark.plans.report_job import run_report
+    from tickspark.plans.var_job import run_var
+    from tickspark.sources.fixtures import ticks_from_events
+    from tickspark.sources.tables import read_ticks, write_ticks
+    path = str(tmp_path / "days")
+    write_ticks(ticks_from_events(spark, SF001), path)
+    ticks = read_ticks(spark, path)
+    rics, day = ["AAA.L", "BBB.L"], ("2024-01-15 00:00:00", "2024-01-16 23:59:59")
+
+    def pruned(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+        return bool(found) and all("trade_date" in f for f in found)
+
+    report = run_report(ticks, rics, *day, "2024-01-15", "2024-01-16", EchoClient, trade_date_col="trade_date")
+    assert pruned(report.daily) and pruned(report.generated)
+    run = run_var(spark, ticks, rics, dt.datetime(2024, 1, 20), years=1, n=10, mode="lcg", trade_date_col="trade_date")
+    assert pruned(run.closes) and pruned(run.returns) and pruned(run.moments)
+    assert pruned(read_ticks(spark, path, *day, trade_date_col="trade_date"))
 
 
 def test_trade_scan_is_pruned(spark):
@@ -92,19 +121,3 @@ def test_weights_join_is_broadcast(spark):
     rets = log_returns(align_closes(daily_close_from_lineitem(spark, SF001), tickers), tickers)
     plan = _plan(R.portfolio_moments(rets, R.equal_weights(spark, tickers)))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-
-def test_large_var_avoids_whole_group_percentile(spark, monkeypatch):
-    import tickspark.operators.quantile as Q
-    from tickspark.operators import risk as R
-    seen = []
-    orig = Q._bracketed_quantile
-
-    def spy(*a, **k):
-        out = orig(*a, **k)
-        seen.append(_plan(out))
-        return out
-    monkeypatch.setattr(Q, "_bracketed_quantile", spy)
-    scen = R.scenarios(spark, 0.0, 0.01, 1000, tasks=600, mode="lcg")      # 600 k > cutover
-    R.value_at_risk(scen, q=0.01).collect()
-    assert seen and "percentile(" not in seen[0].lower().replace("percentile_approx", "")

@@ -19,9 +19,10 @@ values = st.lists(st.one_of(st.integers(-50, 50).map(float),
 def test_exact_quantile_matches_numpy(spark, xs, q, groups):
     pdf = pd.DataFrame({"x": xs, "g": [i % groups for i in range(len(xs))]})
     df = spark.createDataFrame(pdf)
-    # force the multi-pass selection path with tiny brackets
-    got = {r.g: r.quantile for r in exact_quantile(df, "x", q, ["g"], small_group_rows=0,
-                                                   bracket_rows=3).collect()}
+    # force several rounds of narrowing with tiny brackets
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr("tickspark.operators.quantile.RANKED_ROWS", 3)
+        got = {r.g: r.quantile for r in exact_quantile(df, "x", q, ["g"]).collect()}
     for g, part in pdf.groupby("g"):
         want = np.percentile(part.x.to_numpy(), 100 * q) if q not in (0.0, 1.0) else (
             part.x.min() if q == 0.0 else part.x.max())
@@ -80,8 +81,8 @@ closes_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=closes_rows, order=st.permutations(["A", "B", "C"]))
-def test_alignment_and_returns_match_pandas_recipe(spark, rows, order):
-    """First ticker fixes the calendar; shift is positional before dropna."""
+def test_alignment_and_returns_match_the_definition(spark, rows, order):
+    """First ticker fixes the calendar; a return needs this and the calendar's previous close, for all tickers."""
     import datetime as dt
     from tickspark.operators import risk as R
     from tickspark.operators.closes import align_closes, log_returns
@@ -89,19 +90,19 @@ def test_alignment_and_returns_match_pandas_recipe(spark, rows, order):
     data = [(r, d0 + dt.timedelta(days=d), p) for r, d, p in rows]
     closes = spark.createDataFrame(data, "RIC string, Date date, Price double")
     tickers = list(order)
-    # the pandas recipe: assign series one by one to an empty frame, log, shift, dropna
-    pdf = pd.DataFrame(data, columns=["RIC", "Date", "Price"])
-    wide = pd.DataFrame()
-    for t in tickers:
-        wide[t] = pdf[pdf.RIC == t].sort_values("Date").set_index("Date")["Price"].astype(float)
-    lr = np.log(wide / wide.shift(1)).dropna()
+    price = {(r, d): p for r, d, p in data}
+    days = sorted(d for r, d, _ in data if r == tickers[0])
+    want = {}
+    for before, day in zip(days, days[1:]):
+        if all((t, d) in price for t in tickers for d in (before, day)):
+            want[day] = [np.log(price[t, day] / price[t, before]) for t in tickers]
     got = log_returns(align_closes(closes, tickers), tickers).collect()
-    assert len(got) == lr.size
+    assert {(r.Date, r.RIC) for r in got} == {(d, t) for d in want for t in tickers}
     for r in got:
-        assert r.log_return == pytest.approx(lr.loc[r.Date, r.RIC], rel=1e-12, abs=1e-15)
+        assert r.log_return == pytest.approx(want[r.Date][tickers.index(r.RIC)], rel=1e-12, abs=1e-15)
     m = R.portfolio_moments(log_returns(align_closes(closes, tickers), tickers),
                             R.equal_weights(spark, tickers)).first()
-    assert m.n_days == len(lr)
-    if len(lr) >= 2:
-        w = np.array([1 / 3] * 3)
-        assert m.portfolio_std == pytest.approx(float(np.sqrt(w @ lr.cov().to_numpy() @ w)), rel=1e-9, abs=1e-12)
+    assert m.n_days == len(want)
+    if len(want) >= 2:
+        daily = np.array(list(want.values())).mean(axis=1)
+        assert m.portfolio_std == pytest.approx(float(daily.std(ddof=1)), rel=1e-9, abs=1e-12)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickspark.operators import risk as R
-from tickspark.operators.closes import align_closes, daily_close, log_returns
+from tickspark.operators.closes import align_closes, daily_close, gappy_log_returns, log_returns
 from tickspark.operators.quantile import exact_quantile
 from tickspark.schemas import TICKS
 from tickspark.sources.fixtures import daily_close_from_lineitem, ticks_from_events
@@ -56,16 +56,19 @@ def test_last_trade_tie_break(spark):
     assert [(r.Date, r.Price) for r in c] == [(dt.date(2024, 1, 2), 11.0)]
 
 
-def _pandas_recipe(closes_pdf, tickers):
-    wide = pd.DataFrame()
-    for t in tickers:
-        s = closes_pdf[closes_pdf.RIC == t].sort_values("Date").set_index("Date")["Price"]
-        wide[t] = s.astype(float)
-    lr = np.log(wide / wide.shift(1)).dropna()
-    w = np.array([1 / len(tickers)] * len(tickers))
-    mu = np.sum(lr.mean() * w)
-    sigma = np.sqrt(w.T @ lr.cov() @ w)
-    return lr, mu, sigma
+def _moments_by_hand(rows, tickers):
+    """From the definition, on plain lists: the first ticker's days are the calendar; a day counts
+    if every ticker has this close and the one of the calendar day before."""
+    price = {(r.RIC, r.Date): r.Price for r in rows}
+    days = sorted({r.Date for r in rows if r.RIC == tickers[0]})
+    kept = []
+    for before, day in zip(days, days[1:]):
+        pairs = [(price.get((t, before)), price.get((t, day))) for t in tickers]
+        if all(p is not None and c is not None for p, c in pairs):
+            kept.append([np.log(c) - np.log(p) for p, c in pairs])
+    x = np.array(kept).reshape(-1, len(tickers))
+    cov = np.cov(x, rowvar=False) if len(x) > 1 else None
+    return x, cov
 
 
 def test_brand_chain_matches_pandas(spark):
@@ -74,8 +77,11 @@ def test_brand_chain_matches_pandas(spark):
     rets = log_returns(align_closes(closes, tickers), tickers)
     w = R.equal_weights(spark, tickers)
     m = R.portfolio_moments(rets, w).first()
-    lr, mu, sigma = _pandas_recipe(closes.where(F.col("RIC").isin(tickers)).toPandas(), tickers)
+    lr, cov = _moments_by_hand(closes.where(F.col("RIC").isin(tickers)).collect(), tickers)
+    mu, sigma = lr.mean(), np.sqrt(cov.sum()) / len(tickers)
     assert m.n_days == len(lr) == 282
+    gappy = R.portfolio_moments(gappy_log_returns(align_closes(closes, tickers)), w, len(tickers)).first()
+    assert gappy.n_days == 282 and gappy.portfolio_std == pytest.approx(m.portfolio_std, rel=1e-12)
     assert m.expected_return == pytest.approx(mu, rel=1e-12)
     assert m.portfolio_std == pytest.approx(sigma, rel=1e-12)
     assert round(m.expected_return, 10) == -0.0056316446
@@ -87,15 +93,77 @@ def test_brand_chain_matches_pandas(spark):
     assert er == pytest.approx(mu, rel=1e-12)
 
 
-def test_covariance_symmetric_and_gram_equal(spark):
+def test_covariance_matches_numpy_and_is_symmetric(spark):
     tickers = ["Brand#1", "Brand#2", "Brand#3"]
-    rets = log_returns(align_closes(daily_close_from_lineitem(spark, SF01), tickers), tickers)
-    wide = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(rets, tickers).collect()}
-    gram = {(r.RIC_i, r.RIC_j): r.covariance for r in R._covariance_gram(rets, tickers).collect()}
-    assert len(wide) == 9
-    for (i, j), v in wide.items():
-        assert v == pytest.approx(wide[(j, i)])
-        assert gram[(i, j)] == pytest.approx(v, rel=1e-9)
+    closes = daily_close_from_lineitem(spark, SF01)
+    rets = log_returns(align_closes(closes, tickers), tickers)
+    got = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(rets, tickers).collect()}
+    _, want = _moments_by_hand(closes.where(F.col("RIC").isin(tickers)).collect(), tickers)
+    for i, a in enumerate(tickers):
+        for j, b in enumerate(tickers):
+            assert got[(a, b)] == pytest.approx(want[i, j], rel=1e-9) and got[(a, b)] == got[(b, a)]
+
+
+def _gappy(spark, k, n, shift, seed=3):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(0, 0.02, (n, k)) + shift
+    there = rng.random((n, k)) > 0.2
+    days = [dt.date(2000, 1, 1) + dt.timedelta(days=37 * i) for i in range(n)]
+    rows = [(f"T{j}", days[i], float(x[i, j])) for i in range(n) for j in range(k) if there[i, j]]
+    return x, there, spark.createDataFrame(rows, "RIC string, Date date, log_return double")
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e6])
+def test_covariance_with_gaps_is_pairwise_in_every_block(spark, monkeypatch, shift):
+    """Several ticker blocks and day chunks; large means do not cancel."""
+    monkeypatch.setattr(R, "BLOCK_TICKERS", 3)
+    monkeypatch.setattr(R, "BLOCK_DAYS", 200)
+    x, there, rets = _gappy(spark, 7, 40, shift)
+    names = [f"T{j}" for j in range(7)] + ["absent"]
+    got = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(rets, names).collect()}
+    assert len(got) == 64 and got[("absent", "T1")] is None and got[("absent", "absent")] is None
+    for i in range(7):
+        for j in range(7):
+            both = there[:, i] & there[:, j]
+            want = np.cov(x[both, i], x[both, j])[0, 1]
+            assert got[(f"T{i}", f"T{j}")] == pytest.approx(want, rel=1e-4 if shift else 1e-9, abs=1e-12)
+
+
+def test_scenarios_do_not_depend_on_partitions(spark):
+    a = R.scenarios(spark, 0.0, 0.01, 3000, mode="randn", seed=42, num_partitions=1)
+    b = R.scenarios(spark, 0.0, 0.01, 3000, mode="randn", seed=42, num_partitions=7)
+    assert sorted((r.SCENARIO_ID, r.RETURN) for r in a.collect()) == sorted((r.SCENARIO_ID, r.RETURN) for r in b.collect())
+    z = np.array([r.RETURN for r in a.collect()]) / (1e6 * 0.01 * np.sqrt(20))
+    assert abs(z.mean()) < 0.06 and abs(z.std() - 1) < 0.05
+    assert R.scenarios(spark, 0.0, 0.01, 10, seed=43).first().RETURN != a.first().RETURN
+
+
+def test_null_price_of_the_first_ticker_keeps_its_day(spark):
+    day = lambda i: dt.date(2024, 1, i)
+    rows = [("A", day(1), 10.0), ("A", day(2), None), ("A", day(3), 12.0), ("A", day(4), 13.0),
+            *[("B", day(i), 5.0 + i) for i in range(1, 5)]]
+    closes = spark.createDataFrame(rows, "RIC string, Date date, Price double")
+    aligned = align_closes(closes, ["A", "B"])
+    assert {r.Date for r in aligned.collect()} == {day(i) for i in range(1, 5)}
+    assert {r.Date for r in log_returns(aligned, ["A", "B"]).collect()} == {day(4)}
+
+
+def test_two_closes_of_one_day_are_an_error(spark):
+    rows = [("A", dt.date(2024, 1, 1), 10.0), ("A", dt.date(2024, 1, 1), 11.0)]
+    closes = spark.createDataFrame(rows, "RIC string, Date date, Price double")
+    for tickers in (["A"], ["A"] + [f"T{i}" for i in range(80)]):
+        with pytest.raises(Exception, match="two closes"):
+            align_closes(closes, tickers).collect()
+
+
+def test_null_sequence_is_the_smallest_in_both_close_paths(spark):
+    t = dt.datetime(2024, 1, 2, 16, 30)
+    q = "a;12------------[MMT_CLASS]"
+    rows = [(None, t, "A", 5.0, 1, "Trade", q), (None, t, "B", 6.0, 1, "Trade", q), (1, t, "B", 7.0, 1, "Trade", q)]
+    df = spark.createDataFrame(rows, TICKS)
+    for cols in (("Date_Time", "Seq"), ("Date_Time", "Seq", "Volume")):
+        got = {r.RIC: r.Price for r in daily_close(df, order_cols=cols).collect()}
+        assert got == {"A": 5.0, "B": 7.0}
 
 
 def test_empty_history_gives_null_moments(spark):
@@ -146,21 +214,44 @@ def test_var_monotone_in_confidence(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 1000, 12_345])
-def test_bracketed_quantile_equals_percentile(spark, n):
+def test_narrowed_quantile_equals_percentile(spark, monkeypatch, n):
+    import tickspark.operators.quantile as Q
     df = spark.range(n).select((F.randn(3) * 100).alias("x"), (F.col("id") % 3).alias("g"))
-    exact = {r.g: r.quantile for r in exact_quantile(df, "x", 0.01, ["g"]).collect()}
-    forced = {r.g: r.quantile for r in exact_quantile(df, "x", 0.01, ["g"], small_group_rows=0,
-                                                      bracket_rows=50).collect()}
-    assert set(exact) == set(forced)
-    for k in exact:
-        assert forced[k] == pytest.approx(exact[k], rel=1e-12, abs=1e-12)
-    # ungrouped
+    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("x", F.lit(0.01)).alias("q")).collect()}
+    for rows in (50, 10_000):
+        monkeypatch.setattr(Q, "RANKED_ROWS", rows)
+        got = {r.g: r.quantile for r in exact_quantile(df, "x", 0.01, ["g"]).collect()}
+        assert set(got) == set(want)
+        for k in want:
+            assert got[k] == pytest.approx(want[k], rel=1e-12, abs=1e-12)
+    monkeypatch.setattr(Q, "RANKED_ROWS", 50)
     a = exact_quantile(df, "x", 0.37).first().quantile
-    b = exact_quantile(df, "x", 0.37, small_group_rows=0, bracket_rows=50).first().quantile
-    assert b == pytest.approx(a, rel=1e-12, abs=1e-12)
     assert a == pytest.approx(np.percentile(df.toPandas().x, 37), rel=1e-12, abs=1e-12)
 
 
+def test_quantile_of_ties_and_infinities(spark, monkeypatch):
+    """Heavy ties narrow by value, infinities are values; null keys are a group."""
+    import tickspark.operators.quantile as Q
+    monkeypatch.setattr(Q, "RANKED_ROWS", 20)
+    xs = [1.0] * 3000 + [2.0] * 3000 + [float("inf")] * 5 + [float("-inf")] * 2 + [float(i) for i in range(3, 40)]
+    rows = [(None, x) for x in xs] + [("k", x) for x in xs[:10]]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for q in (0.0, 0.0001, 0.25, 0.5, 0.7, 0.99, 1.0):
+        got = {r.g: (r.n, r.quantile) for r in exact_quantile(df, "x", q, ["g"]).collect()}
+        v = sorted(xs)
+        at = q * (len(v) - 1)
+        lo, hi = v[int(at)], v[min(int(at) + 1, len(v) - 1)]
+        want = lo if at == int(at) or lo == hi else lo + (hi - lo) * (at - int(at))
+        assert got[None][0] == len(xs) and got["k"] == (10, 1.0)
+        assert got[None][1] == pytest.approx(want, rel=1e-9) or (np.isnan(got[None][1]) and np.isnan(want))
+
+
+def test_quantile_plan_ranks_no_whole_group(spark):
+    df = spark.range(30_000).select((F.randn(3) * 100).alias("x"), F.lit(1).alias("g"))
+    plan = exact_quantile(df, "x", 0.01, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_histogram_matches_numpy(spark):
     scen = R.scenarios(spark, 0.001, 0.02, 10_000, mode="lcg")
     g = scen.toPandas().RETURN.to_numpy()
@@ -230,43 +321,14 @@ def test_order_of_other_tickers_does_not_matter(spark):
     assert m3.n_days != m1.n_days  # the first ticker fixes the calendar
 
 
-def test_large_portfolio_paths_agree(spark):
-    """Above the wide thresholds: map-based alignment and Gram covariance."""
-    from tickspark.operators import closes as C
+def test_covariance_of_many_tickers(spark):
     tickers = [f"Brand#{i}" for i in range(1, 26)]
     closes = daily_close_from_lineitem(spark, SF01)
-    wide_aligned = align_closes(closes, tickers)
-    wide = log_returns(wide_aligned, tickers)
-    old = C.WIDE_ALIGN_MAX_TICKERS, R.WIDE_COVARIANCE_MAX_TICKERS
-    try:
-        C.WIDE_ALIGN_MAX_TICKERS, R.WIDE_COVARIANCE_MAX_TICKERS = 0, 0
-        mapped_aligned = align_closes(closes, tickers)
-        assert sorted(mapped_aligned.collect()) == sorted(wide_aligned.collect())
-        assert mapped_aligned.count() > 1000
-        mapped = log_returns(mapped_aligned, tickers)
-        assert sorted(mapped.collect()) == sorted(wide.collect())
-        cov_g = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(mapped, tickers[:5]).collect()}
-    finally:
-        C.WIDE_ALIGN_MAX_TICKERS, R.WIDE_COVARIANCE_MAX_TICKERS = old
-    cov_w = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(wide, tickers[:5]).collect()}
-    for k, v in cov_w.items():
-        assert (v is None and cov_g[k] is None) or cov_g[k] == pytest.approx(v, rel=1e-9, abs=1e-15)
-
-
-def test_quantile_many_groups_spark_path(spark, monkeypatch):
-    """Force the paths used with very many groups: checkpointed state,
-    Spark-side bucket selection and shuffle (not broadcast) joins."""
-    import tickspark.operators.quantile as Q
-    monkeypatch.setattr(Q, "DRIVER_TABLE_ROWS", 0)
-    monkeypatch.setattr(Q, "BROADCAST_GROUPS", 0)
-    df = spark.range(3000).select((F.randn(11) * 50).alias("x"), (F.col("id") % 3).alias("g"))
-    df = df.unionByName(spark.range(300).select(F.lit(3.0).alias("x"), F.lit(99).cast("long").alias("g")))
-    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("x", F.lit(0.01)).alias("q")).collect()}
-    got = {r.g: r.quantile for r in Q.exact_quantile(df, "x", 0.01, ["g"], small_group_rows=0,
-                                                     bracket_rows=100).collect()}
-    assert set(got) == set(want)
-    for g in want:
-        assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)
+    rets = gappy_log_returns(align_closes(closes, tickers))
+    got = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(rets, tickers).collect()}
+    pair = rets.where(F.col("RIC").isin(tickers[3], tickers[20])).groupBy("Date").pivot("RIC").agg(F.max("log_return"))
+    want = pair.agg(F.covar_samp(f"`{tickers[3]}`", f"`{tickers[20]}`")).first()[0]
+    assert len(got) == 625 and got[(tickers[3], tickers[20])] == pytest.approx(want, rel=1e-9)
 
 
 def test_unseeded_randn_is_stable_across_passes(spark):
@@ -294,18 +356,6 @@ def test_daily_close_on_a_stream(spark, tmp_path):
         assert got == want and len(got) > 0
 
 
-@pytest.mark.parametrize("hint", [(-60.0, 60.0), (1000.0, 2000.0), (-1e-9, 1e-9), (-1e6, 1e6)])
-def test_value_range_hint_keeps_exactness(spark, hint):
-    """Any range guess gives the exact answer (edge buckets keep the order)."""
-    df = spark.range(5000).select((F.randn(5) * 20).alias("x"), (F.col("id") % 2).alias("g"))
-    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("x", F.lit(0.01)).alias("q")).collect()}
-    got = {r.g: r.quantile for r in exact_quantile(df, "x", 0.01, ["g"], bracket_rows=50,
-                                                   value_range=hint).collect()}
-    assert set(got) == set(want)
-    for g in want:
-        assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)
-
-
 def test_repeated_ticker_counts_once(spark):
     closes = daily_close_from_lineitem(spark, SF01)
     once = ["Brand#1", "Brand#2", "Brand#3"]
@@ -313,12 +363,3 @@ def test_repeated_ticker_counts_once(spark):
     a = R.portfolio_moments(log_returns(align_closes(closes, once), once), R.equal_weights(spark, once)).first()
     b = R.portfolio_moments(log_returns(align_closes(closes, twice), twice), R.equal_weights(spark, twice)).first()
     assert a.n_days == b.n_days == 282 and a.portfolio_std == pytest.approx(b.portfolio_std, rel=1e-12)
-
-
-def test_randn_reproducible_for_seed_and_partitions(spark):
-    a = R.scenarios(spark, 0.0, 0.01, 5000, mode="randn", seed=11, num_partitions=4)
-    b = R.scenarios(spark, 0.0, 0.01, 5000, mode="randn", seed=11, num_partitions=4)
-    c = R.scenarios(spark, 0.0, 0.01, 5000, mode="randn", seed=11, num_partitions=3)
-    ra = sorted((r.SCENARIO_ID, r.RETURN) for r in a.collect())
-    assert ra == sorted((r.SCENARIO_ID, r.RETURN) for r in b.collect())
-    assert ra != sorted((r.SCENARIO_ID, r.RETURN) for r in c.collect())

@@ -90,7 +90,7 @@ def covariance(returns: DataFrame, tickers: Sequence[str]) -> DataFrame:
                       F.explode(pairs).alias("pair"))
               .select("i", "Date", "x", "chunk", "pair.a", "pair.b"))
 
-    def products(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def products(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = int(key[0]), int(key[1])
         day = np.unique(pdf["Date"].astype("datetime64[ns]").to_numpy(), return_inverse=True)[1]
 
@@ -108,7 +108,7 @@ def covariance(returns: DataFrame, tickers: Sequence[str]) -> DataFrame:
         sums = np.stack([tx.T @ ty, x.T @ ty, tx.T @ y, x.T @ y])
         return pd.DataFrame({"a": [a], "b": [b], "sums": [sums.tobytes()]})
 
-    def cells(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def cells(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = int(key[0]), int(key[1])
         shape = [min(BLOCK_TICKERS, k - q * BLOCK_TICKERS) for q in (a, b)]
         n, sx, sy, sxy = np.sum([np.frombuffer(s).reshape(4, *shape) for s in sorted(pdf["sums"])], axis=0)

@@ -279,8 +279,10 @@ def q_var_job(spark, d):
                   sink=lambda df: append_scenarios(df, table))
     stored = read_store(spark, table).groupBy("BATCH").agg(F.count(F.lit(1)).alias("stored"),
                                                             F.countDistinct("SCENARIO_ID").alias("ids"))
-    return _round_cols(stored.join(F.broadcast(_show_var(run.var))).withColumn("mu", F.lit(run.mu))
-                       .withColumn("sigma", F.lit(run.sigma)), {"mu", "sigma"})
+    var = _show_var(run.var).first()
+    scalars = {"n": F.lit(var.n).cast("long"), "VaR": F.lit(var.VaR).cast("double"),
+               "mu": F.lit(run.mu).cast("double"), "sigma": F.lit(run.sigma).cast("double")}
+    return _round_cols(stored.withColumns(scalars), {"mu", "sigma"})
 
 
 def _day_store(spark, d):
