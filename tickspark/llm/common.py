@@ -161,7 +161,7 @@ def sum_arrays(df: DataFrame, share, shape: tuple[int, ...], blocks: int = 16) -
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cut)), pa.int64()), pa.array(cut, pa.binary())],
                                          names=["block", "v"])
 
-    def add(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def add(key, frame):
         # sorted: the sum does not depend on the order in which the shares arrive
         total = np.sum(np.stack([np.frombuffer(v) for v in sorted(frame.v)]), axis=0)
         return pd.DataFrame({"block": [key[0]], "v": [total.tobytes()]})

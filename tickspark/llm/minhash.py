@@ -236,7 +236,7 @@ def _rest(buckets: DataFrame, sketches: DataFrame, k: int, bands: int, rows: int
               .select("key", "band", "u", "root", "is_body", "own", "tile.i", "tile.j")
               .join(sketches.select("u", "sig"), "u"))
 
-    def compare(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         i, j = key[1], key[2]
         frame = frame.sort_values("u")
         left = frame[~frame.is_body & (frame.own == i)]
