@@ -242,3 +242,37 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def op2_license_scan(spark, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def scan_sql() -> str:
+    """The whole scan as DuckDB SQL over ``documents``, with the same rules."""
+    values = ",\n  ".join(f"({o}, {p}, '{label}', '{keyword}', '{pattern}', {base})"
+                          for o, p, label, keyword, pattern, base in rules())
+    levels = sorted({p for p, _ in FORMS} | {BASE_PRIORITY})
+    reach = " ".join(f"WHEN {p} THEN max(CASE WHEN priority >= {p} THEN last END) OVER before" for p in levels)
+    count = "(length({0}) - length(replace({0}, ' ', ''))) // 2"
+    total = lambda part: f"coalesce(list_sum(list_transform({part}, lambda x: {count.format('x')})), 0)"
+    return f"""
+WITH rules(rule, priority, label, keyword, pattern, is_base) AS (VALUES
+  {values}),
+d AS (SELECT doc_id, row_number() OVER () AS row,
+             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words FROM documents),
+l AS (SELECT *, ' ' || array_to_string(words, '  ') || ' ' AS line FROM d),
+m AS (SELECT row, r.*, string_split_regex(line, pattern) AS gaps, regexp_extract_all(line, pattern) AS hits
+      FROM l JOIN rules r ON list_contains(words, keyword) WHERE regexp_matches(line, pattern)),
+i AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+f AS (SELECT row, rule, priority, label, is_base, {total('gaps[1:i]')} + {total('hits[1:i - 1]')} AS first,
+             {total('gaps[1:i]')} + {total('hits[1:i]')} - 1 AS last FROM i),
+s AS (SELECT *, CASE priority {reach} END AS reach FROM f
+      WINDOW before AS (PARTITION BY row ORDER BY first, last DESC, priority DESC, rule
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+k AS (SELECT row, count(*) FILTER (WHERE is_base) AS n_base, min(first) FILTER (WHERE is_base) AS first_word,
+             max(first) FILTER (WHERE is_base) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS labels, count(*) AS n
+      FROM s WHERE is_base OR reach IS NULL OR reach < last GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, 1 - pow(0.5, coalesce(n, 0)) AS score
+FROM d LEFT JOIN k USING (row)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tickspark.llm.decontam import op6_benchmark_leaks
 from tickspark.llm.langid import op5_language_id
-from tickspark.llm.licenses import op2_license_scan
+from tickspark.llm.licenses import op2_license_scan, scan_sql
 from tickspark.llm.minhash import op1_dart_minhash
 from tickspark.llm.packing import op7_binary_pack
 from tickspark.llm.quality import op4_pu_quality
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_warc_revisits": op10_warc_revisits,
 }
 
-ORACLE = {"op3_nra_topk": OP3_SQL, "op10_warc_revisits": OP10_SQL}
+ORACLE = {"op2_license_scan": scan_sql(), "op3_nra_topk": OP3_SQL, "op10_warc_revisits": OP10_SQL}
