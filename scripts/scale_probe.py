@@ -54,17 +54,9 @@ def main():
         timed(f"daily_close x{m}", n, daily_close(t))
         l2 = t.select(F.col("Date_Time").alias("date_time"), "RIC", F.col("Price").alias("L2_BidPrice"))
         timed(f"bid_bars_minute x{m}", n, bid_bars(l2, "MINUTE"))
-    import tickspark.operators.quantile as Q
     for n in (100_000, 1_000_000, 10_000_000, 100_000_000):
         scen = R.scenarios(spark, 0.0005, 0.01, n // 1000, tasks=1000, mode="randn", seed=1)
         timed("value_at_risk", n, lambda: R.value_at_risk(scen, q=0.01))
-        vr = R.scenario_value_range(0.0005, 0.01, 1_000_000.0, 20)
-        timed("  with range guess", n, lambda: R.value_at_risk(scen, q=0.01, value_range=vr))
-        if n <= 1_000_000:
-            timed("  exact percentile", n, lambda: Q.exact_quantile(scen, "RETURN", 0.01,
-                                                                    small_group_rows=n))
-            timed("  distributed select", n, lambda: Q.exact_quantile(scen, "RETURN", 0.01,
-                                                                      small_group_rows=0))
 
 
 if __name__ == "__main__":
