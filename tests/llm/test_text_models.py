@@ -175,8 +175,8 @@ def test_candidate_recall_against_brute_force(spark):
         for item, _, passage, _ in items:
             if len(np.intersect1d(words, passage)) < 0.7 * len(np.unique(passage)):
                 continue  # too few common words anywhere in the text
-            n = len(passage)
-            if any(D._common(passage, words[s: s + n + n // 4]) >= D.COPY * n for s in range(0, max(1, len(words)), max(1, n // 8))):
+            n, pattern = len(passage), D.Pattern(passage)
+            if any(pattern.common(words[s: s + n + n // 4].tolist()) >= D.COPY * n for s in range(0, max(1, len(words)), max(1, n // 8))):
                 want.add((r.doc_id, item))
     assert want and len(want & got) >= 0.9 * len(want)
     assert len(got - want) <= 0.1 * len(want)
@@ -190,7 +190,7 @@ def test_common_subsequence():
         for i in range(len(a)):
             for j in range(len(b)):
                 t[i + 1, j + 1] = t[i, j] + 1 if a[i] == b[j] else max(t[i, j + 1], t[i + 1, j])
-        assert D._common(a, b) == t[-1, -1]
+        assert D.Pattern(a).common(b.tolist()) == t[-1, -1]
 
 
 def test_odd_documents_and_empty_benchmarks(spark, odd_docs, no_docs):

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tickspark.llm.common import written
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node is a leaf of one centre, or a centre."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("leaf")).union(edges.select("b", F.lit(0)))
+    bad = ends.groupBy("v").agg(F.sum("leaf").alias("leaf"), F.min("leaf").alias("centre"))
+    return not bad.where((F.col("leaf") > 1) | ((F.col("leaf") == 1) & (F.col("centre") == 0))).limit(1).count()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,8 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     star = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .where("a <> b").distinct(), "cc-edges")
-    seen = _fingerprint(star)
-    while seen[0]:
+    while not _is_star_forest(star):
         both = star.union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "cc-min")
         large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -33,9 +34,5 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         star = written(small, "cc-small")
-        now = _fingerprint(star)
-        if now == seen:
-            break
-        seen = now
     return star.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         star.select(F.col("b"), F.col("b")).distinct())

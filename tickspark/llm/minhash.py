@@ -27,7 +27,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +36,9 @@ from tickspark.llm.components import components
 
 WORDS = 5
 THRESHOLD = 0.8
-COORDINATES = 192
 BANDS, ROWS = 30, 6
-#: Least share of equal coordinates for an exact check: 3.8 standard errors below the threshold.
+COORDINATES = BANDS * ROWS
+#: Least share of equal coordinates for an exact check: 3.7 standard errors below the threshold.
 AGREE = 0.69
 #: Members of a bucket compared in one tile side.
 TILE = 1024
@@ -71,8 +70,10 @@ def throw_darts(codes: np.ndarray, weights: np.ndarray, owner: np.ndarray, texts
         live = np.flatnonzero(open_sets[sets])
         rank = np.zeros(len(live))
         found_set, found_rank, found_hash = [], [], []
-        number, width = 0, 1
+        number = 0
         while len(live):
+            # as many arrivals at a time as the elements have still to expect, on average
+            width = int(np.clip(np.mean((limit[sets[live]] - rank) * rate[live]), 1, 64))
             numbers = np.arange(number, number + width, dtype=np.uint64)
             hashes = mix(column_codes[live][:, None] + numbers[None, :] * _ARRIVAL)
             gaps = -np.log((hashes >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 + 2.0 ** -54)
@@ -87,16 +88,15 @@ def throw_darts(codes: np.ndarray, weights: np.ndarray, owner: np.ndarray, texts
             found_hash.append(h[hit])
             more = inside[:, -1]
             live, rank = live[more], arrivals[more, -1]
-            number, width = number + width, 16
+            number += width
         s, ranks, h = (np.concatenate(x) for x in (found_set, found_rank, found_hash))
         coordinate = (mix(h + _COORD) % np.uint64(k)).astype(np.int64)
         cell = s * k + coordinate
-        order = np.lexsort((ranks, cell))
-        cell = cell[order]
-        first = np.ones(len(cell), bool)
-        first[1:] = cell[1:] != cell[:-1]
+        earliest = np.full(texts * k, np.inf)
+        np.minimum.at(earliest, cell, ranks)
+        first = ranks == earliest[cell]
         values = np.zeros(texts * k, np.uint64)
-        values[cell[first]] = h[order][first] | np.uint64(1)
+        values[cell[first]] = h[first] | np.uint64(1)
         full = values.reshape(texts, k)
         complete = open_sets & (full != 0).all(axis=1)
         out[complete] = full[complete]
@@ -236,30 +236,68 @@ def _rest(buckets: DataFrame, sketches: DataFrame, k: int, bands: int, rows: int
               .select("key", "band", "u", "root", "is_body", "own", "tile.i", "tile.j")
               .join(sketches.select("u", "sig"), "u"))
 
-    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[1], key[2]
-        frame = frame.sort_values("u")
-        left = frame[~frame.is_body & (frame.own == i)]
-        right = frame[frame.is_body] if j < 0 else frame[frame.own == j]
+    schema = "a bigint, b bigint"
+    parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = (placed.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "u")
+             .select("key", "i", "j", "band", "u", "root", "is_body", "own", "sig"))
+    return tiles.mapInArrow(_tile_pairs(k, bands, rows, agree), schema)
+
+
+def _tile_pairs(k: int, bands: int, rows: int, agree: float):
+    """Compares the members of each tile (rows of one key, i, j stand together; a tile is bounded)."""
+    def compare(tile: dict) -> tuple[np.ndarray, np.ndarray]:
+        i, j, band = int(tile["i"][0]), int(tile["j"][0]), int(tile["band"][0])
+        body, own = tile["is_body"], tile["own"]
+        left = np.flatnonzero(~body & (own == i))
+        right = np.flatnonzero(body) if j < 0 else np.flatnonzero(~body & (own == j))
         out_a, out_b = [], []
-        if len(left) and len(right):
-            band = int(frame.band.iloc[0])
-            ls, rs = (np.frombuffer(b"".join(x.sig), np.uint8).reshape(len(x), k) for x in (left, right))
-            lu, ru, lr, rr = left.u.values, right.u.values, left.root.values, right.root.values
-            for x in range(len(left)):
-                same = rs == ls[x]
-                fit = (same.mean(axis=1) >= agree) & (rr != lr[x])
-                if j == i:
-                    fit &= ru > lu[x]
-                hits = np.flatnonzero(fit)
-                if len(hits):
-                    shared = same[hits, : bands * rows].reshape(len(hits), bands, rows).all(axis=2)
-                    hits = hits[shared.argmax(axis=1) == band]
-                    out_a += [lu[x]] * len(hits)
-                    out_b += ru[hits].tolist()
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-
-    return placed.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+        u, root, sig = tile["u"], tile["root"], tile["sig"]
+        for x in left:
+            same = sig[right] == sig[x]
+            fit = (same.mean(axis=1) >= agree) & (root[right] != root[x])
+            if j == i:
+                fit &= u[right] > u[x]
+            hits = np.flatnonzero(fit)
+            if len(hits):
+                shared = same[hits, : bands * rows].reshape(len(hits), bands, rows).all(axis=2)
+                hits = hits[shared.argmax(axis=1) == band]
+                out_a.append(np.full(len(hits), u[x]))
+                out_b.append(u[right[hits]])
+        none = np.zeros(0, np.int64)
+        return np.concatenate(out_a or [none]), np.concatenate(out_b or [none])
+
+    def columns(batch: pa.RecordBatch) -> dict:
+        out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "i", "j", "band", "u", "root", "is_body", "own")}
+        out["is_body"] = out["is_body"].astype(bool)
+        out["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, k)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict | None = None
+
+        def pairs(tiles: list[dict]) -> pa.RecordBatch:
+            found = [compare(t) for t in tiles]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[n] for f in found])) for n in (0, 1)],
+                                              names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = columns(batch)
+            if held is not None:
+                now = {n: np.concatenate([held[n], v]) for n, v in now.items()}
+            change = np.zeros(len(now["u"]) - 1, bool)
+            for n in ("key", "i", "j"):
+                change |= now[n][1:] != now[n][:-1]
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
+            whole = [{n: v[lo:hi] for n, v in now.items()} for lo, hi in zip(cuts, cuts[1:])]
+            held = {n: v[cuts[-1]:] for n, v in now.items()}  # the last tile may go on in the next batch
+            if whole:
+                yield pairs(whole)
+        if held is not None:
+            yield pairs([held])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS,
@@ -284,22 +322,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                "doc_id", "left_semi")
                     .select(F.col("doc_id").alias("u"), "text").dropDuplicates(["u"]), "near-bodies-text")
 
-    edges, roots = None, None
-    for turn in ("first", "hub"):
-        if roots is None:
-            now, rank = buckets.withColumn("root", F.col("u")), [F.col("u"), F.col("root")]
-        else:
-            # leaders with the most links so far; members already in the leader's component are not tested again
-            degree = edges.select(F.explode(F.array("a", "b")).alias("u")).groupBy("u").agg(F.count(F.lit(1)).alias("d"))
-            now = (_open(buckets, roots).join(degree, "u", "left")
-                   .withColumn("r", -F.coalesce("d", F.lit(0))))
-            rank = [F.col("r"), F.col("u"), F.col("root")]
-        found = _verified(_star(now, rank), sketches, texts, n, threshold, agree)
-        edges = found if edges is None else edges.union(found)
-        roots = written(components(edges), "near-roots")
-    still = _open(buckets, roots)
-    rest = _verified(_rest(still, sketches, k, bands, rows, agree), sketches, texts, n, threshold, agree)
-    roots = written(components(edges.union(rest)), "near-roots")
+    single = buckets.withColumn("root", F.col("u"))
+    first = _verified(_star(single, [F.col("u"), F.col("root")]), sketches, texts, n, threshold, agree)
+    # the second leaders are the members with the most links; members with the same first leader are linked already
+    near = first.select(F.col("a").alias("u"), F.col("b").alias("root")).groupBy("u").agg(F.min("root").alias("root"))
+    degree = first.select(F.explode(F.array("a", "b")).alias("u")).groupBy("u").agg(F.count(F.lit(1)).alias("d"))
+    known = written(degree.join(near, "u", "left"), "near-degree")
+    hubs = buckets.join(known, "u", "left").select(
+        "key", "band", "u", F.coalesce("root", "u").alias("root"), (-F.coalesce("d", F.lit(0))).alias("r"))
+    hubs = written(hubs, "near-hubs")
+    second = _verified(_star(hubs, [F.col("r"), F.col("u"), F.col("root")]), sketches, texts, n, threshold, agree)
+    roots = written(components(first.union(second)), "near-roots")
+    rest = _verified(_rest(_open(buckets, roots), sketches, k, bands, rows, agree), sketches, texts, n, threshold, agree)
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = written(components(stars.union(rest)), "near-roots")
 
     own = sketches.select("h1", "h2", "u")
     rows_u = sketched.select("doc_id", "h1", "h2").join(own, ["h1", "h2"])
@@ -312,11 +348,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Bucket members with their component's root, for buckets that still hold several components."""
+    """Bucket members with their component's root, for buckets that still hold untested pairs.
+
+    Those have several components, and more than two members: of two members
+    one was the other's leader.
+    """
     rooted = written(buckets.join(roots, buckets.u == roots.node, "left")
                      .select("key", "band", "u", F.coalesce("root", "u").alias("root")), "near-rooted")
-    several = written(rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                      .where("lo < hi").select("key"), "near-several")
+    several = written(rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                                F.count(F.lit(1)).alias("n"))
+                      .where("lo < hi and n > 2").select("key"), "near-several")
     return rooted.join(several, "key", "left_semi")
 
 
