@@ -10,7 +10,7 @@ import pytest
 
 from tickspark.llm import minhash as M
 from tickspark.llm import substring as S
-from tickspark.llm.common import WordCodes, gram_codes
+from tickspark.llm.common import gram_codes, word_codes
 from tickspark.llm.components import components
 
 
@@ -106,8 +106,20 @@ def test_darts_of_tiny_and_fractional_weights_are_complete():
     assert (sig[:3] != 0).all() and (sig[3] == 0).all()
 
 
+def test_word_codes_follow_the_regular_expression():
+    texts = ["Ab ab, AB_1 été ÉTÉ x²y 漢字 kana かな\u0301 ª×÷ \x85z\xa0q", "", "--", "ab", "İstanbul Straße STRASSE", "end_"]
+    words = [re.findall(r"\w+", t.lower()) for t in texts]
+    codes, per_text = word_codes(texts)
+    assert per_text.tolist() == [len(w) for w in words]
+    seen = {}
+    for w, c in zip([w for ws in words for w in ws], codes.tolist()):
+        assert seen.setdefault(w, c) == c
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_gram_codes_depend_on_order_and_length():
-    c = WordCodes().of("a b c d e f a b c d e".split())
+    c, per_text = word_codes(["a b c d e f a b c d e"])
+    assert per_text.tolist() == [11]
     g = gram_codes(c, 5)
     assert len(g) == 7 and g[0] == g[6] and len(set(g.tolist())) == 6
     assert len(gram_codes(c, 12)) == 0 and len(gram_codes(c, 11)) == 1

@@ -11,7 +11,7 @@ from tickspark.llm import decontam as D
 from tickspark.llm import langid as L
 from tickspark.llm import licenses as C
 from tickspark.llm import quality as Q
-from tickspark.llm.common import WordCodes, crc_mod
+from tickspark.llm.common import crc_mod
 
 SF01 = "/root/testdata/sf0.01"
 UPPER = str.maketrans(C.UPPER, C.LOWER)
@@ -167,11 +167,10 @@ def test_candidate_recall_against_brute_force(spark):
     bench = spark.read.parquet(f"{SF01}/benchmark.parquet")
     codes = D.coded(docs, "text", ["doc_id"])
     got = {(r.doc_id, r.item_id) for r in D.find_leaks(codes, bench, D.fit_latent(codes, bench)).collect()}
-    coder = WordCodes()
-    items = D.benchmark_passages([(r.item_id, r.text, None) for r in bench.collect()], coder)
+    items = D.benchmark_passages([(r.item_id, r.text, None) for r in bench.collect()])
     want = set()
     for r in docs.collect():
-        words = D.word_codes(r.text or "", coder)
+        words = D.short_codes([r.text or ""])[0]
         for item, _, passage, _ in items:
             if len(np.intersect1d(words, passage)) < 0.7 * len(np.unique(passage)):
                 continue  # too few common words anywhere in the text

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -87,24 +88,6 @@ def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([*schema.fields, *fields])
 
 
-class WordCodes(dict):
-    """word -> 64-bit code (as signed int), filled on first use and emptied when full."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        code = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        self[word] = code = code - (1 << 64) if code >= 1 << 63 else code
-        return code
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words)).view(np.uint64)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (multiply-xorshift), elementwise on uint64."""
     x = x ^ (x >> np.uint64(32))
@@ -114,6 +97,49 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+#: Characters of which it is known without a look at Unicode whether they belong to a word: ASCII and Latin letters.
+_PLAIN = re.compile("[^\\x00-\\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+_WORD = re.compile(r"\w+")
+_WORD_BYTE = np.zeros(256, bool)
+_WORD_BYTE[[*b"abcdefghijklmnopqrstuvwxyz0123456789_", *range(128, 256)]] = True
+_BYTE_CODE = None
+
+
+def word_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit codes of the lower-cased words - runs of \\w - of all texts in order, words per text).
+
+    Words are found and hashed for all texts at once, on their UTF-8 bytes;
+    texts beyond Latin are cut by the regular expression first.
+    """
+    global _BYTE_CODE
+    if _BYTE_CODE is None:
+        _BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64))
+    lowered = [t.lower() for t in texts]
+    parts = [(t if t.isascii() or not _PLAIN.search(t) else " ".join(_WORD.findall(t))).encode("utf-8", "surrogatepass")
+             for t in lowered]
+    flat = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
+    inside = _WORD_BYTE[flat]
+    first = np.flatnonzero(inside & ~np.append(False, inside[:-1]))
+    size = np.flatnonzero(~inside & np.append(False, inside[:-1])) - first
+    ends = np.cumsum([len(p) + 1 for p in parts])
+    per_text = np.diff(np.append(0, np.searchsorted(first, ends)))
+    if not len(first):
+        return np.zeros(0, np.uint64), per_text
+    power = np.full(int(size.max()), 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    letters = flat[inside]
+    begin = np.cumsum(size) - size
+    place = np.arange(len(letters)) - np.repeat(begin, size)
+    return mix(np.add.reduceat(_BYTE_CODE[letters] * power[place], begin) + size.astype(np.uint64)), per_text
+
+
+def split_codes(texts: list[str]) -> list[np.ndarray]:
+    """The word codes of each text."""
+    codes, per_text = word_codes(texts)
+    return np.split(codes, np.cumsum(per_text)[:-1]) if len(texts) else []
+
+
 def gram_codes(codes: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit code of each run of ``n`` consecutive word codes (order matters)."""
     if len(codes) < n:

@@ -23,7 +23,6 @@ id belong to that id's class; a row with a null id has a null class.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import WordCodes, column_texts, gram_codes, mix, ranges_concat, read_table, slices, written
+from tickspark.llm.common import column_texts, gram_codes, mix, ranges_concat, read_table, slices, split_codes, written
 from tickspark.llm.components import components
 
 WORDS = 5
@@ -42,7 +41,6 @@ COORDINATES = BANDS * ROWS
 AGREE = 0.69
 #: Members of a bucket compared in one tile side.
 TILE = 1024
-WORD = re.compile(r"\w+")
 _ARRIVAL, _COORD, _COLUMN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
 
@@ -105,17 +103,16 @@ def throw_darts(codes: np.ndarray, weights: np.ndarray, owner: np.ndarray, texts
     return out
 
 
-def shingles(text: str, coder: WordCodes, n: int = WORDS) -> np.ndarray:
+def shingles(codes: np.ndarray, n: int = WORDS) -> np.ndarray:
     """Codes of the runs of ``n`` words (of the whole text, if it is shorter), in order."""
-    codes = coder.of(WORD.findall(text.lower()))
     return gram_codes(codes, min(n, len(codes))) if len(codes) else codes
 
 
-def signatures(texts: list[str], coder: WordCodes, n: int, k: int, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
+def signatures(texts: list[str], n: int, k: int, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
     """(texts x k signatures, whether the text has a word)."""
     codes, weights, sizes = [], [], np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        found = shingles(t, coder, n)
+    for i, words in enumerate(split_codes(texts)):
+        found = shingles(words, n)
         if weighted:
             found, count = np.unique(found, return_counts=True)
             weights.append(count.astype(np.float64))
@@ -134,12 +131,11 @@ def sketch(docs: DataFrame, n: int = WORDS, k: int = COORDINATES, bands: int = B
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        coder = WordCodes()
         turn = np.arange(1, bands + 1, dtype=np.uint64) * _COORD
         for batch in batches:
             texts, ids = column_texts(batch), batch.column(0).to_pylist()
             for lo, hi in slices(texts):
-                sig, some = signatures(texts[lo:hi], coder, n, k, weighted)
+                sig, some = signatures(texts[lo:hi], n, k, weighted)
                 keep = np.flatnonzero(some)
                 if not len(keep):
                     continue
@@ -173,20 +169,17 @@ def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, t
             yield batch.filter(pa.array(same >= agree)).select([0, 1])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, kept = WordCodes(), {}
-
-        def shingle_set(text: str) -> np.ndarray:
-            return np.unique(shingles(text, coder, n))
-
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            a, b = column_texts(batch, "text_a"), column_texts(batch, "text_b")
             good = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(a, b)):
-                if y not in kept:  # a leader's pairs come one after another
-                    kept = {y: shingle_set(y)}
-                sx, sy = shingle_set(x), kept[y]
-                both = len(np.intersect1d(sx, sy, assume_unique=True))
-                good[i] = both >= threshold * (len(sx) + len(sy) - both) - 1e-9
+            for lo, hi in slices(a):
+                own = {y: i for i, y in enumerate(dict.fromkeys(b[lo:hi]))}  # a leader's text is hashed once
+                left = [np.unique(shingles(w, n)) for w in split_codes(a[lo:hi])]
+                right = [np.unique(shingles(w, n)) for w in split_codes(list(own))]
+                for i in range(lo, hi):
+                    sx, sy = left[i - lo], right[own[b[i]]]
+                    both = len(np.intersect1d(sx, sy, assume_unique=True))
+                    good[i] = both >= threshold * (len(sx) + len(sy) - both) - 1e-9
             yield batch.filter(pa.array(good)).select([0, 1])
 
     sig = sketches.select("u", "sig")
