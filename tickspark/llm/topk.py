@@ -44,36 +44,39 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        # lists[d]: places of the vectors by rising component d
-        self.lists = np.argsort(self.vectors, axis=0, kind="stable").T.astype(np.int32)
-        self.sorted = np.take_along_axis(self.vectors, self.lists.T.astype(np.int64), axis=0).T.astype(np.float64)
+        dims = vectors.shape[1]
+        # per dimension: places of the vectors by rising component, and the components; and both from the other end
+        rising = np.argsort(self.vectors, axis=0, kind="stable").T
+        values = np.take_along_axis(self.vectors.T, rising, axis=1).astype(np.float64)
+        rising = rising.astype(np.int32)
+        self.places = (np.ascontiguousarray(rising[:, ::-1]), np.ascontiguousarray(rising))
+        self.values = (np.ascontiguousarray(values[:, ::-1]), values)
+        # where a place's dimension stands in a table of places x dimensions
+        self.cells = tuple(p * np.int32(dims) + np.arange(dims, dtype=np.int32)[:, None] for p in self.places)
 
     def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the ``k`` best vectors other than the query's own rows."""
         n, dims = self.vectors.shape
         q = query.astype(np.float64)
-        up = q >= 0
-        known, unread = np.zeros(n), np.ones((n, dims), np.float32)
-        own = self.ids == query_id
-        rows = np.arange(dims)[:, None]
-        worst = q * np.where(up, self.sorted[:, 0], self.sorted[:, -1])
-        slack = np.abs(q).max(initial=0.0) * max(np.abs(self.sorted).max(initial=0.0), 1.0) * dims * 1e-6
-        read, stretch = 0, max(k, n // 16, 1)
-        left = np.flatnonzero(~own)
+        falling = (q >= 0)[:, None]  # the end of a list that gives this query most
+        known, unread = np.zeros(n), np.ones(n * dims, np.float32)
+        worst = q * np.where(q >= 0, self.values[1][:, 0], self.values[0][:, 0])
+        largest = max(np.abs(self.values[0][:, [0, -1]]).max(initial=0.0), 1.0)
+        slack = np.abs(q).max(initial=0.0) * largest * dims * 1e-6
+        read, stretch = 0, max(k, n // 8, 1)
+        left = np.flatnonzero(self.ids != query_id)
         while read < n and len(left) > k:
-            upto = min(n, read + stretch)
-            at = np.arange(read, upto)
-            # the list's good end comes first
-            spots = np.where(up[:, None], n - 1 - at, at)
-            places = self.lists[rows, spots]
-            gains = self.sorted[rows, spots] * q[:, None]
+            part = slice(read, min(n, read + stretch))
+            places = np.where(falling, self.places[0][:, part], self.places[1][:, part])
+            gains = np.where(falling, self.values[0][:, part], self.values[1][:, part]) * q[:, None]
             known += np.bincount(places.ravel(), weights=gains.ravel(), minlength=n)
-            unread[places, rows] = 0
-            read = upto
-            reached = gains[:, -1]
-            # float32 matrix products: the bounds are widened by more than their rounding
-            high = known[left] + unread[left] @ reached.astype(np.float32) + slack
-            low = known[left] + unread[left] @ worst.astype(np.float32) - slack
+            unread[np.where(falling, self.cells[0][:, part], self.cells[1][:, part])] = 0
+            read = part.stop
+            # float32 matrix product: the bounds are widened by more than its rounding
+            ends = np.stack([gains[:, -1], worst], axis=1).astype(np.float32)
+            bounds = unread.reshape(n, dims) @ ends
+            high = known[left] + bounds[left, 0] + slack
+            low = known[left] + bounds[left, 1] - slack
             kth = np.partition(low, len(low) - k)[len(low) - k]
             left = left[high >= kth]
             stretch *= 2
