@@ -70,6 +70,16 @@ def test_classes_in_small_tiles_lose_no_link(spark, monkeypatch):
     assert got == _classes(docs)
 
 
+def test_bands_that_agree_by_chance_hide_no_pair(spark):
+    """Signatures are cut to a byte per coordinate: band 0 agrees there, but the common bucket is that of band 1."""
+    sig = bytes(range(M.COORDINATES))
+    keys = lambda u: [1000 + u, 7, *range(100 * u, 100 * u + M.BANDS - 2)]
+    sketches = spark.createDataFrame([(u, keys(u), sig) for u in (1, 2, 3)], "u long, bands array<long>, sig binary")
+    buckets = spark.createDataFrame([(7, 1, u, u) for u in (1, 2, 3)], "key long, band int, u long, root long")
+    got = sorted(tuple(sorted(r)) for r in M._rest(buckets, sketches, M.COORDINATES, M.BANDS, M.AGREE).collect())
+    assert got == [(1, 2), (1, 3), (2, 3)]
+
+
 def test_classes_of_the_test_table(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     assert {r.doc_id: r.class_id for r in M.near_duplicates(documents).collect()} == _classes(rows)

@@ -201,7 +201,7 @@ def _star(buckets: DataFrame, rank: list) -> DataFrame:
     return pairs.where("root <> lead_root").select("a", "b").distinct()
 
 
-def _rest(buckets: DataFrame, sketches: DataFrame, k: int, bands: int, rows: int, agree: float) -> DataFrame:
+def _rest(buckets: DataFrame, sketches: DataFrame, k: int, bands: int, agree: float) -> DataFrame:
     """(a, b) of agreeing members of different components in a bucket: each pair in its first shared band only.
 
     A bucket's largest component is its body; the others are tested against
@@ -227,33 +227,35 @@ def _rest(buckets: DataFrame, sketches: DataFrame, k: int, bands: int, rows: int
     placed = (rowed.withColumn("own", own).select("key", "band", "u", "root", is_body.alias("is_body"), "own",
                                                   F.explode(spots).alias("tile"))
               .select("key", "band", "u", "root", "is_body", "own", "tile.i", "tile.j")
-              .join(sketches.select("u", "sig"), "u"))
+              .join(sketches.select("u", "bands", "sig"), "u"))
 
     schema = "a bigint, b bigint"
     parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = (placed.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "u")
-             .select("key", "i", "j", "band", "u", "root", "is_body", "own", "sig"))
-    return tiles.mapInArrow(_tile_pairs(k, bands, rows, agree), schema)
+             .select("key", "i", "j", "band", "u", "root", "is_body", "own", "bands", "sig"))
+    return tiles.mapInArrow(_tile_pairs(k, bands, agree), schema)
 
 
-def _tile_pairs(k: int, bands: int, rows: int, agree: float):
-    """Compares the members of each tile (rows of one key, i, j stand together; a tile is bounded)."""
+def _tile_pairs(k: int, bands: int, agree: float):
+    """Compares the members of each tile (rows of one key, i, j stand together; a tile is bounded).
+
+    The first shared band is found on the keys of the buckets: the signatures
+    are cut to a byte per coordinate and may agree in a band without a bucket.
+    """
     def compare(tile: dict) -> tuple[np.ndarray, np.ndarray]:
         i, j, band = int(tile["i"][0]), int(tile["j"][0]), int(tile["band"][0])
         body, own = tile["is_body"], tile["own"]
         left = np.flatnonzero(~body & (own == i))
         right = np.flatnonzero(body) if j < 0 else np.flatnonzero(~body & (own == j))
         out_a, out_b = [], []
-        u, root, sig = tile["u"], tile["root"], tile["sig"]
+        u, root, sig, keys = tile["u"], tile["root"], tile["sig"], tile["bands"]
         for x in left:
-            same = sig[right] == sig[x]
-            fit = (same.mean(axis=1) >= agree) & (root[right] != root[x])
+            fit = ((sig[right] == sig[x]).mean(axis=1) >= agree) & (root[right] != root[x])
             if j == i:
                 fit &= u[right] > u[x]
             hits = np.flatnonzero(fit)
             if len(hits):
-                shared = same[hits, : bands * rows].reshape(len(hits), bands, rows).all(axis=2)
-                hits = hits[shared.argmax(axis=1) == band]
+                hits = hits[(keys[right[hits]] == keys[x]).argmax(axis=1) == band]
                 out_a.append(np.full(len(hits), u[x]))
                 out_b.append(u[right[hits]])
         none = np.zeros(0, np.int64)
@@ -262,6 +264,7 @@ def _tile_pairs(k: int, bands: int, rows: int, agree: float):
     def columns(batch: pa.RecordBatch) -> dict:
         out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "i", "j", "band", "u", "root", "is_body", "own")}
         out["is_body"] = out["is_body"].astype(bool)
+        out["bands"] = batch.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, bands)
         out["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, k)
         return out
 
@@ -326,7 +329,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = written(hubs, "near-hubs")
     second = _verified(_star(hubs, [F.col("r"), F.col("u"), F.col("root")]), sketches, texts, n, threshold, agree)
     roots = written(components(first.union(second)), "near-roots")
-    rest = _verified(_rest(_open(buckets, roots), sketches, k, bands, rows, agree), sketches, texts, n, threshold, agree)
+    rest = _verified(_rest(_open(buckets, roots), sketches, k, bands, agree), sketches, texts, n, threshold, agree)
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = written(components(stars.union(rest)), "near-roots")
 
