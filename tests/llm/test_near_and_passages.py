@@ -95,6 +95,14 @@ def test_odd_documents_have_defined_classes(odd_docs, no_docs):
     assert M.near_duplicate_stage(odd_docs.sparkSession, odd_docs, "").columns == odd_docs.columns
 
 
+def test_every_document_has_one_row_whatever_counts_as_a_word(spark):
+    """Joiners, variation selectors and combining marks are words to Java alone, number signs to Python alone."""
+    texts = ["\u2764\ufe0f", "\U0001f468\u200d\U0001f469", "\u0301", "\u203f", "\u00bd", "x\u00b2", "\u00b2", "\u24d0", "", None, "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in M.near_duplicates(docs).collect())
+    assert got == [(i, i, i) for i in range(len(texts))]
+
+
 @pytest.mark.parametrize("weighted", [False, True])
 def test_darts_estimate_the_weighted_jaccard(weighted):
     rng = np.random.default_rng(1)

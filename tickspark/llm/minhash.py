@@ -127,7 +127,7 @@ def signatures(texts: list[str], n: int, k: int, weighted: bool) -> tuple[np.nda
 
 def sketch(docs: DataFrame, n: int = WORDS, k: int = COORDINATES, bands: int = BANDS, rows: int = ROWS,
            weighted: bool = False) -> DataFrame:
-    """(doc_id, h1, h2, bands, sig) per row of ``docs`` (doc_id, text) whose text has a word."""
+    """(doc_id, h1, h2, bands, sig) per row of ``docs`` (doc_id, text); only the id, if the text has no word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -136,7 +136,12 @@ def sketch(docs: DataFrame, n: int = WORDS, k: int = COORDINATES, bands: int = B
             texts, ids = column_texts(batch), batch.column(0).to_pylist()
             for lo, hi in slices(texts):
                 sig, some = signatures(texts[lo:hi], n, k, weighted)
-                keep = np.flatnonzero(some)
+                keep, bare = np.flatnonzero(some), np.flatnonzero(~some)
+                if len(bare):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([ids[lo + i] for i in bare], pa.int64()),
+                         *(pa.nulls(len(bare), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))],
+                        names=["doc_id", "h1", "h2", "bands", "sig"])
                 if not len(keep):
                     continue
                 sig = sig[keep]
@@ -306,7 +311,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
-    sketched = written(sketch(plain, n, k, bands, rows, weighted), "near-sketch")
+    rows_all = written(sketch(plain, n, k, bands, rows, weighted), "near-sketch")
+    sketched = rows_all.where("sig is not null")
     sketches = written(sketched.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("u"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "near-texts")
     keyed = sketches.select("u", F.posexplode("bands").alias("band", "key"))
@@ -337,8 +343,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows_u = sketched.select("doc_id", "h1", "h2").join(own, ["h1", "h2"])
     classed = rows_u.join(roots, rows_u.u == roots.node, "left").select(
         "doc_id", F.coalesce("root", "u").alias("class_id"), F.col("u").alias("text_id"))
-    # texts without a word have no sketch: each stands alone
-    bare = plain.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"(?U)\w")).select(
+    # texts without a word have no signature: each stands alone
+    bare = rows_all.where("sig is null").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id"))
     return classed.union(bare)
 
