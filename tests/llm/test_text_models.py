@@ -61,6 +61,55 @@ def test_every_rule_finds_its_own_names(spark):
         assert label in got[i].labels.split(","), (label, n, got[i].labels)
 
 
+def _written(pattern):
+    """Every text a family's names stand for (they have no repetition but '?')."""
+    from re import _parser
+
+    def texts(parsed):
+        out = [""]
+        for op, value in parsed:
+            kind = str(op)
+            if kind == "LITERAL":
+                some = [chr(value)]
+            elif kind == "IN":
+                some = [chr(c) for o, v in value for c in ([v] if str(o) == "LITERAL" else range(v[0], v[1] + 1))]
+            elif kind == "SUBPATTERN":
+                some = texts(value[3])
+            elif kind == "BRANCH":
+                some = [t for part in value[1] for t in texts(part)]
+            else:
+                assert kind == "MAX_REPEAT" and value[:2] == (0, 1)
+                some = ["", *texts(value[2])]
+            out = [a + b for a in out for b in some]
+        return out
+
+    return texts(_parser.parse(pattern))
+
+
+def _ungated(text):
+    """(labels, score) with every rule applied to every text."""
+    line = " " + "  ".join(re.findall(C.WORD, text.translate(UPPER))) + " "
+    words = lambda part: part.count(" ") // 2
+    found = [(words(line[:m.start()]), words(line[:m.end()]) - 1, p, rule, label, base)
+             for rule, p, label, _, pattern, base in C.rules() for m in re.finditer(pattern, line)]
+    inside = lambda x, y: y[2] >= x[2] and y[0] <= x[0] and x[1] <= y[1] and (
+        y[:2] != x[:2] or (-y[2], y[3]) < (-x[2], x[3]))
+    kept = [x for x in found if x[5] or not any(inside(x, y) for y in found)]
+    return ",".join(sorted({x[4] for x in kept})), 1 - 0.5 ** len(kept)
+
+
+def test_gate_opens_for_all_that_rules_match(spark):
+    texts = [form.format(name) for _, _, names in C.FAMILIES for name in _written(names)
+             for form in ("{}", "Licensed under the {}.")]
+    texts += ["Licensed under the GPLv3", "GPLv2 or the GPL, version 3; GPL", "AGPLv3 and AGPL", "FreeBSD license, BSD license",
+              "gplv33 agplv xfreebsd", "LGPLv3"]
+    assert len(texts) > 800
+    got = _scan(spark, texts)
+    assert got[texts.index("Licensed under the GPLv3")].labels == "gpl-3"
+    for i, text in enumerate(texts):
+        assert (got[i].labels, got[i].score) == _ungated(text), text
+
+
 def test_odd_documents_have_defined_licenses(odd_docs, no_docs):
     rows = C.scan_licenses(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(r.n_base == 0 and r.first_word is None and r.labels == "" for r in rows)

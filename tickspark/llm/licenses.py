@@ -2,7 +2,8 @@
 
 Texts are lower-cased (A-Z) and seen as words (runs of a-z, 0-9 and non-ASCII
 characters).  Only texts with one of the rules' keywords are looked at further,
-and each rule only where its own keyword occurs.  A rule is a regular expression
+and each rule only where its own keyword occurs, or one of the words into which
+its names run the keyword together with what stands beside it.  A rule is a regular expression
 over the word line: every word stands between two blanks, ``' the  mit  license '``,
 so words match whole and neighbouring matches share nothing.
 
@@ -118,6 +119,13 @@ FAMILIES = [
     ("zpl", "zope", r"zope public license"),
 ]
 
+# Keyword - the other words by which names of its families are known, where these lack the keyword.
+TOGETHER = {
+    "agpl": ["agpl3", "agplv3"],
+    "bsd": ["freebsd"],
+    "gpl": ["gpl2", "gpl3", "gplv2", "gplv3", "gplversion"],
+}
+
 # The ways a text puts a name ({} is the name) and their priority.
 FORMS = [
     (4, r"spdx license identifier {}"),
@@ -154,14 +162,20 @@ def rules() -> list[tuple[int, int, str, str, str, bool]]:
     return [(i, p, label, keyword, _spaced(pattern), base) for i, (p, label, keyword, pattern, base) in enumerate(found)]
 
 
+def gate_words() -> dict[str, str]:
+    """Every word that opens the gate of a keyword's rules, with that keyword."""
+    words = {r[3]: r[3] for r in rules()}
+    return words | {word: keyword for keyword, together in TOGETHER.items() for word in together}
+
+
 def keyword_gate() -> str:
-    """A regular expression that finds any keyword as a whole word, in either case.
+    """A regular expression that finds any word of the gate as a whole word, in either case.
 
-    Keywords are grouped by their first letter, so most places of a text are
+    The words are grouped by their first letter, so most places of a text are
     passed after one look.
     """
     starts: dict[str, list[str]] = {}
-    for word in sorted({r[3] for r in rules()}):
+    for word in sorted(gate_words()):
         starts.setdefault(word[0], []).append(word[1:])
     words = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(starts.items()))
     return f"(?i)(?<!{CASED_WORD[:-1]})(?:{words})(?!{CASED_WORD[:-1]})"
@@ -177,10 +191,13 @@ def detections(lines: DataFrame) -> DataFrame:
     """(row, first, last, priority, rule, label, is_base) of every rule match in ``lines`` (row, line)."""
     table = lines.sparkSession.createDataFrame(rules(), "rule int, priority int, label string, keyword string, "
                                                         "pattern string, is_base boolean")
-    keywords = sorted({r[3] for r in rules()})
-    words = F.array_distinct(F.regexp_extract_all("line", F.lit(" (" + "|".join(keywords) + ") "), F.lit(1)))
+    gate = gate_words()
+    keyword = F.create_map(*[F.lit(x) for pair in sorted(gate.items()) for x in pair])
+    words = F.array_distinct(F.regexp_extract_all("line", F.lit(" (" + "|".join(sorted(gate)) + ") "), F.lit(1)))
+    # several words may open one gate: each rule is looked at once
+    keywords = F.array_distinct(F.transform(words, lambda w: F.element_at(keyword, w)))
     # the rules are a constant of this module: a few hundred rows
-    gated = (lines.withColumn("keyword", F.explode(words)).join(F.broadcast(table), "keyword")
+    gated = (lines.withColumn("keyword", F.explode(keywords)).join(F.broadcast(table), "keyword")
              .where(F.expr("line rlike pattern")))
     # what lies between the matches gives the word numbers they start at
     pieces = gated.select("row", "rule", "priority", "label", "is_base",
