@@ -230,6 +230,41 @@ def test_candidate_recall_against_brute_force(spark):
     assert len(got - want) <= 0.1 * len(want)
 
 
+def test_runs_and_paraphrases_of_long_items_are_leaks(spark):
+    """A quote of a long item is judged by its own length; the answer may stand anywhere in the document."""
+    rng = random.Random(11)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "bdfgklmnprst"]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {i: some(n) + ["."] + some(8) for i, n in enumerate((120, 120, 300, 300, 400, 400))}
+    say = lambda words: " ".join(words)
+    half = lambda words: [w if i % 5 < 3 else rng.choice(vocabulary) for i, w in enumerate(words)]
+    docs, want = [(100 + i, say(some(150))) for i in range(60)], set()
+    for i, words in items.items():
+        quote = 24 if i % 2 else 5
+        docs.append((i, say(some(90) + words[quote: quote + 80] + some(90))))       # 80 words of the item
+        docs.append((10 + i, say(some(60) + words[-8:] + some(200) + half(words[:112]) + some(60))))  # the answer far off
+        docs.append((20 + i, say(some(60) + half(words[:112]) + some(200))))         # no answer
+        want |= {(i, i, "copy"), (10 + i, i, "paraphrase")}
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, say(w)) for i, w in items.items()], "item_id long, text string")
+    codes = D.coded(docs, "text", ["doc_id"])
+    rows = D.find_leaks(codes, bench, D.fit_latent(codes, bench)).collect()
+    assert {(r.doc_id, r.item_id, r.kind) for r in rows} == want
+
+
+def test_parts_of_long_items_hold_every_run():
+    words = [f"w{i}" for i in range(333)]
+    codes = D.short_codes([" ".join(words)])[0]
+    parts = [p.tolist() for _, width, p, _ in D.benchmark_passages([(1, " ".join(words), None)]) if width == D.PART and len(p) == D.PART]
+    size = D.PART - D.PART_STEP + 1
+    assert size >= D.COPY * D.PART
+    for lo in range(len(codes) - size + 1):
+        run = codes[lo: lo + size].tolist()
+        assert any(run == p[i: i + size] for p in parts for i in range(D.PART - size + 1))
+    short = D.benchmark_passages([(1, " ".join(words[:64]), None)])
+    assert len(short) == 1 and len(short[0][2]) == 64
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(0)
     for _ in range(50):
