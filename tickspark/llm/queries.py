@@ -7,6 +7,7 @@ from tickspark.llm.langid import op5_language_id
 from tickspark.llm.licenses import op2_license_scan, scan_sql
 from tickspark.llm.minhash import op1_dart_minhash
 from tickspark.llm.packing import op7_binary_pack
+from tickspark.llm.pii import op13_pii
 from tickspark.llm.quality import op4_pu_quality
 from tickspark.llm.sharding import op9_kd_shards
 from tickspark.llm.substring import op8_relative_lz
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_relative_lz": op8_relative_lz,
     "op9_kd_shards": op9_kd_shards,
     "op10_warc_revisits": op10_warc_revisits,
+    "op13_pii": op13_pii,
 }
 
 ORACLE = {"op2_license_scan": scan_sql(), "op3_nra_topk": OP3_SQL, "op10_warc_revisits": OP10_SQL}
