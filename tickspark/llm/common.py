@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +58,11 @@ def number_within(df: DataFrame, group: list[str], order: list[str], into: str,
             .drop("__part", "__at", "__first", "__base"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -84,6 +89,11 @@ def column_texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ...: Python tasks take no column whose name holds a dot."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([*schema.fields, *fields])
 

@@ -27,12 +27,10 @@ are sums of lengths taken in blocks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import read_table, text_or_empty
+from tickspark.llm.common import let, read_table, text_or_empty
 
 #: Kinds in the order in which they are listed.
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
@@ -86,11 +84,6 @@ SSN = r"(?<![0-9+.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 INNER_CARD = r"(?<![0-9])(?:[0-9]{14,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?![0-9])"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _total(xs: Column) -> Column:
     return F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
 
