@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tickspark.operators import comoments as M
 from tickspark.operators import risk as R
 from tickspark.operators.closes import align_closes, daily_close, gappy_log_returns, log_returns
 from tickspark.operators.quantile import exact_quantile
@@ -104,7 +105,7 @@ def test_covariance_matches_numpy_and_is_symmetric(spark):
             assert got[(a, b)] == pytest.approx(want[i, j], rel=1e-9) and got[(a, b)] == got[(b, a)]
 
 
-def _gappy(spark, k, n, shift, seed=3):
+def _gappy_returns(spark, k, n, shift, seed=3):
     rng = np.random.default_rng(seed)
     x = rng.normal(0, 0.02, (n, k)) + shift
     there = rng.random((n, k)) > 0.2
@@ -116,9 +117,9 @@ def _gappy(spark, k, n, shift, seed=3):
 @pytest.mark.parametrize("shift", [0.0, 1e6])
 def test_covariance_with_gaps_is_pairwise_in_every_block(spark, monkeypatch, shift):
     """Several ticker blocks and day chunks; large means do not cancel."""
-    monkeypatch.setattr(R, "BLOCK_TICKERS", 3)
-    monkeypatch.setattr(R, "BLOCK_DAYS", 200)
-    x, there, rets = _gappy(spark, 7, 40, shift)
+    monkeypatch.setattr(M, "BLOCK_TICKERS", 3)
+    monkeypatch.setattr(M, "BLOCK_DAYS", 200)
+    x, there, rets = _gappy_returns(spark, 7, 40, shift)
     names = [f"T{j}" for j in range(7)] + ["absent"]
     got = {(r.RIC_i, r.RIC_j): r.covariance for r in R.covariance(rets, names).collect()}
     assert len(got) == 64 and got[("absent", "T1")] is None and got[("absent", "absent")] is None
@@ -252,6 +253,50 @@ def test_quantile_plan_ranks_no_whole_group(spark):
     assert "Window" not in plan
 
 
+@pytest.mark.parametrize("guess", [(-400.0, -100.0), (1e9, 2e9), (-1e300, 1e300), (-232.0, -232.0), (5.0, 1.0),
+                                   (float("-inf"), float("inf")), (float("nan"), 0.0)])
+def test_any_guess_gives_the_exact_quantile(spark, monkeypatch, guess):
+    import tickspark.operators.quantile as Q
+    monkeypatch.setattr(Q, "RANKED_ROWS", 40)
+    df = spark.range(20_000).select((F.randn(3) * 100).alias("x"))
+    x = df.toPandas().x
+    for q in (0.01, 1.0):
+        assert exact_quantile(df, "x", q, guess=guess).first().quantile == pytest.approx(np.percentile(x, 100 * q), rel=1e-12)
+    assert [tuple(r) for r in exact_quantile(df.where("x is null"), "x", 0.01, guess=guess).collect()] == [(0, None)]
+
+
+def test_quantile_among_nans(spark, monkeypatch):
+    import tickspark.operators.quantile as Q
+    monkeypatch.setattr(Q, "RANKED_ROWS", 20)
+    df = spark.createDataFrame([(float("nan"),)] * 100 + [(1.0,)] * 3, "x double")
+    assert exact_quantile(df, "x", 0.01).first().quantile == 1.0
+    assert np.isnan(exact_quantile(df, "x", 0.5).first().quantile)
+
+
+def test_quantile_of_values_of_all_magnitudes(spark, monkeypatch):
+    """Cells of equal width alone would need a pass for every few powers of two."""
+    import tickspark.operators.quantile as Q
+    passes = []
+    narrowed = Q._narrowed
+    monkeypatch.setattr(Q, "RANKED_ROWS", 20)
+    monkeypatch.setattr(Q, "_narrowed", lambda *a: passes.append(1) or narrowed(*a))
+    for e in (1, -1, F.when(F.col("id") % 2 == 0, 1).otherwise(-1)):
+        df = spark.range(1, 3001).select((F.pow(F.lit(2.0), F.col("id") / 3 - 500) * e).alias("x"))
+        x = np.sort(df.toPandas().x)
+        for q in (0.01, 0.3, 0.9):
+            passes.clear()
+            assert exact_quantile(df, "x", q).first().quantile == pytest.approx(np.quantile(x, q), rel=1e-9)
+            assert len(passes) <= 12
+
+
+def test_tail_quantile_needs_the_rank_in_the_tail(spark):
+    from tickspark.operators.quantile import tail_quantile
+    tails = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("b", 5.0, 1), (None, 7.0, 2)], "g string, x double, count long")
+    totals = spark.createDataFrame([("a", 40), ("b", 1), (None, 300)], "g string, n long")
+    got = {r.g: (r.n, r.quantile) for r in tail_quantile(tails, totals, 0.06, "g").collect()}
+    assert got == {"a": (40, pytest.approx(1.34)), "b": (1, 5.0)}      # the third group's rank 17 is past its tail
+
+
 def test_histogram_matches_numpy(spark):
     scen = R.scenarios(spark, 0.001, 0.02, 10_000, mode="lcg")
     g = scen.toPandas().RETURN.to_numpy()

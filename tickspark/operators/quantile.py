@@ -1,118 +1,180 @@
 """Exact quantiles with linear interpolation, per group, at any size.
 
-The wanted rank is found by narrowing an open interval of values per group.
-A round sketches the values inside each group's interval (``percentile_approx``
-at a fixed grid, a mergeable summary), takes the two split points around the
-wanted rank, counts exactly how many values lie below, on, between and above
-them, and keeps the part that holds the rank.  A part that is a single value
-settles its group; otherwise the part has fewer distinct values and, but for
-heavy ties, a few hundredths of the rows.  Once every interval holds at most
-``RANKED_ROWS`` values those are sorted and picked from.  The next higher value,
-needed to interpolate, comes from one more aggregate.
-
-Nothing but per-group rows is ever gathered, ties and infinities need no
-special case, and NaN counts as the largest value (as in Spark's ordering).
+The wanted rank is found by counting.  A pass cuts each group's interval of
+values into ``CELLS`` cells of equal width, counts the rows of each cell and takes
+its least and greatest value: a mergeable summary of a fixed size per group,
+added up on the map side.  The cell that holds the rank - which the counts
+prove - becomes the next interval, closed and bounded by values that occur.
+Once an interval holds at most ``RANKED_ROWS`` values, or only one, a last pass
+keeps those inside it (and the least value above, needed to interpolate).
+
+Cells are an increasing function of the value, so rounding cannot move a value
+past another; infinities and NaN (the largest, as in Spark's ordering) have cells
+of their own; ties end in an interval of one value, which is never gathered.
+The first interval is the range of the values, or a given guess: a bad guess
+costs a pass, not the result.
+
+No table of values is written and nothing but per-group rows is gathered.  The
+input is scanned once per pass (two or three in all, one more for every factor
+of about ``CELLS`` above ``RANKED_ROWS * CELLS`` rows in a group), so it has to give
+the same values each time; store an input that is costly or not repeatable first.
 """
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickspark.session import shared_path
 
-#: Values of a group's interval that one task may sort.
+#: Values of a group's interval that the last pass may keep and sort.
 RANKED_ROWS = 10_000
-#: Parts a round cuts an interval into, and the sketch's accuracy (rank error 1 / accuracy).
-GRID = 256
-ACCURACY = 10_000
+#: Cells a pass cuts an interval into.
+CELLS = 2048
 
+_LARGEST = sys.float_info.max
+_INF = float("inf")
+#: Interval of a group: rows n, wanted rank r and fraction, rank and size within [lo, hi], and the end near
+#: which the next cut's cells are narrow.
+_TYPES = {"n": "long", "r": "long", "frac": "double", "rank": "long", "size": "long", "lo": "double", "hi": "double", "steep": "int"}
+_STATE = list(_TYPES)
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: computed once, lineage cut."""
-    path = shared_path(df.sparkSession, f"quantile-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def _kept(state: DataFrame, keys: list[str]) -> DataFrame | dict | None:
+    """The groups' intervals, computed once: without keys the one row as a dictionary, else a table in the shared folder."""
+    if not keys:
+        row = state.first()
+        return row.asDict() if row is not None else None
+    spark = state.sparkSession
+    path = shared_path(spark, "quantile-state")
+    state.write.parquet(path)
+    return spark.read.schema(state.schema).parquet(path)
 
-def _inside() -> Column:
+
+def _beside(values: DataFrame, state: DataFrame | dict, keys: list[str], columns: Sequence[str]) -> DataFrame:
+    """Each value beside its group's interval; without keys as constants."""
+    if keys:
+        return values.join(state.select(*keys, *columns), keys)
+    return values.withColumns({c: F.lit(state[c]).cast(_TYPES[c]) for c in columns})
+
+
+def _cell(x: Column, lo: Column, hi: Column, steep: Column) -> Column:
+    """The cell of ``x`` in ``[lo, hi]``, increasing in ``x``: 0 below, ``2 * CELLS + 2`` above, then infinity and NaN.
+
+    The cell that holds zero is two, by sign.  Where ``steep`` is 1 or -1 cells are
+    narrower (up to 2^1000 times) towards the lower or upper end.
+    """
+    low, high = F.greatest(lo, F.lit(-_LARGEST)), F.least(hi, F.lit(_LARGEST))
+    # the width of the whole range of doubles is infinite, its half is not
+    width = high / 2 - low / 2
+    share = lambda from_, to: F.when(width > 0, (to / 2 - from_ / 2) / width).otherwise((to - from_) / (high - low))
+    curved = lambda part: F.log1p(part * F.lit(2.0**1000)) / F.log1p(F.lit(2.0**1000))
+    part = F.when(steep == 1, curved(share(low, x))).when(steep == -1, 1 - curved(share(x, high))).otherwise(share(low, x))
+    inside = F.greatest(F.least(F.floor(part * CELLS), F.lit(CELLS - 1)), F.lit(0))
+    return (F.when(F.isnan(x), 2 * CELLS + 4).when(x == _INF, 2 * CELLS + 3).when(x < low, 0).when(x > high, 2 * CELLS + 2)
+            .when(low == high, 1).otherwise(2 * inside + F.when(x < 0, 1).otherwise(2)).cast("int"))
+
+
+def _narrowed(values: DataFrame, state: DataFrame | dict, keys: list[str], q: float, first: bool) -> DataFrame:
+    """One counting pass: the interval of each group becomes the cell that holds its rank.
+
+    In a ``first`` pass from a guess all values count, and the rank follows from their number.
+    """
+    held = _beside(values, state, keys, _STATE if not first else ["lo", "hi", "steep"])
     x, lo, hi = F.col("_x"), F.col("lo"), F.col("hi")
-    return (lo.isNull() | (x > lo)) & (hi.isNull() | (x < hi))
-
-
-def _narrowed(values: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    """One round for the groups of ``state`` that are neither settled nor small enough."""
-    wide = state.where(F.col("value").isNull() & (F.col("size") > RANKED_ROWS))
-    rest = state.where(F.col("value").isNotNull() | (F.col("size") <= RANKED_ROWS))
-    held = values.join(wide, keys).where(_inside())
-    grid = F.array(*[F.lit(i / GRID) for i in range(1, GRID)])
-    sketch = held.groupBy(*keys).agg(F.percentile_approx("_x", grid, ACCURACY).alias("s"))
-    cell = F.floor(F.col("rank") / F.col("size") * GRID).cast("int")
-    # the splits one grid step outside the wanted rank's cell
-    split = wide.join(sketch, keys).withColumn(
-        "s1", F.get("s", F.greatest(cell - 2, F.lit(0)))).withColumn(
-        "s2", F.get("s", F.least(cell + 1, F.lit(GRID - 2)))).drop("s")
-    split = _kept(split, "splits")
-    x, s1, s2 = F.col("_x"), F.col("s1"), F.col("s2")
-    count = lambda c: F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0))).cast("long")
-    parts = values.join(split, keys).where(_inside()).groupBy(*keys).agg(
-        count(x < s1).alias("c0"), count(x == s1).alias("c1"), count((x > s1) & (x < s2)).alias("c2"),
-        count((x == s2) & (s2 > s1)).alias("c3"), count(x > s2).alias("c4"))
-    r = F.col("rank")
-    ends = [F.lit(0).cast("long")]
-    for i in range(5):
-        ends.append(ends[-1] + F.col(f"c{i}"))
-
-    def by_part(*choices) -> Column:
-        out = F.when(r < ends[1], choices[0])
-        for i in range(1, 5):
-            out = out.when(r < ends[i + 1], choices[i])
-        return out
-
-    none = F.lit(None).cast("double")
-    lo, hi = F.col("lo"), F.col("hi")
-    moved = split.join(parts, keys).select(
-        *keys, "n", "r", "frac", by_part(*[r - e for e in ends[:5]]).alias("rank"),
-        by_part(*[F.col(f"c{i}") for i in range(5)]).alias("size"),
-        by_part(lo, lo, s1, lo, s2).alias("lo"), by_part(s1, hi, s2, hi, hi).alias("hi"),
-        by_part(none, s1, none, s2, none).alias("value"))
-    return rest.unionByName(moved)
-
-
-def exact_quantile(df: DataFrame, col: str, q: float, by: Sequence[str] = ()) -> DataFrame:
+    carried = [] if first else ["n", "r", "frac", "rank", "size"]
+    cells = (held if first else held.where((x >= lo) & (x <= hi))).groupBy(
+        *keys, *carried, _cell(x, lo, hi, F.col("steep")).alias("cell")).agg(
+        F.sum("_w").alias("c"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    if first:
+        cells = _ranked(cells.withColumn("n", F.sum("c").over(Window.partitionBy(*keys))), q).withColumn("size", F.col("n"))
+    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
+    here = cells.withColumn("upto", upto).where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("c")))
+    return here.select(*keys, "n", "r", "frac", (F.col("rank") - F.col("upto") + F.col("c")).alias("rank"),
+                       F.col("c").alias("size"), "lo", "hi", _steep().alias("steep"))
+
+
+def _steep() -> Column:
+    """A cell that kept most rows holds values of very different size next to one of its ends: the next cut's
+    cells are narrow there."""
+    return F.when(F.col("c") * 2 <= F.col("size"), 0).when(F.col("cell") <= CELLS, 1).otherwise(-1)
+
+
+def _ranked(groups: DataFrame, q: float) -> DataFrame:
+    at = F.lit(q) * (F.col("n") - 1)
+    below = F.greatest(F.floor(at), F.lit(0)).cast("long")
+    return groups.withColumns({"r": below, "frac": at - F.floor(at), "rank": below})
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, by: Sequence[str] = (),
+                   guess: tuple[float, float] | None = None) -> DataFrame:
     """``(by..., n, quantile)``: the ``q`` quantile of ``col`` per group, linear
     interpolation between ranks ``floor(q(n-1))`` and the next (as numpy's
     default and SQL ``quantile_cont``).  Nulls are ignored; a group without
-    values has no row.  The values are written once to the shared folder, and
-    a few aggregates run over them before this returns.
+    values has no row, but without ``by`` there is always one row, of no value
+    ``(0, null)``.  ``guess``, a range that may hold the quantile, saves the pass
+    that finds the range.  All passes but the last run before this returns.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     names = list(by)
-    keys = [f"_k{i}" for i in range(len(names))] or ["_k"]
+    keys = [f"_k{i}" for i in range(len(names))]
     # null keys are groups of their own: they are matched as a flag and a value
-    packed = [F.struct(F.col(c)).alias(k) for c, k in zip(names, keys)] or [F.lit(0).alias("_k")]
-    values = _kept(df.select(*packed, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull()), "values")
-    none = F.lit(None).cast("double")
-    at = F.lit(q) * (F.col("n") - 1)
-    state = _kept(values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
-        *keys, "n", F.floor(at).cast("long").alias("r"), (at - F.floor(at)).alias("frac"),
-        F.floor(at).cast("long").alias("rank"), F.col("n").alias("size"), none.alias("lo"), none.alias("hi"),
-        none.alias("value")), "state")
-    while state.where(F.col("value").isNull() & (F.col("size") > RANKED_ROWS)).limit(1).count():
-        state = _kept(_narrowed(values, state, keys), "state")
-    # at most RANKED_ROWS values of a group are gathered here
-    ranked = (values.join(state.where("value is null"), keys).where(_inside()).groupBy(*keys, "rank")
-              .agg(F.sort_array(F.collect_list("_x")).alias("v"))
-              .select(*keys, F.get("v", F.col("rank").cast("int")).alias("picked")))
-    found = state.join(ranked, keys, "left").select(
-        *keys, "n", "r", "frac", F.coalesce("value", "picked").alias("x1"))
-    after = values.join(found, keys).groupBy(*keys, "n", "r", "frac", "x1").agg(
-        F.sum(F.when(F.col("_x") <= F.col("x1"), 1).otherwise(0)).alias("upto"),
-        F.min(F.when(F.col("_x") > F.col("x1"), F.col("_x"))).alias("above"))
-    second = F.when(F.col("upto") > F.col("r") + 1, F.col("x1")).otherwise(F.coalesce("above", "x1"))
-    quantile = F.when((F.col("frac") == 0) | (second == F.col("x1")), F.col("x1")).otherwise(
-        F.col("x1") + (second - F.col("x1")) * F.col("frac"))
-    return after.select(*[F.col(f"{k}.{c}").alias(c) for c, k in zip(names, keys)], "n", quantile.alias("quantile"))
+    values = df.select(*[F.struct(F.col(c)).alias(k) for c, k in zip(names, keys)],
+                       F.col(col).cast("double").alias("_x"), F.lit(1).cast("long").alias("_w")).where("_x is not null")
+    state = None
+    if guess is not None and not keys and guess[0] <= guess[1]:
+        given = {"lo": float(guess[0]), "hi": float(guess[1]), "steep": 0}
+        state = _kept(_narrowed(values, given, keys, q, True), keys)
+    if state is None:
+        groups = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+        state = _kept(_ranked(groups, q).select(
+            *keys, "n", "r", "frac", "rank", F.col("n").alias("size"), "lo", "hi", F.lit(0).alias("steep")), keys)
+    return _selected(values, state, keys).select(
+        *[F.col(f"{k}.{c}").alias(c) for c, k in zip(names, keys)], "n", "quantile")
+
+
+def tail_quantile(tails: DataFrame, totals: DataFrame, q: float, by: str) -> DataFrame:
+    """``(by, n, quantile)`` from the lower tails of groups: ``tails`` holds ``by, x, count`` (a value and how
+    often it occurs) and ``totals`` ``by, n``, the number of all values.  A group has a row only if its tail
+    holds the two values around the rank."""
+    values = tails.select(F.struct(by).alias("_k0"), F.col("x").alias("_x"), F.col("count").alias("_w"))
+    held = values.groupBy("_k0").agg(F.sum("_w").alias("size"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    groups = _ranked(totals.select(F.struct(by).alias("_k0"), "n"), q).join(held, "_k0").where(
+        F.col("size") >= F.least(F.col("r") + 2, F.col("n")))
+    state = _kept(groups.select("_k0", "n", "r", "frac", "rank", "size", "lo", "hi", F.lit(0).alias("steep")), ["_k0"])
+    return _selected(values, state, ["_k0"]).select(F.col(f"_k0.{by}").alias(by), "n", "quantile")
+
+
+def _selected(values: DataFrame, state: DataFrame | dict, keys: list[str]) -> DataFrame:
+    if not keys:
+        # one value only: no less than itself, or NaN (the least is NaN only if all are)
+        while state["size"] > RANKED_ROWS and state["lo"] != state["hi"] and not math.isnan(state["lo"]):
+            state = _kept(_narrowed(values, state, keys, 0.0, False), keys)
+    else:
+        wide = (F.col("size") > RANKED_ROWS) & (F.col("lo") < F.col("hi"))
+        while not state.where(wide).isEmpty():
+            state = _kept(state.where(~wide).unionByName(_narrowed(values, state.where(wide), keys, 0.0, False)), keys)
+    return _picked(values, state, keys)
+
+
+def _picked(values: DataFrame, state: DataFrame | dict, keys: list[str]) -> DataFrame:
+    """The last pass: at most ``RANKED_ROWS`` values inside an interval are kept, none where all are equal."""
+    x, lo, hi = F.col("_x"), F.col("lo"), F.col("hi")
+    near = _beside(values, state, keys, ["lo", "hi"]).where(x >= lo)
+    inside = F.when((lo < hi) & (x <= hi), F.array_repeat(x, F.col("_w").cast("int")))
+    ends = near.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list(inside))).alias("v"),
+                                   F.min(F.when(x > hi, x)).alias("above"))
+    found = state.join(ends, keys) if keys else _beside(ends, state, keys, _STATE)
+    rank = F.col("rank").cast("int")
+    x1 = F.when(lo < hi, F.get("v", rank)).otherwise(lo)
+    x2 = F.when(F.col("rank") + 1 >= F.col("size"), F.coalesce("above", x1)).otherwise(
+        F.when(lo < hi, F.get("v", rank + 1)).otherwise(lo))
+    quantile = F.when((F.col("frac") == 0) | (F.col("x2") == F.col("x1")), F.col("x1")).otherwise(
+        F.col("x1") + (F.col("x2") - F.col("x1")) * F.col("frac"))
+    return found.withColumns({"x1": x1, "x2": x2}).withColumn("quantile", quantile)

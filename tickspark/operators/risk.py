@@ -12,21 +12,14 @@ import math
 import secrets
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.functions.scalars import hashed_normal, lcg_normal
+from tickspark.operators.comoments import comoments, covariance_of
 from tickspark.operators.quantile import exact_quantile
 from tickspark.schemas import SCENARIO_COLUMNS
 
-# Tickers of a covariance block, and calendar days of a block's rows: one task holds at most
-# two blocks' columns of one chunk (2 x 512 x 4096 doubles).
-BLOCK_TICKERS = 512
-BLOCK_DAYS = 4096
-
-
 def equal_weights(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
     """``(RIC, weight)`` with weight ``1/k``; k is the (driver-side) list length.
 
@@ -67,65 +60,11 @@ def covariance(returns: DataFrame, tickers: Sequence[str]) -> DataFrame:
     """Sample covariance of every ticker pair: ``(RIC_i, RIC_j, covariance)``.
 
     A pair's covariance is taken over the days on which both have a return
-    (all days, after ``log_returns``); with fewer than two it is null.
-
-    Returns are centred on each ticker's mean, tickers are cut into blocks,
-    and every pair of blocks and chunk of days is one task's matrix product
-    (sums, counts and cross products per pair).  The chunks are then added
-    per block pair, so no task holds more than two blocks, whatever k is.
+    (all days, after ``log_returns``); with fewer than two it is null.  Chunks
+    of days and pairs of ticker blocks are matrix products of separate tasks,
+    merged as co-moments (``tickspark.operators.comoments``).
     """
-    tickers = list(dict.fromkeys(tickers))
-    spark, k = returns.sparkSession, len(tickers)
-    # k rows, k = the length of the given list
-    index = F.broadcast(spark.createDataFrame(list(enumerate(tickers)), "i int, RIC string"))
-    blocks = -(-k // BLOCK_TICKERS)
-    rows = returns.select("RIC", "Date", F.col("log_return").cast("double").alias("x")).where("x is not null")
-    means = rows.groupBy("RIC").agg(F.avg("x").alias("mean")).join(index, "RIC")
-    own = F.floor(F.col("i") / BLOCK_TICKERS).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)),
-                        lambda o: F.struct(F.least(own, o).alias("a"), F.greatest(own, o).alias("b")))
-    placed = (rows.join(F.broadcast(means), "RIC")
-              .select("i", "Date", (F.col("x") - F.col("mean")).alias("x"),
-                      F.floor(F.datediff("Date", F.lit("1970-01-01").cast("date")) / BLOCK_DAYS).alias("chunk"),
-                      F.explode(pairs).alias("pair"))
-              .select("i", "Date", "x", "chunk", "pair.a", "pair.b"))
-
-    def products(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = int(key[0]), int(key[1])
-        day = np.unique(pdf["Date"].astype("datetime64[ns]").to_numpy(), return_inverse=True)[1]
-
-        def side(block: int) -> np.ndarray:
-            m = np.full((day.max() + 1, min(BLOCK_TICKERS, k - block * BLOCK_TICKERS)), np.nan)
-            local = pdf["i"].to_numpy() - block * BLOCK_TICKERS
-            inside = (local >= 0) & (local < m.shape[1])
-            m[day[inside], local[inside]] = pdf["x"].to_numpy()[inside]
-            return m
-
-        x, y = side(a), side(b)
-        there_x, there_y = ~np.isnan(x), ~np.isnan(y)
-        x, y = np.where(there_x, x, 0.0), np.where(there_y, y, 0.0)
-        tx, ty = there_x.astype(float), there_y.astype(float)
-        sums = np.stack([tx.T @ ty, x.T @ ty, tx.T @ y, x.T @ y])
-        return pd.DataFrame({"a": [a], "b": [b], "sums": [sums.tobytes()]})
-
-    def cells(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = int(key[0]), int(key[1])
-        shape = [min(BLOCK_TICKERS, k - q * BLOCK_TICKERS) for q in (a, b)]
-        n, sx, sy, sxy = np.sum([np.frombuffer(s).reshape(4, *shape) for s in sorted(pdf["sums"])], axis=0)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            cov = np.where(n > 1, (sxy - sx * sy / n) / (n - 1), np.nan)
-        i, j = np.meshgrid(*[np.arange(w) + q * BLOCK_TICKERS for w, q in zip(shape, (a, b))], indexing="ij")
-        out = pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "covariance": cov.ravel()})
-        if a != b:
-            out = pd.concat([out, out.rename(columns={"i": "j", "j": "i"})])
-        return out
-
-    sums = placed.groupBy("a", "b", "chunk").applyInPandas(products, "a int, b int, sums binary")
-    found = sums.groupBy("a", "b").applyInPandas(cells, "i int, j int, covariance double")
-    grid = index.select("i", F.col("RIC").alias("RIC_i"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"))
-    named = grid.join(F.broadcast(index.select(F.col("i").alias("j"), F.col("RIC").alias("RIC_j"))), "j")
-    return (named.join(found, ["i", "j"], "left")
-            .select("RIC_i", "RIC_j", F.nanvl("covariance", F.lit(None).cast("double")).alias("covariance")))
+    return covariance_of(comoments(returns, tickers), tickers)
 
 
 def portfolio_std(cov: DataFrame, weights: DataFrame) -> DataFrame:
@@ -205,6 +144,14 @@ def scenarios(spark: SparkSession, mu, sigma, n: int, tasks: int = 1, days: int
     ).select(*SCENARIO_COLUMNS)
 
 
+def gain_range(mu, sigma, days: int, portfolio_value: float, sd: float = 10.0) -> tuple[float, float] | None:
+    """The gains within ``sd`` standard deviations of their mean: a range in which a quantile is looked for first."""
+    if mu is None or sigma is None or not math.isfinite(mu) or not math.isfinite(sigma):
+        return None
+    mean, width = portfolio_value * mu * days, abs(portfolio_value * sigma * math.sqrt(days)) * sd
+    return mean - width, mean + width
+
+
 def moments_scalars(moments: DataFrame) -> tuple[float | None, float | None]:
     """Pull the two scalars of a one-row moments frame to the driver."""
     row = moments.first()
@@ -214,12 +161,13 @@ def moments_scalars(moments: DataFrame) -> tuple[float | None, float | None]:
 
 
 def value_at_risk(scen: DataFrame, confidence: float = 0.99, by: Sequence[str] = (),
-                  col: str = "RETURN", q: float | None = None) -> DataFrame:
+                  col: str = "RETURN", q: float | None = None, guess: tuple[float, float] | None = None) -> DataFrame:
     """``-percentile(gains, 1 - confidence)`` with linear interpolation, per
-    group: ``(by..., n, VaR)``.  Pass ``q`` to give the lower-tail fraction
-    exactly (``1 - 0.99`` is not 0.01 in floating point)."""
+    group: ``(by..., n, VaR)``; ungrouped, no gains give ``(0, null)``.  Pass ``q``
+    to give the lower-tail fraction exactly (``1 - 0.99`` is not 0.01 in floating
+    point), ``guess`` (``gain_range``) to save a scan.  ``scen`` is scanned a few times."""
     qq = q if q is not None else round(1.0 - confidence, 12)
-    out = exact_quantile(scen, col, qq, by)
+    out = exact_quantile(scen, col, qq, by, guess)
     return out.select(*by, "n", (-F.col("quantile")).alias("VaR"))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickspark.operators.closes import align_closes, daily_close, gappy_log_returns, log_returns
 from tickspark.operators.summary import daily_trade_summary, symbol_series
 from tickspark.operators.risk import (
+    gain_range,
     histogram,
     moments_scalars,
     portfolio_moments,
@@ -77,7 +78,7 @@ def run_var(spark: SparkSession, ticks: DataFrame, tickers: Sequence[str], as_of
                      start_date=start, end_date=end)
     if sink is not None:
         sink(scen)
-    var = value_at_risk(scen, confidence, q=q)
+    var = value_at_risk(scen, confidence, q=q, guess=gain_range(mu, sigma, days, portfolio_value))
     return VarRun(closes, rets, moments, mu, sigma, scen, var, start, end, batch)
 
 
