@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tickspark.functions.filters import regular_trades
 from tickspark.operators import bars as B
 from tickspark.operators import closes as C
+from tickspark.operators import comoments as M
 from tickspark.operators import jobstats as J
+from tickspark.operators import portfolios as P
 from tickspark.operators import report as G
 from tickspark.operators import risk as R
 from tickspark.operators import summary as S
@@ -25,10 +27,14 @@ from tickspark.plans.var_job import history_range, run_var
 from tickspark.schemas import SCENARIO_COLUMNS
 from tickspark.session import shared_path
 from tickspark.sources import fixtures as X
-from tickspark.sources.files import append_scenarios, load_scenarios, read_store, write_scenarios_csv
-from tickspark.sources.messages import parse_messages, read_messages, write_scenario_messages
+from tickspark.sources.files import (append_scenarios, load_new_scenarios, load_scenarios, read_loaded, read_store,
+                                     write_scenarios_csv)
+from tickspark.sources.messages import (keyed_messages, parse_messages, read_messages, sample_messages,
+                                        write_scenario_messages)
+from tickspark.sources.publisher import FileTopic, publish, read_outcomes
 from tickspark.sources.tables import (read_daily_close, read_job_history, read_l2, read_ticks, register_view,
                                       write_ticks)
+from tickspark.streaming.bar_lattice import compact_lattice, lattice_bars, stream_bars
 from tickspark.streaming.ingest import compact_store, ingest_messages, ingested, message_stream
 from tickspark.streaming.running_var import read_var, running_var, stream_var_exact
 
@@ -184,6 +190,23 @@ def _bars(name):
     return q
 
 
+def _streamed_bars(name):
+    """The bars of ``name`` from the minute lattice of a stream; a tenth of the quotes come in later files."""
+    unit, start, end = BARS[name]
+
+    def q(spark, d):
+        src, lattice, ckpt, out = (shared_path(spark, n) for n in ("quotes", "bar-lattice", "bar-ckpt", "bar-compact"))
+        quotes = read_l2(spark, X.l2_from_events(spark, d))
+        late = F.pmod(F.xxhash64("date_time", "RIC", "L2_BidPrice"), F.lit(10)) == 0
+        for part in (~late, late):
+            quotes.where(part).write.mode("append").parquet(src)
+            stream_bars(spark, spark.readStream.schema(quotes.schema).parquet(src), lattice, ckpt)
+        compact_lattice(spark, lattice, out)
+        return lattice_bars(spark, out if unit == "DAY" else lattice, unit, start, end)
+    q.__name__ = f"q_{name}_streamed"
+    return q
+
+
 def q_bid_bars_preview(spark, d):
     unit, start, end = BARS["bid_bars_minute"]
     return B.bid_bars(read_l2(spark, X.l2_from_events(spark, d)), unit, start, end, preview=BAR_PREVIEW)
@@ -233,6 +256,36 @@ def q_covariance_wide(spark, d):
     return _round_cols(R.covariance(rets, SUPPLIERS), {"covariance"}, 9)
 
 
+def q_covariance_by_load(spark, d):
+    """The matrix stored year by year, one load each, then all loads as one."""
+    rets = _brand_returns(spark, d)
+    store, out = shared_path(spark, "comoments"), shared_path(spark, "comoments-all")
+    for r in rets.select(F.year("Date").alias("y")).distinct().orderBy("y").collect():
+        M.add_comoments(rets.where(F.year("Date") == r.y), BRANDS, store, str(r.y))
+    M.compact_comoments(spark, store, BRANDS, out, "all")
+    return _round_cols(M.covariance_of(M.stored_comoments(spark, out), BRANDS), {"covariance"}, 12)
+
+
+def _nation_portfolios(spark, d):
+    """One portfolio per nation: its suppliers among the listed ones, equally weighted."""
+    rics = spark.createDataFrame([(t,) for t in SUPPLIERS], "RIC string")
+    held = (spark.read.parquet(f"{d}/supplier.parquet")
+            .select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("RIC"), "s_nationkey")
+            .join(rics, "RIC").join(spark.read.parquet(f"{d}/nation.parquet"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.col("n_name").alias("PORTFOLIO"), "RIC"))
+    size = held.groupBy("PORTFOLIO").agg((F.lit(1.0) / F.count(F.lit(1))).alias("weight"))
+    return held.join(size, "PORTFOLIO")
+
+
+def q_portfolio_vars(spark, d):
+    """Moments and VaR of one portfolio per nation, all in one job."""
+    closes = X.monthly_close_from_suppliers(spark, d)
+    rets = C.gappy_log_returns(C.align_closes(closes, SUPPLIERS))
+    moments = P.portfolio_moments_all(rets, _nation_portfolios(spark, d))
+    out = P.portfolio_vars(moments, _scenario_count(spark, d), DAYS, PORTFOLIO_VALUE, q=VAR_Q)
+    return _round_cols(_round_cols(out, {"expected_return", "portfolio_std"}), {"VaR"}, 3)
+
+
 def q_portfolio_std(spark, d):
     cov = R.covariance(_brand_returns(spark, d), BRANDS)
     return _round_cols(R.portfolio_std(cov, R.equal_weights(spark, BRANDS)), {"portfolio_std"})
@@ -370,14 +423,59 @@ def q_stream_var(spark, d):
 
 
 def q_stream_var_incremental(spark, d):
+    """VaR from keyed state: a first delivery, then the rest among redelivered copies on the same checkpoint."""
     src, store, var, ckpt = (shared_path(spark, n) for n in ("messages", "var-store", "var-table", "var-ckpt"))
     st = _store(spark, d)
-    write_scenario_messages(st, src)
+    run = lambda: stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=VAR_Q)
+    write_scenario_messages(st.where(F.col("SCENARIO_ID") % 2 == 0), src)
+    run()
+    write_scenario_messages(st.where(F.col("SCENARIO_ID") % 2 == 1), src)
     write_scenario_messages(st.where(F.col("SCENARIO_ID") % 3 == 0), src)       # redelivered copies
-    stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=VAR_Q)
+    run()
     return _show_var(read_var(spark, var), by=["BATCH"])
 
 
+def q_message_ingest_redelivered(spark, d):
+    """Copies that come after the stream has forgotten their scenarios, and through another checkpoint."""
+    src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
+    store = _store(spark, d)
+    write_scenario_messages(store.where(F.col("SCENARIO_ID") % 2 == 0), src)
+    ingest_messages(spark, table, ckpt, path=src, window="0 seconds")
+    write_scenario_messages(store, src)
+    ingest_messages(spark, table, ckpt, path=src, window="0 seconds")
+    ingest_messages(spark, table, f"{ckpt}-other", path=src)
+    return _show_scenarios(ingested(spark, table))
+
+
+def q_publish_outcomes(spark, d):
+    """Every scenario message published to a file topic: an outcome for each, beside the message as it arrived."""
+    topic, outcomes = shared_path(spark, "topic"), shared_path(spark, "outcomes")
+    run = publish(keyed_messages(_scenarios(spark, d)), lambda: FileTopic(topic), outcomes)
+    arrived = _show_scenarios(read_messages(spark, topic)).select(
+        F.concat_ws("/", "BATCH", F.col("SCENARIO_ID").cast("string")).alias("KEY"), "RETURN")
+    return read_outcomes(spark, outcomes, run).select("KEY", "STATUS").join(arrived, "KEY", "full")
+
+
+def q_sample_publish(spark, d):
+    """The test publisher's messages, as many as the tick table has rows, published and read back."""
+    topic, outcomes = shared_path(spark, "topic"), shared_path(spark, "outcomes")
+    run = publish(sample_messages(spark, _scenario_count(spark, d), batch="1234"), lambda: FileTopic(topic), outcomes)
+    arrived = read_messages(spark, topic).groupBy("BATCH").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("RETURN").alias("returns"), F.max("RETURN").alias("last"))
+    published = read_outcomes(spark, outcomes, run).where("STATUS = 'published'").agg(F.count(F.lit(1)).alias("published"))
+    return arrived.withColumn("published", F.lit(published.first().published))
+
+
+def q_scenario_load_ledger(spark, d):
+    """CSV files loaded as they arrive: two batches, then a load that finds nothing new."""
+    csv_dir, table = shared_path(spark, "ledger-csv"), shared_path(spark, "ledger-table")
+    for batch, days in STORE_BATCHES:
+        write_scenarios_csv(_scenarios(spark, d, batch, days), csv_dir)
+        load_new_scenarios(spark, csv_dir, table)
+    load_new_scenarios(spark, csv_dir, table)
+    return _show_scenarios(read_loaded(spark, table))
+
+
 def q_store_compaction(spark, d):
     table, out = shared_path(spark, "dup-store"), shared_path(spark, "compact-store")
     st = _store(spark, d)
@@ -416,6 +514,25 @@ def q_report_text(spark, d):
     return G.generate_text(prompts, G.EchoClient)
 
 
+def _prompts_view(spark, d):
+    prompts = G.report_prompt(_pivot(spark, d), PIVOT_DATES[1], PIVOT_DATES[0])
+    prompts.createOrReplaceTempView("report_prompts")
+    G.register_generate_text(spark, G.EchoClient)
+
+
+def q_report_text_sql(spark, d):
+    """Generation as SQL's table function."""
+    _prompts_view(spark, d)
+    return spark.sql("""SELECT * FROM generate_text(TABLE(SELECT * FROM report_prompts),
+                        temperature => 0.2, max_output_tokens => 800, flatten_json_output => true)""")
+
+
+def q_report_text_raw(spark, d):
+    """The same, with the answer as one JSON column."""
+    _prompts_view(spark, d)
+    return spark.sql("SELECT * FROM generate_text(TABLE(report_prompts), flatten_json_output => false)")
+
+
 QUERIES = {
     "regular_trades": q_regular_trades,
     "trades_half_open": q_trades_half_open,
@@ -428,6 +545,7 @@ QUERIES = {
     "vwap_pivot": q_vwap_pivot,
     "vwap_pivot_native": q_vwap_pivot_native,
     **{name: _bars(name) for name in BARS},
+    **{f"{name}_streamed": _streamed_bars(name) for name in ("bid_bars_minute", "bid_bars_day", "bid_bars_hour")},
     "bid_bars_preview": q_bid_bars_preview,
     "daily_close": q_daily_close,
     "daily_close_ties": q_daily_close_ties,
@@ -439,6 +557,8 @@ QUERIES = {
     "expected_return": q_expected_return,
     "covariance": q_covariance,
     "covariance_wide": q_covariance_wide,
+    "covariance_by_load": q_covariance_by_load,
+    "portfolio_vars": q_portfolio_vars,
     "portfolio_std": q_portfolio_std,
     "portfolio_moments": q_portfolio_moments,
     "cagr": q_cagr,
@@ -458,6 +578,10 @@ QUERIES = {
     "message_ingest_late": q_message_ingest_late,
     "stream_var": q_stream_var,
     "stream_var_incremental": q_stream_var_incremental,
+    "message_ingest_redelivered": q_message_ingest_redelivered,
+    "publish_outcomes": q_publish_outcomes,
+    "sample_publish": q_sample_publish,
+    "scenario_load_ledger": q_scenario_load_ledger,
     "store_compaction": q_store_compaction,
     "job_stage_inputs": q_job_stage_inputs,
     "job_stats": q_job_stats,
@@ -465,4 +589,6 @@ QUERIES = {
     "job_scale_summary": q_job_scale_summary,
     "report_prompt": q_report_prompt,
     "report_text": q_report_text,
+    "report_text_sql": q_report_text_sql,
+    "report_text_raw": q_report_text_raw,
 }

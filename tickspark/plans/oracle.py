@@ -242,6 +242,31 @@ closes AS (SELECT RIC, "Date", CASE WHEN NOT (RIC = '{K.BRANDS[0]}' AND day("Dat
            FROM all_closes),
 {_returns("closes", K.BRANDS)}"""
 
+_GENERATED_RAW = (""", '{"content": "Summary: ' || prompt || '", "safety": "{\\"blocked\\":false}"}' AS ml_generate_text_result, """
+                  "CASE WHEN prompt IS NULL THEN 'empty prompt' ELSE '' END AS ml_generate_text_status")
+
+_MONTHLY_CLOSES = """closes AS (
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS RIC, CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date",
+         max(l_extendedprice) AS Price FROM lineitem GROUP BY ALL)"""
+
+_NATION_VARS = f"""WITH {_MONTHLY_CLOSES},
+{_aligned("closes", K.SUPPLIERS)},
+lr AS (SELECT RIC, "Date", ln(Price / lag(Price) OVER (PARTITION BY RIC ORDER BY "Date")) AS x FROM aligned),
+held AS (SELECT n_name AS PORTFOLIO, 'S' || CAST(s_suppkey AS VARCHAR) AS RIC
+         FROM supplier JOIN nation ON s_nationkey = n_nationkey
+         WHERE 'S' || CAST(s_suppkey AS VARCHAR) IN ({_list(K.SUPPLIERS)})),
+sizes AS (SELECT PORTFOLIO, count(*) AS k FROM held GROUP BY PORTFOLIO),
+daily AS (SELECT PORTFOLIO, "Date", sum(x / k) AS r FROM held JOIN sizes USING (PORTFOLIO) JOIN lr USING (RIC)
+          GROUP BY PORTFOLIO, "Date", k HAVING count(x) = k),
+moments AS (SELECT PORTFOLIO, count(r) AS n_days, avg(r) AS mu, stddev_samp(r) AS sd
+            FROM sizes LEFT JOIN daily USING (PORTFOLIO) GROUP BY PORTFOLIO),
+draws AS (SELECT {_lcg_z("id")} AS z FROM (SELECT unnest(range(1, count(*) + 1)) AS id FROM events)),
+gains AS (SELECT PORTFOLIO, CAST({K.PORTFOLIO_VALUE} AS DOUBLE) * mu * {K.DAYS}
+            + CAST({K.PORTFOLIO_VALUE} AS DOUBLE) * sd * z * sqrt(CAST({K.DAYS} AS DOUBLE)) AS gain FROM moments CROSS JOIN draws),
+vars AS (SELECT PORTFOLIO, count(*) AS n, round(-quantile_cont(gain, {K.VAR_Q}), 3) AS VaR FROM gains GROUP BY PORTFOLIO)
+SELECT PORTFOLIO, n_days, round(mu, 10) AS expected_return, round(sd, 10) AS portfolio_std, n, VaR
+FROM moments JOIN vars USING (PORTFOLIO)"""
+
 ORACLE = {
     "regular_trades": f"WITH {TICKS} SELECT * FROM ticks WHERE {REGULAR}",
     "trades_half_open": f"""WITH {TICKS} SELECT * FROM ticks WHERE RIC IN ({_list(K.RICS)})
@@ -256,6 +281,7 @@ SELECT * FROM daily WHERE RIC = 'BBB.L' ORDER BY "Date" """,
     "vwap_pivot": f"WITH {TICKS}, {_daily()}, {_pivot()} SELECT * FROM pivoted",
     "vwap_pivot_native": f"WITH {TICKS}, {_daily()}, {_pivot()} SELECT * FROM pivoted",
     **{name: _bars(*spec) for name, spec in K.BARS.items()},
+    **{f"{name}_streamed": _bars(*K.BARS[name]) for name in ("bid_bars_minute", "bid_bars_day", "bid_bars_hour")},
     "bid_bars_preview": _bars(*K.BARS["bid_bars_minute"], preview=K.BAR_PREVIEW),
     "daily_close": f"""WITH {TICKS},
 {_last_trade(where=f" AND Date_Time BETWEEN '{K.RANGE_FULL[0]}' AND '{K.RANGE_FULL[1]}'", rics=K.PORTFOLIO)}
@@ -343,4 +369,14 @@ SELECT job_id, round(rows_read / 1e9, 12) AS rows_billions,
        round(execution_time_ms / 1000.0, 12) AS wall_seconds FROM top""",
     "report_prompt": _prompt_sql(),
     "report_text": _prompt_sql(_GENERATED),
+    "report_text_sql": _prompt_sql(_GENERATED),
+    "report_text_raw": _prompt_sql(_GENERATED_RAW),
+    "portfolio_vars": _NATION_VARS,
+    "message_ingest_redelivered": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte(K.STORE_BATCHES)} SELECT {SCEN_COLS} FROM scen",
+    "scenario_load_ledger": f"WITH {_PORTFOLIO_CHAIN}, {_scenario_cte(K.STORE_BATCHES)} SELECT {SCEN_COLS} FROM scen",
+    "publish_outcomes": f"""WITH {_PORTFOLIO_CHAIN}, {_scenario_cte([('B20', K.DAYS)])}
+SELECT BATCH || '/' || SCENARIO_ID AS KEY, 'published' AS STATUS, round(RETURN, {K.MONEY_DIGITS}) AS RETURN FROM scen""",
+    "sample_publish": """SELECT '1234' AS BATCH, count(*) AS messages, count(*) AS returns,
+CAST(count(*) - 1 AS DOUBLE) AS last, count(*) AS published FROM events""",
 }
+ORACLE["covariance_by_load"] = ORACLE["covariance"]

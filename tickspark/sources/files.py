@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickspark.schemas import SCENARIO_COLUMNS, SCENARIO_RESULT, TIMESTAMP_TEXT_FORMAT
 
@@ -99,3 +103,48 @@ def read_store(spark: SparkSession, table: str) -> DataFrame:
 def append_scenarios(df: DataFrame, table: str) -> None:
     """Append scenario rows to a Parquet table path."""
     df.select(*SCENARIO_COLUMNS).write.mode("append").parquet(table)
+
+
+LEDGER = T.StructType([T.StructField("FILE", T.StringType()), T.StructField("LENGTH", T.LongType()),
+                       T.StructField("LOAD", T.StringType())])
+
+
+def load_ledger(spark: SparkSession, table: str) -> DataFrame:
+    """Files that ``load_new_scenarios`` has taken: ``FILE, LENGTH, LOAD`` (empty before the first load)."""
+    try:
+        return spark.read.schema(LEDGER).parquet(f"{table}_ledger")
+    except AnalysisException:
+        return spark.createDataFrame([], LEDGER)
+
+
+def load_new_scenarios(spark: SparkSession, csv_path: str, table: str) -> DataFrame:
+    """Append the CSV files that no earlier load has taken, each exactly once, and return the table.
+
+    A load's rows go to a folder of their own, named by the files it takes, and
+    its files into the ledger last.  A load that fails before that is not there for
+    readers (``read_loaded`` reads the loads of the ledger), and the next one takes
+    its files again.  A file is known by name and length: one that was replaced by
+    a longer one is loaded again.  A malformed row fails the load.  One load at a time.
+    """
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv*").load(csv_path)
+    files = there.select(F.col("path").alias("FILE"), F.col("length").alias("LENGTH"))
+    new = files.join(load_ledger(spark, table), ["FILE", "LENGTH"], "left_anti").orderBy("FILE").collect()
+    if new:
+        load = hashlib.sha256("\n".join(f"{r.FILE}:{r.LENGTH}" for r in new).encode()).hexdigest()[:32]
+        rows = (spark.read.schema(SCENARIO_RESULT).option("header", True).option("mode", "FAILFAST").option("basePath", csv_path)
+                .option("timestampFormat", TIMESTAMP_TEXT_FORMAT).csv([r.FILE for r in new if r.LENGTH]))
+        rows.select(*SCENARIO_COLUMNS).write.mode("overwrite").parquet(f"{table}/LOAD={load}")
+        (spark.createDataFrame([(r.FILE, r.LENGTH, load) for r in new], LEDGER).coalesce(1)
+            .write.mode("append").parquet(f"{table}_ledger"))
+    return read_loaded(spark, table)
+
+
+def read_loaded(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of the loads in the ledger (others failed, and are left out)."""
+    schema = T.StructType([*SCENARIO_RESULT.fields, T.StructField("LOAD", T.StringType())])
+    loads = load_ledger(spark, table).select("LOAD").distinct()
+    try:
+        rows = spark.read.schema(schema).parquet(table)
+    except AnalysisException:
+        return spark.createDataFrame([], SCENARIO_RESULT)
+    return rows.join(loads, "LOAD", "left_semi").select(*SCENARIO_COLUMNS)

@@ -18,15 +18,21 @@ def _ts_text(c: str) -> Column:
     return F.date_format(F.col(c), TIMESTAMP_TEXT_FORMAT)
 
 
-def scenario_messages(df: DataFrame) -> DataFrame:
-    """``value``: the JSON text of each scenario row, lower-case keys."""
+def scenario_messages(df: DataFrame, *others: str) -> DataFrame:
+    """``value``: the JSON text of each scenario row, lower-case keys (after ``others``, columns of ``df``)."""
     body = F.struct(
         F.col("BATCH").alias("batch"), F.col("VENUE").alias("venue"),
         F.col("PORTFOLIO").alias("portfolio"), F.col("PORTFOLIO_VALUE").alias("portfolio_value"),
         _ts_text("START_DATE").alias("start_date"), _ts_text("END_DATE").alias("end_date"),
         F.col("DAYS").alias("days"), F.col("RETURN").alias("return"),
         F.col("SCENARIO_ID").alias("scenario_id"))
-    return df.select(F.to_json(body).alias("value"))
+    return df.select(*others, F.to_json(body).alias("value"))
+
+
+def keyed_messages(df: DataFrame) -> DataFrame:
+    """``key`` (batch and scenario id; null without an id) and ``value`` of each scenario row, for ``publisher.publish``."""
+    key = F.when(F.col("SCENARIO_ID").isNotNull(), F.concat_ws("/", "BATCH", F.col("SCENARIO_ID").cast("string")))
+    return scenario_messages(df.withColumn("key", key), "key")
 
 
 def write_scenario_messages(df: DataFrame, path: str | None = None,

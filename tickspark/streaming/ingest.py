@@ -1,21 +1,29 @@
-"""Ingest scenario messages into the cumulative result table; nothing is lost.
+"""Ingest scenario messages into the cumulative result table; nothing is lost, nothing is stored twice.
 
 Source: Kafka (``kafka_options``) or a folder of message text files.  Every
-message is stored, whenever it arrives: a backfill whose files are hours old or
-a lagging partition is admitted like any other.  A micro-batch writes its own
-folder (named by checkpoint and epoch, overwritten on replay), so a failure or
-a re-run on the same checkpoint adds nothing twice.  Text that is not a
-scenario message goes to a quarantine table with its source and reason.
-
-Redelivered copies are removed when the store is read (``ingested``), by
-``(BATCH, SCENARIO_ID)`` or, without an id, by the payload.
+message is admitted whenever it arrives: a backfill whose files are hours old or
+a lagging partition like any other.  A micro-batch writes its own folder (named by
+checkpoint and epoch, overwritten on replay), so a failure or a re-run on the
+same checkpoint adds nothing twice.  Text that is not a scenario message goes to
+a quarantine table with its source and reason.
+
+Redelivered copies - the same ``(BATCH, SCENARIO_ID)`` or, without an id, the same
+payload - are removed twice over.  In the stream, ``dropDuplicatesWithinWatermark``
+on the time of ingest (which is never late) holds the keys of the last ``window``
+in RocksDB and lets them go after it.  Copies that come later than the window, or
+through another checkpoint, are found by an anti-join of the micro-batch with
+what was stored before the window, in the folders of the batches it names only.
+So the store holds every scenario once, and reading it is a plain scan.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +31,15 @@ from tickspark.schemas import SCENARIO_COLUMNS, SCENARIO_RESULT
 from tickspark.sources.files import read_store
 from tickspark.sources.messages import checked_messages
 
-STORED = T.StructType([*SCENARIO_RESULT.fields, T.StructField("PAYLOAD_KEY", T.StringType())])
+#: How long the stream itself remembers a scenario.
+WINDOW = "1 hour"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+STORED = T.StructType([*SCENARIO_RESULT.fields, T.StructField("PAYLOAD_KEY", T.StringType()),
+                       T.StructField("INGESTED", T.TimestampType())])
+#: Folders of the store: one per micro-batch, in it one per batch id.
+_FOLDERS = [T.StructField("EPOCH", T.StringType()), T.StructField("OF_BATCH", T.StringType())]
 QUARANTINE = T.StructType([T.StructField("PAYLOAD", T.StringType()), T.StructField("ERROR", T.StringType()),
                            T.StructField("SOURCE", T.StringType()), T.StructField("ARRIVAL", T.TimestampType())])
 
@@ -49,19 +65,40 @@ def message_stream(spark: SparkSession, path: str | None = None, kafka_options:
                       F.col("_metadata.file_modification_time").alias("ARRIVAL"))
 
 
-def distinct_scenarios(rows: DataFrame) -> DataFrame:
-    """Every scenario once: by ``(BATCH, SCENARIO_ID)``, rows without an id by
-    ``PAYLOAD_KEY`` if there is one, else by their values.  The id is part of
-    the key, so a batch holding most of the rows spreads over many tasks."""
+def batch_key(batch: Column) -> Column:
+    """A batch id as a text that is never null (nor empty, which a folder name cannot be)."""
+    return F.coalesce(F.concat(F.lit("="), batch), F.lit("null"))
+
+
+def scenario_key(rows: DataFrame) -> Column:
+    """What makes two rows of a batch the same scenario: the id, else ``PAYLOAD_KEY``, else all values."""
     whole = F.sha2(F.to_json(F.struct(*[F.col(c) for c in SCENARIO_COLUMNS])), 256)
     payload = F.coalesce(F.col("PAYLOAD_KEY"), whole) if "PAYLOAD_KEY" in rows.columns else whole
-    key = F.coalesce(F.col("SCENARIO_ID").cast("string"), payload)
-    return rows.withColumn("_key", key).dropDuplicates(["BATCH", "_key"]).select(*SCENARIO_COLUMNS)
+    return F.coalesce(F.col("SCENARIO_ID").cast("string"), payload)
+
+
+def distinct_scenarios(rows: DataFrame) -> DataFrame:
+    """Every scenario once.  The scenario is part of the key, so a batch holding
+    most of the rows spreads over many tasks."""
+    keyed = rows.withColumn("_key", scenario_key(rows))
+    return keyed.dropDuplicates(["BATCH", "_key"]).select(*SCENARIO_COLUMNS)
 
 
 def ingested(spark: SparkSession, table_path: str) -> DataFrame:
-    """The cumulative table, every scenario once."""
-    return distinct_scenarios(spark.read.schema(STORED).option("recursiveFileLookup", "true").parquet(table_path))
+    """The cumulative table.  The ingest stores every scenario once, so this is a plain scan."""
+    return (spark.read.schema(STORED).option("recursiveFileLookup", "true").parquet(table_path)
+            .select(*SCENARIO_COLUMNS))
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB (a query copies the session's settings when it starts)."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before is not None else spark.conf.unset(_PROVIDER)
 
 
 def quarantined(spark: SparkSession, table_path: str) -> DataFrame:
@@ -79,35 +116,65 @@ def start_stream(writer, available_now: bool = True, processing_time: str | None
     return writer.trigger(processingTime=processing_time or "10 seconds").start()
 
 
-def epoch_name(checkpoint: str, epoch_id: int) -> str:
+def epoch_name(checkpoint: str, epoch_id: int | str) -> str:
     """A folder name per checkpoint and epoch: replays meet their own folder, other runs never do."""
     return f"epoch-{zlib.crc32(checkpoint.encode()):08x}-{epoch_id}"
 
 
+def _stored_before(spark: SparkSession, table_path: str, checkpoint: str, epoch: str, batch: DataFrame,
+                   window: str) -> DataFrame | None:
+    """Keys stored before the stream's memory of this checkpoint begins, or through others, of the batches of ``batch``."""
+    try:
+        rows = spark.read.schema(T.StructType([*STORED.fields, *_FOLDERS])).parquet(table_path)
+    except AnalysisException:          # nothing stored yet
+        return None
+    now = batch.agg(F.max("INGESTED")).first()[0]
+    if now is None:                    # no message: the micro-batch only lets old keys go
+        return None
+    # a key leaves the state when two windows have passed: one is on the safe side
+    old = (F.col("INGESTED") <= F.lit(now) - F.expr(f"interval {window}")) | ~F.startswith("EPOCH", F.lit(epoch_name(checkpoint, "")))
+    # this micro-batch's own folder, where it runs again, is about to be overwritten
+    old = old & (F.col("EPOCH") != epoch)
+    named = batch.select(batch_key(F.col("BATCH")).alias("OF_BATCH")).distinct()
+    return rows.where(old).join(F.broadcast(named) if named.count() <= 10_000 else named, "OF_BATCH", "left_semi").select(
+        "BATCH", scenario_key(rows).alias("_key"))
+
+
 def ingest_messages(spark: SparkSession, table_path: str, checkpoint: str, path: str | None = None,
                     kafka_options: dict | None = None, available_now: bool = True,
-                    processing_time: str | None = None, max_files_per_trigger: int | None = None):
+                    processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                    window: str = WINDOW):
     """Start the ingest query; with ``available_now`` it processes what is
     there and returns after the query stops.  Returns the query handle."""
     def store(batch: DataFrame, epoch_id: int) -> None:
-        folder = epoch_name(checkpoint, epoch_id)
-        checked = checked_messages(batch).persist()
+        epoch = epoch_name(checkpoint, epoch_id)
+        batch = batch.persist()      # the state's output is used several times
         try:
-            (checked.where("ERROR is null").withColumn("PAYLOAD_KEY", F.sha2("PAYLOAD", 256))
-                    .select(*STORED.fieldNames()).write.mode("overwrite").parquet(f"{table_path}/{folder}"))
-            (checked.where("ERROR is not null").select(*QUARANTINE.fieldNames())
-                    .write.mode("overwrite").parquet(f"{table_path}_quarantine/{folder}"))
+            good = batch.where("ERROR is null")
+            before = _stored_before(spark, table_path, checkpoint, epoch, good, window)
+            if before is not None:
+                same = (F.col("n.BATCH").eqNullSafe(F.col("b.BATCH"))) & (F.col("n._key") == F.col("b._key"))
+                good = good.alias("n").join(before.alias("b"), same, "left_anti")
+            (good.select(*STORED.fieldNames(), batch_key(F.col("BATCH")).alias("OF_BATCH")).write.mode("overwrite")
+                 .partitionBy("OF_BATCH").parquet(f"{table_path}/EPOCH={epoch}"))
+            (batch.where("ERROR is not null").select(*QUARANTINE.fieldNames())
+                  .write.mode("overwrite").parquet(f"{table_path}_quarantine/{epoch}"))
         finally:
-            checked.unpersist()
+            batch.unpersist()
 
-    stream = message_stream(spark, path, kafka_options, max_files_per_trigger)
-    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return start_stream(writer, available_now, processing_time)
+    checked = checked_messages(message_stream(spark, path, kafka_options, max_files_per_trigger))
+    keyed = checked.withColumns({"PAYLOAD_KEY": F.sha2("PAYLOAD", 256), "INGESTED": F.current_timestamp()})
+    key = F.when(F.col("ERROR").isNull(), scenario_key(keyed)).otherwise(F.concat(F.lit("!"), F.col("PAYLOAD_KEY")))
+    once = keyed.withColumn("_key", key).withWatermark("INGESTED", window).dropDuplicatesWithinWatermark(["BATCH", "_key"])
+    writer = once.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    with rocksdb_state(spark):
+        return start_stream(writer, available_now, processing_time)
 
 
 def compact_store(spark: SparkSession, table_path: str, out_path: str,
                   partition_by_batch: bool = True) -> DataFrame:
-    """Rewrite a result table (or an ingest's many small folders) with every scenario exactly once."""
+    """Rewrite a result table (or an ingest's many small folders) with every scenario exactly once, also where
+    rows were appended by other means."""
     rows = spark.read.schema(STORED).option("recursiveFileLookup", "true").parquet(table_path)
     writer = distinct_scenarios(rows).write.mode("overwrite")
     if partition_by_batch:
