@@ -11,8 +11,9 @@ SF001 = "/root/testdata/sf0.001"
 # Queries whose library path runs eager jobs or streams first; their final
 # plans are still checked.
 NAMES = sorted(QUERIES)
-# Queries with code in Python workers: text generation, and matrix products of the covariance.
-PYTHON = {"report_text", "covariance", "covariance_wide", "portfolio_std"}
+# Queries with code in Python workers: text generation, and matrix products of the covariance and of portfolios.
+PYTHON = {"report_text", "report_text_sql", "report_text_raw", "covariance", "covariance_wide", "covariance_by_load",
+          "portfolio_std", "portfolio_vars"}
 
 
 def _groups(text: str) -> list[str]:

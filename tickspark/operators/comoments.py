@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,9 +155,12 @@ def add_comoments(returns: DataFrame, tickers: Sequence[str], store: str, load:
 
 
 def stored_comoments(spark: SparkSession, store: str) -> DataFrame:
-    """The folders' rows, for ``covariance_of`` or ``merged_comoments``."""
+    """The folders' rows, for ``covariance_of`` or ``merged_comoments`` (none before the first load)."""
     schema = f"{COMOMENTS}, tickers int, load string"
-    rows = spark.read.schema(schema).parquet(store)
+    try:
+        rows = spark.read.schema(schema).parquet(store)
+    except AnalysisException:
+        rows = spark.createDataFrame([], schema)
     low = F.col("a") * BLOCK_TICKERS
     return rows.select("a", "b", "part", *_MATRICES,
                        F.least(F.lit(BLOCK_TICKERS), F.col("tickers") - low).cast("int").alias("height"))

@@ -179,4 +179,4 @@ def register_generate_text(spark: SparkSession, client_factory: Callable[..., ob
             for row, values in zip(rows, added):
                 yield (*row, *values)
 
-    spark.udtf.register(name, udtf(GenerateText))
+    spark.udtf.register(name, udtf(GenerateText, useArrow=True))
