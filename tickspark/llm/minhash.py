@@ -11,8 +11,9 @@ thrown, so a long text costs one dart per element and a few per coordinate.
 Signatures are banded; texts that share a band are candidates.  Candidates are
 never expanded into all pairs of a bucket: two rounds test every member of a
 bucket against one leader, and whatever is still in different components of a
-bucket is compared exhaustively, tile by tile, on the signatures.  Every pair
-whose signatures agree well enough is checked exactly on the texts' shingle sets.
+bucket is compared exhaustively, tile by tile, on the signatures.  Pairs whose
+signatures agree well enough are checked exactly on the texts' shingle sets; a
+tile checks its own and gives fewer links than it has members.
 
 Defined results: an empty, null or word-less text is in no class but its own;
 equal texts (with a word) share a class; a text of fewer than ``words`` words is
@@ -206,11 +207,28 @@ def _star(buckets: DataFrame, rank: list) -> DataFrame:
     return pairs.where("root <> lead_root").select("a", "b").distinct()
 
 
-def _rest(buckets: DataFrame, sketches: DataFrame, k: int, bands: int, agree: float) -> DataFrame:
-    """(a, b) of agreeing members of different components in a bucket: each pair in its first shared band only.
+def _shingle_sets(texts: DataFrame, n: int) -> DataFrame:
+    """(u, codes): the sorted distinct shingle codes of each text of ``texts`` (u, text), as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = column_texts(batch)
+            for lo, hi in slices(found):
+                sets = [np.unique(shingles(w, n)).tobytes() for w in split_codes(found[lo:hi])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())],
+                                                 names=["u", "codes"])
+
+    return texts.select("u", "text").mapInArrow(run, "u bigint, codes binary")
+
+
+def _rest(buckets: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, threshold: float, k: int, bands: int,
+          agree: float) -> DataFrame:
+    """(a, b), similar members of different components of a bucket: links enough to join them.
 
     A bucket's largest component is its body; the others are tested against
-    the body and each other, in tiles of at most ``TILE`` by ``TILE`` members.
+    the body and each other, in tiles of at most ``TILE`` by ``TILE`` members,
+    each pair in its first shared band only.  A tile checks its pairs exactly and
+    joins what is similar as it goes, so it gives fewer links than it has members
+    and no table of pairs exists.
     """
     sizes = buckets.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     body = written(sizes.groupBy("key").agg(
@@ -233,44 +251,58 @@ def _rest(buckets: DataFrame, sketches: DataFrame, k: int, bands: int, agree: fl
                                                   F.explode(spots).alias("tile"))
               .select("key", "band", "u", "root", "is_body", "own", "tile.i", "tile.j")
               .join(sketches.select("u", "bands", "sig"), "u"))
+    named = buckets.select("u").distinct()
+    placed = placed.join(written(_shingle_sets(texts.join(named, "u", "left_semi"), n), "near-shingles"), "u")
 
     schema = "a bigint, b bigint"
     parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = (placed.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "u")
-             .select("key", "i", "j", "band", "u", "root", "is_body", "own", "bands", "sig"))
-    return tiles.mapInArrow(_tile_pairs(k, bands, agree), schema)
+             .select("key", "i", "j", "band", "u", "root", "is_body", "own", "bands", "sig", "codes"))
+    return written(tiles.mapInArrow(_tile_links(threshold, k, bands, agree), schema), "near-rest")
 
 
-def _tile_pairs(k: int, bands: int, agree: float):
+def _tile_links(threshold: float, k: int, bands: int, agree: float):
     """Compares the members of each tile (rows of one key, i, j stand together; a tile is bounded).
 
     The first shared band is found on the keys of the buckets: the signatures
     are cut to a byte per coordinate and may agree in a band without a bucket.
+    Pairs that agree are checked on their shingles until their components meet.
     """
+    def similar(x: bytes, y: bytes) -> bool:
+        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return both >= threshold * (len(a) + len(b) - both) - 1e-9
+
     def compare(tile: dict) -> tuple[np.ndarray, np.ndarray]:
         i, j, band = int(tile["i"][0]), int(tile["j"][0]), int(tile["band"][0])
         body, own = tile["is_body"], tile["own"]
         left = np.flatnonzero(~body & (own == i))
         right = np.flatnonzero(body) if j < 0 else np.flatnonzero(~body & (own == j))
         out_a, out_b = [], []
-        u, root, sig, keys = tile["u"], tile["root"], tile["sig"], tile["bands"]
+        u, sig, keys, codes = tile["u"], tile["sig"], tile["bands"], tile["codes"]
+        # components within the tile, as labels of its members; they start from those known
+        part = np.unique(tile["root"], return_inverse=True)[1]
         for x in left:
-            fit = ((sig[right] == sig[x]).mean(axis=1) >= agree) & (root[right] != root[x])
+            fit = (part[right] != part[x]) & ((sig[right] == sig[x]).mean(axis=1) >= agree)
             if j == i:
                 fit &= u[right] > u[x]
-            hits = np.flatnonzero(fit)
+            hits = right[fit]
             if len(hits):
-                hits = hits[(keys[right[hits]] == keys[x]).argmax(axis=1) == band]
-                out_a.append(np.full(len(hits), u[x]))
-                out_b.append(u[right[hits]])
-        none = np.zeros(0, np.int64)
-        return np.concatenate(out_a or [none]), np.concatenate(out_b or [none])
+                hits = hits[(keys[hits] == keys[x]).argmax(axis=1) == band]
+            for y in hits:
+                if part[y] != part[x] and similar(codes[x], codes[y]):
+                    part[part == part[y]] = part[x]
+                    out_a.append(u[x])
+                    out_b.append(u[y])
+        return np.array(out_a, np.int64), np.array(out_b, np.int64)
 
     def columns(batch: pa.RecordBatch) -> dict:
         out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "i", "j", "band", "u", "root", "is_body", "own")}
         out["is_body"] = out["is_body"].astype(bool)
         out["bands"] = batch.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, bands)
         out["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, k)
+        out["codes"] = np.empty(batch.num_rows, object)
+        out["codes"][:] = batch.column("codes").to_pylist()
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,7 +367,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = written(hubs, "near-hubs")
     second = _verified(_star(hubs, [F.col("r"), F.col("u"), F.col("root")]), sketches, texts, n, threshold, agree)
     roots = written(components(first.union(second)), "near-roots")
-    rest = _verified(_rest(_open(buckets, roots), sketches, k, bands, agree), sketches, texts, n, threshold, agree)
+    several = written(_open(buckets, roots), "near-open")
+    rest = _rest(several, sketches, texts, n, threshold, k, bands, agree)
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = written(components(stars.union(rest)), "near-roots")
 
