@@ -180,11 +180,12 @@ def batches_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in batches if b.num_rows)
 
 
-def sum_arrays(df: DataFrame, share, shape: tuple[int, ...], blocks: int = 16) -> np.ndarray:
+def sum_arrays(df: DataFrame, share, shape: tuple[int, ...], blocks: int = 16, kind: type = np.float64) -> np.ndarray:
     """The sum over all tasks of ``share(batches)``, an array of ``shape``.
 
     Tasks return their share in blocks and the blocks are added in Spark, so
-    the driver receives one array however many tasks there are.
+    the driver receives one array however many tasks there are.  ``kind`` is the
+    type in which shares are sent (float32: half the shuffle); sums are doubles.
     """
     import pandas as pd
 
@@ -193,13 +194,13 @@ def sum_arrays(df: DataFrame, share, shape: tuple[int, ...], blocks: int = 16) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.asarray(share(batches), np.float64).ravel()
-        cut = [flat[lo: lo + width].tobytes() for lo in range(0, size, width)]
+        cut = [flat[lo: lo + width].astype(kind).tobytes() for lo in range(0, size, width)]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cut)), pa.int64()), pa.array(cut, pa.binary())],
                                          names=["block", "v"])
 
     def add(key, frame):
         # sorted: the sum does not depend on the order in which the shares arrive
-        total = np.sum(np.stack([np.frombuffer(v) for v in sorted(frame.v)]), axis=0)
+        total = np.sum(np.stack([np.frombuffer(v, kind) for v in sorted(frame.v)]), axis=0, dtype=np.float64)
         return pd.DataFrame({"block": [key[0]], "v": [total.tobytes()]})
 
     rows = df.mapInArrow(run, "block bigint, v binary").groupBy("block").applyInPandas(add, "block bigint, v binary")
