@@ -220,7 +220,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     hits = seeds.join(shared, "code", "left_semi").groupBy("u").agg(F.collect_set("code").alias("shared"))
     marked = written(firsts.select("u", "h1").join(hits, "u"), "rlz-marked")
     live = written(rows.select("doc_id", "h1", "text").join(
-        marked, (F.col("doc_id") == marked.u) & (rows.h1 == marked.h1)).select("u", rows.h1, "text", "shared"), "rlz-live")
+        marked, (F.col("doc_id") == marked.u) & (rows.h1 == marked.h1)).select("u", rows.h1, "text", "shared")
+        # rows that repeat both id and text are one document
+        .dropDuplicates(["u", "h1"]), "rlz-live")
     # the index: every block under its earliest document; a document's own entries come back to it
     index = _blocks(live.select("u", "text", "shared")).groupBy("code").agg(F.min(F.struct("u", "place")).alias("at"))
     own = index.select("at.u", "at.place").groupBy("u").agg(F.collect_list("place").alias("own"))
