@@ -110,13 +110,16 @@ class Merges:
 
 
 class WordBpe:
-    """Encodes batches of texts as the tokenizer of ``path`` does (special strings are ordinary text)."""
+    """Encodes batches of texts as the tokenizer of ``path`` does.
+
+    The tokenizer takes the strings of its added tokens as those tokens; texts that
+    hold one (before or after lower-casing) are left to it.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         config = json.loads(self.tokenizer.to_str())
         model = config["model"]
         steps = (config["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
@@ -126,6 +129,8 @@ class WordBpe:
                           and model.get("end_of_word_suffix") == "</w>" and not model.get("continuing_subword_prefix"))
         if self.whole:
             return
+        added = {t["content"] for t in config.get("added_tokens") or []}
+        self.added = re.compile("|".join(re.escape(a) for a in sorted({a.lower() for a in added})) or "(?!)")
         vocabulary = model["vocab"]
         self.merges = Merges(vocabulary, model["merges"])
         # byte-level vocabularies write printable bytes as themselves and the others as 256, 257, ...
@@ -210,11 +215,13 @@ class WordBpe:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (uint32) of each text."""
         out: list = [None] * len(texts)
-        plain = [] if self.whole else [i for i, t in enumerate(texts) if not NOT_PLAIN.search(t)]
+        lower = [] if self.whole else [(i, t.lower()) for i, t in enumerate(texts) if not NOT_PLAIN.search(t)]
+        lower = [(i, t) for i, t in lower if not self.added.search(t)]
+        plain = [i for i, _ in lower]
         if plain:
             if len(self.known) > REMEMBERED:
                 self.forget()
-            lowered = [texts[i].lower().encode() for i in plain]
+            lowered = [t.encode() for _, t in lower]
             text = np.frombuffer(b"\n".join(lowered) + b"\n", np.uint8)
             ends = np.cumsum([len(t) + 1 for t in lowered])
             first, counts, ids = self._ids(text)
