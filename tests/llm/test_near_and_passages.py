@@ -76,8 +76,10 @@ def test_bands_that_agree_by_chance_hide_no_pair(spark):
     keys = lambda u: [1000 + u, 7, *range(100 * u, 100 * u + M.BANDS - 2)]
     sketches = spark.createDataFrame([(u, keys(u), sig) for u in (1, 2, 3)], "u long, bands array<long>, sig binary")
     buckets = spark.createDataFrame([(7, 1, u, u) for u in (1, 2, 3)], "key long, band int, u long, root long")
-    got = sorted(tuple(sorted(r)) for r in M._rest(buckets, sketches, M.COORDINATES, M.BANDS, M.AGREE).collect())
-    assert got == [(1, 2), (1, 3), (2, 3)]
+    texts = spark.createDataFrame([(u, " ".join(f"w{i}" for i in range(60)) + f" end{u}") for u in (1, 2, 3)], "u long, text string")
+    links = M._rest(buckets, sketches, texts, M.WORDS, M.THRESHOLD, M.COORDINATES, M.BANDS, M.AGREE)
+    # two tiles: the others among themselves, and with the bucket's body
+    assert sorted(tuple(sorted(r)) for r in links.collect()) == [(1, 2), (1, 3), (2, 3)]
 
 
 def test_classes_of_the_test_table(documents):
@@ -230,6 +232,14 @@ def test_odd_documents_lose_nothing_and_stage_cuts(spark, odd_docs, no_docs):
                           (2, "another text of the same id", 5), (4, None, 5)], key=str)
 
 
+def test_repeated_rows_that_lose_words(spark, tmp_path):
+    a = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, a), (2, a + " tail of b"), (2, a + " tail of b"), (3, "head " + a), (3, "another text"), (2, "a third")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in S.op8_relative_lz(spark, str(tmp_path)).collect())
+    assert got == [(1, 80, 0), (2, 2, 0), (2, 83, 80), (2, 83, 80), (3, 2, 0), (3, 81, 80)]
+
+
 def test_factors_join_runs():
     first, length = S.factors(np.array([3, 4, 5, 20, 70, 71]))
     assert first.tolist() == [3, 20, 70] and length.tolist() == [52, 50, 51]

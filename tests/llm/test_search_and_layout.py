@@ -66,6 +66,23 @@ def test_top_k_of_odd_vectors(spark):
     assert K.top_k(df.where("false"), lambda c: c % 100 == 0).count() == 0
 
 
+def test_top_k_of_huge_scores_and_repeated_queries(spark):
+    rows = [(0, [1e8, 1.0]), (0, [-1e8, 0.0]), (1, [1e8, 0.0]), (2, [-1e8, 0.0]), (3, [1e300, 1.0]), (4, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in K.top_k(df, lambda c: c == 0, 9).orderBy("rank").collect()]
+    # the least of the two vectors asks: (-1e8, 0); scores beyond a long count as the nearest
+    assert got == [(2, 2**63 - 1), (4, 0), (1, -2**63), (3, -2**63)]
+
+
+def test_special_strings_are_the_tokenizers(spark):
+    from tokenizers import Tokenizer
+    fresh = Tokenizer.from_file(P.default_tokenizer())
+    texts = ["a <|endoftext|> b", "<|ENDOFTEXT|>", "<|startoftext|><|endoftext|>x", "a < |endoftext| > b", "plain text",
+             *(r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect())]
+    for t, ids in zip(texts, WordBpe(P.default_tokenizer()).encode(texts)):
+        assert ids.tolist() == fresh.encode(t, add_special_tokens=False).ids, t[:60]
+
+
 ODD_TEXTS = ["Hello's WORLD  it'll 123 naïve ÀÉÎ ÿ ß café’s <|endoftext|> 日本 á Σας \x1c x\x7f ª º ×÷ \x85 \xa0 don't'd", "",
              "'S 'T x_y__z ¿qué?", "A\x1cB \x00 c", "it's o'reilly 'stuff ''s ,'s ' 's' we'RE l'llama 1's 1'2", "'", "it'", " 'd",
              "aaaaaaaaaaaaaaaaaaaaaaa hahahahahaha", "\n\n", "é 🙂"]

@@ -42,10 +42,10 @@ def test_contained_detections_are_suppressed(spark):
     got = _scan(spark, [
         "Licensed under the GNU Lesser General Public License version 3.0.",        # not also gpl-3
         "released under the Apache License, Version 2.0 and the MIT license",
-        "SPDX-License-Identifier: BSD-3-Clause is not a rule, but SPDX-License-Identifier: ISC license is",
+        "SPDX-License-Identifier: BSD-3-Clause here, SPDX-License-Identifier: ISC license there",
         "this is general and public, open and common, with a font", "All rights reserved.",
         "Creative Commons Attribution-NonCommercial-ShareAlike 4.0"])
-    assert [got[i].labels for i in range(6)] == ["lgpl-3", "apache-2,mit", "isc", "", "proprietary", "cc-by-nc-sa"]
+    assert [got[i].labels for i in range(6)] == ["lgpl-3", "apache-2,mit", "bsd-3,isc", "", "proprietary", "cc-by-nc-sa"]
     assert got[3].score == 0 and 0 < got[0].score < 1
     assert got[1].n_base == 1 and got[1].base_labels == "apache-2"
 

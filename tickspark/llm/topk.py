@@ -101,6 +101,10 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         .select("id", F.transform("v", lambda x: F.floor(x * F.lit(1024.0))).alias("v")))
 
 
+#: The range of a long.
+LEAST, GREATEST = -(1 << 63), (1 << 63) - 1
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row fulfilling ``is_query`` its k best among all rows."""
@@ -110,7 +114,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
     # blocks of about block_rows vectors whatever the input's partitions; rows are dealt evenly
     blocks = rows.repartition(max(1, -(-count // block_rows)))
     blocks = written(blocks, "topk-blocks")
-    queries = rows.where(is_query(F.col("id"))).dropDuplicates(["id"])
+    # of rows that repeat a query's id the least vector asks
+    queries = rows.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
     found, last = None, None
     while True:
         # the stated queries, a bounded block of them at a time
@@ -144,7 +149,8 @@ def _search(sent, k: int, block_rows: int):
                     best, scores = block.best(query_id, query, k)
                     out[0].append(np.full(len(best), query_id))
                     out[1].append(best)
-                    out[2].append(np.array(scores, np.int64))
+                    # exact integers of any size; one that is no long counts as the nearest
+                    out[2].append(np.array([max(LEAST, min(GREATEST, int(x))) for x in scores], np.int64))
             cols = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out]
             return pa.RecordBatch.from_arrays(cols, names=["query_id", "vec_id", "score"])
 
