@@ -240,7 +240,26 @@ def test_repeated_rows_that_lose_words(spark, tmp_path):
     assert got == [(1, 80, 0), (2, 2, 0), (2, 83, 80), (2, 83, 80), (3, 2, 0), (3, 81, 80)]
 
 
-def test_factors_join_runs():
-    first, length = S.factors(np.array([3, 4, 5, 20, 70, 71]))
-    assert first.tolist() == [3, 20, 70] and length.tolist() == [52, 50, 51]
-    assert len(S.factors(np.zeros(0, np.int64))[0]) == 0
+def test_factors_follow_one_reference():
+    place, ref, there = np.array([3, 4, 5, 6, 20, 70, 71]), np.array([1, 1, 1, 2, 2, 5, 5]), np.array([0, 1, 2, 9, 10, 4, 6])
+    start, length, of, at = S.factors(place, ref, there)
+    assert start.tolist() == [3, 6, 20, 70, 71] and length.tolist() == [52, 50, 50, 50, 50]
+    assert of.tolist() == [1, 2, 2, 5, 5] and at.tolist() == [0, 9, 10, 4, 6]
+    assert len(S.factors(*[np.zeros(0, np.int64)] * 3)[0]) == 0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_factors_are_pieces_of_their_references(spark, seed):
+    docs = dict(_shared_texts(seed))
+    _, changed = S.repeated_passages(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    words = {d: t.split() for d, t in docs.items()}
+    several = 0
+    for r in changed.collect():
+        covered = set()
+        for f in r.factors:
+            assert f.ref_id < r.doc_id and f.length >= S.WINDOW
+            assert words[r.doc_id][f.start: f.start + f.length] == words[f.ref_id][f.ref_start: f.ref_start + f.length]
+            covered |= set(range(f.start, f.start + f.length))
+        assert len(covered) == r.n_removed
+        several += len({f.ref_id for f in r.factors}) > 1
+    assert several

@@ -2,11 +2,12 @@
 
 Documents are factored against all documents with a smaller id.  The reference
 is indexed by its blocks of ``WINDOW`` words, each under its earliest occurrence
-(document, position); a factor starts where the document's next ``WINDOW`` words
-are an indexed block of a smaller document and grows, word by word, as long as
-the block that ends at the next word is one too.  Blocks that lie across the end
-of a factor are looked up like all others, so nothing is lost at the boundaries.
-Words inside factors are duplicates.
+(document, place).  A factor starts where the document's next ``WINDOW`` words are
+an indexed block of a smaller document, and grows word by word as long as the
+block that ends at the next word is indexed at the next place of the same document:
+a factor is a piece of that reference.  Where it ends, the block across its end is
+looked up like any other and starts the next factor, so nothing is lost at the
+boundaries.  Words inside factors are duplicates.
 
 Only blocks that can repeat are indexed: every block is anchored at the smallest
 code of its 25-word runs, anchors that occur in one text only rule their blocks
@@ -31,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import gram_codes, mix, ranges_concat, read_table, slices, text_or_empty, written
+from tickspark.llm.common import (gram_codes, mix, on_documents, read_table,
+                                   slices, text_or_empty, written)
 
 WINDOW = 50
 GRAM = WINDOW // 2
@@ -102,13 +104,13 @@ class Words:
         return mix(self.grams[at] * _PAIR + self.grams[at + GRAM])
 
 
-def factors(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, length) of the greedy factors, given the sorted places of blocks that refer elsewhere."""
-    if not len(starts):
-        return starts, starts
-    first = np.append(True, np.diff(starts) > 1)
-    last = np.append(first[1:], True)
-    return starts[first], starts[last] - starts[first] + WINDOW
+def factors(place: np.ndarray, ref: np.ndarray, ref_place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first word, length, reference, first word there) of the greedy factors, given the sorted places of the
+    blocks that refer to a document, and where to."""
+    goes_on = (np.diff(place) == 1) & (np.diff(ref) == 0) & (np.diff(ref_place) == 1)
+    first = np.flatnonzero(np.append(True, ~goes_on)[: len(place)])
+    last = np.append(first[1:] - 1, len(place) - 1)[: len(first)]
+    return place[first], place[last] - place[first] + WINDOW, ref[first], ref_place[first]
 
 
 def _shared_codes(column) -> np.ndarray:
@@ -137,66 +139,55 @@ def _scan(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(live: DataFrame) -> DataFrame:
-    """(code, u, place) of every block of ``live`` (u, text, shared) with a shared anchor."""
+    """(code, u, h1, place) of every block of ``live`` (u, h1, text, shared) with a shared anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ByteWordCodes()
         for batch in batches:
-            ids, texts, shared = batch.column(0).to_numpy(), batch.column(1).to_pylist(), _shared_codes(batch.column(2))
+            ids, h1 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            texts, shared = batch.column(2).to_pylist(), _shared_codes(batch.column(3))
             for lo, hi in slices(texts):
                 words = Words(texts[lo:hi], coder)
                 at = words.suspects(shared)
                 doc = words.doc[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(words.block_codes(at).view(np.int64)), pa.array(ids[lo:hi][doc]),
-                     pa.array((at - words.starts[doc]).astype(np.int32))], names=["code", "u", "place"])
+                    [pa.array(words.block_codes(at).view(np.int64)), pa.array(ids[lo:hi][doc]), pa.array(h1[lo:hi][doc]),
+                     pa.array((at - words.starts[doc]).astype(np.int32))], names=["code", "u", "h1", "place"])
 
-    return live.mapInArrow(run, "code bigint, u bigint, place int")
+    return live.mapInArrow(run, "code bigint, u bigint, h1 bigint, place int")
+
+
+_FACTOR = pa.struct([(n, pa.int64()) for n in ("start", "length", "ref_id", "ref_start")])
 
 
 def _parsed(live: DataFrame) -> DataFrame:
-    """Parse ``live`` (u, h1, text, shared, own): factors, number of words in them, and the text that is kept.
+    """Parse ``live`` (u, h1, text, refs): factors, number of words in them, and the text that is kept.
 
-    ``own``: places of the blocks whose earliest occurrence is here.  Every
-    other suspect block is indexed under a smaller document.
-    """
+    ``refs``: place of each block that a smaller document has, that document and the place there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteWordCodes()
         for batch in batches:
-            texts, shared, own_col = batch.column(2).to_pylist(), _shared_codes(batch.column(3)), batch.column(4)
-            own_ends, own_all = own_col.offsets.to_numpy(), own_col.values.to_numpy(zero_copy_only=False)
+            texts, column = batch.column(2).to_pylist(), batch.column(3)
+            ends = column.offsets.to_numpy()
+            place, ref, ref_place = (column.values.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
             for lo, hi in slices(texts):
-                words = Words(texts[lo:hi], coder)
-                at = words.suspects(shared)
-                salt = np.uint64(0x9E3779B97F4A7C15)
-                own_sizes = np.diff(own_ends[lo: hi + 1])
-                own_doc = np.repeat(np.arange(hi - lo), own_sizes)
-                own_at = own_all[own_ends[lo]: own_ends[hi]].astype(np.int64) + words.starts[own_doc]
-                # a block is kept only in the document that owns it: compare (document, code)
-                mine = np.unique(mix(words.block_codes(own_at) + own_doc.astype(np.uint64) * salt))
-                doc = words.doc[at]
-                refers = ~np.isin(mix(words.block_codes(at) + doc.astype(np.uint64) * salt), mine)
-                change = np.zeros(int(words.ends[-1]) + 1, np.int64)
-                begin, length = factors(at[refers])
-                # runs of places may touch across a text's end, their words cannot: blocks lie in one text
-                np.add.at(change, at[refers], 1)
-                np.add.at(change, at[refers] + WINDOW, -1)
-                gone = np.cumsum(change[:-1]) > 0
                 removed, kept, spans = [], [], []
-                owner = np.searchsorted(words.ends, begin, "right")
-                for i, w in enumerate(words.words):
-                    mask = gone[words.starts[i]: words.ends[i]]
-                    removed.append(int(mask.sum()))
-                    kept.append(b" ".join(itertools.compress(w, (~mask).tolist())))
-                    mine_f = owner == i
-                    spans.append([{"start": int(s), "length": int(n)} for s, n in
-                                  zip(begin[mine_f] - words.starts[i], length[mine_f])])
+                for i in range(lo, hi):
+                    words, own = texts[i].split(), slice(ends[i], ends[i + 1])
+                    order = np.argsort(place[own], kind="stable")
+                    found = factors(place[own][order], ref[own][order], ref_place[own][order])
+                    change = np.zeros(len(words) + 1, np.int64)
+                    np.add.at(change, found[0], 1)
+                    np.add.at(change, found[0] + found[1], -1)
+                    stays = np.cumsum(change[:-1]) == 0
+                    removed.append(len(words) - int(stays.sum()))
+                    kept.append(b" ".join(itertools.compress(words, stays.tolist())))
+                    spans.append([dict(zip(("start", "length", "ref_id", "ref_start"), f)) for f in zip(*(x.tolist() for x in found))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()),
-                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))],
+                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(removed, pa.int64()),
+                     pa.array(kept, pa.binary()), pa.array(spans, pa.list_(_FACTOR))],
                     names=["doc_id", "h1", "n_removed", "kept", "factors"])
 
     return live.mapInArrow(run, "doc_id bigint, h1 bigint, n_removed bigint, kept binary, "
-                                "factors array<struct<start: bigint, length: bigint>>")
+                                "factors array<struct<start: bigint, length: bigint, ref_id: bigint, ref_start: bigint>>")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -204,8 +195,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     ``rows``: doc_id, h1, h2, n_words, sha (of all words joined by one blank)
     and whole - true if a smaller id has this very text (of at least a block).
-    ``changed``: doc_id, h1, n_removed, kept, factors of the first document of
-    each text that lost words; (doc_id, h1) names a row's id and text.
+    ``changed``: doc_id, h1, n_removed, kept, factors (start, length, ref_id,
+    ref_start) of the first document of each text that lost words; (doc_id, h1)
+    names a row's id and text.
     """
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("h1"),
@@ -223,12 +215,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         marked, (F.col("doc_id") == marked.u) & (rows.h1 == marked.h1)).select("u", rows.h1, "text", "shared")
         # rows that repeat both id and text are one document
         .dropDuplicates(["u", "h1"]), "rlz-live")
-    # the index: every block under its earliest document; a document's own entries come back to it
-    index = _blocks(live.select("u", "text", "shared")).groupBy("code").agg(F.min(F.struct("u", "place")).alias("at"))
-    own = index.select("at.u", "at.place").groupBy("u").agg(F.collect_list("place").alias("own"))
-    parsed = live.join(own.withColumnRenamed("u", "own_u"), F.col("u") == F.col("own_u"), "left").select(
-        "u", "h1", "text", "shared", F.coalesce("own", F.array().cast("array<int>")).alias("own"))
-    changed = _parsed(parsed).where("n_removed > 0")
+    # the index: every block under its earliest document and place; each occurrence in a larger one refers there
+    blocks = written(_blocks(live.select("u", "h1", "text", "shared")), "rlz-blocks")
+    index = blocks.groupBy("code").agg(F.min(F.struct("u", "place")).alias("at"))
+    refs = (blocks.join(index, "code").where(F.col("at.u") < F.col("u"))
+            .groupBy("u", "h1").agg(F.collect_list(F.struct("place", "at.u", "at.place")).alias("refs")))
+    changed = _parsed(live.select("u", "h1", "text").join(refs, ["u", "h1"]).select("u", "h1", "text", "refs"))
     whole = scanned.join(firsts.select("h1", "h2", "u"), ["h1", "h2"], "left").select(
         "doc_id", "h1", "h2", "n_words", "sha", F.coalesce(F.col("doc_id") > F.col("u"), F.lit(False)).alias("whole"))
     return whole, changed
@@ -244,6 +236,7 @@ def op8_relative_lz(spark, sf_dir: str) -> DataFrame:
         F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"))
 
 
+@on_documents
 def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated passages are cut out; a document that loses every word goes."""
     rows, changed = repeated_passages(docs)
