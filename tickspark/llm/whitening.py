@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickspark.llm.common import numbered, read_table, with_fields
+from tickspark.llm.common import numbered, read_table, with_fields, written
 
 #: Entries from this size on are not used: products of whole numbers above it are not exact.
 HUGE = float(2**50)
@@ -72,9 +72,9 @@ class Whitening:
         centred = ((x - self.centre) * self.n - self.rest) / self.n
         return centred @ (self.vectors / np.sqrt(self.values))
 
-    def apply(self, df: DataFrame, into: str = "whitened") -> DataFrame:
-        """``df``'s usable rows with ``into``, an array of the components' values."""
-        rows = df.drop(into).where(usable(self.column) & (F.size(_named(self.column)) == self.dim))
+    def apply(self, df: DataFrame, into: str = "whitened", checked: bool = False) -> DataFrame:
+        """``df``'s usable rows (all, where they are ``checked``) with ``into``, an array of the components' values."""
+        rows = _rows(df.drop(into), self.column, checked).where(F.size(_named(self.column)) == self.dim)
         model, names, at = self, [*rows.columns, into], f"c{rows.columns.index(self.column)}"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,6 +98,10 @@ def usable(column: str) -> Column:
     return F.coalesce(_named(column).isNotNull() & (F.size(_named(column)) > 0) & F.forall(_named(column), fit), F.lit(False))
 
 
+def _rows(df: DataFrame, column: str, checked: bool) -> DataFrame:
+    return df if checked else df.where(usable(column))
+
+
 def _matrix(batch: pa.RecordBatch, column: str, dim: int) -> np.ndarray:
     flat = batch.column(batch.schema.get_field_index(column)).flatten()
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
@@ -193,10 +197,10 @@ def refined_eigen(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (s[order] * size).astype(np.float64), x.astype(np.float64)
 
 
-def fit_whitening(df: DataFrame, column: str, components: int = COMPONENTS) -> Whitening | None:
+def fit_whitening(df: DataFrame, column: str, components: int = COMPONENTS, checked: bool = False) -> Whitening | None:
     """The whitening of all usable vectors of ``column`` (None where there is none)."""
     v = _named(column)
-    rows = df.select(v.alias("v")).where(usable(column))
+    rows = _rows(df, column, checked).select(v.alias("v"))
     whole = isinstance(df.schema[column].dataType.elementType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     lengths = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"))
     most = lengths.orderBy(F.desc("n"), F.desc("dim")).first()
@@ -229,10 +233,10 @@ def fit_whitening(df: DataFrame, column: str, components: int = COMPONENTS) -> W
     return Whitening(column, n, dim, centre, rest, values[:keep], vectors[:, :keep], float(np.trace(cov)))
 
 
-def identity_error(df: DataFrame, model: Whitening) -> float:
+def identity_error(df: DataFrame, model: Whitening, checked: bool = False) -> float:
     """The largest absolute entry of the whitened rows' covariance less the identity, over all rows."""
     k = len(model.values)
-    rows = df.select(_named(model.column).alias("v")).where(usable(model.column)).where(F.size("v") == model.dim)
+    rows = _rows(df, model.column, checked).select(_named(model.column).alias("v")).where(F.size("v") == model.dim)
 
     def moments(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         out = np.zeros((k + 1, k))
@@ -251,8 +255,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     # an entry that is no usable number becomes null, and its row takes no part
     whole = lambda v: F.when(F.abs(v.cast("double")) < HUGE, F.floor(v.cast("double") * SCALE).cast("long") + SHIFT)
     rows = read_table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", whole).alias("x"))
+    # four passes follow: the whole numbers, checked, are computed once (small ones take about a byte each)
+    rows = written(rows.where(usable("x")), "whitening-rows")
     schema = "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
-    model = fit_whitening(rows, "x")
+    model = fit_whitening(rows, "x", checked=True)
     if model is None or not len(model.values):
         return spark.createDataFrame([], schema)
     n = F.lit(model.n).cast("long")
@@ -262,7 +268,7 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     squared = F.transform(squared, lambda d: F.try_multiply(d, d))
     deviation = F.aggregate(squared, F.lit(0).cast("long"), lambda a, d: F.try_add(a, d))
     shares = F.lit([float(v / model.trace) for v in model.values])
-    long = model.apply(rows).select("vec_id", deviation.alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    long = model.apply(rows, checked=True).select("vec_id", deviation.alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
     return long.select(
         F.col("vec_id").cast("long").alias("vec_id"), (F.col("at") + 1).cast("int").alias("component"), n.alias("n"), "deviation",
-        "whitened", F.get(shares, "at").alias("explained"), F.lit(identity_error(rows, model)).alias("identity_error"))
+        "whitened", F.get(shares, "at").alias("explained"), F.lit(identity_error(rows, model, checked=True)).alias("identity_error"))
