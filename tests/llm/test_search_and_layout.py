@@ -242,6 +242,19 @@ def test_pipeline_stages_keep_their_contract(spark):
     assert packed.select("doc_id").distinct().count() == sizes[-1]
 
 
+def test_stages_pass_columns_of_any_name(spark, tmp_path):
+    """Names with a dot, and names that stages use inside."""
+    names = ["__lang_pred", "__lang_score", "__id", "__hash", "__h", "__text", "__codes", "a.b", "u", "h1", "score", "__kept"]
+    rows = [(i, f"the words of text number {i} are these and these only", "en", "a", 40, *range(len(names))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                       + ", ".join(f"`{n}` int" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert found and all(tuple(r)[5:] == tuple(range(len(names))) for r in found)
+
+
 def test_pipeline_takes_odd_documents(spark, odd_docs, no_docs):
     from tickspark.llm.common import written
     for docs in (odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs.select("doc_id", "text", "lang", "source", "n_chars")):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -94,6 +95,21 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
+#: Columns of ``documents`` that a pipeline stage may name; others are passed through under names of ours.
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def on_documents(stage: Callable) -> Callable:
+    """A pipeline stage whose further columns may have any name: they go through it as x0, x1, ... and come out under
+    their own names (a dot in a name, or a name that the stage uses inside, changes nothing)."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner = [c if c in DOCUMENT_COLUMNS else f"x{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*inner), sf_dir).select(*inner).toDF(*docs.columns)
+
+    return run
+
+
 def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([*schema.fields, *fields])
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickspark.llm.common import column_texts, crc_mod, read_table, slices, with_fields
+from tickspark.llm.common import column_texts, crc_mod, on_documents, read_table, slices, with_fields
 
 DIMENSIONS = 1024
 SEED = 20_240_607
@@ -168,6 +168,7 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
 REJECT_BELOW = 0.05
 
 
+@on_documents
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without a recognised language go."""
     prototypes = learn_prototypes(training_rows(docs))

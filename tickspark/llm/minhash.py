@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import column_texts, gram_codes, mix, ranges_concat, read_table, slices, split_codes, written
+from tickspark.llm.common import (column_texts, gram_codes, mix, on_documents, ranges_concat,
+                                   read_table, slices, split_codes, written)
 from tickspark.llm.components import components
 
 WORDS = 5
@@ -400,6 +401,7 @@ def op1_dart_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@on_documents
 def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each class stays (its smallest id); null ids stay."""
     found = near_duplicates(docs)
