@@ -50,6 +50,17 @@ def test_contained_detections_are_suppressed(spark):
     assert got[1].n_base == 1 and got[1].base_labels == "apache-2"
 
 
+def test_sql_has_the_same_gate(spark):
+    import duckdb
+    import pandas as pd
+
+    texts = ["Licensed under the GPLv3", "FreeBSD license", "AGPLv3 and MIT license", "lgplv3 gpl2", "plain words", ""]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})   # noqa: F841 - read by the SQL
+    want = {r[0]: (r[1], r[2]) for r in duckdb.sql(f"SELECT doc_id, labels, score FROM ({C.scan_sql()})").fetchall()}
+    assert {i: (r.labels, r.score) for i, r in _scan(spark, texts).items()} == want
+    assert want[0][0] == "gpl-3" and want[1][0] == "bsd-2"
+
+
 def test_every_rule_finds_its_own_names(spark):
     """A text written after each family's plainest name has that family's label."""
     plain = lambda p: re.sub(r"\[(.).*?\]", r"\1", re.sub(r" \?", " ", re.sub(r"\(\?:([^|()]*)(?:\|[^()]*)?\)\??", r"\1", p))).strip()

@@ -263,20 +263,21 @@ def op2_license_scan(spark, sf_dir: str) -> DataFrame:
 
 def scan_sql() -> str:
     """The whole scan as DuckDB SQL over ``documents``, with the same rules."""
-    values = ",\n  ".join(f"({o}, {p}, '{label}', '{keyword}', '{pattern}', {base})"
+    opens = {k: [w for w, opened in sorted(gate_words().items()) if opened == k] for k in set(gate_words().values())}
+    values = ",\n  ".join(f"({o}, {p}, '{label}', {opens[keyword]}, '{pattern}', {base})"
                           for o, p, label, keyword, pattern, base in rules())
     levels = sorted({p for p, _ in FORMS} | {BASE_PRIORITY})
     reach = " ".join(f"WHEN {p} THEN max(CASE WHEN priority >= {p} THEN last END) OVER before" for p in levels)
     count = "(length({0}) - length(replace({0}, ' ', ''))) // 2"
     total = lambda part: f"coalesce(list_sum(list_transform({part}, lambda x: {count.format('x')})), 0)"
     return f"""
-WITH rules(rule, priority, label, keyword, pattern, is_base) AS (VALUES
+WITH rules(rule, priority, label, opens, pattern, is_base) AS (VALUES
   {values}),
 d AS (SELECT doc_id, row_number() OVER () AS row,
              regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words FROM documents),
 l AS (SELECT *, ' ' || array_to_string(words, '  ') || ' ' AS line FROM d),
 m AS (SELECT row, r.*, string_split_regex(line, pattern) AS gaps, regexp_extract_all(line, pattern) AS hits
-      FROM l JOIN rules r ON list_contains(words, keyword) WHERE regexp_matches(line, pattern)),
+      FROM l JOIN rules r ON list_has_any(words, opens) WHERE regexp_matches(line, pattern)),
 i AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
 f AS (SELECT row, rule, priority, label, is_base, {total('gaps[1:i]')} + {total('hits[1:i - 1]')} AS first,
              {total('gaps[1:i]')} + {total('hits[1:i]')} - 1 AS last FROM i),
