@@ -380,13 +380,18 @@ def q_scenario_messages(spark, d):
     return _show_scenarios(read_messages(spark, path))
 
 
+def _state(spark):
+    """Partitions of a stream's state: one per core."""
+    return {"state_partitions": spark.sparkContext.defaultParallelism}
+
+
 def _ingested(spark, d):
     src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
     store = _store(spark, d)
     write_scenario_messages(store, src)
     write_scenario_messages(store.where(F.col("SCENARIO_ID") % 2 == 0), src)   # redelivered copies
-    ingest_messages(spark, table, ckpt, path=src)
-    ingest_messages(spark, table, ckpt, path=src)   # re-run: adds nothing
+    ingest_messages(spark, table, ckpt, path=src, **_state(spark))
+    ingest_messages(spark, table, ckpt, path=src, **_state(spark))   # re-run: adds nothing
     return table
 
 
@@ -408,13 +413,13 @@ def q_message_ingest_late(spark, d):
     src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
     moments = R.moments_scalars(_moments(spark, d))
     write_scenario_messages(_scenarios(spark, d, "B20", DAYS, moments), src)
-    ingest_messages(spark, table, ckpt, path=f"{src}*")
+    ingest_messages(spark, table, ckpt, path=f"{src}*", **_state(spark))
     late = f"{src}-late"
     write_scenario_messages(_scenarios(spark, d, LATE_BATCH, DAYS, moments), late)
     spark.createDataFrame([("not json",), ('{"batch": "007", "return": 1.5, "start_date": "soon"}',)],
                           "value string").write.mode("append").text(late)
     _age_files(spark, late, 5)
-    ingest_messages(spark, table, ckpt, path=f"{src}*")
+    ingest_messages(spark, table, ckpt, path=f"{src}*", **_state(spark))
     return _show_scenarios(ingested(spark, table))
 
 
@@ -426,7 +431,7 @@ def q_stream_var_incremental(spark, d):
     """VaR from keyed state: a first delivery, then the rest among redelivered copies on the same checkpoint."""
     src, store, var, ckpt = (shared_path(spark, n) for n in ("messages", "var-store", "var-table", "var-ckpt"))
     st = _store(spark, d)
-    run = lambda: stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=VAR_Q)
+    run = lambda: stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=VAR_Q, **_state(spark))
     write_scenario_messages(st.where(F.col("SCENARIO_ID") % 2 == 0), src)
     run()
     write_scenario_messages(st.where(F.col("SCENARIO_ID") % 2 == 1), src)
@@ -440,10 +445,10 @@ def q_message_ingest_redelivered(spark, d):
     src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
     store = _store(spark, d)
     write_scenario_messages(store.where(F.col("SCENARIO_ID") % 2 == 0), src)
-    ingest_messages(spark, table, ckpt, path=src, window="0 seconds")
+    ingest_messages(spark, table, ckpt, path=src, window="0 seconds", **_state(spark))
     write_scenario_messages(store, src)
-    ingest_messages(spark, table, ckpt, path=src, window="0 seconds")
-    ingest_messages(spark, table, f"{ckpt}-other", path=src)
+    ingest_messages(spark, table, ckpt, path=src, window="0 seconds", **_state(spark))
+    ingest_messages(spark, table, f"{ckpt}-other", path=src, **_state(spark))
     return _show_scenarios(ingested(spark, table))
 
 

@@ -35,6 +35,7 @@ from tickspark.sources.messages import checked_messages
 WINDOW = "1 hour"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 STORED = T.StructType([*SCENARIO_RESULT.fields, T.StructField("PAYLOAD_KEY", T.StringType()),
                        T.StructField("INGESTED", T.TimestampType())])
@@ -91,14 +92,18 @@ def ingested(spark: SparkSession, table_path: str) -> DataFrame:
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB (a query copies the session's settings when it starts)."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+def rocksdb_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, a new checkpoint's in so many ``partitions`` (None: as the
+    session's ``spark.sql.shuffle.partitions`` says).  A query copies the session's settings when it starts."""
+    settings = {_PROVIDER: ROCKSDB} | ({_PARTITIONS: str(partitions)} if partitions else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER, before) if before is not None else spark.conf.unset(_PROVIDER)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def quarantined(spark: SparkSession, table_path: str) -> DataFrame:
@@ -143,9 +148,10 @@ def _stored_before(spark: SparkSession, table_path: str, checkpoint: str, epoch:
 def ingest_messages(spark: SparkSession, table_path: str, checkpoint: str, path: str | None = None,
                     kafka_options: dict | None = None, available_now: bool = True,
                     processing_time: str | None = None, max_files_per_trigger: int | None = None,
-                    window: str = WINDOW):
+                    window: str = WINDOW, state_partitions: int | None = None):
     """Start the ingest query; with ``available_now`` it processes what is
-    there and returns after the query stops.  Returns the query handle."""
+    there and returns after the query stops.  Returns the query handle.
+    ``state_partitions`` of a new checkpoint stay what they are."""
     def store(batch: DataFrame, epoch_id: int) -> None:
         epoch = epoch_name(checkpoint, epoch_id)
         batch = batch.persist()      # the state's output is used several times
@@ -167,7 +173,7 @@ def ingest_messages(spark: SparkSession, table_path: str, checkpoint: str, path:
     key = F.when(F.col("ERROR").isNull(), scenario_key(keyed)).otherwise(F.concat(F.lit("!"), F.col("PAYLOAD_KEY")))
     once = keyed.withColumn("_key", key).withWatermark("INGESTED", window).dropDuplicatesWithinWatermark(["BATCH", "_key"])
     writer = once.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    with rocksdb_state(spark):
+    with rocksdb_state(spark, state_partitions):
         return start_stream(writer, available_now, processing_time)
 
 

@@ -68,7 +68,7 @@ def _several(rows: DataFrame) -> Iterator[list]:
 def stream_var_exact(spark: SparkSession, results: DataFrame, store_path: str, var_path: str,
                      checkpoint: str, confidence: float = 0.99, q: float | None = None,
                      available_now: bool = True, processing_time: str | None = None,
-                     slack: float | None = None, floor: int | None = None):
+                     slack: float | None = None, floor: int | None = None, state_partitions: int | None = None):
     """Exact VaR per batch, kept current as scenario results stream in.
 
     Keyed state on RocksDB (``TailProcessor``) passes every scenario on once, ever,
@@ -108,7 +108,7 @@ def stream_var_exact(spark: SparkSession, results: DataFrame, store_path: str, v
     stream = keyed(results).groupBy("KEY", "SHARD").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=OUT, outputMode="Update", timeMode="None")
     writer = stream.writeStream.foreachBatch(per_batch).outputMode("update").option("checkpointLocation", checkpoint)
-    with rocksdb_state(spark):
+    with rocksdb_state(spark, state_partitions):
         return start_stream(writer, available_now, processing_time)
 
 
