@@ -221,6 +221,35 @@ def test_leaks_found_and_clean_documents_left_alone(spark):
     assert all(r.share >= D.PARAPHRASE and r.kind in ("copy", "paraphrase") for r in rows)
 
 
+def test_latent_terms_come_from_all_passages(spark):
+    """More passages than a sample would hold: mean and spread are those of every passage, and rows are of any size."""
+    rng = np.random.default_rng(5)
+    words = (rng.zipf(1.3, (24_000, D.PASSAGE)) * 2654435761 % (1 << 32)).astype(np.uint32)
+    # two passages to a text, some texts end in a short passage
+    texts = [(words[i: i + 2].tobytes() + words[i, : i % 5].tobytes(),) for i in range(0, len(words), 2)]
+    codes = spark.createDataFrame([*texts, (b"",), (None,)], "__codes binary").repartition(5)
+    df, passages = D.passage_statistics(codes)
+    ends = [words[i, : i % 5] for i in range(0, len(words), 2) if i % 5]
+    assert passages == len(words) + len(ends)
+    want = np.bincount(np.concatenate([np.unique(w & np.uint32(D.TERMS - 1)) for w in [*words, *ends]]), minlength=D.TERMS)
+    assert (df == want).all()
+    bench = spark.createDataFrame([("one two three four five six seven eight nine",)], "text string")
+    table = D.fit_latent(codes, bench)
+    y = table.astype(float)[words & np.uint32(D.TERMS - 1)].sum(axis=1)
+    assert abs(y.mean(axis=0)).max() < 1e-3
+    spread = np.cov(y.T, bias=True)
+    assert abs(spread - np.diag(np.diag(spread))).max() < 1e-3
+
+
+def test_sums_of_passages():
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(1, D.PASSAGE + 1, 1500)
+    terms = rng.integers(0, 50, int(sizes.sum())).astype(np.uint32)
+    table = np.concatenate([rng.integers(0, 9, (50, 3)), np.zeros((1, 3), int)]).astype(np.float32)
+    want = np.add.reduceat(table[terms], np.cumsum(sizes) - sizes, axis=0)
+    assert (D._sums(table, terms, sizes) == want).all()
+
+
 def test_candidate_recall_against_brute_force(spark):
     """Windows whose longest common subsequence with a passage says leak are candidates, in at least 0.9 of cases."""
     docs = spark.read.parquet(f"{SF01}/documents.parquet")

@@ -2,8 +2,8 @@
 
 1. Every document becomes a sequence of 32-bit word codes; document frequencies
    of hashed terms are counted over all 64-word passages of all documents.
-2. A distributed randomised SVD of TF-IDF passages (the benchmark's and a bounded
-   sample of the corpus') gives each term a latent vector.
+2. A distributed randomised SVD of the TF-IDF passages, all of the corpus' and of
+   the benchmark's, gives each term a latent vector.
 3. Every place of every document is searched: overlapping windows of 16, 32, 64
    and 128 words (a quarter apart) against the benchmark passages of that length,
    by cosine in the latent space.
@@ -33,15 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickspark.llm.common import (column_texts, mix, on_documents, ranges_concat, read_table, slices,
-                                   split_codes, sum_arrays, with_fields, written)
+from tickspark.llm.common import (column_texts, on_documents, ranges_concat, read_table, slices, split_codes,
+                                   sum_arrays, with_fields, written)
 
 TERMS = 1 << 14
 LATENT, OVERSAMPLE, POWERS = 96, 16, 2
 PASSAGE = 64
-#: Corpus passages the SVD is fitted on: the bottom hashes, at most this many (per task, a tenth).
-SAMPLE = 20_000
-SAMPLE_PARTS = 8
+#: Passages handled together inside a task; bounds a task's memory whatever the texts' lengths.
+TOGETHER = 1 << 15
 WIDTHS = (16, 32, 64, 128)
 SHORTEST = 8
 #: Parts of long items: any run of PART - PART_STEP + 1 words, more than COPY of a part, lies within one.
@@ -89,108 +88,135 @@ def _groups(arrays: list[np.ndarray], words: int = 500_000) -> Iterator[tuple[in
         yield start, len(arrays)
 
 
-def passage_statistics(codes: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
-    """(document frequency per term, passages, sample table) over all passages of all documents."""
-    per_task = SAMPLE // 10
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(terms in order, passage sizes) of all passages, at most ``TOGETHER`` at a time."""
+    for batch in batches:
+        arrays = [a for a in _codes_of(batch) if len(a)]
+        for lo, hi in _groups(arrays, TOGETHER * PASSAGE):
+            whole = np.array([len(a) for a in arrays[lo:hi]])
+            pieces = -(-whole // PASSAGE)
+            sizes = np.full(int(pieces.sum()), PASSAGE)
+            sizes[np.cumsum(pieces) - 1] = whole - (pieces - 1) * PASSAGE
+            flat, ends = np.concatenate(arrays[lo:hi]) & np.uint32(TERMS - 1), np.cumsum(sizes)
+            for p in range(0, len(sizes), TOGETHER):
+                some = sizes[p: p + TOGETHER]
+                yield flat[ends[p] - sizes[p]: ends[p + len(some) - 1]], some
 
+
+def _cells(terms: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, term, count) of the terms of some passages, by passage and term."""
+    # (passage, term) in 32 bits: at most TOGETHER passages
+    cells = np.sort(np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes) * np.uint32(TERMS) + terms)
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+    return cells[first] // np.uint32(TERMS), cells[first] & np.uint32(TERMS - 1), np.diff(np.append(first, len(cells)))
+
+
+def passage_statistics(codes: DataFrame) -> tuple[np.ndarray, int]:
+    """(document frequency per term, passages) over all passages of all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, passages, sample = np.zeros(TERMS, np.int64), 0, []
-        for batch in batches:
-            arrays = _codes_of(batch)
-            for lo, hi in _groups(arrays):
-                some = arrays[lo:hi]
-                sizes = np.array([len(a) for a in some])
-                pieces = -(-sizes // PASSAGE)
-                flat = np.concatenate(some)
-                if not len(flat):
-                    continue
-                first = np.cumsum(pieces) - pieces
-                at = ranges_concat(np.zeros(len(some), np.int64), sizes)
-                piece = np.repeat(first, sizes) + at // PASSAGE
-                # (passage, term) in 32 bits: at most 500,000 words and their passages at a time, or one text
-                kind = np.uint32 if pieces.sum() < (1 << 32) // TERMS else np.int64
-                cells = np.sort(piece.astype(kind) * kind(TERMS) + (flat & np.uint32(TERMS - 1)).astype(kind))
-                cells = cells[np.append(True, cells[1:] != cells[:-1])]
-                counts += np.bincount(cells & kind(TERMS - 1), minlength=TERMS)
-                passages += int(pieces.sum())
-                starts = np.flatnonzero(at % PASSAGE == 0)
-                ends = np.append(starts[1:], len(flat))
-                # a passage's hash: its own words, so the sample does not depend on the partitions
-                marks = np.add.reduceat(mix(flat.astype(np.uint64) + (at % PASSAGE).astype(np.uint64)
-                                            * np.uint64(0x9E3779B97F4A7C15)), starts)
-                best = np.argsort(marks, kind="stable")[:per_task]
-                sample += [(int(marks[b]) >> 1, flat[starts[b]: ends[b]].tobytes()) for b in best]
-                sample = sorted(sample)[:per_task]
+        counts, passages = np.zeros(TERMS, np.int64), 0
+        for terms, sizes in _passages(batches):
+            counts += np.bincount(_cells(terms, sizes)[1], minlength=TERMS)
+            passages += len(sizes)
         used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1, *used.tolist()], pa.int64()), pa.array([passages, *counts[used].tolist()], pa.int64()),
-             pa.nulls(len(used) + 1, pa.binary())], names=["term", "n", "codes"])
-        if sample:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(sample), pa.int64()), pa.array([m for m, _ in sample], pa.int64()),
-                 pa.array([c for _, c in sample], pa.binary())], names=["term", "n", "codes"])
-
-    found = written(codes.select("__codes").mapInArrow(run, "term bigint, n bigint, codes binary"), "leak-stats")
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *used.tolist()], pa.int64()),
+                                          pa.array([passages, *counts[used].tolist()], pa.int64())], names=["term", "n"])
+
     df, passages = np.zeros(TERMS), 0
-    for r in found.where("term is not null").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    found = codes.select("__codes").mapInArrow(run, "term bigint, n bigint")
+    for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect():
         if r.term < 0:
             passages = int(r.n)
         else:
             df[r.term] = r.n
-    sample = found.where("codes is not null").orderBy("n", "codes").limit(SAMPLE).select(F.col("codes").alias("__codes"))
-    return df, passages, written(sample.repartition(SAMPLE_PARTS), "leak-sample")
-
+    return df, passages
+
+
+def _sums(table: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of each passage's rows of ``table``, whose last row is zero."""
+    out = np.empty((len(sizes), table.shape[1]), table.dtype)
+    order = np.argsort(-sizes, kind="stable")  # alike in size: little padding
+    starts = np.cumsum(sizes) - sizes
+    for lo in range(0, len(order), 512):  # in pieces that stay in the processor's cache
+        some = order[lo: lo + 512]
+        at = np.arange(int(sizes[some[0]]))[:, None]
+        words = np.where(at < sizes[some], terms[np.minimum(starts[some] + at, len(terms) - 1)], len(table) - 1).astype(np.int64)
+        total = np.take(table, words[0], axis=0)
+        for one in words[1:]:
+            total += np.take(table, one, axis=0)
+        out[some] = total
+    return out
 
-def _tfidf_rows(arrays: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, weight) of unit TF-IDF rows."""
-    rows = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays])
-    flat = np.concatenate(arrays) & np.uint32(TERMS - 1)
-    cells, count = np.unique(rows * TERMS + flat, return_counts=True)
-    row, term = cells // TERMS, cells % TERMS
-    weight = count * idf[term]
-    norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(arrays)))
-    return row, term, weight / norm[row]
 
+def latent_terms(rows: DataFrame, idf: np.ndarray, seed: int = 7) -> np.ndarray:
+    """TERMS x LATENT: each term's IDF times its right singular vector of the TF-IDF matrix of all passages, whitened.
 
-def latent_terms(sample: DataFrame, idf: np.ndarray, seed: int = 7) -> np.ndarray:
-    """TERMS x LATENT right singular vectors of the sample's TF-IDF matrix, by a randomised range finder.
+    A randomised range finder: each power step is one Spark job over all passages,
+    in which tasks return their passages' share of ``A' (A Q)`` and shares are
+    summed per block of terms.  The driver holds TERMS x (LATENT + OVERSAMPLE)
+    numbers.  The last job gives the Gram matrix and the passages' mean and spread.
 
-    Each power step is one Spark job: tasks return their passages' share of
-    ``A' (A Q)``, shares are summed per block of terms.  The driver holds
-    TERMS x (LATENT + OVERSAMPLE) numbers.
+    Whitened: turned so that passages have mean zero and equal spread in every
+    latent direction.  Without this the common words and the language of two
+    passages decide their cosine.  Mean and covariance are those of all full
+    passages, with a hundredth of the mean variance added in every direction.
     """
     wide = LATENT + OVERSAMPLE
-    spark = sample.sparkSession
+    spark = rows.sparkSession
 
-    def step(basis: np.ndarray, gram: bool) -> np.ndarray:
+    def sums_of(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """(cells, norms, sizes, sums of the basis times IDF) of passages."""
+        table = np.concatenate([sent.value * idf[:, None].astype(np.float32), np.zeros((1, wide), np.float32)])
+        for terms, sizes in _passages(batches):
+            row, term, count = _cells(terms, sizes)
+            norm = np.sqrt(np.bincount(row, weights=(count * idf[term]) ** 2, minlength=len(sizes)))
+            yield (row, term, count), norm, sizes, _sums(table, terms, sizes)
+
+    def step(basis: np.ndarray) -> np.ndarray:
         sent = spark.sparkContext.broadcast(basis.astype(np.float32))
 
         def share(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-            q = sent.value
-            total = np.zeros((wide if gram else TERMS, wide))
-            for batch in batches:
-                arrays = [a for a in _codes_of(batch) if len(a)]
-                for lo in range(0, len(arrays), 1000):
-                    row, term, weight = _tfidf_rows(arrays[lo: lo + 1000], idf)
-                    starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                    y = np.add.reduceat(q[term] * weight[:, None], starts, axis=0)
-                    if gram:
-                        total += y.T @ y
-                    else:
-                        order = np.argsort(term, kind="stable")
-                        t = term[order]
-                        starts = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-                        total[t[starts]] += np.add.reduceat(y[row[order]] * weight[order, None], starts, axis=0)
-            return total
+            total = np.zeros((TERMS, wide))
+            for (row, term, count), norm, _, sums in sums_of(sent, batches):
+                sums /= (norm * norm)[:, None].astype(np.float32)
+                order = np.argsort(term.astype(np.uint16), kind="stable")
+                row, term, count = row[order].astype(np.int64), term[order], count[order].astype(np.float32)
+                first = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+                for t, lo, hi in zip(term[first].tolist(), first.tolist(), [*first[1:].tolist(), len(term)]):
+                    total[t] += count[lo:hi] @ sums[row[lo:hi]]
+            return total * idf[:, None]
 
         # a basis to search in: shares in single precision do, and halve the shuffle
-        return sum_arrays(sample, share, (wide if gram else TERMS, wide), kind=np.float64 if gram else np.float32)
+        return sum_arrays(rows, share, (TERMS, wide), blocks=64, kind=np.float32)
+
+    def moments(basis: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast(basis.astype(np.float32))
+
+        def share(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            total = np.zeros((2 * wide + 2, wide))
+            for _, norm, sizes, sums in sums_of(sent, batches):
+                unit, full = sums / norm[:, None].astype(np.float32), sums[sizes == PASSAGE]
+                total[:wide] += unit.T @ unit
+                total[wide: 2 * wide] += full.T @ full
+                total[-2] += full.sum(axis=0, dtype=np.float64)
+                total[-1] += len(full)
+            return total
+
+        return sum_arrays(rows, share, (2 * wide + 2, wide))
 
     q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((TERMS, wide)))
     for _ in range(POWERS + 1):
-        q, _ = np.linalg.qr(step(q, False))
-    values, vectors = np.linalg.eigh(step(q, True))
-    return (q @ vectors[:, np.argsort(-values)[:LATENT]]).astype(np.float32)
+        q, _ = np.linalg.qr(step(q))
+    total = moments(q)
+    values, vectors = np.linalg.eigh(total[:wide])
+    turn = vectors[:, np.argsort(-values)[:LATENT]]
+    table = (q @ turn) * idf[:, None]
+    n = max(total[-1, 0], 1.0)
+    mean = total[-2] @ turn / n
+    spread = turn.T @ total[wide: 2 * wide] @ turn / n - np.outer(mean, mean)
+    spread += np.eye(LATENT) * (np.trace(spread) / LATENT * 0.01 + 1e-9)
+    values, vectors = np.linalg.eigh(spread)
+    return ((table - mean / PASSAGE) @ (vectors / np.sqrt(np.maximum(values, 1e-12)))).astype(np.float32)
 
 
 class Pattern:
@@ -341,42 +367,13 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str
 
 
 def fit_latent(codes: DataFrame, benchmark: DataFrame, text_col: str = "text") -> np.ndarray:
-    """TERMS x LATENT: each term's IDF times its latent vector."""
-    df, passages, sample = passage_statistics(codes)
+    """TERMS x LATENT: each term's IDF times its latent vector, from all passages of the documents and the benchmark."""
+    df, passages = passage_statistics(codes)
     idf = np.log((1 + passages) / (1 + df)) + 1
-    # the benchmark's own passages are rows of the matrix as well, a bounded number of them
-    own = coded(benchmark.orderBy(F.xxhash64(text_col)).limit(SAMPLE), text_col, [])
-    rows = sample.unionByName(own).repartition(SAMPLE_PARTS)
-    return whitened(rows, (latent_terms(rows, idf) * idf[:, None]).astype(np.float32))
-
-
-def whitened(sample: DataFrame, table: np.ndarray) -> np.ndarray:
-    """``table`` turned so that passages have mean zero and equal spread in every latent direction.
-
-    Without this the common words and the language of two passages decide
-    their cosine.  Mean and covariance are those of the sample's full passages,
-    with a hundredth of the mean variance added in every direction.
-    """
-    size = table.shape[1]
-
-    def share(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros((size + 2, size))
-        for batch in batches:
-            full = [a for a in _codes_of(batch) if len(a) == PASSAGE]
-            for lo in range(0, len(full), 2000):
-                y = table[np.stack(full[lo: lo + 2000]) & np.uint32(TERMS - 1)].sum(axis=1)
-                total[:size] += y.T @ y
-                total[size] += y.sum(axis=0)
-                total[size + 1] += len(y)
-        return total
-
-    total = sum_arrays(sample, share, (size + 2, size))
-    n = max(total[-1, 0], 1.0)
-    mean = total[size] / n
-    spread = total[:size] / n - np.outer(mean, mean)
-    spread += np.eye(size) * (np.trace(spread) / size * 0.01 + 1e-9)
-    values, vectors = np.linalg.eigh(spread)
-    return ((table - mean / PASSAGE) @ (vectors / np.sqrt(np.maximum(values, 1e-12)))).astype(np.float32)
+    rows = codes.select("__codes").unionByName(coded(benchmark, text_col, []))
+    # a task's share is as large whatever it read: several splits to a task where there are many
+    parts, cores = rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
+    return latent_terms(rows.coalesce(max(2 * cores, parts // 4)), idf)
 
 
 def find_leaks(codes: DataFrame, benchmark: DataFrame, table: np.ndarray, id_col: str = "doc_id",
