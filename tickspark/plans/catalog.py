@@ -65,6 +65,7 @@ VAR_Q = 0.01                                          # 1 - confidence, given ex
 HIST_BINS = 80
 STORE_BATCHES = [("B20", 20), ("B9", 9)]              # (batch, horizon days) in the store
 
+STATE_SCENARIOS = 1_000_000                           # of each batch, in a partition of a stream's state
 LATE_BATCH = "007"                                    # a batch id that is not a number
 MONEY_DIGITS = 4
 MOMENT_DIGITS = 10
@@ -380,18 +381,19 @@ def q_scenario_messages(spark, d):
     return _show_scenarios(read_messages(spark, path))
 
 
-def _state(spark):
-    """Partitions of a stream's state: one per core."""
-    return {"state_partitions": spark.sparkContext.defaultParallelism}
+def _state(spark, d):
+    """Partitions of a stream's state: one per core, more where a batch has many scenarios."""
+    return {"state_partitions": max(spark.sparkContext.defaultParallelism, -(-_scenario_count(spark, d) // STATE_SCENARIOS))}
 
 
 def _ingested(spark, d):
     src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
+    state = _state(spark, d)
     store = _store(spark, d)
     write_scenario_messages(store, src)
     write_scenario_messages(store.where(F.col("SCENARIO_ID") % 2 == 0), src)   # redelivered copies
-    ingest_messages(spark, table, ckpt, path=src, **_state(spark))
-    ingest_messages(spark, table, ckpt, path=src, **_state(spark))   # re-run: adds nothing
+    ingest_messages(spark, table, ckpt, path=src, **state)
+    ingest_messages(spark, table, ckpt, path=src, **state)   # re-run: adds nothing
     return table
 
 
@@ -411,15 +413,16 @@ def _age_files(spark, path, hours):
 def q_message_ingest_late(spark, d):
     """Two deliveries on one checkpoint: the second, of batch ``007``, in files five hours older; some text is broken."""
     src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
+    state = _state(spark, d)
     moments = R.moments_scalars(_moments(spark, d))
     write_scenario_messages(_scenarios(spark, d, "B20", DAYS, moments), src)
-    ingest_messages(spark, table, ckpt, path=f"{src}*", **_state(spark))
+    ingest_messages(spark, table, ckpt, path=f"{src}*", **state)
     late = f"{src}-late"
     write_scenario_messages(_scenarios(spark, d, LATE_BATCH, DAYS, moments), late)
     spark.createDataFrame([("not json",), ('{"batch": "007", "return": 1.5, "start_date": "soon"}',)],
                           "value string").write.mode("append").text(late)
     _age_files(spark, late, 5)
-    ingest_messages(spark, table, ckpt, path=f"{src}*", **_state(spark))
+    ingest_messages(spark, table, ckpt, path=f"{src}*", **state)
     return _show_scenarios(ingested(spark, table))
 
 
@@ -430,8 +433,9 @@ def q_stream_var(spark, d):
 def q_stream_var_incremental(spark, d):
     """VaR from keyed state: a first delivery, then the rest among redelivered copies on the same checkpoint."""
     src, store, var, ckpt = (shared_path(spark, n) for n in ("messages", "var-store", "var-table", "var-ckpt"))
+    state = _state(spark, d)
     st = _store(spark, d)
-    run = lambda: stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=VAR_Q, **_state(spark))
+    run = lambda: stream_var_exact(spark, parse_messages(message_stream(spark, src)), store, var, ckpt, q=VAR_Q, **state)
     write_scenario_messages(st.where(F.col("SCENARIO_ID") % 2 == 0), src)
     run()
     write_scenario_messages(st.where(F.col("SCENARIO_ID") % 2 == 1), src)
@@ -443,12 +447,13 @@ def q_stream_var_incremental(spark, d):
 def q_message_ingest_redelivered(spark, d):
     """Copies that come after the stream has forgotten their scenarios, and through another checkpoint."""
     src, table, ckpt = (shared_path(spark, n) for n in ("messages", "ingest-table", "ingest-ckpt"))
+    state = _state(spark, d)
     store = _store(spark, d)
     write_scenario_messages(store.where(F.col("SCENARIO_ID") % 2 == 0), src)
-    ingest_messages(spark, table, ckpt, path=src, window="0 seconds", **_state(spark))
+    ingest_messages(spark, table, ckpt, path=src, window="0 seconds", **state)
     write_scenario_messages(store, src)
-    ingest_messages(spark, table, ckpt, path=src, window="0 seconds", **_state(spark))
-    ingest_messages(spark, table, f"{ckpt}-other", path=src, **_state(spark))
+    ingest_messages(spark, table, ckpt, path=src, window="0 seconds", **state)
+    ingest_messages(spark, table, f"{ckpt}-other", path=src, **state)
     return _show_scenarios(ingested(spark, table))
 
 
