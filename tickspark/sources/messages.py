@@ -59,7 +59,8 @@ def checked_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     schema = T.StructType([*SCENARIO_MESSAGE.fields, T.StructField("_bad", T.StringType())])
     m = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     others = [c for c in raw.columns if c != value]
-    parsed = raw.select(text.alias("PAYLOAD"), m.alias("m"), *others)
+    # exploded: a condition on what was read would else read the JSON text again, for each of its columns
+    parsed = raw.select(text.alias("PAYLOAD"), F.explode(F.array(m)).alias("m"), *others)
     to_ts = lambda c: F.try_to_timestamp(F.col(f"m.{c}"), F.lit(TIMESTAMP_TEXT_FORMAT))
     no_date = lambda c: F.col(f"m.{c}").isNotNull() & to_ts(c).isNull()
     error = (F.when(F.col("m").isNull() | F.col("m._bad").isNotNull(), F.lit("not a scenario message"))

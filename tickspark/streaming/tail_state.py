@@ -35,7 +35,12 @@ SHARDS = 16
 BLOCK = 4096
 SLACK = 2.0
 FLOOR = 1000
+#: Blocks a task holds, and gains it gathers, before they go to the state: fewer calls of it, bounded memory.
+BLOCKS_HELD = 1024
+GAINS_HELD = 100_000
 
+#: Names of a scenario's columns in its text.
+_SHORT = [f"c{i}" for i in range(len(SCENARIO_COLUMNS))]
 #: A new scenario (``ROW`` set: its JSON text), or a key's summary after a micro-batch (``ROW`` null).
 OUT = T.StructType([
     T.StructField("KEY", T.StringType()), T.StructField("SHARD", T.IntegerType()), T.StructField("ROW", T.StringType()),
@@ -48,13 +53,14 @@ def batch_of(key: Column) -> Column:
 
 
 def keyed(results: DataFrame) -> DataFrame:
-    """Scenario rows as the processor takes them: no nulls, exact ids, the row itself as one text."""
+    """Scenario rows as the processor takes them: no nulls, exact ids, the row itself as one text (short names in it)."""
     rid = F.col("SCENARIO_ID")
-    row = F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c in ("START_DATE", "END_DATE") else F.col(c)
-                               for c in SCENARIO_COLUMNS]))
-    rows = results.select(*SCENARIO_COLUMNS, row.alias("ROW"))
-    text = F.when(rid.isNull(), F.sha2("ROW", 256)).otherwise(F.lit(""))
-    shard = F.when(rid.isNull(), F.xxhash64("ROW")).otherwise(F.floor(rid / BLOCK))
+    values = [F.unix_micros(c) if c in ("START_DATE", "END_DATE") else F.col(c) for c in SCENARIO_COLUMNS]
+    whole = F.to_json(F.struct(*[v.alias(c) for v, c in zip(values, SCENARIO_COLUMNS)]))
+    row = F.to_json(F.struct(*[v.alias(c) for v, c in zip(values, _SHORT)]))
+    rows = results.select(*SCENARIO_COLUMNS, row.alias("ROW"), F.when(rid.isNull(), whole).alias("WHOLE"))
+    text = F.when(rid.isNull(), F.sha2("WHOLE", 256)).otherwise(F.lit(""))
+    shard = F.when(rid.isNull(), F.xxhash64("WHOLE")).otherwise(F.floor(rid / BLOCK))
     return rows.select(
         batch_key(F.col("BATCH")).alias("KEY"), F.pmod(shard, F.lit(SHARDS)).cast("int").alias("SHARD"),
         text.alias("TEXT"), F.coalesce(rid, F.lit(0)).alias("ID"), F.col("RETURN").isNotNull().alias("COUNTS"),
@@ -63,12 +69,13 @@ def keyed(results: DataFrame) -> DataFrame:
 
 def unkeyed(out: DataFrame) -> DataFrame:
     """The new scenarios among the processor's rows, as result-table columns."""
-    schema = T.StructType([T.StructField(f.name, T.LongType()) if isinstance(f.dataType, T.TimestampType) else f
-                           for f in SCENARIO_RESULT.fields])
+    types = {f.name: f.dataType for f in SCENARIO_RESULT.fields}
+    schema = T.StructType([T.StructField(short, T.LongType() if isinstance(types[c], T.TimestampType) else types[c])
+                           for c, short in zip(SCENARIO_COLUMNS, _SHORT)])
     m = F.from_json("ROW", schema)
     return out.where("ROW is not null").select(m.alias("m")).select(*[
-        F.timestamp_micros(F.col(f"m.{c}")).alias(c) if c in ("START_DATE", "END_DATE") else F.col(f"m.{c}").alias(c)
-        for c in SCENARIO_COLUMNS])
+        (F.timestamp_micros(F.col(f"m.{s}")) if c in ("START_DATE", "END_DATE") else F.col(f"m.{s}")).alias(c)
+        for c, s in zip(SCENARIO_COLUMNS, _SHORT)])
 
 
 class TailProcessor(StatefulProcessor):
@@ -82,8 +89,8 @@ class TailProcessor(StatefulProcessor):
         self.texts = handle.getMapState("texts", "text string", "there boolean")
         self.tail = handle.getValueState("tail", "n bigint, cut double, xs binary, cs binary")
 
-    def _unseen(self, rows: pd.DataFrame) -> np.ndarray:
-        """Which rows are new; marks them as seen."""
+    def _unseen(self, rows: pd.DataFrame, held: dict[int, np.ndarray], changed: set[int]) -> np.ndarray:
+        """Which rows are new; marks them as seen, in the blocks ``held`` (those ``changed`` are not yet in the state)."""
         text, ids = rows["TEXT"].to_numpy(object), rows["ID"].to_numpy(np.int64)
         new = np.zeros(len(rows), bool)
         by_id = np.flatnonzero(text == "")
@@ -92,14 +99,18 @@ class TailProcessor(StatefulProcessor):
         for block in np.unique(blocks):
             at = first[blocks == block]
             places = ids[at] - block * BLOCK
-            key = (int(block),)
-            held = self.seen.getValue(key) if self.seen.containsKey(key) else None
-            bits = np.unpackbits(np.frombuffer(held[0], np.uint8)) if held is not None else np.zeros(BLOCK, np.uint8)
+            block = int(block)
+            if block not in held:
+                if len(held) >= BLOCKS_HELD:
+                    self._keep(held, changed)
+                kept = self.seen.getValue((block,)) if self.seen.containsKey((block,)) else None
+                held[block] = np.unpackbits(np.frombuffer(kept[0], np.uint8)) if kept is not None else np.zeros(BLOCK, np.uint8)
+            bits = held[block]
             fresh = bits[places] == 0
             if fresh.any():
                 new[at[fresh]] = True
                 bits[places] = 1
-                self.seen.updateValue(key, (np.packbits(bits).tobytes(),))
+                changed.add(block)
         for i in np.flatnonzero(text != ""):
             key = (text[i],)
             if not self.texts.containsKey(key):
@@ -107,19 +118,33 @@ class TailProcessor(StatefulProcessor):
                 new[i] = True
         return new
 
+    def _keep(self, held: dict[int, np.ndarray], changed: set[int]) -> None:
+        for block in changed:
+            self.seen.updateValue((block,), (np.packbits(held[block]).tobytes(),))
+        held.clear()
+        changed.clear()
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         name, shard = key
         n, cut, xs, cs = 0, None, np.zeros(0), np.zeros(0, np.int64)
         if self.tail.exists():
             n, cut, held_x, held_c = self.tail.get()
             xs, cs = np.frombuffer(held_x), np.frombuffer(held_c, np.int64)
+        held: dict[int, np.ndarray] = {}
+        changed: set[int] = set()
+        gains: list[np.ndarray] = []
         for part in rows:
-            new = self._unseen(part)
+            new = self._unseen(part, held, changed)
             if not new.any():
                 continue
             yield self._rows(name, shard, ROW=part["ROW"].to_numpy(object)[new])
-            x = part["X"].to_numpy(np.float64)[new & part["COUNTS"].to_numpy(bool)]
-            n, cut, xs, cs = self._added(n, cut, xs, cs, x)
+            gains.append(part["X"].to_numpy(np.float64)[new & part["COUNTS"].to_numpy(bool)])
+            if sum(map(len, gains)) >= GAINS_HELD:
+                n, cut, xs, cs = self._added(n, cut, xs, cs, np.concatenate(gains))
+                gains = []
+        if gains:
+            n, cut, xs, cs = self._added(n, cut, xs, cs, np.concatenate(gains))
+        self._keep(held, changed)
         self.tail.update((int(n), cut, xs.tobytes(), cs.tobytes()))
         yield self._rows(name, shard, N=[int(n)], CUT=[cut], XS=[xs], CS=[cs])
 
