@@ -243,7 +243,7 @@ def test_latent_terms_come_from_all_passages(spark):
 
 def test_sums_of_passages():
     rng = np.random.default_rng(6)
-    sizes = rng.integers(1, D.PASSAGE + 1, 1500)
+    sizes = np.append(rng.integers(1, D.PASSAGE + 1, 1500), 5000)  # and a long item
     terms = rng.integers(0, 50, int(sizes.sum())).astype(np.uint32)
     table = np.concatenate([rng.integers(0, 9, (50, 3)), np.zeros((1, 3), int)]).astype(np.float32)
     want = np.add.reduceat(table[terms], np.cumsum(sizes) - sizes, axis=0)

@@ -89,18 +89,21 @@ def _groups(arrays: list[np.ndarray], words: int = 500_000) -> Iterator[tuple[in
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(terms in order, passage sizes) of all passages, at most ``TOGETHER`` at a time."""
+    """(terms in order, passage sizes) of all passages, at most ``TOGETHER`` at a time; rows not ``__cut`` are one each."""
     for batch in batches:
-        arrays = [a for a in _codes_of(batch) if len(a)]
+        arrays = _codes_of(batch)
+        cut = batch.column(batch.schema.get_field_index("__cut")).to_numpy(zero_copy_only=False)
         for lo, hi in _groups(arrays, TOGETHER * PASSAGE):
             whole = np.array([len(a) for a in arrays[lo:hi]])
-            pieces = -(-whole // PASSAGE)
-            sizes = np.full(int(pieces.sum()), PASSAGE)
-            sizes[np.cumsum(pieces) - 1] = whole - (pieces - 1) * PASSAGE
+            most = np.where(cut[lo:hi], PASSAGE, np.maximum(whole, 1))
+            pieces = -(-whole // most)
+            some = pieces > 0
+            sizes = np.repeat(most, pieces)
+            sizes[np.cumsum(pieces)[some] - 1] = (whole - (pieces - 1) * most)[some]
             flat, ends = np.concatenate(arrays[lo:hi]) & np.uint32(TERMS - 1), np.cumsum(sizes)
             for p in range(0, len(sizes), TOGETHER):
-                some = sizes[p: p + TOGETHER]
-                yield flat[ends[p] - sizes[p]: ends[p + len(some) - 1]], some
+                part = sizes[p: p + TOGETHER]
+                yield flat[ends[p] - sizes[p]: ends[p + len(part) - 1]], part
 
 
 def _cells(terms: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +126,7 @@ def passage_statistics(codes: DataFrame) -> tuple[np.ndarray, int]:
                                           pa.array([passages, *counts[used].tolist()], pa.int64())], names=["term", "n"])
 
     df, passages = np.zeros(TERMS), 0
-    found = codes.select("__codes").mapInArrow(run, "term bigint, n bigint")
+    found = codes.select("__codes", F.lit(True).alias("__cut")).mapInArrow(run, "term bigint, n bigint")
     for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect():
         if r.term < 0:
             passages = int(r.n)
@@ -137,8 +140,10 @@ def _sums(table: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> np.ndarray
     out = np.empty((len(sizes), table.shape[1]), table.dtype)
     order = np.argsort(-sizes, kind="stable")  # alike in size: little padding
     starts = np.cumsum(sizes) - sizes
-    for lo in range(0, len(order), 512):  # in pieces that stay in the processor's cache
-        some = order[lo: lo + 512]
+    lo = 0
+    while lo < len(order):  # in pieces that stay in the processor's cache
+        some = order[lo: lo + max(1, 512 * PASSAGE // max(PASSAGE, int(sizes[order[lo]])))]
+        lo += len(some)
         at = np.arange(int(sizes[some[0]]))[:, None]
         words = np.where(at < sizes[some], terms[np.minimum(starts[some] + at, len(terms) - 1)], len(table) - 1).astype(np.int64)
         total = np.take(table, words[0], axis=0)
@@ -370,7 +375,8 @@ def fit_latent(codes: DataFrame, benchmark: DataFrame, text_col: str = "text") -
     """TERMS x LATENT: each term's IDF times its latent vector, from all passages of the documents and the benchmark."""
     df, passages = passage_statistics(codes)
     idf = np.log((1 + passages) / (1 + df)) + 1
-    rows = codes.select("__codes").unionByName(coded(benchmark, text_col, []))
+    rows = codes.select("__codes", F.lit(True).alias("__cut")).unionByName(
+        coded(benchmark, text_col, []).withColumn("__cut", F.lit(False)))
     # a task's share is as large whatever it read: several splits to a task where there are many
     parts, cores = rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
     return latent_terms(rows.coalesce(max(2 * cores, parts // 4)), idf)
