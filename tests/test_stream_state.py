@@ -8,6 +8,7 @@ import time
 from concurrent.futures import Future
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 
@@ -22,6 +23,7 @@ from tickspark.streaming.tail_state import TailProcessor
 cloudpickle.register_pickle_by_value(sys.modules[__name__])        # the clients below travel to the workers
 Q = 0.05
 V = importlib.import_module("tickspark.streaming.running_var")     # the package has a function of this name
+I = importlib.import_module("tickspark.streaming.ingest")
 
 
 def _scen(spark, batch="B1", n=500, mu=0.001, sigma=0.02):
@@ -272,3 +274,74 @@ def test_table_function_options(spark):
     spark.sql("select 'boom' as prompt").createOrReplaceTempView("boom_udtf")
     r = spark.sql("select * from ask(TABLE(boom_udtf))").first()
     assert r.ml_generate_text_llm_result is None and r.ml_generate_text_status == "error: no model"
+
+
+def test_stored_scenarios_carry_no_payload_of_their_own(spark, tmp_shared):
+    """What only messages without an id or in quarantine need is kept for them, and for no other."""
+    src, table = f"{tmp_shared}/src", f"{tmp_shared}/table"
+    write_scenario_messages(_scen(spark, n=30), src)
+    sample_messages(spark, 4).union(sample_messages(spark, 4)).write.mode("append").text(src)
+    spark.createDataFrame([("not json",), ("not json",)], "value string").write.mode("append").text(src)
+    ingest_messages(spark, table, f"{tmp_shared}/ckpt", path=src, state_partitions=2)
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(table)
+    assert stored.where("SCENARIO_ID is not null and PAYLOAD_KEY is null").count() == 30
+    assert stored.where("SCENARIO_ID is null and length(PAYLOAD_KEY) = 64").count() == 4 == stored.where("SCENARIO_ID is null").count()
+    bad = I.quarantined(spark, table).collect()
+    assert [r.PAYLOAD for r in bad] == ["not json"] and bad[0].SOURCE and bad[0].ARRIVAL
+
+
+def test_state_partitions_grow_with_the_scenarios(spark, monkeypatch):
+    from tickspark.plans import catalog
+
+    cores = spark.sparkContext.defaultParallelism
+    for n, want in ((0, cores), (10, cores), (catalog.STATE_SCENARIOS * 3 * cores + 1, 3 * cores + 1)):
+        monkeypatch.setattr(catalog, "_scenario_count", lambda *_, n=n: n)
+        assert catalog._state(spark, "-") == {"state_partitions": want}
+
+
+def test_messages_are_parsed_once(spark):
+    raw = sample_messages(spark, 3)
+    raw = spark.createDataFrame(raw.collect(), "value string")
+    plan = parse_messages(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert parse_messages(raw).count() == 3
+
+
+class _Held:
+    """A state variable of the processor in memory."""
+
+    def __init__(self):
+        self.value, self.map = None, {}
+        self.containsKey, self.getValue = self.map.__contains__, self.map.get
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+
+def test_blocks_and_gains_held_change_no_result(monkeypatch):
+    from tickspark.streaming import tail_state as S
+
+    rng = np.random.default_rng(3)
+    ids = [rng.integers(0, 6 * S.BLOCK, 700) for _ in range(5)]
+    parts = [pd.DataFrame({"TEXT": "", "ID": i, "X": np.sin(i.astype(float)), "COUNTS": i % 7 != 0, "ROW": [str(v) for v in i]}) for i in ids]
+    every = np.unique(np.concatenate(ids))
+    counted = np.sort(np.sin(every[every % 7 != 0].astype(float)))
+    for blocks, gains in ((1, 1), (2, 500), (1024, 100_000)):
+        monkeypatch.setattr(S, "BLOCKS_HELD", blocks)
+        monkeypatch.setattr(S, "GAINS_HELD", gains)
+        p = TailProcessor(Q, floor=50)
+        p.seen, p.texts, p.tail = _Held(), _Held(), _Held()
+        out = [*p.handleInputRows(("=B", 0), iter(parts[:3]), None), *p.handleInputRows(("=B", 0), iter(parts[3:]), None)]
+        assert sorted(int(v) for rows in out for v in rows["ROW"].dropna()) == every.tolist()
+        last = out[-1].iloc[0]
+        assert last["N"] == len(counted) and last["XS"].tolist() == counted[: len(last["XS"])].tolist()
+        assert last["CUT"] == last["XS"][-1] and sum(last["CS"]) >= Q * last["N"]
