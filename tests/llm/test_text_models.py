@@ -250,6 +250,37 @@ def test_sums_of_passages():
     assert (D._sums(table, terms, sizes) == want).all()
 
 
+def test_sums_of_groups_of_any_size():
+    rng = np.random.default_rng(8)
+    sizes = np.array([0, 1, D.PASSAGE, D.PASSAGE + 1, 0, 3 * D.PASSAGE ** 2 + 5, 7, 0])
+    table = rng.integers(0, 9, (50, 3)).astype(np.float32)
+    at = rng.integers(0, 50, int(sizes.sum())).astype(np.uint32)
+    want = [table[part].sum(axis=0) for part in np.split(at, np.cumsum(sizes)[:-1])]
+    assert (D._long_sums(table, at, sizes) == np.array(want)).all()
+    assert (D._long_sums(table, at[:0], np.zeros(4, int)) == 0).all()
+
+
+def test_cells_count_the_terms_of_each_passage():
+    terms = np.array([5, 5, 1, 5, 1, 9, 9, 9], np.uint32)
+    term, row, count = D._cells(*D._words(terms, np.array([3, 1, 4])))
+    assert sorted(zip(row.tolist(), term.tolist(), count.tolist())) == [(0, 1, 1), (0, 5, 2), (1, 5, 1), (2, 1, 1), (2, 9, 3)]
+
+
+def test_candidates_keep_every_leak_and_drop_what_cannot_be_one():
+    """Windows that share too few terms with a passage are no candidates: their common subsequence cannot count."""
+    rng = np.random.default_rng(9)
+    passage = rng.integers(0, 1 << 32, 32, dtype=np.uint32)
+    other = rng.integers(0, 1 << 32, 32, dtype=np.uint32)
+    half = passage.copy()
+    half[::2] = other[::2]
+    table = np.tile(rng.standard_normal(8), (D.TERMS, 1)).astype(np.float32)  # every window resembles every passage
+    search = D.Search([(1, 32, passage, other[:0])], table)
+    docs = [np.concatenate([x, other]) for x in (passage, half, other)] + [passage[:0]]
+    found = {d for block in search.candidates(docs, D.COSINE) for d in block[0].tolist()}
+    assert found == {0, 1}
+    assert {d: v[1][2] for d, v in search.leaks(docs).items()} == {0: "copy"}
+
+
 def test_candidate_recall_against_brute_force(spark):
     """Windows whose longest common subsequence with a passage says leak are candidates, in at least 0.9 of cases."""
     docs = spark.read.parquet(f"{SF01}/documents.parquet")

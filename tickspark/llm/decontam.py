@@ -41,6 +41,8 @@ LATENT, OVERSAMPLE, POWERS = 96, 16, 2
 PASSAGE = 64
 #: Passages handled together inside a task; bounds a task's memory whatever the texts' lengths.
 TOGETHER = 1 << 15
+#: Characters coded together: what is made of them stays in the processor's cache.
+CACHED_CHARS = 100_000
 WIDTHS = (16, 32, 64, 128)
 SHORTEST = 8
 #: Parts of long items: any run of PART - PART_STEP + 1 words, more than COPY of a part, lies within one.
@@ -64,7 +66,7 @@ def coded(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = column_texts(batch, "__text")
-            codes = [c.tobytes() for lo, hi in slices(texts) for c in short_codes(texts[lo:hi])]
+            codes = [c.tobytes() for lo, hi in slices(texts, CACHED_CHARS) for c in short_codes(texts[lo:hi])]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(codes, pa.binary())],
                                              names=[*keep, code_col])
 
@@ -106,12 +108,17 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
                 yield flat[ends[p] - sizes[p]: ends[p + len(part) - 1]], part
 
 
-def _cells(terms: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(passage, term, count) of the terms of some passages, by passage and term."""
-    # (passage, term) in 32 bits: at most TOGETHER passages
-    cells = np.sort(np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes) * np.uint32(TERMS) + terms)
-    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
-    return cells[first] // np.uint32(TERMS), cells[first] & np.uint32(TERMS - 1), np.diff(np.append(first, len(cells)))
+def _words(terms: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(term, passage) of every word of some passages, by term and passage."""
+    # (term, passage) in 32 bits: at most TOGETHER passages
+    words = np.sort(terms * np.uint32(TOGETHER) + np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes))
+    return words // np.uint32(TOGETHER), words % np.uint32(TOGETHER)
+
+
+def _cells(term: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, passage, count) of the terms of some passages, from ``_words``."""
+    first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (row[1:] != row[:-1])))
+    return term[first], row[first], np.diff(np.append(first, len(term)))
 
 
 def passage_statistics(codes: DataFrame) -> tuple[np.ndarray, int]:
@@ -119,7 +126,7 @@ def passage_statistics(codes: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, passages = np.zeros(TERMS, np.int64), 0
         for terms, sizes in _passages(batches):
-            counts += np.bincount(_cells(terms, sizes)[1], minlength=TERMS)
+            counts += np.bincount(_cells(*_words(terms, sizes))[0], minlength=TERMS)
             passages += len(sizes)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *used.tolist()], pa.int64()),
@@ -153,6 +160,19 @@ def _sums(table: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return out
 
 
+def _long_sums(table: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of ``table``'s rows ``at`` for groups of any size: sums of pieces, then sums of those."""
+    pieces = -(-sizes // PASSAGE)
+    some = np.flatnonzero(pieces)
+    part = np.full(int(pieces.sum()), PASSAGE)
+    part[np.cumsum(pieces)[some] - 1] = (sizes - (pieces - 1) * PASSAGE)[some]
+    out = np.zeros((len(sizes), table.shape[1]), table.dtype)
+    if len(some):
+        sums = _sums(np.concatenate([table, np.zeros_like(table[:1])]), at, part)
+        out[some] = sums if len(part) == len(some) else _long_sums(sums, np.arange(len(part)), pieces[some])
+    return out
+
+
 def latent_terms(rows: DataFrame, idf: np.ndarray, seed: int = 7) -> np.ndarray:
     """TERMS x LATENT: each term's IDF times its right singular vector of the TF-IDF matrix of all passages, whitened.
 
@@ -170,25 +190,22 @@ def latent_terms(rows: DataFrame, idf: np.ndarray, seed: int = 7) -> np.ndarray:
     spark = rows.sparkSession
 
     def sums_of(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        """(cells, norms, sizes, sums of the basis times IDF) of passages."""
+        """(words, norms, sizes, sums of the basis times IDF) of passages."""
         table = np.concatenate([sent.value * idf[:, None].astype(np.float32), np.zeros((1, wide), np.float32)])
         for terms, sizes in _passages(batches):
-            row, term, count = _cells(terms, sizes)
+            words = _words(terms, sizes)
+            term, row, count = _cells(*words)
             norm = np.sqrt(np.bincount(row, weights=(count * idf[term]) ** 2, minlength=len(sizes)))
-            yield (row, term, count), norm, sizes, _sums(table, terms, sizes)
+            yield words, norm, sizes, _sums(table, terms, sizes)
 
     def step(basis: np.ndarray) -> np.ndarray:
         sent = spark.sparkContext.broadcast(basis.astype(np.float32))
 
         def share(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
             total = np.zeros((TERMS, wide))
-            for (row, term, count), norm, _, sums in sums_of(sent, batches):
+            for (term, row), norm, _, sums in sums_of(sent, batches):
                 sums /= (norm * norm)[:, None].astype(np.float32)
-                order = np.argsort(term.astype(np.uint16), kind="stable")
-                row, term, count = row[order].astype(np.int64), term[order], count[order].astype(np.float32)
-                first = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
-                for t, lo, hi in zip(term[first].tolist(), first.tolist(), [*first[1:].tolist(), len(term)]):
-                    total[t] += count[lo:hi] @ sums[row[lo:hi]]
+                total += _long_sums(sums, row, np.bincount(term, minlength=TERMS))
             return total * idf[:, None]
 
         # a basis to search in: shares in single precision do, and halve the shuffle
@@ -270,6 +287,11 @@ def _answers(codes: np.ndarray, answer: Pattern, size: int) -> bool:
     return any(answer.common(words[lo: lo + 2 * half]) >= ANSWER * answer.size for lo in range(0, len(words), half))
 
 
+def _around(first, width: int) -> tuple:
+    """(first, end) of the words around a window, a quarter of its width on either side."""
+    return np.maximum(0, first - width // 4), first + width + width // 4
+
+
 class Search:
     """Finds the benchmark passages of one block in coded documents."""
 
@@ -277,6 +299,12 @@ class Search:
         self.passages = [(item, width, Pattern(codes), Pattern(answer)) for item, width, codes, answer in passages]
         # one zero row more: the padding between documents
         self.table = np.concatenate([table, np.zeros((1, table.shape[1]), np.float32)])
+        self.sizes = np.array([len(p[2]) for p in passages])
+        # one bit a term: the terms of each passage
+        self.holds = np.zeros((len(passages), TERMS // 8 + 1), np.uint8)
+        for i, p in enumerate(passages):
+            term = p[2] & np.uint32(TERMS - 1)
+            np.bitwise_or.at(self.holds[i], term >> np.uint32(3), np.uint8(1) << (term & np.uint32(7)).astype(np.uint8))
         self.by_width = {}
         for width in WIDTHS:
             own = [i for i, p in enumerate(passages) if p[1] == width]
@@ -285,19 +313,23 @@ class Search:
                 norm = np.linalg.norm(v, axis=1, keepdims=True)
                 self.by_width[width] = (np.array(own), np.divide(v, norm, out=np.zeros_like(v), where=norm > 0).T)
 
-    def candidates(self, arrays: list[np.ndarray], cosine: float) -> Iterator[tuple[int, int, int, int, float]]:
-        """(document, passage, first word, width, cosine) of windows that resemble a passage."""
+    def candidates(self, arrays: list[np.ndarray], cosine: float) -> Iterator[tuple[np.ndarray, ...]]:
+        """(documents, passages, first words, widths, cosines) of windows that resemble a passage, block by block.
+
+        Only those whose surroundings have words enough in common with the passage to leak, in whatever order.
+        """
         sizes = np.array([len(a) for a in arrays])
         padded = -(-sizes // 4) * 4
         starts = np.cumsum(padded) - padded
         terms = np.full(int(padded.sum()), TERMS, np.int64)
         terms[ranges_concat(starts, sizes)] = np.concatenate(arrays) & np.uint32(TERMS - 1)
         sums = np.empty((len(terms) // 4, self.table.shape[1]), np.float32)
-        for lo in range(0, len(sums), 4096):  # in pieces that stay in the processor's cache
-            four = terms[4 * lo: 4 * (lo + 4096)].reshape(-1, 4)
-            part = np.take(self.table, four[:, 0], axis=0, out=sums[lo: lo + 4096])
-            for n in (1, 2, 3):
-                part += np.take(self.table, four[:, n], axis=0)
+        for lo in range(0, len(sums), 512):  # in pieces that stay in the processor's cache
+            four = np.ascontiguousarray(terms[4 * lo: 4 * (lo + 512)].reshape(-1, 4).T)
+            part = np.take(self.table, four[0], axis=0)
+            for one in four[1:]:
+                part += np.take(self.table, one, axis=0)
+            sums[lo: lo + 512] = part
         for width in WIDTHS:
             if width > WIDTHS[0]:
                 if len(sums) % 2:
@@ -306,40 +338,62 @@ class Search:
             if width not in self.by_width:
                 continue
             own, vectors = self.by_width[width]
-            tail = np.concatenate([sums, np.zeros((3, sums.shape[1]), np.float32)])
-            windows = tail[:-3] + tail[1:-2] + tail[2:-1] + tail[3:]
-            windows /= (np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-12)[:, None]
-            step = 1 << 13
-            for lo in range(0, len(windows), step):
+            step = 1 << 11  # in pieces that stay in the processor's cache
+            for lo in range(0, len(sums), step):
                 # one window more on either side: of neighbours that resemble a passage the nearest counts,
                 # whose surroundings cover the others
                 begin = max(0, lo - 1)
-                like = windows[begin: lo + step + 1] @ vectors
-                w, p = np.nonzero(like >= cosine)
+                some = sums[begin: lo + step + 4]
+                over = max(0, lo + step + 4 - len(sums))
+                if over:  # windows reach over the end
+                    some = np.concatenate([some, np.zeros((min(over, 3), sums.shape[1]), np.float32)])
+                windows = some[:-3] + some[1:-2]
+                windows += some[2:-1]
+                windows += some[3:]
+                windows /= (np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-12)[:, None]
+                like = windows @ vectors
+                w, p = np.divmod(np.flatnonzero(like >= cosine), len(own))
                 score = like[w, p]
                 best = (score >= like[np.maximum(w - 1, 0), p]) & (score >= like[np.minimum(w + 1, len(like) - 1), p])
                 w += begin
                 best &= (w >= lo) & (w < lo + step)
-                for w, p, score in zip(w[best].tolist(), p[best].tolist(), score[best].tolist()):
-                    first = w * (width // 4)
-                    # a window may reach over the end of a document: it counts for each it touches
-                    d = int(np.searchsorted(starts, first, "right")) - 1
-                    while d < len(arrays) and starts[d] < first + width:
-                        if sizes[d]:
-                            yield d, int(own[p]), first - int(starts[d]), width, score
-                        d += 1
+                first, p, score = w[best] * (width // 4), own[p[best]], score[best]
+                # a window may reach over the end of a document: it counts for each it touches
+                d = np.searchsorted(starts, first, "right") - 1
+                touched = np.searchsorted(starts, first + width, "left") - d
+                d = ranges_concat(d, touched)
+                first, p, score = (np.repeat(x, touched) for x in (first, p, score))
+                keep = sizes[d] > 0
+                d, p, score = d[keep], p[keep], score[keep]
+                first = first[keep] - starts[d]
+                keep = self._enough(terms, starts[d], sizes[d], p, first, width)
+                yield d[keep], p[keep], first[keep], np.full(int(keep.sum()), width), score[keep]
+
+    def _enough(self, terms: np.ndarray, starts: np.ndarray, sizes: np.ndarray, p: np.ndarray, first: np.ndarray,
+                width: int) -> np.ndarray:
+        """Whether the words around each window hold so many of the passage's terms that their common subsequence may count."""
+        hits = np.empty(len(p))
+        for at in range(0, len(p), 4096):
+            i = slice(at, at + 4096)
+            lo, hi = _around(first[i], width)
+            place = lo[:, None] + np.arange(2 * width)
+            word = np.where(place < np.minimum(hi, sizes[i])[:, None],
+                            terms[np.minimum(starts[i, None] + place, len(terms) - 1)], TERMS)
+            hits[i] = (self.holds[p[i, None], word >> 3] >> (word & 7).astype(np.uint8) & 1).sum(axis=1)
+        return hits / self.sizes[p] >= min(COPY, PARAPHRASE)
 
     def leaks(self, arrays: list[np.ndarray], cosine: float = COSINE) -> dict[int, dict]:
         """document -> item -> (cosine, share of the passage, kind), the largest share first found."""
         found: dict[int, dict] = {}
         tried: set = set()
         answered: dict = {}
-        for d, p, first, width, score in self.candidates(arrays, cosine):
+        for d, p, first, width, score in (x for block in self.candidates(arrays, cosine)
+                                          for x in zip(*(column.tolist() for column in block))):
             item, _, passage, answer = self.passages[p]
-            lo, hi = max(0, first - width // 4), first + width + width // 4
-            if (d, p, lo) in tried:
+            lo, hi = _around(first, width)
+            if (d, p, int(lo)) in tried:
                 continue
-            tried.add((d, p, lo))
+            tried.add((d, p, int(lo)))
             words = arrays[d][lo:hi].tolist()
             share = passage.common(words) / passage.size
             kind = "copy" if share >= COPY else None
