@@ -266,6 +266,30 @@ def test_cells_count_the_terms_of_each_passage():
     assert sorted(zip(row.tolist(), term.tolist(), count.tolist())) == [(0, 1, 1), (0, 5, 2), (1, 5, 1), (2, 1, 1), (2, 9, 3)]
 
 
+def test_shares_of_the_fit_follow_the_passages_not_the_files(spark, monkeypatch):
+    """Many small files once gave one share of the whole basis for every four, all of them on disk."""
+    assert D.fit_tasks(0, 1, 8) == 1
+    assert D.fit_tasks(270_000, 1, 6) == 10
+    assert D.fit_tasks(1_400_000, 1, 6) == 12  # two a core
+    assert D.fit_tasks(80_000_000, 1, 6) == 76
+    used = []
+    real = D.latent_terms
+    monkeypatch.setattr(D, "latent_terms", lambda rows, idf: used.append(rows.rdd.getNumPartitions()) or real(rows, idf))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        rows = [(i, " ".join(f"w{(i * 7 + j) % 90}" for j in range(100))) for i in range(600)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(120)
+        bench = spark.createDataFrame([(1, " ".join(f"w{j}" for j in range(20)))], "item_id long, text string").coalesce(1)
+        codes = D.coded(docs, "text", ["doc_id"])
+        assert codes.rdd.getNumPartitions() >= 100
+        D.fit_latent(codes, bench)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert used[0] <= 4
+
+
 def test_candidates_keep_every_leak_and_drop_what_cannot_be_one():
     """Windows that share too few terms with a passage are no candidates: their common subsequence cannot count."""
     rng = np.random.default_rng(9)

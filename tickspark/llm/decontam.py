@@ -43,6 +43,8 @@ PASSAGE = 64
 TOGETHER = 1 << 15
 #: Characters coded together: what is made of them stays in the processor's cache.
 CACHED_CHARS = 100_000
+#: Passages a task of the latent fit reads, where there are more than two tasks a core.
+TASK_PASSAGES = 1 << 20
 WIDTHS = (16, 32, 64, 128)
 SHORTEST = 8
 #: Parts of long items: any run of PART - PART_STEP + 1 words, more than COPY of a part, lies within one.
@@ -425,15 +427,24 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str
         yield block
 
 
+def fit_tasks(passages: int, item_parts: int, cores: int) -> int:
+    """Tasks of the latent fit, for so many passages of documents and partitions of the benchmark.
+
+    A task's share is as large whatever it read, and the shares of all steps lie
+    on disk together: their number follows the passages, not the files.
+    """
+    return max(1, min(max(2 * cores, passages // TASK_PASSAGES), -(-passages // TOGETHER) + item_parts))
+
+
 def fit_latent(codes: DataFrame, benchmark: DataFrame, text_col: str = "text") -> np.ndarray:
     """TERMS x LATENT: each term's IDF times its latent vector, from all passages of the documents and the benchmark."""
     df, passages = passage_statistics(codes)
     idf = np.log((1 + passages) / (1 + df)) + 1
-    rows = codes.select("__codes", F.lit(True).alias("__cut")).unionByName(
-        coded(benchmark, text_col, []).withColumn("__cut", F.lit(False)))
-    # a task's share is as large whatever it read: several splits to a task where there are many
-    parts, cores = rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
-    return latent_terms(rows.coalesce(max(2 * cores, parts // 4)), idf)
+    items = coded(benchmark, text_col, []).withColumn("__cut", F.lit(False))
+    rows = codes.select("__codes", F.lit(True).alias("__cut")).unionByName(items)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = fit_tasks(passages, items.rdd.getNumPartitions(), cores)
+    return latent_terms(rows.coalesce(tasks), idf)
 
 
 def find_leaks(codes: DataFrame, benchmark: DataFrame, table: np.ndarray, id_col: str = "doc_id",
